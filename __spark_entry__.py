@@ -71,14 +71,8 @@ def _formatted(spark: SparkSession, folder: str) -> DataFrame:
 # ---- routing and batch lookups ----
 
 
-def _wanted(spark: SparkSession, folder: str) -> DataFrame:
-    """All account numbers transfers could go to; some do not exist."""
-    orders = orderbook.order_batch(spark, folder)
-    return orders.select(orderbook.transfer_target().alias("account_number")).distinct()
-
-
 def _lookup(plan: Callable[[DataFrame, Bank], DataFrame]) -> Query:
-    return _on_tables(lambda spark, folder: plan(_wanted(spark, folder), orderbook.load_bank(spark, folder)))
+    return _on_tables(lambda spark, folder: plan(orderbook.transfer_targets(spark, folder), orderbook.load_bank(spark, folder)))
 
 
 def _user_lookup(plan: Callable[[DataFrame, Bank], DataFrame], *keys: str) -> Query:

@@ -1,10 +1,11 @@
 """Posting of deposits, withdrawals and transfers, with the outcome of one-by-one execution in seq order.
 
 Whether a debit is covered depends on which earlier requests succeeded, also on other accounts. Requests get
-consecutive places in seq order, and an account's entries are cut into blocks of places. A block is at most
-`block_rows` entries, however busy the account. Each block is settled in order, given its opening balance and the
-transfers into it that failed. Both are assumed first (everything succeeds) and corrected from the results of the
-other blocks; only blocks whose inputs changed are settled again, until none is left.
+consecutive places in seq order. An account is one block of entries; an account with more than `block_rows` entries
+is cut into blocks of `block_rows` places, so no block is larger, however busy the account. A task settles the blocks it holds together, in order of place,
+given the opening balance of each block and, for transfers that are debited in another task, whether they failed.
+Both are assumed first (everything succeeds). A block whose assumptions turn out different from the results of the
+other blocks is settled again, until there is none.
 
 The result is exact: an entry depends on earlier places only, so the earliest block that is still wrong becomes
 right in every round, the rounds end by themselves, and there is only one fixed point.
@@ -14,6 +15,7 @@ from __future__ import annotations
 
 from collections.abc import Iterable, Iterator
 from dataclasses import dataclass
+from itertools import islice
 
 import pandas as pd
 from pyspark.sql import DataFrame, Window
@@ -27,17 +29,27 @@ from regiobank.sources.scratch import scratch_path, stage
 
 BLOCK = ["shard", "account", "block"]
 BLOCK_ROWS = 1 << 18
+TASK_ENTRIES = 1 << 18
+MAX_TASKS = 100_000
 
 # Kinds of settlement input, in the order they apply within one place.
-OPENING, CANCEL, CREDIT, DEBIT = 0, 1, 2, 3
-# Kinds of settlement output.
-BLOCK_RESULT, REJECTED = 10, 11
+OPENING, CANCEL, DEBIT, CREDIT = 0, 1, 2, 3
+# Kinds of settlement output: the state of a block, a debit it rejects, a credit it takes for failed.
+STATE, REJECTED, FAILED = 10, 11, 12
 
-INPUT = "shard string, account string, block bigint, place bigint, kind int, cents bigint, peer_shard string, peer_account string"
+INPUT = (
+    "shard string, account string, block bigint, place bigint, kind int, cents bigint, base bigint, "
+    "peer_shard string, peer_account string, peer_block bigint"
+)
 OUTCOME = (
-    "shard string, account string, block bigint, place bigint, kind int, cents bigint, applied bigint, "
-    "peer_shard string, peer_account string"
+    "shard string, account string, block bigint, place bigint, kind int, net bigint, opening bigint, base bigint, "
+    "applied bigint, peer_shard string, peer_account string, peer_block bigint"
 )
+NO_PEER = ["CAST(NULL AS STRING) AS peer_shard", "CAST(NULL AS STRING) AS peer_account", "0L AS peer_block"]
+
+
+def _names(schema: str) -> list[str]:
+    return [part.split()[0] for part in schema.split(", ")]
 
 
 @dataclass(frozen=True)
@@ -56,181 +68,171 @@ class Posting:
 
 
 def _settle(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-    """Walk sorted entries once; a block may span batches, only its balance is carried over."""
-    current = None
-    balance = opening = applied = 0
-    cancelled = -1
+    """Walk the entries of one task in order of place; only one state per block is kept."""
+    columns = _names(OUTCOME)
+    states: dict[tuple, list[int]] = {}
+    cancelled = decided = -1
+    covered = True
     for batch in batches:
         out: list[tuple] = []
-        for shard, account, block, place, kind, amount, peer_shard, peer_account in batch.itertuples(False, None):
+        for *key, place, kind, cents, base, peer_shard, peer_account, peer_block in batch.itertuples(False, None):
+            key = tuple(key)
             if kind == OPENING:
-                if current is not None:
-                    out.append((*current, -1, BLOCK_RESULT, balance - opening, applied, None, None))
-                current = (shard, account, block)
-                balance = opening = amount
-                applied, cancelled = 0, -1
+                states[key] = [cents, cents, base, 0]
             elif kind == CANCEL:
                 cancelled = place
-            elif kind == CREDIT:
-                if place != cancelled:
-                    balance += amount
-                    applied += 1
-            elif balance >= amount:
-                balance -= amount
-                applied += 1
+            elif kind == DEBIT:
+                state = states[key]
+                decided, covered = place, state[1] >= cents
+                if covered:
+                    state[1] -= cents
+                    state[3] += 1
+                else:
+                    out.append((*key, place, REJECTED, 0, 0, 0, 0, peer_shard, peer_account, peer_block))
+            elif covered if place == decided else place != cancelled:
+                state = states[key]
+                state[1] += cents
+                state[3] += 1
             else:
-                out.append((shard, account, block, place, REJECTED, amount, 0, peer_shard, peer_account))
-        yield pd.DataFrame(out, columns=OUTCOME_COLUMNS)
-    if current is not None:
-        yield pd.DataFrame(
-            [(*current, -1, BLOCK_RESULT, balance - opening, applied, None, None)], columns=OUTCOME_COLUMNS
-        )
-
+                out.append((*key, place, FAILED, 0, 0, 0, 0, None, None, 0))
+        yield pd.DataFrame(out, columns=columns)
+    closing = (
+        (*key, -1, STATE, balance - opening, opening, base, applied, None, None, 0)
+        for key, (opening, balance, base, applied) in states.items()
+    )
+    while chunk := list(islice(closing, 10_000)):
+        yield pd.DataFrame(chunk, columns=columns)
 
-OUTCOME_COLUMNS = [part.split()[0] for part in OUTCOME.split(", ")]
-
-
-def _entries(requests: DataFrame, block_rows: int) -> DataFrame:
-    """One debit entry per source and one credit entry per target of the statically valid requests."""
-    amount = cents(F.col("amount"))
-    block = F.call_function("div", F.col("place"), F.lit(block_rows))
-
-    def entry(side: str, account: str, kind: int, peer: str, peer_account: str):
-        return F.when(
-            F.col(side).isNotNull(),
-            F.struct(
-                F.col(f"{side}.shard").alias("shard"),
-                F.col(account).alias("account"),
-                block.alias("block"),
-                F.col("place"),
-                F.lit(kind).alias("kind"),
-                amount.alias("cents"),
-                F.col(f"{peer}.shard").alias("peer_shard"),
-                F.when(F.col(peer).isNotNull(), F.col(peer_account)).alias("peer_account"),
-                F.col(f"{side}.cents").alias("base"),
-            ),
-        )
 
-    both = F.array_compact(
+def _in_blocks(valid: DataFrame, block_rows: int) -> tuple[DataFrame, int]:
+    """(requests with the block of each side, number of entries); accounts with very many entries are cut."""
+    sides = F.array_compact(
         F.array(
-            entry("source", "from_account_number", DEBIT, "target", "to_account_number"),
-            entry("target", "to_account_number", CREDIT, "source", "from_account_number"),
+            F.expr("IF(source IS NULL, NULL, struct(source.shard AS shard, from_account_number AS account))"),
+            F.expr("IF(target IS NULL, NULL, struct(target.shard AS shard, to_account_number AS account))"),
         )
     )
-    return requests.where(F.col("reason").isNull()).select(F.inline(both))
+    per_account = valid.select(F.inline(sides)).groupBy("shard", "account").agg(F.count(F.lit(1)).alias("entries"))
+    total, most = per_account.agg(F.sum("entries"), F.max("entries")).first()
+    if not total or most <= block_rows:
+        return valid.selectExpr("*", "0L AS source_block", "0L AS target_block"), total or 0
+    # At most total / block_rows accounts are left.
+    busy = stage(per_account.where(F.col("entries") > block_rows), "busy")
+    block = f"place div {block_rows}"
+    blocked = (
+        valid.selectExpr("*", "source.shard AS _from", "target.shard AS _to")
+        .join(busy.selectExpr("shard AS _from", "account AS from_account_number", "true AS _f"), ["_from", "from_account_number"], "left")
+        .join(busy.selectExpr("shard AS _to", "account AS to_account_number", "true AS _t"), ["_to", "to_account_number"], "left")
+    )
+    return blocked.selectExpr("*", f"IF(_f, {block}, 0L) AS source_block", f"IF(_t, {block}, 0L) AS target_block"), total
 
 
-def _with_opening(blocks: DataFrame) -> DataFrame:
-    """Opening balance of each block: the account's balance plus the net of its earlier blocks."""
-    earlier = (
-        Window.partitionBy("shard", "account").orderBy("block").rowsBetween(Window.unboundedPreceding, -1)
-    )
-    return blocks.withColumn("opening", F.col("base") + F.coalesce(F.sum("net").over(earlier), F.lit(0)))
+def _entries(blocked: DataFrame) -> DataFrame:
+    """One debit entry per source and one credit entry per target."""
+
+    def entry(side: str, account: str, kind: int, peer: str, peer_account: str) -> str:
+        return (
+            f"IF({side} IS NULL, NULL, struct({side}.shard AS shard, {account} AS account, {side}_block AS block, place, "
+            f"{kind} AS kind, CAST(amount * 100 AS BIGINT) AS cents, {side}.cents AS base, {peer}.shard AS peer_shard, "
+            f"IF({peer} IS NULL, NULL, {peer_account}) AS peer_account, {peer}_block AS peer_block))"
+        )
+
+    debit = entry("source", "from_account_number", DEBIT, "target", "to_account_number")
+    credit = entry("target", "to_account_number", CREDIT, "source", "from_account_number")
+    return blocked.selectExpr(f"inline(array_compact(array({debit}, {credit})))")
+
+
+def _next_opening(blocks: DataFrame) -> DataFrame:
+    """Opening balance of each block: the account's balance plus the net of its earlier blocks.
+
+    An account has one row per block here, not per entry.
+    """
+    earlier = Window.partitionBy("shard", "account").orderBy("block").rowsBetween(Window.unboundedPreceding, -1)
+    return blocks.withColumn("next_opening", F.col("base") + F.coalesce(F.sum("net").over(earlier), F.lit(0)))
 
 
 class _Rounds:
-    """Tables of one settlement: entries, outcomes per round and the state of every block."""
+    """One settlement: its entries, the outcomes of each round on disk, and the latest state of every block."""
 
-    def __init__(self, entries: DataFrame):
-        self.spark = entries.sparkSession
+    def __init__(self, valid: DataFrame, block_rows: int, task_entries: int):
+        self.spark = valid.sparkSession
         self.folder = scratch_path(self.spark, "settlement")
-        self.entries = stage(entries, "entries")
-        signed = F.when(F.col("kind") == CREDIT, F.col("cents")).otherwise(-F.col("cents"))
-        first = self.entries.groupBy(*BLOCK).agg(F.max("base").alias("base"), F.sum(signed).alias("net"))
-        self.blocks = stage(
-            _with_opening(first).select(
-                *BLOCK,
-                "base",
-                "net",
-                "opening",
-                F.lit(0).cast("bigint").alias("applied"),
-                F.lit(-1).alias("round"),
-                F.lit(True).alias("dirty"),
-            ),
-            "blocks",
-        )
-
-    def outcomes(self) -> DataFrame:
-        return self.spark.read.schema(f"{OUTCOME}, round int").parquet(self.folder)
+        blocked, total = _in_blocks(valid, block_rows)
+        self.entries = _entries(blocked)
+        self.tasks = min(max(total // task_entries, 1), MAX_TASKS)
+        self.blocks: DataFrame | None = None
+        self.number = 0
+
+    def _latest(self, kind: int, blocks: DataFrame) -> DataFrame:
+        """Outcome rows of one kind, each block as of the round it was last settled in."""
+        outcomes = self.spark.read.schema(f"{OUTCOME}, round int").parquet(self.folder)
+        last = blocks.select(*BLOCK, "round")
+        return outcomes.where(F.col("kind") == kind).join(last, [*BLOCK, "round"], "left_semi")
 
     def rejections(self) -> DataFrame:
-        """Rejected debits as of the last settlement of their block."""
-        last = self.blocks.select(*BLOCK, "round")
-        return self.outcomes().where(F.col("kind") == REJECTED).join(last, [*BLOCK, "round"], "left_semi")
-
-    def settle(self, number: int) -> None:
-        """Settle the dirty blocks and mark those whose inputs changed by it."""
-        dirty = self.blocks.where("dirty")
-        keys = dirty.select(*BLOCK)
-        columns = [part.split()[0] for part in INPUT.split(", ")]
-        entries = self.entries.select(*columns)
-        nothing = F.lit(None).cast("string")
-        opening = dirty.select(
-            *BLOCK,
-            F.lit(-1).cast("bigint").alias("place"),
-            F.lit(OPENING).alias("kind"),
-            F.col("opening").alias("cents"),
-            nothing.alias("peer_shard"),
-            nothing.alias("peer_account"),
-        )
-        before = None
-        if number == 0:
-            inputs = opening.unionByName(entries)
+        return self._latest(REJECTED, self.blocks)
+
+    def _inputs(self) -> DataFrame:
+        """Entries of the blocks to settle, their opening balances, and the failed transfers known so far."""
+        names = _names(INPUT)
+        if self.blocks is None:
+            signed = F.when(F.col("kind") == CREDIT, F.col("cents")).otherwise(-F.col("cents"))
+            optimistic = self.entries.groupBy(*BLOCK).agg(F.max("base").alias("base"), F.sum(signed).alias("net"))
+            opening, entries = _next_opening(optimistic), self.entries
         else:
-            failed = self.rejections()
-            before = failed.join(keys, BLOCK, "left_semi")
-            cancels = failed.where(F.col("peer_account").isNotNull()).select(
-                F.col("peer_shard").alias("shard"),
-                F.col("peer_account").alias("account"),
-                "block",
+            opening = self.blocks.where("dirty")
+            failed = self.rejections().where("peer_account IS NOT NULL")
+            cancels = failed.selectExpr(
+                "peer_shard AS shard",
+                "peer_account AS account",
+                "peer_block AS block",
                 "place",
-                F.lit(CANCEL).alias("kind"),
-                "cents",
-                nothing.alias("peer_shard"),
-                nothing.alias("peer_account"),
-            )
-            inputs = opening.unionByName(entries.unionByName(cancels).join(keys, BLOCK, "left_semi"))
-        ordered = inputs.repartition(*BLOCK).sortWithinPartitions(*BLOCK, "place", "kind")
-        ordered.mapInPandas(_settle, OUTCOME).write.parquet(f"{self.folder}/round={number}")
-
-        outcome = self.outcomes().where(F.col("round") == number)
-        results = outcome.where(F.col("kind") == BLOCK_RESULT).select(
-            *BLOCK, F.col("cents").alias("new_net"), F.col("applied").alias("new_applied")
-        )
-        flips = self._flipped(outcome.where(F.col("kind") == REJECTED), before)
-        updated = (
-            self.blocks.withColumnRenamed("opening", "used")
-            .join(results, BLOCK, "left")
-            .withColumns(
-                {
-                    "net": F.coalesce("new_net", "net"),
-                    "applied": F.coalesce("new_applied", "applied"),
-                    "round": F.when(F.col("new_net").isNotNull(), F.lit(number)).otherwise(F.col("round")),
-                }
+                f"{CANCEL} AS kind",
+                "0L AS cents",
+                "0L AS base",
+                *NO_PEER,
             )
+            entries = self.entries.select(*names).unionByName(cancels).join(opening.select(*BLOCK), BLOCK, "left_semi")
+        openings = opening.selectExpr(
+            *BLOCK,
+            "-1L AS place",
+            f"{OPENING} AS kind",
+            "next_opening AS cents",
+            "base",
+            *NO_PEER,
         )
-        updated = _with_opening(updated).join(flips.withColumn("_flipped", F.lit(True)), BLOCK, "left")
-        changed = (F.col("opening") != F.col("used")) | F.col("_flipped").isNotNull()
-        self.blocks = stage(updated.withColumn("dirty", changed).select(*self.blocks.columns), "blocks")
-
-    @staticmethod
-    def _flipped(after: DataFrame, before: DataFrame | None) -> DataFrame:
-        """Blocks that receive a transfer whose outcome differs from the round before."""
-        change = after.withColumn("_sign", F.lit(1))
-        if before is not None:
-            change = change.unionByName(before.withColumn("_sign", F.lit(-1)))
-        return (
-            change.where(F.col("peer_account").isNotNull())
-            .groupBy("place", "block", "peer_shard", "peer_account")
-            .agg(F.sum("_sign").alias("_sign"))
-            .where(F.col("_sign") != 0)
-            .select(F.col("peer_shard").alias("shard"), F.col("peer_account").alias("account"), "block")
-            .distinct()
+        return openings.unionByName(entries.select(*names))
+
+    def settle(self) -> None:
+        """Settle the blocks in doubt and mark those whose assumptions no longer hold."""
+        ordered = self._inputs().repartition(self.tasks, *BLOCK).sortWithinPartitions("place", "kind")
+        ordered.mapInPandas(_settle, OUTCOME).write.parquet(f"{self.folder}/round={self.number}")
+        outcomes = self.spark.read.schema(f"{OUTCOME}, round int").parquet(self.folder)
+        state = [*BLOCK, "base", "net", "opening", "applied", "round"]
+        blocks = outcomes.where((F.col("round") == self.number) & (F.col("kind") == STATE)).select(*state)
+        if self.blocks is not None:
+            kept = self.blocks.where("NOT dirty").select(*state)
+            blocks = kept.unionByName(blocks)
+        outdated = self._outdated(blocks).withColumn("_outdated", F.lit(True))
+        checked = _next_opening(blocks).join(outdated, BLOCK, "left")
+        dirty = (F.col("next_opening") != F.col("opening")) | F.col("_outdated").isNotNull()
+        self.blocks = stage(checked.select(*state, "next_opening", dirty.alias("dirty")), "blocks")
+        self.number += 1
+
+    def _outdated(self, blocks: DataFrame) -> DataFrame:
+        """Blocks that took a transfer for failed that is covered now, or the other way round."""
+        failed = self._latest(REJECTED, blocks).where("peer_account IS NOT NULL")
+        taken = self._latest(FAILED, blocks)
+        both = failed.selectExpr(
+            "place", "peer_shard AS shard", "peer_account AS account", "peer_block AS block", "1 AS side"
         )
+        both = both.unionByName(taken.selectExpr("place", *BLOCK, "-1 AS side"))
+        differing = both.groupBy("place", *BLOCK).agg(F.sum("side").alias("side")).where("side <> 0")
+        return differing.select(*BLOCK).distinct()
 
     @property
     def settled(self) -> bool:
-        return self.blocks.where("dirty").isEmpty()
+        return self.blocks is not None and self.blocks.where("dirty").isEmpty()
 
 
 def post_ledger(
@@ -239,6 +241,7 @@ def post_ledger(
     as_of,
     routes: Iterable[Route] = ROUTES,
     block_rows: int = BLOCK_ROWS,
+    task_entries: int = TASK_ENTRIES,
 ) -> Posting:
     """Post a batch of requests against accounts, as if executed one by one in seq order.
 
@@ -251,19 +254,12 @@ def post_ledger(
         order=["seq", *[c for c in requests.columns if c != "seq"]],
     ).withColumnRenamed("position", "place")
     judged = stage(validate_requests(placed, accounts, routes), "judged")
-    rounds = _Rounds(_entries(judged, block_rows))
-    number = 0
+    rounds = _Rounds(judged.where("reason IS NULL"), block_rows, task_entries)
     while not rounds.settled:
-        rounds.settle(number)
-        number += 1
-
-    short = F.lit("insufficient_balance")
-    if number:
-        uncovered = rounds.rejections().select("place", short.alias("_uncovered"))
-        decided = judged.join(uncovered, "place", "left")
-    else:
-        decided = judged.withColumn("_uncovered", F.lit(None).cast("string"))
-    decided = decided.withColumn("reason", F.coalesce("reason", "_uncovered"))
+        rounds.settle()
+
+    uncovered = rounds.rejections().selectExpr("place", "'insufficient_balance' AS _uncovered")
+    decided = judged.join(uncovered, "place", "left").withColumn("reason", F.coalesce("reason", "_uncovered"))
     outcome = decided.select(
         *requests.columns,
         F.when(F.col("reason").isNull(), "COMPLETED").otherwise("REJECTED").alias("status"),
@@ -293,7 +289,7 @@ def post_ledger(
         .groupBy(F.col("shard").alias("shard_location"), F.col("account").alias("account_number"))
         .agg(F.sum("net").alias("net_cents"), F.sum("applied").alias("applied"))
     )
-    return Posting(outcome, apply_changes(accounts, changes, as_of), records, changes, number)
+    return Posting(outcome, apply_changes(accounts, changes, as_of), records, changes, rounds.number)
 
 
 def apply_changes(accounts: DataFrame, changes: DataFrame, as_of) -> DataFrame:

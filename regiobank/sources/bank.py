@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from dataclasses import dataclass
+from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -17,16 +17,36 @@ from regiobank.model import (
     USERS_ALL,
 )
 
+Table = DataFrame | Callable[[], DataFrame]
 SCHEMAS = {"users": USERS, "accounts": ACCOUNTS, "transactions": TRANSACTIONS}
 
 
-@dataclass(frozen=True)
 class Bank:
-    """Users, accounts and transactions of all shards, each row tagged with shard_location."""
+    """Users, accounts and transactions of all shards, each row tagged with shard_location.
 
-    users: DataFrame
-    accounts: DataFrame
-    transactions: DataFrame
+    A table may be given as a function; it is called when a query first asks for the table.
+    """
+
+    def __init__(self, users: Table, accounts: Table, transactions: Table):
+        self._tables = {"users": users, "accounts": accounts, "transactions": transactions}
+
+    def _table(self, name: str) -> DataFrame:
+        table = self._tables[name]
+        if not isinstance(table, DataFrame):
+            table = self._tables[name] = table()
+        return table
+
+    @property
+    def users(self) -> DataFrame:
+        return self._table("users")
+
+    @property
+    def accounts(self) -> DataFrame:
+        return self._table("accounts")
+
+    @property
+    def transactions(self) -> DataFrame:
+        return self._table("transactions")
 
     @property
     def users_all(self) -> DataFrame:

@@ -7,11 +7,10 @@ before it broadcasts them. A customer with very many orders is split by the adap
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from regiobank.functions.routing import region_bound, region_shard
-from regiobank.model import CURRENCY, REGIONS
+from regiobank.model import CURRENCY, ROUTES
 from regiobank.sources.bank import Bank
 
 FIRST_DAY = "1994-01-01 00:00:00"
@@ -35,153 +34,147 @@ def _table(spark: SparkSession, folder: str, name: str) -> DataFrame:
     return spark.read.schema(SCHEMAS[name]).parquet(f"{folder}/{name}.parquet")
 
 
-def _day(offset: Column) -> Column:
-    return F.lit(FIRST_DAY).cast("timestamp") + F.make_dt_interval(days=offset.cast("int"))
+# The account numbers of a customer, and the place a transfer of an order goes to: the customer's own second
+# account or the first one of the next customer.
+FIRST_ACCOUNT = "concat('ACC-', {key} * 2 + 1)"
+SECOND_ACCOUNT = "concat('ACC-', {key} * 2 + 2)"
+HOME = FIRST_ACCOUNT.format(key="o_custkey")
+TRANSFER_TARGET = (
+    f"CASE WHEN o_custkey % 3 = 0 AND o_orderkey % 2 = 0 THEN {SECOND_ACCOUNT.format(key='o_custkey')} "
+    f"ELSE {FIRST_ACCOUNT.format(key='(o_custkey + 1)')} END"
+)
 
 
-def _number(ordinal: Column) -> Column:
-    return F.concat(F.lit("ACC-"), ordinal.cast("string"))
+def _day(offset: str) -> str:
+    return f"TIMESTAMP '{FIRST_DAY}' + make_dt_interval(CAST({offset} AS INT))"
 
 
-def first_account(custkey: Column) -> Column:
-    return _number(custkey * 2 + 1)
+def _bases() -> str:
+    """Number added to a customer key to get an id in the range of its region."""
+    return "CASE region " + " ".join(f"WHEN '{r.region}' THEN {r.first_id}" for r in ROUTES) + " END"
 
 
-def second_account(custkey: Column) -> Column:
-    return _number(custkey * 2 + 2)
+def _shards() -> str:
+    return "CASE region " + " ".join(f"WHEN '{r.region}' THEN '{r.tag}'" for r in ROUTES) + " END"
 
 
 def customers(spark: SparkSession, folder: str) -> DataFrame:
     """Customers with the bank region and shard that serve them."""
-    places = _table(spark, folder, "nation").join(
-        _table(spark, folder, "region"), F.col("n_regionkey") == F.col("r_regionkey")
+    places = (
+        _table(spark, folder, "nation")
+        .join(_table(spark, folder, "region"), F.expr("n_regionkey = r_regionkey"))
+        .selectExpr(
+            "n_nationkey AS c_nationkey",
+            "n_name",
+            "CASE r_name WHEN 'AMERICA' THEN 'NA' WHEN 'ASIA' THEN 'APAC' ELSE 'EU' END AS region",
+        )
     )
-    served = F.when(F.col("r_name") == "AMERICA", "NA").when(F.col("r_name") == "ASIA", "APAC").otherwise("EU")
-    places = places.select("n_nationkey", "n_name", served.alias("region"))
     return (
         _table(spark, folder, "customer")
-        .join(places, F.col("c_nationkey") == F.col("n_nationkey"))
-        .withColumn("shard_location", region_shard(F.col("region")))
-        .withColumn("user_id", region_bound(F.col("region"), last=False) + F.col("c_custkey"))
+        .join(places, "c_nationkey")
+        .selectExpr("*", f"{_shards()} AS shard_location", f"{_bases()} + c_custkey AS user_id")
     )
 
 
-def users(spark: SparkSession, folder: str) -> DataFrame:
-    key = F.col("c_custkey")
-    return customers(spark, folder).select(
+def _users(served: DataFrame) -> DataFrame:
+    return served.selectExpr(
         "user_id",
-        F.col("c_name").alias("username"),
-        F.concat(F.lit("user"), key.cast("string"), F.lit("@example.com")).alias("email"),
-        F.concat(F.lit("Customer "), key.cast("string")).alias("full_name"),
-        F.when(key % 4 != 0, F.concat(F.lit("555-"), key.cast("string"))).alias("phone"),
-        F.col("n_name").alias("address"),
+        "c_name AS username",
+        "concat('user', c_custkey, '@example.com') AS email",
+        "concat('Customer ', c_custkey) AS full_name",
+        "CASE WHEN c_custkey % 4 <> 0 THEN concat('555-', c_custkey) END AS phone",
+        "n_name AS address",
         "region",
-        _day(key % 365).alias("created_date"),
-        _day(key % 365 + 30).alias("last_updated"),
+        f"{_day('c_custkey % 365')} AS created_date",
+        f"{_day('c_custkey % 365 + 30')} AS last_updated",
         "shard_location",
     )
 
 
-def raw_accounts(spark: SparkSession, folder: str) -> DataFrame:
+def _raw_accounts(served: DataFrame) -> DataFrame:
     """One account per customer, and a savings account with ten times the balance for every third one."""
-    key, segment = F.col("c_custkey"), F.col("c_mktsegment")
-    balance = F.col("c_acctbal").cast(MONEY)
-    main_type = (
-        F.when(segment.isin("BUILDING", "MACHINERY"), "BUSINESS")
-        .when(segment == "HOUSEHOLD", "SAVINGS")
-        .otherwise("CHECKING")
-    )
-    main = F.struct(
-        F.lit(1).cast("bigint").alias("place"), main_type.alias("account_type"), balance.alias("balance")
-    )
-    savings = F.struct(
-        F.lit(2).cast("bigint").alias("place"),
-        F.lit("SAVINGS").alias("account_type"),
-        (balance * 10).cast(MONEY).alias("balance"),
-    )
-    held = F.when(key % 3 == 0, F.array(main, savings)).otherwise(F.array(main))
-    status = (
-        F.when(key % 20 == 7, "FROZEN").when(key % 20 == 13, "CLOSED").when(key % 20 == 17, "INACTIVE").otherwise("ACTIVE")
-    )
-    rows = customers(spark, folder).withColumn("held", F.explode(held))
-    account_id = key * 2 + F.col("held.place")
-    return rows.select(
-        account_id.alias("account_id"),
+    return served.selectExpr(
+        "*",
+        "explode(IF(c_custkey % 3 = 0, array(1L, 2L), array(1L))) AS place",
+        f"CAST(c_acctbal AS {MONEY}) AS main_balance",
+    ).selectExpr(
+        "c_custkey * 2 + place AS account_id",
         "user_id",
-        _number(account_id).alias("account_number"),
-        F.col("held.account_type").alias("account_type"),
-        F.col("held.balance").alias("balance"),
-        F.lit(CURRENCY).alias("currency"),
+        "concat('ACC-', c_custkey * 2 + place) AS account_number",
+        "CASE WHEN place = 2 THEN 'SAVINGS' WHEN c_mktsegment IN ('BUILDING', 'MACHINERY') THEN 'BUSINESS' "
+        "WHEN c_mktsegment = 'HOUSEHOLD' THEN 'SAVINGS' ELSE 'CHECKING' END AS account_type",
+        f"CAST(IF(place = 2, main_balance * 10, main_balance) AS {MONEY}) AS balance",
+        f"'{CURRENCY}' AS currency",
         "region",
-        status.alias("status"),
-        _day(key % 365 + F.col("held.place")).alias("created_date"),
-        _day(key % 365 + 60).alias("last_updated"),
+        "CASE c_custkey % 20 WHEN 7 THEN 'FROZEN' WHEN 13 THEN 'CLOSED' WHEN 17 THEN 'INACTIVE' ELSE 'ACTIVE' END AS status",
+        f"{_day('c_custkey % 365 + place')} AS created_date",
+        f"{_day('c_custkey % 365 + 60')} AS last_updated",
         "shard_location",
     )
 
 
-def accounts(spark: SparkSession, folder: str) -> DataFrame:
-    return raw_accounts(spark, folder).where(F.col("balance") >= 0)
+def _holders(served: DataFrame) -> DataFrame:
+    """Customers whose accounts exist: a negative balance breaks the table check. Balances come in whole cents."""
+    return served.where("c_acctbal >= 0")
+
+
+def users(spark: SparkSession, folder: str) -> DataFrame:
+    return _users(customers(spark, folder))
 
 
-def transfer_target() -> Column:
-    """The account a transfer of this order goes to: the customer's own second one, or the next customer's."""
-    order, key = F.col("o_orderkey"), F.col("o_custkey")
-    return F.when((key % 3 == 0) & (order % 2 == 0), second_account(key)).otherwise(first_account(key + 1))
+def raw_accounts(spark: SparkSession, folder: str) -> DataFrame:
+    return _raw_accounts(customers(spark, folder))
 
 
-def _order_columns() -> dict[str, Column]:
-    """Type, sides and amount of the transaction an order stands for."""
-    key, priority = F.col("o_custkey"), F.substring("o_orderpriority", 1, 1)
-    kind = F.when(priority.isin("1", "2"), "DEPOSIT").when(priority.isin("3", "4"), "TRANSFER").otherwise("WITHDRAWAL")
-    home = first_account(key)
-    return {
-        "transaction_type": kind,
-        "account_number": home,
-        "from_account_number": F.when(kind != "DEPOSIT", home),
-        "to_account_number": F.when(kind == "DEPOSIT", home).when(kind == "TRANSFER", transfer_target()),
-        "amount": F.col("o_totalprice").cast(MONEY),
-    }
+def accounts(spark: SparkSession, folder: str) -> DataFrame:
+    return _raw_accounts(_holders(customers(spark, folder)))
+
+
+KIND = (
+    "CASE WHEN substr(o_orderpriority, 1, 1) IN ('1', '2') THEN 'DEPOSIT' "
+    "WHEN substr(o_orderpriority, 1, 1) IN ('3', '4') THEN 'TRANSFER' ELSE 'WITHDRAWAL' END AS transaction_type"
+)
+SOURCE = f"CASE WHEN transaction_type <> 'DEPOSIT' THEN {HOME} END AS from_account_number"
+TARGET = (
+    f"CASE transaction_type WHEN 'DEPOSIT' THEN {HOME} WHEN 'TRANSFER' THEN {TRANSFER_TARGET} END AS to_account_number"
+)
 
 
 def _transactions(spark: SparkSession, folder: str, owners: DataFrame) -> DataFrame:
-    order = F.col("o_orderkey")
-    sides = _order_columns()
-    status = (
-        F.when(F.col("o_orderstatus") == "F", "COMPLETED").when(F.col("o_orderstatus") == "O", "PENDING").otherwise("FAILED")
-    )
     return (
         _table(spark, folder, "orders")
-        .join(owners, F.col("o_custkey") == F.col("c_custkey"))
-        .select(
-            (order + 1).alias("transaction_id"),
-            sides["account_number"].alias("account_number"),
-            sides["from_account_number"].alias("from_account_number"),
-            sides["to_account_number"].alias("to_account_number"),
-            sides["transaction_type"].alias("transaction_type"),
-            sides["amount"].alias("amount"),
-            F.lit(CURRENCY).alias("currency"),
-            status.alias("status"),
-            F.col("o_orderdate").cast("timestamp").alias("transaction_date"),
-            F.when(order % 5 != 0, F.concat(F.lit("Order "), order.cast("string"))).alias("description"),
-            F.concat(F.lit("REF-"), order.cast("string")).alias("reference_number"),
+        .join(owners.selectExpr("c_custkey AS o_custkey", "shard_location"), "o_custkey")
+        .selectExpr("*", KIND)
+        .selectExpr(
+            "o_orderkey + 1 AS transaction_id",
+            f"{HOME} AS account_number",
+            SOURCE,
+            TARGET,
+            "transaction_type",
+            f"CAST(o_totalprice AS {MONEY}) AS amount",
+            f"'{CURRENCY}' AS currency",
+            "CASE o_orderstatus WHEN 'F' THEN 'COMPLETED' WHEN 'O' THEN 'PENDING' ELSE 'FAILED' END AS status",
+            "CAST(o_orderdate AS TIMESTAMP) AS transaction_date",
+            "CASE WHEN o_orderkey % 5 <> 0 THEN concat('Order ', o_orderkey) END AS description",
+            "concat('REF-', o_orderkey) AS reference_number",
             "shard_location",
         )
     )
 
 
 def raw_transactions(spark: SparkSession, folder: str) -> DataFrame:
-    return _transactions(spark, folder, customers(spark, folder).select("c_custkey", "shard_location"))
+    return _transactions(spark, folder, customers(spark, folder))
 
 
 def transactions(spark: SparkSession, folder: str) -> DataFrame:
     """Transactions whose home account exists."""
-    holders = customers(spark, folder).where(F.col("c_acctbal").cast(MONEY) >= 0)
-    return _transactions(spark, folder, holders.select("c_custkey", "shard_location"))
+    return _transactions(spark, folder, _holders(customers(spark, folder)))
 
 
 def load_bank(spark: SparkSession, folder: str) -> Bank:
-    return Bank(users(spark, folder), accounts(spark, folder), transactions(spark, folder))
+    return Bank(
+        lambda: users(spark, folder), lambda: accounts(spark, folder), lambda: transactions(spark, folder)
+    )
 
 
 def ledger_requests(orders: DataFrame) -> DataFrame:
@@ -189,14 +182,13 @@ def ledger_requests(orders: DataFrame) -> DataFrame:
 
     Works on a batch and on a streaming table.
     """
-    sides = _order_columns()
-    return orders.select(
-        F.col("o_orderkey").alias("seq"),
-        sides["transaction_type"].alias("transaction_type"),
-        sides["from_account_number"].alias("from_account_number"),
-        sides["to_account_number"].alias("to_account_number"),
-        F.round(sides["amount"] / 100, 2).cast(MONEY).alias("amount"),
-        F.concat(F.lit("Request "), F.col("o_orderkey").cast("string")).alias("description"),
+    return orders.selectExpr("*", KIND).selectExpr(
+        "o_orderkey AS seq",
+        "transaction_type",
+        SOURCE,
+        TARGET,
+        f"CAST(round(CAST(o_totalprice AS {MONEY}) / 100, 2) AS {MONEY}) AS amount",
+        "concat('Request ', o_orderkey) AS description",
     )
 
 
@@ -208,100 +200,87 @@ def order_stream(spark: SparkSession, folder: str) -> DataFrame:
     return spark.readStream.schema(SCHEMAS["orders"]).option("pathGlobFilter", "orders*.parquet").parquet(folder)
 
 
+def transfer_targets(spark: SparkSession, folder: str) -> DataFrame:
+    """All account numbers that transfers could go to; some do not exist."""
+    return order_batch(spark, folder).selectExpr(f"{TRANSFER_TARGET} AS account_number").distinct()
+
+
 def faulty_requests(spark: SparkSession, folder: str) -> DataFrame:
     """The posting requests with faults of every kind worked in at regular places."""
-    seq, source, target = F.col("seq"), F.col("from_account_number"), F.col("to_account_number")
-    return ledger_requests(order_batch(spark, folder)).select(
+    return ledger_requests(order_batch(spark, folder)).selectExpr(
         "seq",
-        F.when(seq % 53 == 4, "FEE").otherwise(F.col("transaction_type")).alias("transaction_type"),
-        F.when(seq % 59 == 5, "").when(seq % 61 == 6, "ACC-NONE").otherwise(source).alias("from_account_number"),
-        F.when(seq % 67 == 7, None).when(seq % 71 == 8, source).otherwise(target).alias("to_account_number"),
-        F.when(seq % 73 == 9, 0).when(seq % 79 == 10, -F.col("amount")).otherwise(F.col("amount")).cast(MONEY).alias("amount"),
-        F.when(seq % 5 == 0, "").otherwise(F.col("description")).alias("description"),
+        "CASE WHEN seq % 53 = 4 THEN 'FEE' ELSE transaction_type END AS transaction_type",
+        "CASE WHEN seq % 59 = 5 THEN '' WHEN seq % 61 = 6 THEN 'ACC-NONE' ELSE from_account_number END "
+        "AS from_account_number",
+        "CASE WHEN seq % 67 = 7 THEN NULL WHEN seq % 71 = 8 THEN from_account_number ELSE to_account_number END "
+        "AS to_account_number",
+        f"CAST(CASE WHEN seq % 73 = 9 THEN 0 WHEN seq % 79 = 10 THEN -amount ELSE amount END AS {MONEY}) AS amount",
+        "CASE WHEN seq % 5 = 0 THEN '' ELSE description END AS description",
     )
 
 
 def user_feed(spark: SparkSession, folder: str) -> DataFrame:
     """Incoming user rows: some without an id, some with a wrong one, and other faults at regular places."""
-    key = F.col("c_custkey")
-    low = region_bound(F.col("region"), last=False)
-    return customers(spark, folder).select(
-        key.alias("line"),
-        F.when(key % 10 == 0, None)
-        .when(key % 97 == 5, F.col("user_id") + 10_000_000)
-        .when(key % 101 == 7, low)
-        .otherwise(F.col("user_id"))
-        .alias("user_id"),
-        F.when(key % 79 == 1, F.rpad("c_name", 60, "x")).otherwise(F.col("c_name")).alias("username"),
-        F.when(key % 83 != 2, F.concat(F.lit("user"), key.cast("string"), F.lit("@example.com"))).alias("email"),
-        F.concat(F.lit("Customer "), key.cast("string")).alias("full_name"),
-        F.lit("").alias("phone"),
-        F.col("n_name").alias("address"),
-        F.when(key % 89 == 3, "XX").when(key % 7 == 0, F.lower("region")).otherwise(F.col("region")).alias("region"),
+    return customers(spark, folder).selectExpr(
+        "c_custkey AS line",
+        "CASE WHEN c_custkey % 10 = 0 THEN NULL WHEN c_custkey % 97 = 5 THEN user_id + 10000000 "
+        "WHEN c_custkey % 101 = 7 THEN user_id - c_custkey ELSE user_id END AS user_id",
+        "CASE WHEN c_custkey % 79 = 1 THEN rpad(c_name, 60, 'x') ELSE c_name END AS username",
+        "CASE WHEN c_custkey % 83 <> 2 THEN concat('user', c_custkey, '@example.com') END AS email",
+        "concat('Customer ', c_custkey) AS full_name",
+        "'' AS phone",
+        "n_name AS address",
+        "CASE WHEN c_custkey % 89 = 3 THEN 'XX' WHEN c_custkey % 7 = 0 THEN lower(region) ELSE region END AS region",
         "shard_location",
     )
 
 
 def account_feed(spark: SparkSession, folder: str) -> DataFrame:
     """Incoming account rows with faults at regular places."""
-    line = F.col("account_id")
-    other = F.when(F.col("region") == REGIONS[0], REGIONS[1]).otherwise(REGIONS[0])
-    return raw_accounts(spark, folder).select(
-        line.alias("line"),
-        F.when(line % 10 != 0, line).alias("account_id"),
-        F.when(line % 67 == 8, F.col("user_id") + 5_000_000).otherwise(F.col("user_id")).alias("user_id"),
-        F.when(line % 103 == 11, "ACC-DUP").when(line % 10 != 0, F.col("account_number")).alias("account_number"),
-        F.when(line % 71 == 4, "PREMIUM").otherwise(F.col("account_type")).alias("account_type"),
-        F.when(line % 41 != 5, F.col("balance")).alias("balance"),
-        F.when(line % 3 == 1, "EUR").otherwise(F.col("currency")).alias("currency"),
-        F.when(line % 61 == 6, other).otherwise(F.col("region")).alias("region"),
-        F.when(line % 73 == 9, "DORMANT").when(line % 4 != 2, F.col("status")).alias("status"),
+    return raw_accounts(spark, folder).selectExpr(
+        "account_id AS line",
+        "CASE WHEN account_id % 10 <> 0 THEN account_id END AS account_id",
+        "CASE WHEN account_id % 67 = 8 THEN user_id + 5000000 ELSE user_id END AS user_id",
+        "CASE WHEN account_id % 103 = 11 THEN 'ACC-DUP' WHEN account_id % 10 <> 0 THEN account_number END "
+        "AS account_number",
+        "CASE WHEN account_id % 71 = 4 THEN 'PREMIUM' ELSE account_type END AS account_type",
+        "CASE WHEN account_id % 41 <> 5 THEN balance END AS balance",
+        "CASE WHEN account_id % 3 = 1 THEN 'EUR' ELSE currency END AS currency",
+        "CASE WHEN account_id % 61 <> 6 THEN region WHEN region = 'NA' THEN 'EU' ELSE 'NA' END AS region",
+        "CASE WHEN account_id % 73 = 9 THEN 'DORMANT' WHEN account_id % 4 <> 2 THEN status END AS status",
         "shard_location",
     )
 
 
 def transaction_feed(spark: SparkSession, folder: str) -> DataFrame:
     """Incoming transaction rows with faults at regular places."""
-    line = F.col("transaction_id")
-    no_side = line % 73 == 6
-    home = F.col("account_number")
-    kind = F.when(line % 53 == 4, "FEE").when(line % 71 == 5, "REFUND").otherwise(F.col("transaction_type"))
-    swapped = line % 79 == 7
-    amount = (
-        F.when(line % 59 == 1, 0).when(line % 61 == 2, -F.col("amount")).when(line % 67 == 3, None).otherwise(F.col("amount"))
-    )
-    return raw_transactions(spark, folder).select(
-        line.alias("line"),
-        F.when(line % 2 != 0, home).alias("account_number"),
-        F.when(no_side, None).when(swapped, home).otherwise(F.col("from_account_number")).alias("from_account_number"),
-        F.when(no_side | swapped, None).otherwise(F.col("to_account_number")).alias("to_account_number"),
-        F.when(swapped, "DEPOSIT").otherwise(kind).alias("transaction_type"),
-        amount.cast(MONEY).alias("amount"),
-        F.when(line % 3 == 1, "EUR").otherwise(F.col("currency")).alias("currency"),
-        F.when(line % 83 == 8, "DONE").when(line % 4 != 2, F.col("status")).alias("status"),
+    return raw_transactions(spark, folder).selectExpr(
+        "transaction_id AS line",
+        "CASE WHEN transaction_id % 2 <> 0 THEN account_number END AS account_number",
+        "CASE WHEN transaction_id % 73 = 6 THEN NULL WHEN transaction_id % 79 = 7 THEN account_number "
+        "ELSE from_account_number END AS from_account_number",
+        "CASE WHEN transaction_id % 73 <> 6 AND transaction_id % 79 <> 7 THEN to_account_number END "
+        "AS to_account_number",
+        "CASE WHEN transaction_id % 79 = 7 THEN 'DEPOSIT' WHEN transaction_id % 53 = 4 THEN 'FEE' "
+        "WHEN transaction_id % 71 = 5 THEN 'REFUND' ELSE transaction_type END AS transaction_type",
+        "CASE WHEN transaction_id % 59 = 1 THEN 0 WHEN transaction_id % 61 = 2 THEN -amount "
+        f"WHEN transaction_id % 67 = 3 THEN NULL ELSE CAST(amount AS {MONEY}) END AS amount",
+        "CASE WHEN transaction_id % 3 = 1 THEN 'EUR' ELSE currency END AS currency",
+        "CASE WHEN transaction_id % 83 = 8 THEN 'DONE' WHEN transaction_id % 4 <> 2 THEN status END AS status",
         "shard_location",
     )
 
 
 def event_transactions(events: DataFrame) -> DataFrame:
     """Customer events as a transaction stream; works on a batch and on a streaming table."""
-    kind = (
-        F.when(F.col("event_type") == "purchase", "WITHDRAWAL")
-        .when(F.col("event_type") == "signup", "DEPOSIT")
-        .when(F.col("event_type") == "click", "TRANSFER")
-    )
-    status = F.when(F.col("event_id") % 10 == 0, "FAILED").when(F.col("event_id") % 10 == 1, "PENDING").otherwise("COMPLETED")
-    return (
-        events.withColumn("transaction_type", kind)
-        .where(F.col("transaction_type").isNotNull())
-        .select(
-            F.col("event_id"),
-            F.col("ts").cast("timestamp").alias("transaction_date"),
-            "transaction_type",
-            F.col("value").cast(MONEY).alias("amount"),
-            status.alias("status"),
-            first_account(F.col("user_id")).alias("account_number"),
-        )
+    return events.where("event_type IN ('purchase', 'signup', 'click')").selectExpr(
+        "event_id",
+        "CAST(ts AS TIMESTAMP) AS transaction_date",
+        "CASE event_type WHEN 'purchase' THEN 'WITHDRAWAL' WHEN 'signup' THEN 'DEPOSIT' ELSE 'TRANSFER' END "
+        "AS transaction_type",
+        f"CAST(value AS {MONEY}) AS amount",
+        "CASE event_id % 10 WHEN 0 THEN 'FAILED' WHEN 1 THEN 'PENDING' ELSE 'COMPLETED' END AS status",
+        f"{FIRST_ACCOUNT.format(key='user_id')} AS account_number",
     )
 
 

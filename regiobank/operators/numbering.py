@@ -60,23 +60,34 @@ def assign_user_ids(requests: DataFrame, users: DataFrame, key: str) -> DataFram
     return given.withColumn("region", region).unionByName(numbered.select(*requests.columns))
 
 
-def assign_account_ids(requests: DataFrame, accounts: DataFrame, key: str) -> DataFrame:
-    """Give rows without account_id the next ids of their shard, and rows without a number the number ACC-<id>."""
-    given = requests.where(F.col("account_id").isNotNull())
+def _continue_ids(rows: DataFrame, stored: DataFrame, column: str, key: str) -> DataFrame:
+    """Give rows without an id the next ids of their shard, after those stored and those the rows bring."""
+    given = rows.where(F.col(column).isNotNull())
     used = (
-        accounts.select("account_id", "shard_location")
-        .unionByName(given.select("account_id", "shard_location"))
+        stored.select(column, "shard_location")
+        .unionByName(given.select(column, "shard_location"))
         .groupBy("shard_location")
-        .agg(F.max("account_id").alias("last_used"))
+        .agg(F.max(column).alias("last_used"))
     )
-    missing = requests.where(F.col("account_id").isNull()).drop("account_id")
+    missing = rows.where(F.col(column).isNull()).drop(column)
     numbered = (
         number_rows(missing, by=["shard_location"], order=[key])
         .join(used, "shard_location", "left")
-        .withColumn("account_id", F.coalesce("last_used", F.lit(0)) + F.col("position") + 1)
+        .withColumn(column, F.coalesce("last_used", F.lit(0)) + F.col("position") + 1)
     )
-    everything = given.unionByName(numbered.select(*requests.columns))
-    return everything.withColumn("account_number", F.coalesce("account_number", default_number(F.col("account_id"))))
+    return given.unionByName(numbered.select(*rows.columns))
+
+
+def assign_account_ids(requests: DataFrame, accounts: DataFrame, key: str) -> DataFrame:
+    """Give rows without account_id the next ids of their shard, and rows without a number the number ACC-<id>."""
+    numbered = _continue_ids(requests, accounts, "account_id", key)
+    return numbered.withColumn("account_number", F.coalesce("account_number", default_number(F.col("account_id"))))
+
+
+def assign_transaction_ids(requests: DataFrame, transactions: DataFrame, key: str) -> DataFrame:
+    """Give transactions the next ids of their shard."""
+    rows = requests.withColumn("transaction_id", F.lit(None).cast("bigint"))
+    return _continue_ids(rows, transactions, "transaction_id", key)
 
 
 def default_number(account_id: Column) -> Column:

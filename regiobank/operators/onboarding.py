@@ -1,4 +1,4 @@
-"""Batches of new users and accounts: validate, number, route, append."""
+"""Batches of new users, accounts and transactions: validate, number, route, append."""
 
 from __future__ import annotations
 
@@ -6,9 +6,17 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from regiobank.functions.routing import user_shard
-from regiobank.operators.integrity import blanks_to_null, split, validate_accounts, validate_users, with_reasons
-from regiobank.operators.lookups import user_region
-from regiobank.operators.numbering import assign_account_ids, assign_user_ids
+from regiobank.operators.integrity import (
+    blanks_to_null,
+    derive_routing,
+    split,
+    validate_accounts,
+    validate_transactions,
+    validate_users,
+    with_reasons,
+)
+from regiobank.operators.lookups import lookup, user_region
+from regiobank.operators.numbering import assign_account_ids, assign_transaction_ids, assign_user_ids
 from regiobank.sources.bank import SCHEMAS, Bank, write_table
 from regiobank.sources.scratch import stage
 
@@ -55,6 +63,17 @@ def new_accounts(requests: DataFrame, bank: Bank, line: str, as_of) -> tuple[Dat
     )
 
 
+def new_transactions(requests: DataFrame, bank: Bank, line: str, as_of) -> tuple[DataFrame, DataFrame]:
+    """(transactions ready to append, rejected requests); they go to the shard of their routing account."""
+    routed = derive_routing(blanks_to_null(requests).drop("shard_location"))
+    homes = bank.accounts.select("account_number", "shard_location")
+    placed = lookup(routed, homes, "account_number", "shard_location")
+    accepted, rejected = split(validate_transactions(placed, bank.accounts))
+    moment = F.coalesce("transaction_date", F.lit(as_of).cast("timestamp"))
+    numbered = assign_transaction_ids(accepted.withColumn("transaction_date", moment), bank.transactions, line)
+    return numbered.select(line, *table_columns("transactions")), rejected
+
+
 def append_users(requests: DataFrame, bank: Bank, root: str, line: str, as_of) -> DataFrame:
     """Append accepted users to the store; returns the rejected requests."""
     users, rejected = new_users(requests, bank, line, as_of)
@@ -70,3 +89,11 @@ def append_accounts(requests: DataFrame, bank: Bank, root: str, line: str, as_of
     write_table(accounts.drop(line), root, "accounts")
     return rejected
 
+
+
+def append_transactions(requests: DataFrame, bank: Bank, root: str, line: str, as_of) -> DataFrame:
+    """Append accepted transactions to the store; returns the rejected requests."""
+    transactions, rejected = new_transactions(requests, bank, line, as_of)
+    rejected = stage(rejected, "rejected-transactions")
+    write_table(transactions.drop(line), root, "transactions")
+    return rejected

@@ -92,5 +92,12 @@ def write_bank(bank: Bank, root: str) -> None:
         write_table(getattr(bank, name), root, name, mode="overwrite")
 
 
+def create_bank(spark: SparkSession, root: str) -> Bank:
+    """An empty store."""
+    for name, schema in SCHEMAS.items():
+        write_table(spark.createDataFrame([], schema), root, name, mode="overwrite")
+    return read_bank(spark, root)
+
+
 def read_bank(spark: SparkSession, root: str) -> Bank:
     return Bank(**{name: spark.read.schema(schema).parquet(f"{root}/{name}") for name, schema in SCHEMAS.items()})

@@ -104,27 +104,33 @@ def _settle(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         yield pd.DataFrame(chunk, columns=columns)
 
 
-def _in_blocks(valid: DataFrame, block_rows: int) -> tuple[DataFrame, int]:
-    """(requests with the block of each side, number of entries); accounts with very many entries are cut."""
-    sides = F.array_compact(
-        F.array(
-            F.expr("IF(source IS NULL, NULL, struct(source.shard AS shard, from_account_number AS account))"),
-            F.expr("IF(target IS NULL, NULL, struct(target.shard AS shard, to_account_number AS account))"),
-        )
+def _touched(valid: DataFrame) -> DataFrame:
+    """Accounts the requests touch, with their opening balance and number of entries."""
+
+    def side(name: str, account: str) -> str:
+        return f"IF({name} IS NULL, NULL, struct({name}.shard AS shard, {account} AS account, {name}.cents AS base))"
+
+    source, target = side("source", "from_account_number"), side("target", "to_account_number")
+    return (
+        valid.selectExpr(f"inline(array_compact(array({source}, {target})))")
+        .groupBy("shard", "account")
+        .agg(F.max("base").alias("base"), F.count(F.lit(1)).alias("entries"))
     )
-    per_account = valid.select(F.inline(sides)).groupBy("shard", "account").agg(F.count(F.lit(1)).alias("entries"))
-    total, most = per_account.agg(F.sum("entries"), F.max("entries")).first()
-    if not total or most <= block_rows:
-        return valid.selectExpr("*", "0L AS source_block", "0L AS target_block"), total or 0
-    # At most total / block_rows accounts are left.
-    busy = stage(per_account.where(F.col("entries") > block_rows), "busy")
+
+
+def _in_blocks(valid: DataFrame, busy: DataFrame | None, block_rows: int) -> DataFrame:
+    """Add the block of each side: 0, or a range of places for accounts with very many entries."""
+    if busy is None:
+        return valid.selectExpr("*", "0L AS source_block", "0L AS target_block")
+    source = busy.selectExpr("shard AS _from", "account AS from_account_number", "true AS _f")
+    target = busy.selectExpr("shard AS _to", "account AS to_account_number", "true AS _t")
     block = f"place div {block_rows}"
-    blocked = (
+    return (
         valid.selectExpr("*", "source.shard AS _from", "target.shard AS _to")
-        .join(busy.selectExpr("shard AS _from", "account AS from_account_number", "true AS _f"), ["_from", "from_account_number"], "left")
-        .join(busy.selectExpr("shard AS _to", "account AS to_account_number", "true AS _t"), ["_to", "to_account_number"], "left")
+        .join(source, ["_from", "from_account_number"], "left")
+        .join(target, ["_to", "to_account_number"], "left")
+        .selectExpr("*", f"IF(_f, {block}, 0L) AS source_block", f"IF(_t, {block}, 0L) AS target_block")
     )
-    return blocked.selectExpr("*", f"IF(_f, {block}, 0L) AS source_block", f"IF(_t, {block}, 0L) AS target_block"), total
 
 
 def _entries(blocked: DataFrame) -> DataFrame:
@@ -157,9 +163,12 @@ class _Rounds:
     def __init__(self, valid: DataFrame, block_rows: int, task_entries: int):
         self.spark = valid.sparkSession
         self.folder = scratch_path(self.spark, "settlement")
-        blocked, total = _in_blocks(valid, block_rows)
-        self.entries = _entries(blocked)
-        self.tasks = min(max(total // task_entries, 1), MAX_TASKS)
+        self.touched = stage(_touched(valid), "touched")
+        total, most = self.touched.agg(F.sum("entries"), F.max("entries")).first()
+        # At most total / block_rows accounts are busy.
+        self.busy = self.touched.where(F.col("entries") > block_rows) if most and most > block_rows else None
+        self.entries = _entries(_in_blocks(valid, self.busy, block_rows))
+        self.tasks = min(max((total or 0) // task_entries, 1), MAX_TASKS)
         self.blocks: DataFrame | None = None
         self.number = 0
 
@@ -175,7 +184,9 @@ class _Rounds:
     def _inputs(self) -> DataFrame:
         """Entries of the blocks to settle, their opening balances, and the failed transfers known so far."""
         names = _names(INPUT)
-        if self.blocks is None:
+        if self.blocks is None and self.busy is None:
+            opening, entries = self.touched.selectExpr("*", "0L AS block", "base AS next_opening"), self.entries
+        elif self.blocks is None:
             signed = F.when(F.col("kind") == CREDIT, F.col("cents")).otherwise(-F.col("cents"))
             optimistic = self.entries.groupBy(*BLOCK).agg(F.max("base").alias("base"), F.sum(signed).alias("net"))
             opening, entries = _next_opening(optimistic), self.entries
@@ -267,29 +278,33 @@ def post_ledger(
         error_code(F.col("reason")).alias("error_code"),
         F.when(F.col("source").isNotNull(), F.col("source.shard")).otherwise(F.col("target.shard")).alias("shard_location"),
     )
-    moment = F.lit(as_of).cast("timestamp")
-    done = outcome.where(F.col("status") == "COMPLETED")
-    booked_from = F.when(F.col("transaction_type") != "DEPOSIT", F.col("from_account_number"))
-    booked_to = F.when(F.col("transaction_type") != "WITHDRAWAL", F.col("to_account_number"))
-    records = done.select(
-        F.coalesce(booked_from, booked_to).alias("account_number"),
-        booked_from.alias("from_account_number"),
-        booked_to.alias("to_account_number"),
+    changes = (
+        rounds.blocks.where(F.col("applied") > 0)
+        .groupBy(F.col("shard").alias("shard_location"), F.col("account").alias("account_number"))
+        .agg(F.sum("net").alias("net_cents"), F.sum("applied").alias("applied"))
+    )
+    return Posting(
+        outcome, apply_changes(accounts, changes, as_of), records_of(outcome, as_of), changes, rounds.number
+    )
+
+
+def records_of(outcome: DataFrame, as_of) -> DataFrame:
+    """Transaction records of the completed requests, on the source's shard (the destination's for deposits)."""
+    booked_from = "IF(transaction_type <> 'DEPOSIT', from_account_number, NULL)"
+    booked_to = "IF(transaction_type <> 'WITHDRAWAL', to_account_number, NULL)"
+    return outcome.where("status = 'COMPLETED'").select(
+        F.expr(f"coalesce({booked_from}, {booked_to}) AS account_number"),
+        F.expr(f"{booked_from} AS from_account_number"),
+        F.expr(f"{booked_to} AS to_account_number"),
         "transaction_type",
         "amount",
         F.lit(CURRENCY).alias("currency"),
         "status",
-        moment.alias("transaction_date"),
+        F.lit(as_of).cast("timestamp").alias("transaction_date"),
         "description",
         F.lit(None).cast("string").alias("reference_number"),
         "shard_location",
     )
-    changes = (
-        rounds.blocks.where(F.col("applied") > 0)
-        .groupBy(F.col("shard").alias("shard_location"), F.col("account").alias("account_number"))
-        .agg(F.sum("net").alias("net_cents"), F.sum("applied").alias("applied"))
-    )
-    return Posting(outcome, apply_changes(accounts, changes, as_of), records, changes, rounds.number)
 
 
 def apply_changes(accounts: DataFrame, changes: DataFrame, as_of) -> DataFrame:

@@ -16,80 +16,72 @@ SOURCE_STEP, TARGET_STEP, KEY_RANGE = 12345, 54321, 30_000_000
 LOWEST_AMOUNT, HIGHEST_AMOUNT = 10, 1000
 
 
-def _placed(tag: str) -> str:
-    return f"at_{tag.lower()}"
-
-
 def account_directory(accounts: DataFrame, routes: Iterable[Route] = ROUTES) -> DataFrame:
-    """One row per account number with status and balance on each shard that knows it."""
-    state = F.struct("status", cents(F.col("balance")).alias("cents"))
-    return accounts.groupBy("account_number").agg(
-        *[F.max(F.when(F.col("shard_location") == r.tag, state)).alias(_placed(r.tag)) for r in routes]
-    )
-
-
-def _place(route: Route, side: str) -> Column:
-    state = F.col(f"{side}.{_placed(route.tag)}")
-    place = F.struct(F.lit(route.tag).alias("shard"), state["status"].alias("status"), state["cents"].alias("cents"))
-    return F.when(state.isNotNull(), place)
-
+    """One row per account number: `home` on the first shard that knows it, and `active`, its active places.
 
-def _lowest_place(side: str, routes: list[Route]) -> Column:
-    """The account on the first shard that knows its number."""
-    return F.coalesce(*[_place(r, side) for r in routes])
+    A place is shard, status and balance in cents; there is at most one per shard.
+    """
+    shown = accounts.select(
+        "account_number",
+        "shard_location",
+        F.struct(F.col("shard_location").alias("shard"), "status", cents(F.col("balance")).alias("cents")).alias("place"),
+    )
+    tags = [r.tag for r in routes]
+    per_shard = shown.groupBy("account_number").agg(
+        *[F.max(F.when(F.col("shard_location") == tag, F.col("place"))).alias(tag) for tag in tags]
+    )
+    places = F.array_compact(F.array(*tags))
+    return per_shard.select("account_number", places.alias("places")).selectExpr(
+        "account_number", "places[0] AS home", "filter(places, p -> p.status = 'ACTIVE') AS active"
+    )
 
 
-def _active_place(side: str, near: Column, routes: list[Route]) -> Column:
-    """The active account on the given shard, else on the first shard that has an active one."""
-    active = [F.when(F.col(f"{side}.{_placed(r.tag)}.status") == "ACTIVE", _place(r, side)) for r in routes]
-    local = [F.when(near == r.tag, place) for r, place in zip(routes, active)]
-    return F.coalesce(*local, *active)
+# A transfer goes to the active account on the source's shard, else on the first shard that has an active one.
+TRANSFER_PLACE = (
+    "coalesce(try_element_at(filter(active_to, p -> p.shard = home_from.shard), 1), try_element_at(active_to, 1))"
+)
+DEBITS, CREDITS = "transaction_type IN ('TRANSFER', 'WITHDRAWAL')", "transaction_type IN ('TRANSFER', 'DEPOSIT')"
+# Reasons a request fails for, in the order they are looked at.
+CHECKS = {
+    "account_not_found": (
+        "(from_account_number IS NOT NULL AND home_from IS NULL) OR (to_account_number IS NOT NULL AND home_to IS NULL)"
+    ),
+    "invalid_type": "transaction_type IS NULL OR transaction_type NOT IN ('TRANSFER', 'DEPOSIT', 'WITHDRAWAL')",
+    "missing_side": f"({DEBITS} AND from_account_number IS NULL) OR ({CREDITS} AND to_account_number IS NULL)",
+    "self_transfer": "transaction_type = 'TRANSFER' AND from_account_number = to_account_number",
+    "source_not_active": "source.status <> 'ACTIVE'",
+    "account_not_active": "transaction_type = 'DEPOSIT' AND target.status <> 'ACTIVE'",
+    "destination_not_active": "transaction_type = 'TRANSFER' AND target IS NULL",
+    "null_state": (
+        "(source IS NOT NULL AND (source.status IS NULL OR source.cents IS NULL)) "
+        "OR (target IS NOT NULL AND (target.status IS NULL OR target.cents IS NULL))"
+    ),
+    "chk_amount": "amount IS NULL OR amount <= 0",
+}
 
 
 def validate_requests(requests: DataFrame, accounts: DataFrame, routes: Iterable[Route] = ROUTES) -> DataFrame:
     """Judge requests by everything that does not depend on running balances.
 
-    Adds `reason` (NULL if fine), `error_code`, and source and target: shard and opening cents of each side.
+    Adds `reason` (NULL if fine), `error_code`, and source and target: shard, status and opening cents of each side.
     """
-    routes = list(routes)
     directory = account_directory(accounts, routes)
-    places = F.struct(*[F.col(_placed(r.tag)) for r in routes])
-    source = directory.select(F.col("account_number").alias("from_account_number"), places.alias("_from"))
-    target = directory.select(F.col("account_number").alias("to_account_number"), places.alias("_to"))
+    source = directory.selectExpr("account_number AS from_account_number", "home AS home_from")
+    target = directory.selectExpr("account_number AS to_account_number", "home AS home_to", "active AS active_to")
     found = (
         blanks_to_null(requests)
         .join(source, "from_account_number", "left")
         .join(target, "to_account_number", "left")
-        .withColumn("source", _lowest_place("_from", routes))
-    )
-    kind = F.col("transaction_type")
-    given, asked = F.col("from_account_number"), F.col("to_account_number")
-    transfer, deposit, withdrawal = kind == "TRANSFER", kind == "DEPOSIT", kind == "WITHDRAWAL"
-    found = found.withColumn(
-        "target",
-        F.when(transfer, _active_place("_to", F.col("source.shard"), routes)).when(deposit, _lowest_place("_to", routes)),
-    )
-    debits, credits = transfer | withdrawal, transfer | deposit
-    unknown_state = (debits & (F.col("source.status").isNull() | F.col("source.cents").isNull())) | (
-        credits & F.col("target").isNotNull() & (F.col("target.status").isNull() | F.col("target.cents").isNull())
+        .selectExpr(
+            *requests.columns,
+            "home_from",
+            "home_to",
+            f"IF({DEBITS}, home_from, NULL) AS source",
+            f"CASE transaction_type WHEN 'TRANSFER' THEN {TRANSFER_PLACE} WHEN 'DEPOSIT' THEN home_to END AS target",
+        )
     )
-    checks = [
-        ("account_not_found", (given.isNotNull() & F.col("_from").isNull()) | (asked.isNotNull() & F.col("_to").isNull())),
-        ("invalid_type", ~F.coalesce(transfer | deposit | withdrawal, F.lit(False))),
-        ("missing_side", (debits & given.isNull()) | (credits & asked.isNull())),
-        ("self_transfer", transfer & (given == asked)),
-        ("source_not_active", debits & (F.col("source.status") != "ACTIVE")),
-        ("account_not_active", deposit & (F.col("target.status") != "ACTIVE")),
-        ("destination_not_active", transfer & F.col("target").isNull()),
-        ("null_state", unknown_state),
-        ("chk_amount", F.coalesce(F.col("amount") <= 0, F.lit(True))),
-    ]
-    reason = F.coalesce(*[F.when(broken, F.lit(name)) for name, broken in checks])
-    sides = [
-        F.when(debits, F.col("source")).alias("source"),
-        F.when(credits, F.col("target")).alias("target"),
-    ]
-    judged = found.select(*requests.columns, *sides, reason.alias("reason"))
+    reason = "CASE " + " ".join(f"WHEN {broken} THEN '{name}'" for name, broken in CHECKS.items()) + " END AS reason"
+    judged = found.selectExpr(*requests.columns, "source", "target", reason)
     return judged.withColumn("error_code", error_code(F.col("reason")))
 
 

@@ -60,18 +60,11 @@ def _shards() -> str:
 
 def customers(spark: SparkSession, folder: str) -> DataFrame:
     """Customers with the bank region and shard that serve them."""
-    places = (
-        _table(spark, folder, "nation")
-        .join(_table(spark, folder, "region"), F.expr("n_regionkey = r_regionkey"))
-        .selectExpr(
-            "n_nationkey AS c_nationkey",
-            "n_name",
-            "CASE r_name WHEN 'AMERICA' THEN 'NA' WHEN 'ASIA' THEN 'APAC' ELSE 'EU' END AS region",
-        )
-    )
     return (
         _table(spark, folder, "customer")
-        .join(places, "c_nationkey")
+        .join(_table(spark, folder, "nation"), F.expr("c_nationkey = n_nationkey"))
+        .join(_table(spark, folder, "region"), F.expr("n_regionkey = r_regionkey"))
+        .selectExpr("*", "CASE r_name WHEN 'AMERICA' THEN 'NA' WHEN 'ASIA' THEN 'APAC' ELSE 'EU' END AS region")
         .selectExpr("*", f"{_shards()} AS shard_location", f"{_bases()} + c_custkey AS user_id")
     )
 

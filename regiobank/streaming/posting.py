@@ -10,7 +10,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from regiobank.operators.ledger import BLOCK_ROWS, apply_changes, post_ledger
+from regiobank.operators.ledger import BLOCK_ROWS, apply_changes, post_ledger, records_of
 
 CHANGES = "shard_location string, account_number string, net_cents bigint, applied bigint"
 
@@ -36,7 +36,8 @@ def post_batch(requests: DataFrame, batch_id: int, accounts: DataFrame, root: st
     opening = current_accounts(accounts, root, as_of, batch_id)
     posting = post_ledger(opening, requests, as_of, block_rows=block_rows)
     posting.requests.write.mode("overwrite").parquet(f"{root}/requests/batch={batch_id}")
-    posting.transactions.write.mode("overwrite").parquet(f"{root}/transactions/batch={batch_id}")
+    written = accounts.sparkSession.read.schema(posting.requests.schema).parquet(f"{root}/requests/batch={batch_id}")
+    records_of(written, as_of).write.mode("overwrite").parquet(f"{root}/transactions/batch={batch_id}")
     posting.changes.write.mode("overwrite").parquet(f"{root}/changes/batch={batch_id}")
 
 

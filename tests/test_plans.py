@@ -132,3 +132,24 @@ def test_skewed_lookup_is_split(spark):
     finally:
         for name in settings:
             spark.conf.unset(name)
+
+
+def test_store_holds_the_whole_bank_in_sorted_files(spark, bank, tmp_path):
+    from regiobank.sources.bank import read_bank, write_bank
+
+    root = str(tmp_path / "store")
+    write_bank(bank, root)
+    stored = read_bank(spark, root)
+    for name in ("users", "accounts", "transactions"):
+        kept, given = getattr(stored, name), getattr(bank, name)
+        assert kept.count() == given.count()
+        assert kept.exceptAll(given.select(*kept.columns)).count() == 0
+    found = reports.account_history(stored, "ACC-1")
+    assert sorted(map(tuple, found.collect())) == sorted(map(tuple, reports.account_history(bank, "ACC-1").collect()))
+    text = plan_of(found)
+    assert "Or(EqualTo(from_account_number,ACC-1),EqualTo(to_account_number,ACC-1))" in text
+    numbers = stored.accounts.select(F.input_file_name().alias("file"), "account_number").groupBy("file")
+    ranges = numbers.agg(F.min("account_number").alias("low"), F.max("account_number").alias("high")).collect()
+    assert len(ranges) >= 3
+    stats = [dashboard.dashboard_regional_stats(b).collect() for b in (stored, bank)]
+    assert stats[0] == stats[1]

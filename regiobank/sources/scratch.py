@@ -12,14 +12,14 @@ CHECKPOINT_DIR = "spark.checkpoint.dir"
 
 def scratch_root(spark: SparkSession) -> str:
     """Shared folder for intermediate tables, read from the session."""
-    root = spark.conf.get(CHECKPOINT_DIR, None) or spark.sparkContext.getConf().get(CHECKPOINT_DIR)
-    if root:
-        return root.rstrip("/")
-    if not spark.sparkContext.master.startswith("local"):
-        raise ValueError(f"set {CHECKPOINT_DIR} to a folder that every executor can reach")
-    root = tempfile.mkdtemp(prefix="regiobank-")
-    spark.conf.set(CHECKPOINT_DIR, root)
-    return root
+    context = spark.sparkContext
+    root = context.getConf().get(CHECKPOINT_DIR) or context.getCheckpointDir()
+    if not root:
+        if not context.master.startswith("local"):
+            raise ValueError(f"set {CHECKPOINT_DIR} to a folder that every executor can reach")
+        context.setCheckpointDir(tempfile.mkdtemp(prefix="regiobank-"))
+        root = context.getCheckpointDir()
+    return root.rstrip("/")
 
 
 def scratch_path(spark: SparkSession, name: str) -> str:

@@ -9,7 +9,7 @@ sys.path.insert(0, os.path.dirname(os.path.dirname(os.path.abspath(__file__))))
 
 @pytest.fixture(scope="session")
 def spark(tmp_path_factory):
-    scratch = str(tmp_path_factory.mktemp("scratch"))
+    warehouse = str(tmp_path_factory.mktemp("warehouse"))
     session = (
         SparkSession.builder.master("local[8]")
         .appName("regiobank-tests")
@@ -17,8 +17,7 @@ def spark(tmp_path_factory):
         .config("spark.sql.shuffle.partitions", "8")
         .config("spark.sql.session.timeZone", "UTC")
         .config("spark.driver.memory", "8g")
-        .config("spark.checkpoint.dir", scratch)
-        .config("spark.sql.warehouse.dir", f"{scratch}/warehouse")
+        .config("spark.sql.warehouse.dir", warehouse)
         .getOrCreate()
     )
     session.sparkContext.setLogLevel("ERROR")

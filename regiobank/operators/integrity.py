@@ -19,6 +19,8 @@ from regiobank.model import (
     TRANSACTION_TYPES,
     USER_ERRORS,
 )
+from regiobank.operators.joins import left_lookup, unknown_references
+from regiobank.sources.scratch import stage
 
 Rules = list[tuple[str, Column]]
 
@@ -63,7 +65,10 @@ def duplicates(rows: DataFrame, key: list[str]) -> DataFrame:
 
 
 def mark_repeats(rows: DataFrame, key: list[str], line: str, name: str) -> DataFrame:
-    """Add a flag that is true on every row of a repeated key but the first by `line`."""
+    """Add a flag that is true on every row of a repeated key but the first by `line`.
+
+    Only the repeated keys are kept from the count; written, so that few of them are joined without a shuffle.
+    """
     first = (
         rows.dropna(subset=key)
         .groupBy(*key)
@@ -71,7 +76,7 @@ def mark_repeats(rows: DataFrame, key: list[str], line: str, name: str) -> DataF
         .where(F.col("_copies") > 1)
         .drop("_copies")
     )
-    marked = rows.join(first, key, "left")
+    marked = left_lookup(rows, stage(first, "repeats"), key)
     return marked.withColumn(name, F.coalesce(F.col(line) > F.col("_first"), F.lit(False))).drop("_first")
 
 
@@ -102,7 +107,7 @@ def enrich_accounts(rows: DataFrame) -> DataFrame:
 def validate_accounts(rows: DataFrame, users: DataFrame, line: str) -> DataFrame:
     """Judge account rows against the rules of the table and against their owners on the same shard."""
     owners = users.select("user_id", "shard_location", F.col("region").alias("_owner_region"))
-    filled = enrich_accounts(blanks_to_null(rows)).join(owners, ["user_id", "shard_location"], "left")
+    filled = left_lookup(enrich_accounts(blanks_to_null(rows)), owners, ["shard_location", "user_id"])
     marked = mark_repeats(filled, ["shard_location", "account_number"], line, "_repeat")
     rules: Rules = [
         ("user_not_found", F.col("_owner_region").isNull()),
@@ -147,26 +152,40 @@ def sides_match_type() -> Column:
     )
 
 
+def _mark_orphans(rows: DataFrame, accounts: DataFrame) -> DataFrame:
+    """Add _no_home and _no_source: the routing account or the source does not exist on the row's shard."""
+    unknown = unknown_references(
+        rows, accounts, "shard_location", ["account_number", "from_account_number"], "account_number"
+    )
+    homes = unknown.withColumn("_home", F.lit(True))
+    sources = unknown.select(
+        "shard_location", F.col("account_number").alias("from_account_number"), F.lit(True).alias("_source")
+    )
+    marked = left_lookup(rows, homes, ["shard_location", "account_number"])
+    marked = left_lookup(marked, sources, ["shard_location", "from_account_number"])
+    nowhere = F.col("shard_location").isNull()
+    return marked.withColumns(
+        {
+            "_no_home": F.col("account_number").isNotNull() & (nowhere | F.col("_home").isNotNull()),
+            "_no_source": F.col("from_account_number").isNotNull() & (nowhere | F.col("_source").isNotNull()),
+        }
+    ).drop("_home", "_source")
+
+
 def validate_transactions(rows: DataFrame, accounts: DataFrame) -> DataFrame:
     """Judge transaction rows; the destination may live on another shard and is not looked up."""
-    filled = derive_routing(blanks_to_null(rows))
-    known = accounts.select("shard_location", "account_number").distinct()
-    home = known.withColumn("_home", F.lit(True))
-    source = known.select("shard_location", F.col("account_number").alias("from_account_number"), F.lit(True).alias("_source"))
-    checked = filled.join(home, ["shard_location", "account_number"], "left").join(
-        source, ["shard_location", "from_account_number"], "left"
-    )
+    checked = _mark_orphans(derive_routing(blanks_to_null(rows)), accounts)
     rules: Rules = [
         *_missing("account_number", "transaction_type", "amount"),
         ("chk_transaction_type", _outside("transaction_type", TRANSACTION_TYPES)),
         ("chk_amount", F.col("amount") <= 0),
         ("chk_status", _outside("status", TRANSACTION_STATUSES)),
         ("chk_trans_accounts", ~F.coalesce(sides_match_type(), F.lit(True))),
-        ("orphan_account", F.col("account_number").isNotNull() & F.col("_home").isNull()),
-        ("orphan_from_account", F.col("from_account_number").isNotNull() & F.col("_source").isNull()),
+        ("orphan_account", F.col("_no_home")),
+        ("orphan_from_account", F.col("_no_source")),
         *_too_long("transactions", rows),
     ]
-    return with_reasons(checked, rules).drop("_home", "_source")
+    return with_reasons(checked, rules).drop("_no_home", "_no_source")
 
 
 def validate_routing(table: DataFrame) -> DataFrame:
@@ -188,16 +207,9 @@ def orphan_accounts(accounts: DataFrame, users: DataFrame) -> DataFrame:
 
 def orphan_transactions(transactions: DataFrame, accounts: DataFrame) -> DataFrame:
     """Transactions whose routing account or source account does not exist on their shard."""
-    known = accounts.select("shard_location", "account_number").distinct()
-    judged = transactions.join(
-        known.withColumn("_home", F.lit(True)), ["shard_location", "account_number"], "left"
-    ).join(
-        known.select("shard_location", F.col("account_number").alias("from_account_number"), F.lit(True).alias("_source")),
-        ["shard_location", "from_account_number"],
-        "left",
-    )
-    unknown_source = F.col("from_account_number").isNotNull() & F.col("_source").isNull()
-    return judged.where(F.col("_home").isNull() | unknown_source).select(*transactions.columns)
+    marked = _mark_orphans(transactions, accounts)
+    lost = F.col("account_number").isNull() | F.col("_no_home") | F.col("_no_source")
+    return marked.where(lost).select(*transactions.columns)
 
 
 def account_number_collisions(accounts: DataFrame) -> DataFrame:

@@ -23,6 +23,7 @@ from pyspark.sql import functions as F
 
 from regiobank.functions.values import cents, money
 from regiobank.model import CURRENCY, ROUTES, Route
+from regiobank.operators.joins import left_lookup
 from regiobank.operators.numbering import number_rows
 from regiobank.operators.requests import error_code, validate_requests
 from regiobank.sources.scratch import scratch_path, stage
@@ -125,12 +126,10 @@ def _in_blocks(valid: DataFrame, busy: DataFrame | None, block_rows: int) -> Dat
     source = busy.selectExpr("shard AS _from", "account AS from_account_number", "true AS _f")
     target = busy.selectExpr("shard AS _to", "account AS to_account_number", "true AS _t")
     block = f"place div {block_rows}"
-    return (
-        valid.selectExpr("*", "source.shard AS _from", "target.shard AS _to")
-        .join(source, ["_from", "from_account_number"], "left")
-        .join(target, ["_to", "to_account_number"], "left")
-        .selectExpr("*", f"IF(_f, {block}, 0L) AS source_block", f"IF(_t, {block}, 0L) AS target_block")
-    )
+    sides = valid.selectExpr("*", "source.shard AS _from", "target.shard AS _to")
+    sides = left_lookup(sides, source, ["_from", "from_account_number"])
+    sides = left_lookup(sides, target, ["_to", "to_account_number"])
+    return sides.selectExpr("*", f"IF(_f, {block}, 0L) AS source_block", f"IF(_t, {block}, 0L) AS target_block")
 
 
 def _entries(blocked: DataFrame) -> DataFrame:
@@ -165,8 +164,10 @@ class _Rounds:
         self.folder = scratch_path(self.spark, "settlement")
         self.touched = stage(_touched(valid), "touched")
         total, most = self.touched.agg(F.sum("entries"), F.max("entries")).first()
-        # At most total / block_rows accounts are busy.
-        self.busy = self.touched.where(F.col("entries") > block_rows) if most and most > block_rows else None
+        self.busy = None
+        if most and most > block_rows:
+            # At most total / block_rows accounts.
+            self.busy = stage(self.touched.where(F.col("entries") > block_rows), "busy")
         self.entries = _entries(_in_blocks(valid, self.busy, block_rows))
         self.tasks = min(max((total or 0) // task_entries, 1), MAX_TASKS)
         self.blocks: DataFrame | None = None

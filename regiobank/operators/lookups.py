@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from regiobank.operators.joins import left_lookup
 from regiobank.sources.bank import Bank
 
 
@@ -16,7 +17,8 @@ def lookup(keys: DataFrame, table: DataFrame, key: str, *found: str) -> DataFram
     order = [c for c in ("shard_location", "user_id", "account_id") if c in table.columns]
     first = table.groupBy(key).agg(F.min_by(F.struct(*found), F.struct(*order)).alias("_first"))
     kept = [c for c in keys.columns if c not in found]
-    return keys.join(first, key, "left").select(*kept, *[F.col(f"_first.{c}").alias(c) for c in found])
+    matched = left_lookup(keys.select(*kept), first, [key])
+    return matched.select(*kept, *[F.col(f"_first.{c}").alias(c) for c in found])
 
 
 def balances_for(keys: DataFrame, bank: Bank) -> DataFrame:

@@ -15,6 +15,7 @@ from regiobank.operators.integrity import (
     validate_users,
     with_reasons,
 )
+from regiobank.operators.joins import left_lookup
 from regiobank.operators.lookups import lookup, user_region
 from regiobank.operators.numbering import assign_account_ids, assign_transaction_ids, assign_user_ids
 from regiobank.sources.bank import SCHEMAS, Bank, write_table
@@ -35,7 +36,7 @@ def new_users(requests: DataFrame, bank: Bank, line: str, as_of) -> tuple[DataFr
     asked = requests.withColumn("region", F.upper("region"))
     accepted, rejected = split(validate_users(asked, line))
     stored = bank.users.select("user_id").withColumn("_stored", F.lit(True))
-    taken = accepted.join(stored, "user_id", "left")
+    taken = left_lookup(accepted, stored, ["user_id"])
     clash = with_reasons(taken, [("duplicate_user_id", F.col("_stored").isNotNull())]).drop("_stored")
     accepted, clashing = split(clash)
     numbered = assign_user_ids(accepted, bank.users, line)

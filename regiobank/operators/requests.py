@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from regiobank.functions.values import cents
 from regiobank.model import POSTING_ERRORS, ROUTES, Route
 from regiobank.operators.integrity import blanks_to_null
+from regiobank.operators.joins import left_lookup
 
 # Steps and range of the generated account keys, and the amounts drawn.
 SOURCE_STEP, TARGET_STEP, KEY_RANGE = 12345, 54321, 30_000_000
@@ -68,17 +69,13 @@ def validate_requests(requests: DataFrame, accounts: DataFrame, routes: Iterable
     directory = account_directory(accounts, routes)
     source = directory.selectExpr("account_number AS from_account_number", "home AS home_from")
     target = directory.selectExpr("account_number AS to_account_number", "home AS home_to", "active AS active_to")
-    found = (
-        blanks_to_null(requests)
-        .join(source, "from_account_number", "left")
-        .join(target, "to_account_number", "left")
-        .selectExpr(
-            *requests.columns,
-            "home_from",
-            "home_to",
-            f"IF({DEBITS}, home_from, NULL) AS source",
-            f"CASE transaction_type WHEN 'TRANSFER' THEN {TRANSFER_PLACE} WHEN 'DEPOSIT' THEN home_to END AS target",
-        )
+    found = left_lookup(blanks_to_null(requests), source, ["from_account_number"])
+    found = left_lookup(found, target, ["to_account_number"]).selectExpr(
+        *requests.columns,
+        "home_from",
+        "home_to",
+        f"IF({DEBITS}, home_from, NULL) AS source",
+        f"CASE transaction_type WHEN 'TRANSFER' THEN {TRANSFER_PLACE} WHEN 'DEPOSIT' THEN home_to END AS target",
     )
     reason = "CASE " + " ".join(f"WHEN {broken} THEN '{name}'" for name, broken in CHECKS.items()) + " END AS reason"
     judged = found.selectExpr(*requests.columns, "source", "target", reason)

@@ -209,13 +209,18 @@ def _stream_by_day(spark: SparkSession, folder: str) -> DataFrame:
     return spark.read.schema(stream.schema).parquet(out)
 
 
-def _stream_complete(plan: Callable[[SparkSession, str], DataFrame]) -> Query:
-    def run(spark: SparkSession, folder: str) -> DataFrame:
-        out = scratch_path(spark, "live-totals")
-        live.run_complete(plan(spark, folder), out, scratch_path(spark, "checkpoint"))
-        return live.latest_totals(spark, out)
+def _stream_regions(spark: SparkSession, folder: str) -> DataFrame:
+    out = scratch_path(spark, "live-regions")
+    stream = orderbook.event_stream(spark, folder)
+    live.run_regional_totals(stream, orderbook.accounts(spark, folder), out, scratch_path(spark, "checkpoint"))
+    return live.live_regional_totals(spark, out)
 
-    return _on_tables(run)
+
+def _stream_overall(spark: SparkSession, folder: str) -> DataFrame:
+    out = scratch_path(spark, "live-totals")
+    stream = live.overall_totals(orderbook.event_stream(spark, folder))
+    live.run_complete(stream, out, scratch_path(spark, "checkpoint"))
+    return live.latest_totals(spark, out)
 
 
 def _stream_posting(spark: SparkSession, folder: str) -> DataFrame:
@@ -316,14 +321,8 @@ def queries() -> dict[str, Query]:
         # streams
         "stream_tx_by_day": _on_tables(_stream_by_day),
         "tx_by_day_closed": _on_tables(lambda spark, folder: live.closed_days(orderbook.event_batch(spark, folder))),
-        "stream_regional_totals": _stream_complete(
-            lambda spark, folder: live.regional_totals(
-                orderbook.event_stream(spark, folder), orderbook.accounts(spark, folder)
-            )
-        ),
-        "stream_overall": _stream_complete(
-            lambda spark, folder: live.overall_totals(orderbook.event_stream(spark, folder))
-        ),
+        "stream_regional_totals": _on_tables(_stream_regions),
+        "stream_overall": _on_tables(_stream_overall),
         "stream_post_ledger": _on_tables(_stream_posting),
     }
 

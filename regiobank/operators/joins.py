@@ -24,12 +24,17 @@ def left_lookup(rows: DataFrame, table: DataFrame, on: list[str]) -> DataFrame:
     return keyed.join(right, matched, "left").select(*rows.columns, *found)
 
 
+def references(rows: DataFrame, columns: list[str], key: str, *others: str) -> DataFrame:
+    """Distinct values of the given columns, under one name; a busy value is one row per task before any shuffle."""
+    values = F.array_distinct(F.array_compact(F.array(*columns)))
+    return rows.select(*others, F.explode(values).alias(key)).distinct()
+
+
 def unknown_references(rows: DataFrame, table: DataFrame, shard: str, columns: list[str], key: str) -> DataFrame:
-    """Values of the given columns that no row of the table has on the same shard; written, so that its size counts.
+    """Values of the given columns that no row of the table has on the same shard.
 
-    References shrink to distinct keys before they are shuffled. Few are unknown as a rule, so that marking the rows
-    that hold them needs no shuffle of the rows.
+    Few are unknown as a rule. They are written, so that their size is known and marking the rows that hold them
+    needs no shuffle of the rows.
     """
-    values = F.array_distinct(F.array_compact(F.array(*columns)))
-    referenced = rows.select(shard, F.explode(values).alias(key)).distinct()
+    referenced = references(rows, columns, key, shard)
     return stage(referenced.join(table.select(shard, key), [shard, key], "left_anti"), "unknown")

@@ -5,17 +5,21 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from regiobank.operators.joins import left_lookup
+from regiobank.operators.joins import left_lookup, references
 from regiobank.sources.bank import Bank
+from regiobank.sources.scratch import stage
 
 
 def lookup(keys: DataFrame, table: DataFrame, key: str, *found: str) -> DataFrame:
     """Left join of keys with the first match per key; lower shards are searched first.
 
-    The table shrinks to one row per key by a partial aggregate, so neither side repeats rows of the other.
+    The table shrinks to the keys asked for and to one row per key, and is written: few keys are joined without a
+    shuffle, and a key asked for very often can be split, which Spark does only between plain tables.
     """
     order = [c for c in ("shard_location", "user_id", "account_id") if c in table.columns]
-    first = table.groupBy(key).agg(F.min_by(F.struct(*found), F.struct(*order)).alias("_first"))
+    asked = table.join(references(keys, [key], key), key, "left_semi")
+    first = asked.groupBy(key).agg(F.min_by(F.struct(*found), F.struct(*order)).alias("_first"))
+    first = stage(first, "found")
     kept = [c for c in keys.columns if c not in found]
     matched = left_lookup(keys.select(*kept), first, [key])
     return matched.select(*kept, *[F.col(f"_first.{c}").alias(c) for c in found])

@@ -16,7 +16,8 @@ def number_rows(df: DataFrame, by: list[str], order: list[str]) -> DataFrame:
 
     Rows are range-partitioned and sorted by (group, order), so a large group spreads over many tasks. Each row
     keeps its slot in its task; the number of rows in earlier tasks, one value per task and group, is added to it.
-    Sorted rows are written once, because range boundaries are sampled anew on every run.
+    Sorted rows are written once, because range boundaries are sampled anew on every run; the offsets are written,
+    so that Spark knows how few they are.
     """
     keys = [F.col(c) for c in [*by, *order]]
     staged = stage(
@@ -35,7 +36,7 @@ def number_rows(df: DataFrame, by: list[str], order: list[str]) -> DataFrame:
     for name in by:
         matched = matched & F.col(name).eqNullSafe(F.col(f"_by_{name}"))
     position = F.col("_start") + F.col("_slot") - F.col("_first")
-    return staged.join(starts, matched).select(*df.columns, position.alias("position"))
+    return staged.join(stage(starts, "offsets"), matched).select(*df.columns, position.alias("position"))
 
 
 def assign_user_ids(requests: DataFrame, users: DataFrame, key: str) -> DataFrame:
@@ -54,6 +55,7 @@ def assign_user_ids(requests: DataFrame, users: DataFrame, key: str) -> DataFram
     )
     missing = requests.where(F.col("user_id").isNull()).withColumn("region", F.upper("region")).drop("user_id")
     numbered = number_rows(missing, by=["region"], order=[key])
+    used = stage(used, "used-ids")
     first, last = region_bound(F.col("region"), last=False), region_bound(F.col("region"), last=True)
     new_id = F.greatest(F.coalesce(F.col("last_used") + 1, first), first) + F.col("position")
     numbered = numbered.join(used, "region", "left").withColumn("user_id", _within(new_id, last, "user ids"))
@@ -72,7 +74,7 @@ def _continue_ids(rows: DataFrame, stored: DataFrame, column: str, key: str) ->
     missing = rows.where(F.col(column).isNull()).drop(column)
     numbered = (
         number_rows(missing, by=["shard_location"], order=[key])
-        .join(used, "shard_location", "left")
+        .join(stage(used, "used-ids"), "shard_location", "left")
         .withColumn(column, F.coalesce("last_used", F.lit(0)) + F.col("position") + 1)
     )
     return given.unionByName(numbered.select(*rows.columns))

@@ -10,7 +10,8 @@ from pyspark.sql import functions as F
 from regiobank.functions.values import cents
 from regiobank.model import POSTING_ERRORS, ROUTES, Route
 from regiobank.operators.integrity import blanks_to_null
-from regiobank.operators.joins import left_lookup
+from regiobank.operators.joins import left_lookup, references
+from regiobank.sources.scratch import stage
 
 # Steps and range of the generated account keys, and the amounts drawn.
 SOURCE_STEP, TARGET_STEP, KEY_RANGE = 12345, 54321, 30_000_000
@@ -66,10 +67,13 @@ def validate_requests(requests: DataFrame, accounts: DataFrame, routes: Iterable
 
     Adds `reason` (NULL if fine), `error_code`, and source and target: shard, status and opening cents of each side.
     """
-    directory = account_directory(accounts, routes)
+    given = blanks_to_null(requests)
+    named = references(given, ["from_account_number", "to_account_number"], "account_number")
+    # Written, so that few accounts are joined without a shuffle and a busy one can be split.
+    directory = stage(account_directory(accounts.join(named, "account_number", "left_semi"), routes), "directory")
     source = directory.selectExpr("account_number AS from_account_number", "home AS home_from")
     target = directory.selectExpr("account_number AS to_account_number", "home AS home_to", "active AS active_to")
-    found = left_lookup(blanks_to_null(requests), source, ["from_account_number"])
+    found = left_lookup(given, source, ["from_account_number"])
     found = left_lookup(found, target, ["to_account_number"]).selectExpr(
         *requests.columns,
         "home_from",

@@ -112,29 +112,35 @@ def transaction_stats_by_region(bank: Bank) -> DataFrame:
     return per_account.join(places, ACCOUNT_KEY).groupBy("region").agg(*[F.sum(m).alias(m) for m in measures])
 
 
+def _owned(bank: Bank) -> DataFrame:
+    """Accounts that have an owner, with the region they count in."""
+    owners = bank.users_all.select(*OWNER_KEY, F.col("region").alias("_home"))
+    owned = bank.accounts_all.select(*OWNER_KEY, "account_number", "region").join(owners, OWNER_KEY)
+    return owned.withColumn("region", F.coalesce("region", "_home"))
+
+
 def _holdings(bank: Bank) -> DataFrame:
-    held = bank.accounts_all.select(*OWNER_KEY, "account_number", "balance", F.col("region").alias("held_in"))
-    return bank.users_all.select(*OWNER_KEY, "region").join(held, OWNER_KEY, "left")
+    """Users with the balances they hold, aggregated per owner first: an owner of very many accounts is one row."""
+    held = bank.accounts_all.groupBy(*OWNER_KEY, F.col("region").alias("_held_in")).agg(
+        F.sum("balance").alias("held"), F.count("balance").alias("holdings")
+    )
+    users = bank.users_all.select(*OWNER_KEY, "region")
+    return users.join(held, OWNER_KEY, "left").withColumn("region", F.coalesce("_held_in", "region"))
 
 
 def _holding_measures() -> list:
     return [
         F.count_distinct("user_id").alias("total_users"),
-        F.count_distinct("account_number").alias("total_accounts"),
-        sum_or_zero(F.col("balance")).alias("total_balance"),
-        rounded_avg(F.col("balance")).alias("avg_balance_per_account"),
+        sum_or_zero(F.col("held")).alias("total_balance"),
+        rounded_ratio(F.sum("held"), F.sum("holdings")).alias("avg_balance_per_account"),
     ]
 
 
 def dashboard_regional_stats(bank: Bank) -> DataFrame:
     """Users, accounts, balances and transactions per region."""
-    holdings = (
-        _holdings(bank)
-        .withColumn("region", F.coalesce("held_in", "region"))
-        .groupBy("region")
-        .agg(*_holding_measures())
-    )
-    both = holdings.join(transaction_stats_by_region(bank), "region", "full")
+    holdings = _holdings(bank).groupBy("region").agg(*_holding_measures())
+    counted = _owned(bank).groupBy("region").agg(F.count_distinct("account_number").alias("total_accounts"))
+    both = holdings.join(counted, "region", "left").join(transaction_stats_by_region(bank), "region", "full")
 
     def or_zero(name: str):
         return F.coalesce(name, F.lit(0)).alias(name)
@@ -159,9 +165,10 @@ def dashboard_regional_stats(bank: Bank) -> DataFrame:
 def dashboard_overall_stats(bank: Bank) -> DataFrame:
     """One row of totals over all shards; the average stays NULL where there is no account."""
     holdings = _holdings(bank).agg(*_holding_measures())
+    counted = _owned(bank).agg(F.count_distinct("account_number").alias("total_accounts"))
     flows = transaction_totals(bank.transactions_all)
-    # Each side is one row; stacking them and taking the value present avoids a product of the two.
-    stacked = holdings.unionByName(flows, allowMissingColumns=True)
+    # Each part is one row; stacking them and taking the value present avoids a product of rows.
+    stacked = holdings.unionByName(counted, allowMissingColumns=True).unionByName(flows, allowMissingColumns=True)
     order = [
         "total_users",
         "total_accounts",

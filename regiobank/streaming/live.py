@@ -36,17 +36,15 @@ def closed_days(transactions: DataFrame, days_late: int = 1) -> DataFrame:
 
 
 def regional_totals(transactions: DataFrame, accounts: DataFrame) -> DataFrame:
-    """Totals per region of the account a transaction is booked on; the accounts are a static table."""
-    places = accounts.select("account_number", "region")
-    return (
-        transactions.join(places, "account_number")
-        .groupBy("region")
-        .agg(
-            F.count(F.lit(1)).alias("total_transactions"),
-            *[count_of("transaction_type", kind).alias(name) for name, kind in TYPE_COUNTS.items()],
-            *[sum_of_type(kind).alias(name) for name, kind in TYPE_TOTALS.items()],
-        )
+    """Totals per region of the account a batch of transactions is booked on, aggregated per account first."""
+    measures = ["total_transactions", *TYPE_COUNTS, *TYPE_TOTALS]
+    per_account = transactions.groupBy("account_number").agg(
+        F.count(F.lit(1)).alias("total_transactions"),
+        *[count_of("transaction_type", kind).alias(name) for name, kind in TYPE_COUNTS.items()],
+        *[sum_of_type(kind).alias(name) for name, kind in TYPE_TOTALS.items()],
     )
+    placed = per_account.join(accounts.select("account_number", "region"), "account_number")
+    return placed.groupBy("region").agg(*[F.sum(m).alias(m) for m in measures])
 
 
 def overall_totals(transactions: DataFrame) -> DataFrame:
@@ -66,22 +64,44 @@ def run_append(stream: DataFrame, out: str, checkpoint: str) -> None:
     )
 
 
-def run_complete(stream: DataFrame, out: str, checkpoint: str) -> None:
-    """Write the whole result of each micro-batch to its own folder; a replayed batch replaces itself."""
-
-    def write(batch: DataFrame, batch_id: int) -> None:
-        batch.write.mode("overwrite").parquet(f"{out}/batch={batch_id}")
-
+def _run_batches(stream: DataFrame, write, checkpoint: str, mode: str) -> None:
     (
         stream.writeStream.foreachBatch(write)
         .option("checkpointLocation", checkpoint)
-        .outputMode("complete")
+        .outputMode(mode)
         .trigger(availableNow=True)
         .start()
         .awaitTermination()
     )
 
 
+def run_regional_totals(stream: DataFrame, accounts: DataFrame, out: str, checkpoint: str) -> None:
+    """Write the regional totals of each micro-batch to its own folder; a replayed batch replaces itself.
+
+    A micro-batch is aggregated per account before it meets the accounts, which a stateful stream could not do.
+    """
+
+    def write(batch: DataFrame, batch_id: int) -> None:
+        regional_totals(batch, accounts).write.mode("overwrite").parquet(f"{out}/batch={batch_id}")
+
+    _run_batches(stream, write, checkpoint, "append")
+
+
+def live_regional_totals(spark: SparkSession, out: str) -> DataFrame:
+    """Totals over all micro-batches so far."""
+    measures = ["total_transactions", *TYPE_COUNTS, *TYPE_TOTALS]
+    return spark.read.parquet(out).groupBy("region").agg(*[F.sum(m).alias(m) for m in measures])
+
+
+def run_complete(stream: DataFrame, out: str, checkpoint: str) -> None:
+    """Write the whole result as of each micro-batch to its own folder; a replayed batch replaces itself."""
+
+    def write(batch: DataFrame, batch_id: int) -> None:
+        batch.write.mode("overwrite").parquet(f"{out}/batch={batch_id}")
+
+    _run_batches(stream, write, checkpoint, "complete")
+
+
 def latest_totals(spark: SparkSession, out: str) -> DataFrame:
     """The totals after the last micro-batch."""
     history = spark.read.parquet(out)

@@ -6,7 +6,10 @@ import pytest
 from pyspark.sql import functions as F
 
 from regiobank.model import ACCOUNTS, TRANSACTIONS
+from regiobank.operators.joins import left_lookup
 from regiobank.operators.legs import home_account, legs
+from regiobank.operators.lookups import lookup
+from regiobank.operators.requests import validate_requests
 from regiobank.plans import dashboard, reports
 from regiobank.sources import orderbook
 
@@ -118,22 +121,46 @@ def test_skewed_lookup_is_split(spark):
     for name, value in settings.items():
         spark.conf.set(name, value)
     try:
-        from regiobank.operators.lookups import lookup
-
         keys = spark.range(0, 90_000, 1, 8).selectExpr("IF(id % 3 = 0, 7, id) AS user_id", "id AS row")
         table = spark.range(0, 90_000).selectExpr("id AS user_id", "'SHARD1' AS shard_location", "'NA' AS region")
         found = lookup(keys, table, "user_id", "region")
-        assert found.where("region = 'NA'").count() == 90_000
-        rows = found.groupBy().count()
-        rows.collect()
-        found.write.format("noop").mode("overwrite").save()
-        found.collect()
-        assert "skew=true" in found._jdf.queryExecution().executedPlan().toString()
+        assert {r.region for r in found.collect()} == {"NA"}
+        assert "skew=true" in plan_of(found)
+
+        accounts = spark.range(0, 30_000).selectExpr(
+            "concat('A', id) AS account_number", "'SHARD1' AS shard_location", "CAST(5 AS DECIMAL(15,2)) AS balance",
+            "'ACTIVE' AS status",
+        )
+        requests = spark.range(0, 90_000, 1, 8).selectExpr(
+            "id AS seq", "IF(id % 4 = 0, 'DEPOSIT', 'TRANSFER') AS transaction_type",
+            "IF(id % 4 = 0, NULL, concat('A', IF(id % 3 = 0, 7, id % 30000))) AS from_account_number",
+            "concat('A', id % 30000) AS to_account_number", "CAST(1 AS DECIMAL(15,2)) AS amount", "'x' AS description",
+        )
+        judged = validate_requests(requests, accounts)
+        assert judged.count() == 90_000
+        judged.collect()
+        assert "skew=true" in plan_of(judged)
     finally:
         for name in settings:
             spark.conf.unset(name)
 
 
+def test_missing_keys_spread(spark):
+    """Rows without a key find nothing and do not meet in one task."""
+    rows = spark.range(0, 10_000).selectExpr("id AS line", "IF(id % 10 = 0, concat('A', id), NULL) AS name", "'S' AS shard")
+    table = spark.range(0, 10_000).selectExpr("concat('A', id) AS name", "'S' AS shard", "id AS value")
+    found = left_lookup(rows, table, ["shard", "name"])
+    assert found.where("value IS NOT NULL").count() == 1_000 and found.count() == 10_000
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    spark.conf.set("spark.sql.adaptive.enabled", "false")
+    try:
+        spread = left_lookup(rows, table, ["shard", "name"]).groupBy(F.spark_partition_id()).count().collect()
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+        spark.conf.unset("spark.sql.adaptive.enabled")
+    assert len(spread) == 8 and max(r["count"] for r in spread) < 2_000
+
+
 def test_store_holds_the_whole_bank_in_sorted_files(spark, bank, tmp_path):
     from regiobank.sources.bank import read_bank, write_bank
 

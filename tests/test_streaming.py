@@ -63,9 +63,26 @@ def test_closed_days_equal_batch(spark, tmp_path):
 
 
 def test_live_totals_equal_batch(spark, tmp_path):
+    out = str(tmp_path / "overall")
+    live.run_complete(live.overall_totals(orderbook.event_stream(spark, FOLDER)), out, str(tmp_path / "checkpoint"))
+    wanted = live.overall_totals(orderbook.event_batch(spark, FOLDER)).collect()
+    assert live.latest_totals(spark, out).collect() == wanted
+
+
+def test_regional_totals_over_micro_batches_equal_batch(spark, tmp_path):
     accounts = orderbook.accounts(spark, FOLDER)
-    for name, plan in (("regional", lambda t: live.regional_totals(t, accounts)), ("overall", live.overall_totals)):
-        out = str(tmp_path / name)
-        live.run_complete(plan(orderbook.event_stream(spark, FOLDER)), out, str(tmp_path / f"{name}-checkpoint"))
-        wanted = plan(orderbook.event_batch(spark, FOLDER)).collect()
-        assert sorted(map(tuple, live.latest_totals(spark, out).collect())) == sorted(map(tuple, wanted))
+    events = spark.read.schema(orderbook.SCHEMAS["events"]).parquet(f"{FOLDER}/events.parquet")
+    for part in range(3):
+        events.where(f"event_id % 3 = {part}").coalesce(1).write.parquet(str(tmp_path / "events" / f"part={part}"))
+    stream = orderbook.event_transactions(
+        spark.readStream.schema(orderbook.SCHEMAS["events"])
+        .option("recursiveFileLookup", "true")
+        .option("maxFilesPerTrigger", "1")
+        .parquet(str(tmp_path / "events"))
+    )
+    out = str(tmp_path / "regions")
+    live.run_regional_totals(stream, accounts, out, str(tmp_path / "checkpoint"))
+    assert spark.read.parquet(out).select("batch").distinct().count() == 3
+    wanted = live.regional_totals(orderbook.event_batch(spark, FOLDER), accounts).collect()
+    got = live.live_regional_totals(spark, out).collect()
+    assert sorted(tuple(map(str, r)) for r in got) == sorted(tuple(map(str, r)) for r in wanted)

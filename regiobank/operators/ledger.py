@@ -44,7 +44,7 @@ INPUT = (
 )
 OUTCOME = (
     "shard string, account string, block bigint, place bigint, kind int, net bigint, opening bigint, base bigint, "
-    "applied bigint, peer_shard string, peer_account string, peer_block bigint"
+    "applied bigint, entries bigint, peer_shard string, peer_account string, peer_block bigint"
 )
 NO_PEER = ["CAST(NULL AS STRING) AS peer_shard", "CAST(NULL AS STRING) AS peer_account", "0L AS peer_block"]
 
@@ -79,27 +79,29 @@ def _settle(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for *key, place, kind, cents, base, peer_shard, peer_account, peer_block in batch.itertuples(False, None):
             key = tuple(key)
             if kind == OPENING:
-                states[key] = [cents, cents, base, 0]
-            elif kind == CANCEL:
+                states[key] = [cents, cents, base, 0, 0]
+                continue
+            if kind == CANCEL:
                 cancelled = place
-            elif kind == DEBIT:
-                state = states[key]
+                continue
+            state = states[key]
+            state[4] += 1
+            if kind == DEBIT:
                 decided, covered = place, state[1] >= cents
                 if covered:
                     state[1] -= cents
                     state[3] += 1
                 else:
-                    out.append((*key, place, REJECTED, 0, 0, 0, 0, peer_shard, peer_account, peer_block))
+                    out.append((*key, place, REJECTED, 0, 0, 0, 0, 0, peer_shard, peer_account, peer_block))
             elif covered if place == decided else place != cancelled:
-                state = states[key]
                 state[1] += cents
                 state[3] += 1
             else:
-                out.append((*key, place, FAILED, 0, 0, 0, 0, None, None, 0))
+                out.append((*key, place, FAILED, 0, 0, 0, 0, 0, None, None, 0))
         yield pd.DataFrame(out, columns=columns)
     closing = (
-        (*key, -1, STATE, balance - opening, opening, base, applied, None, None, 0)
-        for key, (opening, balance, base, applied) in states.items()
+        (*key, -1, STATE, balance - opening, opening, base, applied, entries, None, None, 0)
+        for key, (opening, balance, base, applied, entries) in states.items()
     )
     while chunk := list(islice(closing, 10_000)):
         yield pd.DataFrame(chunk, columns=columns)
@@ -169,7 +171,8 @@ class _Rounds:
             # At most total / block_rows accounts.
             self.busy = stage(self.touched.where(F.col("entries") > block_rows), "busy")
         self.entries = _entries(_in_blocks(valid, self.busy, block_rows))
-        self.tasks = min(max((total or 0) // task_entries, 1), MAX_TASKS)
+        self.task_entries = task_entries
+        self.doubtful = total or 0
         self.blocks: DataFrame | None = None
         self.number = 0
 
@@ -217,10 +220,14 @@ class _Rounds:
 
     def settle(self) -> None:
         """Settle the blocks in doubt and mark those whose assumptions no longer hold."""
-        ordered = self._inputs().repartition(self.tasks, *BLOCK).sortWithinPartitions("place", "kind")
+        if self.number == 1:
+            # Most batches need one round; from the second on the entries are read again and again.
+            self.entries = stage(self.entries, "entries")
+        tasks = min(max(self.doubtful // self.task_entries, 1), MAX_TASKS)
+        ordered = self._inputs().repartition(tasks, *BLOCK).sortWithinPartitions("place", "kind")
         ordered.mapInPandas(_settle, OUTCOME).write.parquet(f"{self.folder}/round={self.number}")
         outcomes = self.spark.read.schema(f"{OUTCOME}, round int").parquet(self.folder)
-        state = [*BLOCK, "base", "net", "opening", "applied", "round"]
+        state = [*BLOCK, "base", "net", "opening", "applied", "entries", "round"]
         blocks = outcomes.where((F.col("round") == self.number) & (F.col("kind") == STATE)).select(*state)
         if self.blocks is not None:
             kept = self.blocks.where("NOT dirty").select(*state)
@@ -230,6 +237,7 @@ class _Rounds:
         dirty = (F.col("next_opening") != F.col("opening")) | F.col("_outdated").isNotNull()
         self.blocks = stage(checked.select(*state, "next_opening", dirty.alias("dirty")), "blocks")
         self.number += 1
+        self.doubtful = self.blocks.where("dirty").agg(F.sum("entries")).first()[0]
 
     def _outdated(self, blocks: DataFrame) -> DataFrame:
         """Blocks that took a transfer for failed that is covered now, or the other way round."""
@@ -244,7 +252,7 @@ class _Rounds:
 
     @property
     def settled(self) -> bool:
-        return self.blocks is not None and self.blocks.where("dirty").isEmpty()
+        return self.number > 0 and not self.doubtful
 
 
 def post_ledger(

@@ -39,14 +39,13 @@ def sum_or_zero(amount: Column) -> Column:
     return F.coalesce(F.sum(amount), F.lit(0).cast("decimal(25,2)"))
 
 
-def sum_of_type(kind: str, amount: Column | None = None) -> Column:
+def sum_of_type(kind: str) -> Column:
     """Total amount of one transaction type, 0 where there is none."""
-    amount = F.col("amount") if amount is None else amount
-    return sum_or_zero(F.when(F.col("transaction_type") == kind, amount).otherwise(0))
+    return F.expr(f"coalesce(sum(IF(transaction_type = '{kind}', amount, 0)), 0)")
 
 
 def count_of(column: str, value: str) -> Column:
-    return F.count(F.when(F.col(column) == value, 1))
+    return F.expr(f"count_if({column} = '{value}')")
 
 
 def blank_to_null(text: Column) -> Column:

@@ -7,6 +7,8 @@ before it broadcasts them. A customer with very many orders is split by the adap
 
 from __future__ import annotations
 
+from functools import cache
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -165,8 +167,11 @@ def transactions(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def load_bank(spark: SparkSession, folder: str) -> Bank:
+    served = cache(lambda: customers(spark, folder))
     return Bank(
-        lambda: users(spark, folder), lambda: accounts(spark, folder), lambda: transactions(spark, folder)
+        lambda: _users(served()),
+        lambda: _raw_accounts(_holders(served())),
+        lambda: _transactions(spark, folder, _holders(served())),
     )
 
 

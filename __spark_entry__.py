@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import importlib.util
 import os
 import sys
 from collections.abc import Callable
@@ -23,6 +24,12 @@ from regiobank.sources.formatting import format_account_count, format_balance, f
 from regiobank.sources.scratch import scratch_path  # noqa: E402
 from regiobank.streaming import live, posting  # noqa: E402
 
+if importlib.util.find_spec("regiobank.llm") and importlib.util.find_spec("regiobank.llm.queries"):
+    import corpus_pipeline
+    from regiobank.llm import queries as corpus
+else:
+    corpus = None
+
 Query = Callable[[SparkSession, str], DataFrame]
 
 AS_OF = "2024-01-01 00:00:00"
@@ -239,6 +246,15 @@ def entry(spark: SparkSession) -> DataFrame:
 
 
 def queries() -> dict[str, Query]:
+    """Every registered query: those of the bank, and those over documents if that folder is there."""
+    return bank_queries() | (corpus.queries() | {"pipeline": corpus_pipeline.run} if corpus else {})
+
+
+def oracle_sql() -> dict[str, str]:
+    return oracles.oracle_sql() | (corpus.oracle_sql() if corpus else {})
+
+
+def bank_queries() -> dict[str, Query]:
     return {
         # scans and cross-shard tables
         "users_all": _on_bank(lambda bank: bank.users_all),
@@ -326,6 +342,3 @@ def queries() -> dict[str, Query]:
         "stream_post_ledger": _on_tables(_stream_posting),
     }
 
-
-def oracle_sql() -> dict[str, str]:
-    return oracles.oracle_sql()

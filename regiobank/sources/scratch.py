@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import re
 import tempfile
 import uuid
 
@@ -15,7 +16,7 @@ def scratch_root(spark: SparkSession) -> str:
     context = spark.sparkContext
     root = context.getConf().get(CHECKPOINT_DIR) or context.getCheckpointDir()
     if not root:
-        if not context.master.startswith("local"):
+        if not re.match(r"local(\[|$)", context.master):
             raise ValueError(f"set {CHECKPOINT_DIR} to a folder that every executor can reach")
         context.setCheckpointDir(tempfile.mkdtemp(prefix="regiobank-"))
         root = context.getCheckpointDir()

@@ -12,8 +12,8 @@ import __spark_entry__ as entry_point  # noqa: E402
 from compare import connect, differences  # noqa: E402
 
 FOLDER = os.environ.get("ORACLE_SF_DIR", "/root/testdata/sf0.001")
-QUERIES = entry_point.queries()
-ORACLES = entry_point.oracle_sql()
+QUERIES = entry_point.bank_queries()
+ORACLES = entry_point.oracles.oracle_sql()
 
 
 @pytest.fixture(scope="module")

@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from regiobank.llm import simhash
+from regiobank.llm import simhash, substrings
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -21,9 +21,14 @@ def op9_simhash(spark: SparkSession, folder: str) -> DataFrame:
     return found.select("doc_id", F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), "component_id")
 
 
+def op10_substring_dedup(spark: SparkSession, folder: str) -> DataFrame:
+    return substrings.remove_repeats(_table(spark, folder, "documents"))
+
+
 def queries() -> dict[str, Query]:
     return {
         "op9_simhash": op9_simhash,
+        "op10_substring_dedup": op10_substring_dedup,
     }
 
 

@@ -30,6 +30,19 @@ def lowered(column):
     return F.translate(column, UPPER, UPPER.lower())
 
 
+def keyed(docs: DataFrame) -> DataFrame:
+    """doc_id, text (null as empty), and two columns without nulls that tell rows apart: `ord`, the doc_id with null
+    last, and `rid`, a hash of the text for rows that share a doc_id. Other columns are left behind.
+    """
+    text = F.coalesce("text", F.lit(""))
+    return docs.select(
+        F.col("doc_id").cast("long").alias("doc_id"),
+        F.coalesce(F.col("doc_id").cast("long"), F.lit((1 << 63) - 1)).alias("ord"),
+        F.xxhash64(text).alias("rid"),
+        text.alias("text"),
+    )
+
+
 def map_arrow(df: DataFrame, work: Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]], schema: str) -> DataFrame:
     """`mapInArrow`, with this package sent along to the workers."""
     ship_package(df.sparkSession)

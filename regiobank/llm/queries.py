@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from regiobank.llm import simhash, substrings
+from regiobank.llm import decontaminate, simhash, sql, substrings
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -16,6 +16,18 @@ def _table(spark: SparkSession, folder: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{folder}/{name}.parquet")
 
 
+def op2_decontamination(spark: SparkSession, folder: str) -> DataFrame:
+    found = decontaminate.contamination(_table(spark, folder, "documents"), _table(spark, folder, "benchmark"))
+    return found.select(
+        "doc_id",
+        "n_words",
+        "n_hit",
+        F.size("items").cast("long").alias("n_items"),
+        F.sha2(F.array_join("items", ","), 256).alias("items_sha256"),
+        "contaminated",
+    )
+
+
 def op9_simhash(spark: SparkSession, folder: str) -> DataFrame:
     found = simhash.near_duplicates(_table(spark, folder, "documents"))
     return found.select("doc_id", F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), "component_id")
@@ -27,10 +39,11 @@ def op10_substring_dedup(spark: SparkSession, folder: str) -> DataFrame:
 
 def queries() -> dict[str, Query]:
     return {
+        "op2_decontamination": op2_decontamination,
         "op9_simhash": op9_simhash,
         "op10_substring_dedup": op10_substring_dedup,
     }
 
 
 def oracle_sql() -> dict[str, str]:
-    return {}
+    return sql.oracle_sql()

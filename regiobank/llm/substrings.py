@@ -31,6 +31,7 @@ from regiobank.llm.common import (
     BLANK_SEPARATED,
     Words,
     find_words,
+    keyed,
     map_arrow,
     mix,
     range_hashes,
@@ -43,7 +44,6 @@ from regiobank.sources.scratch import stage
 
 WINDOW = 20
 ROUNDS = 2
-_LAST = (1 << 63) - 1
 _GAP = np.uint64(0x5851F42D4C957F2D)
 _LONE = np.uint64(0xD6E8FEB86659FD93)
 
@@ -264,17 +264,6 @@ def _remove(window: int):
 # ---- the operator ----
 
 
-def _keyed(docs: DataFrame) -> DataFrame:
-    """Rows in the order of documents: `ord`, then a hash of the text for rows that share an id."""
-    text = F.coalesce("text", F.lit(""))
-    return docs.select(
-        F.col("doc_id").cast("long").alias("doc_id"),
-        F.coalesce(F.col("doc_id").cast("long"), F.lit(_LAST)).alias("ord"),
-        F.xxhash64(text).alias("rid"),
-        text.alias("text"),
-    )
-
-
 def _repeats(texts: DataFrame, firsts: DataFrame, window: int) -> DataFrame:
     """(ord, rid, spans): places from which windows of a text repeat an earlier one, as (first window, windows)."""
     first_texts = texts.join(firsts, ["ord", "rid"], "left_semi")
@@ -303,9 +292,9 @@ def remove_repeats(docs: DataFrame, window: int = WINDOW, with_text: bool = Fals
     """
     if not 2 <= window <= 31:
         raise ValueError("window: 2 to 31 words")
-    keyed = _keyed(docs)
-    texts = keyed.select("ord", "rid", "text")
-    base = stage(map_arrow(keyed, _digests, "doc_id long, ord long, rid long, n_words long, kept string"), "digests")
+    rows = keyed(docs)
+    texts = rows.select("ord", "rid", "text")
+    base = stage(map_arrow(rows, _digests, "doc_id long, ord long, rid long, n_words long, kept string"), "digests")
     firsts = base.where(F.col("n_words") >= window).groupBy("kept").agg(F.min(F.struct("ord", "rid")).alias("of"))
     firsts = stage(firsts.select("kept", "of.ord", "of.rid"), "firsts")
     spans = _repeats(texts, firsts, window)
@@ -317,13 +306,12 @@ def remove_repeats(docs: DataFrame, window: int = WINDOW, with_text: bool = Fals
     changed = changed.dropDuplicates(["ord", "rid"])
     again = base.join(firsts.select("ord", "rid", F.lit(True).alias("first")), ["ord", "rid"], "left")
     copy = F.col("first").isNull() & (F.col("n_words") >= window)
-    rows = again.join(changed, ["ord", "rid"], "left")
+    found = again.join(changed, ["ord", "rid"], "left")
     empty = hashlib.sha256(b"").hexdigest()
-    result = rows.select(
+    return found.select(
         "doc_id",
         "n_words",
         F.when(copy, F.col("n_words")).otherwise(F.coalesce("n_removed", F.lit(0))).alias("n_removed"),
         F.when(copy, F.lit(empty)).otherwise(F.coalesce("left_sha", "kept")).alias("kept_sha256"),
         *([F.when(copy, F.lit("")).otherwise(F.col("left_text")).alias("kept_text")] if with_text else []),
     )
-    return result

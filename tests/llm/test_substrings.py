@@ -81,3 +81,9 @@ def test_edges(spark, table):
     alone = substrings.remove_repeats(table([(8, block), (8, block)])).collect()
     assert [r.n_removed for r in alone] == [0, 0]
     assert substrings.remove_repeats(table([])).collect() == []
+
+
+def test_query_equals_sql(spark, folder):
+    from test_decontaminate import check_sql
+
+    check_sql(spark, folder, "op10_substring_dedup", op10_substring_dedup)

@@ -14,6 +14,7 @@ import pyarrow as pa
 import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructType
 
 from regiobank.sources.shipping import ship_package
 
@@ -43,7 +44,7 @@ def keyed(docs: DataFrame) -> DataFrame:
     )
 
 
-def map_arrow(df: DataFrame, work: Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]], schema: str) -> DataFrame:
+def map_arrow(df: DataFrame, work: Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]], schema: str | StructType) -> DataFrame:
     """`mapInArrow`, with this package sent along to the workers."""
     ship_package(df.sparkSession)
     return df.mapInArrow(work, schema)

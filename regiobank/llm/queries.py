@@ -4,10 +4,13 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
+import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from regiobank.llm import decontaminate, simhash, sql, substrings
+from regiobank.llm import decontaminate, langid, packing, quality, simhash, sql, substrings, tokens
+
+VOCABULARY = "byte_bpe_50k.json"
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -16,6 +19,10 @@ def _table(spark: SparkSession, folder: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{folder}/{name}.parquet")
 
 
+def op1_token_counts(spark: SparkSession, folder: str) -> DataFrame:
+    return tokens.token_counts(_table(spark, folder, "documents"), public_tokenizers.path(VOCABULARY))
+
+
 def op2_decontamination(spark: SparkSession, folder: str) -> DataFrame:
     found = decontaminate.contamination(_table(spark, folder, "documents"), _table(spark, folder, "benchmark"))
     return found.select(
@@ -28,6 +35,19 @@ def op2_decontamination(spark: SparkSession, folder: str) -> DataFrame:
     )
 
 
+def op3_quality(spark: SparkSession, folder: str) -> DataFrame:
+    labels = _table(spark, folder, "labels").withColumnRenamed("quality", "label")
+    return quality.classify(_table(spark, folder, "documents"), labels)
+
+
+def op5_language_id(spark: SparkSession, folder: str) -> DataFrame:
+    return langid.identify(_table(spark, folder, "documents"))
+
+
+def op6_packing(spark: SparkSession, folder: str) -> DataFrame:
+    return packing.pack_documents(_table(spark, folder, "documents"), public_tokenizers.path(VOCABULARY))
+
+
 def op9_simhash(spark: SparkSession, folder: str) -> DataFrame:
     found = simhash.near_duplicates(_table(spark, folder, "documents"))
     return found.select("doc_id", F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), "component_id")
@@ -39,7 +59,11 @@ def op10_substring_dedup(spark: SparkSession, folder: str) -> DataFrame:
 
 def queries() -> dict[str, Query]:
     return {
+        "op1_token_counts": op1_token_counts,
         "op2_decontamination": op2_decontamination,
+        "op3_quality": op3_quality,
+        "op5_language_id": op5_language_id,
+        "op6_packing": op6_packing,
         "op9_simhash": op9_simhash,
         "op10_substring_dedup": op10_substring_dedup,
     }

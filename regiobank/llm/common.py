@@ -12,7 +12,7 @@ from typing import NamedTuple
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
@@ -31,16 +31,25 @@ def lowered(column):
     return F.translate(column, UPPER, UPPER.lower())
 
 
-def keyed(docs: DataFrame) -> DataFrame:
-    """doc_id, text (null as empty), and two columns without nulls that tell rows apart: `ord`, the doc_id with null
-    last, and `rid`, a hash of the text for rows that share a doc_id. Other columns are left behind.
-    """
-    text = F.coalesce("text", F.lit(""))
+def row_order(doc_id: Column) -> Column:
+    """The doc_id as a long without nulls; rows without one come last."""
+    return F.coalesce(doc_id.cast("long"), F.lit((1 << 63) - 1))
+
+
+def text_hash(text: Column) -> Column:
+    """What tells rows apart that share a doc_id; null counts as empty."""
+    return F.xxhash64(F.coalesce(text, F.lit("")))
+
+
+def keyed(docs: DataFrame, *others: Column) -> DataFrame:
+    """doc_id, ord (see `row_order`), rid (see `text_hash`), text (null as empty) and the columns given besides."""
+    doc_id, text = F.col("doc_id"), F.col("text")
     return docs.select(
-        F.col("doc_id").cast("long").alias("doc_id"),
-        F.coalesce(F.col("doc_id").cast("long"), F.lit((1 << 63) - 1)).alias("ord"),
-        F.xxhash64(text).alias("rid"),
-        text.alias("text"),
+        doc_id.cast("long").alias("doc_id"),
+        row_order(doc_id).alias("ord"),
+        text_hash(text).alias("rid"),
+        F.coalesce(text, F.lit("")).alias("text"),
+        *others,
     )
 
 

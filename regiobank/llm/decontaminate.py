@@ -27,8 +27,10 @@ from regiobank.llm.common import (
     map_arrow,
     mix,
     range_hashes,
+    row_order,
     running_sums,
     slices,
+    text_hash,
     utf8,
     word_hashes,
 )
@@ -231,5 +233,5 @@ def _hits(texts: DataFrame, rows: DataFrame, items: DataFrame, gram: int) -> Dat
 def clean_documents(docs: DataFrame, benchmark: DataFrame, window: int = WINDOW) -> DataFrame:
     """The rows of `docs`, with all their columns, that are not contaminated."""
     bad = contamination(docs, benchmark, window).where("contaminated").select("doc_id", "rid").distinct()
-    rid = F.xxhash64(F.coalesce(docs["text"], F.lit("")))
-    return docs.join(bad, rid.eqNullSafe(bad["rid"]) & docs["doc_id"].cast("long").eqNullSafe(bad["doc_id"]), "left_anti")
+    bad = bad.select(row_order(F.col("doc_id")).alias("_ord"), F.col("rid").alias("_rid"))
+    return docs.join(bad, (row_order(docs["doc_id"]) == bad["_ord"]) & (text_hash(docs["text"]) == bad["_rid"]), "left_anti")

@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from regiobank.llm import decontaminate, langid, packing, quality, simhash, sql, substrings, tokens
+from regiobank.llm import decontaminate, langid, licenses, packing, quality, secrets, simhash, sql, substrings, tokens
 
 VOCABULARY = "byte_bpe_50k.json"
 
@@ -48,6 +48,32 @@ def op6_packing(spark: SparkSession, folder: str) -> DataFrame:
     return packing.pack_documents(_table(spark, folder, "documents"), public_tokenizers.path(VOCABULARY))
 
 
+def op7_secret_scan(spark: SparkSession, folder: str) -> DataFrame:
+    found = secrets.scan(_table(spark, folder, "documents"), path="source")
+    return found.select(
+        "doc_id",
+        "word",
+        F.length("value").cast("long").alias("length"),
+        F.sha2("value", 256).alias("value_sha256"),
+        "score",
+        "secret",
+    )
+
+
+def op8_license_scan(spark: SparkSession, folder: str) -> DataFrame:
+    found = licenses.scan(_table(spark, folder, "documents"), licenses.notice_table(spark))
+    return found.select(
+        "doc_id",
+        "n_words",
+        F.size("places").cast("long").alias("n_base"),
+        F.array_min(F.col("places.word")).alias("first_word"),
+        F.array_max(F.col("places.word")).alias("last_word"),
+        F.array_join("base_labels", ",").alias("base_labels"),
+        F.array_join("labels", ",").alias("labels"),
+        "score",
+    )
+
+
 def op9_simhash(spark: SparkSession, folder: str) -> DataFrame:
     found = simhash.near_duplicates(_table(spark, folder, "documents"))
     return found.select("doc_id", F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), "component_id")
@@ -64,6 +90,8 @@ def queries() -> dict[str, Query]:
         "op3_quality": op3_quality,
         "op5_language_id": op5_language_id,
         "op6_packing": op6_packing,
+        "op7_secret_scan": op7_secret_scan,
+        "op8_license_scan": op8_license_scan,
         "op9_simhash": op9_simhash,
         "op10_substring_dedup": op10_substring_dedup,
     }

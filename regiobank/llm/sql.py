@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from regiobank.llm.licenses import NOTICES
+
 _WORDS = (
     "regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), "
     r"'[^\x00-\x2F\x3A-\x60\x7B-\x7F]+')"
@@ -41,5 +43,40 @@ FROM docs LEFT JOIN kept USING (doc_id)
 """
 
 
+_NOTICES = ", ".join("('{}', '{}')".format(label, text.replace("'", "''")) for label, text in NOTICES)
+_LINE_WORDS = r"list_distinct(regexp_extract_all(lower({}), '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+'))"
+
+LICENSES = f"""
+WITH docs AS (SELECT doc_id, coalesce(text, '') AS text, {_WORDS} AS w FROM documents),
+phrases AS (SELECT string_split(p, ' ') AS p, label
+  FROM (VALUES ('mit license', 'mit'), ('apache license', 'apache'), ('general public license', 'gpl')) AS t(p, label)),
+places AS (
+  SELECT doc_id, i, label FROM docs, phrases, unnest(generate_series(0, len(w) - len(p))) AS t(i)
+  WHERE list_slice(w, i + 1, i + len(p)) = p),
+base AS (SELECT doc_id, count(*) AS n, min(i) AS a, max(i) AS b FROM places GROUP BY doc_id),
+notices AS (SELECT label, {_LINE_WORDS.format("text")} AS s FROM (VALUES {_NOTICES}) AS t(label, text)),
+lines AS (SELECT doc_id, block, {_LINE_WORDS.format("line")} AS s FROM (
+  SELECT doc_id, unnest(string_split(text, chr(10))) AS line, generate_subscripts(string_split(text, chr(10)), 1) AS block
+  FROM docs)),
+held AS (
+  SELECT doc_id, block, label, n.s, len(list_intersect(l.s, n.s)) / len(n.s) AS c FROM lines AS l, notices AS n
+  WHERE len(list_intersect(l.s, n.s)) >= ceil(round(len(n.s) * 0.8, 9))),
+best AS (
+  SELECT * FROM held AS x WHERE NOT EXISTS (
+    SELECT 1 FROM held AS y WHERE y.doc_id = x.doc_id AND y.block = x.block AND (
+      (len(y.s) > len(x.s) AND len(list_intersect(x.s, y.s)) = len(x.s) AND y.c >= x.c)
+      OR (len(y.s) < len(x.s) AND len(list_intersect(x.s, y.s)) = len(y.s) AND y.c > x.c)))),
+base_labels AS (SELECT doc_id, string_agg(label, ',' ORDER BY label) AS l FROM (SELECT DISTINCT doc_id, label FROM places) GROUP BY doc_id),
+all_labels AS (SELECT doc_id, string_agg(label, ',' ORDER BY label) AS l FROM (
+  SELECT doc_id, label FROM places UNION SELECT doc_id, label FROM best) GROUP BY doc_id),
+most AS (SELECT doc_id, max(c) AS c FROM best GROUP BY doc_id)
+SELECT doc_id, CAST(len(w) AS BIGINT) AS n_words, coalesce(n, 0) AS n_base, a AS first_word, b AS last_word,
+  coalesce(bl.l, '') AS base_labels, coalesce(al.l, '') AS labels,
+  CASE WHEN n > 0 THEN 1.0 ELSE coalesce(c, 0.0) END::DOUBLE AS score
+FROM docs LEFT JOIN base USING (doc_id) LEFT JOIN base_labels AS bl USING (doc_id) LEFT JOIN all_labels AS al USING (doc_id)
+LEFT JOIN most USING (doc_id)
+"""
+
+
 def oracle_sql() -> dict[str, str]:
-    return {"op2_decontamination": DECONTAMINATION, "op10_substring_dedup": SUBSTRINGS}
+    return {"op2_decontamination": DECONTAMINATION, "op8_license_scan": LICENSES, "op10_substring_dedup": SUBSTRINGS}

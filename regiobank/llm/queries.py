@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from regiobank.llm import decontaminate, langid, licenses, packing, quality, secrets, simhash, sql, substrings, tokens
+from regiobank.llm import decontaminate, langid, licenses, packing, quality, secrets, simhash, sql, substrings, tokens, topk
 
 VOCABULARY = "byte_bpe_50k.json"
 
@@ -40,6 +40,10 @@ def op3_quality(spark: SparkSession, folder: str) -> DataFrame:
     return quality.classify(_table(spark, folder, "documents"), labels)
 
 
+def op4_top_k(spark: SparkSession, folder: str) -> DataFrame:
+    return topk.search_embeddings(_table(spark, folder, "embeddings"))
+
+
 def op5_language_id(spark: SparkSession, folder: str) -> DataFrame:
     return langid.identify(_table(spark, folder, "documents"))
 
@@ -88,6 +92,7 @@ def queries() -> dict[str, Query]:
         "op1_token_counts": op1_token_counts,
         "op2_decontamination": op2_decontamination,
         "op3_quality": op3_quality,
+        "op4_top_k": op4_top_k,
         "op5_language_id": op5_language_id,
         "op6_packing": op6_packing,
         "op7_secret_scan": op7_secret_scan,

@@ -18,7 +18,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from regiobank.llm.common import map_arrow, slices, utf8
+from regiobank.llm.common import map_arrow, slices, text_hash, utf8
 from regiobank.llm.components import components
 from regiobank.sources.scratch import stage
 
@@ -174,3 +174,18 @@ def near_duplicates(docs: DataFrame, shingle: int = SHINGLE, radius: int = RADIU
     known = rows.where("doc_id IS NOT NULL").groupBy("fp").agg(F.min("doc_id").alias("node"))
     joined = rows.join(near_groups(known, radius, tile_rows), "fp", "left")
     return joined.select("doc_id", "fp", F.when(F.col("doc_id").isNotNull(), F.col("root")).alias("component_id"))
+
+
+def keep_one(docs: DataFrame, shingle: int = SHINGLE, radius: int = RADIUS) -> DataFrame:
+    """The row of the smallest doc_id of each component, with all its columns.
+
+    Of rows that share this doc_id the one of the least text hash stays. Rows without doc_id can't be told apart and
+    take no part in links, so all of them stay.
+    """
+    found = stage(near_duplicates(docs, shingle, radius), "components")
+    roots = found.where("doc_id = component_id").select("doc_id").distinct()
+    texts = docs.select(F.col("doc_id").cast("long").alias("doc_id"), text_hash(F.col("text")).alias("rid"))
+    first = texts.join(roots, "doc_id").groupBy("doc_id").agg(F.min("rid").alias("_rid")).withColumnRenamed("doc_id", "_id")
+    mine = (docs["doc_id"].cast("long") == F.col("_id")) & (text_hash(docs["text"]) == F.col("_rid"))
+    kept = docs.join(first, mine).dropDuplicates(["_id"]).select(*docs.columns)
+    return kept.unionByName(docs.where(F.col("doc_id").isNull()))

@@ -1,11 +1,14 @@
 """Posting of deposits, withdrawals and transfers, with the outcome of one-by-one execution in seq order.
 
 Whether a debit is covered depends on which earlier requests succeeded, also on other accounts. Requests get
-consecutive places in seq order. An account is one block of entries; an account with more than `block_rows` entries
-is cut into blocks of `block_rows` places, so no block is larger, however busy the account. A task settles the blocks it holds together, in order of place,
-given the opening balance of each block and, for transfers that are debited in another task, whether they failed.
-Both are assumed first (everything succeeds). A block whose assumptions turn out different from the results of the
-other blocks is settled again, until there is none.
+consecutive places in seq order; the entries of an account within a range of `block_rows` places are a block, so no
+block is larger, however busy the account.
+
+First everything is assumed to succeed. Running sums per block show which blocks stay covered then; they need no more
+than that. Only the others are walked entry by entry, in tasks that hold many blocks each and walk them together in
+order of place. What a walk finds may refute what other blocks assumed: the opening balance, if an earlier block of the
+account has debits that fail, or a credit, if the debit of that transfer fails. Blocks that are refuted are walked in
+the next round, until there is none.
 
 The result is exact: an entry depends on earlier places only, so the earliest block that is still wrong becomes
 right in every round, the rounds end by themselves, and there is only one fixed point.
@@ -23,15 +26,14 @@ from pyspark.sql import functions as F
 
 from regiobank.functions.values import cents, money
 from regiobank.model import CURRENCY, ROUTES, Route
-from regiobank.operators.joins import left_lookup
 from regiobank.operators.numbering import number_rows
 from regiobank.operators.requests import error_code, validate_requests
-from regiobank.sources.scratch import scratch_path, stage
+from regiobank.sources.scratch import stage
+from regiobank.sources.shipping import ship_package
 
-BLOCK = ["shard", "account", "block"]
+SIDE = ["shard", "account"]
+BLOCK = [*SIDE, "block"]
 BLOCK_ROWS = 1 << 18
-TASK_ENTRIES = 1 << 18
-MAX_TASKS = 100_000
 
 # Kinds of settlement input, in the order they apply within one place.
 OPENING, CANCEL, DEBIT, CREDIT = 0, 1, 2, 3
@@ -39,14 +41,14 @@ OPENING, CANCEL, DEBIT, CREDIT = 0, 1, 2, 3
 STATE, REJECTED, FAILED = 10, 11, 12
 
 INPUT = (
-    "shard string, account string, block bigint, place bigint, kind int, cents bigint, base bigint, "
-    "peer_shard string, peer_account string, peer_block bigint"
+    "shard string, account string, block bigint, place bigint, kind int, cents bigint, peer_shard string, "
+    "peer_account string"
 )
 OUTCOME = (
-    "shard string, account string, block bigint, place bigint, kind int, net bigint, opening bigint, base bigint, "
-    "applied bigint, entries bigint, peer_shard string, peer_account string, peer_block bigint"
+    "shard string, account string, block bigint, place bigint, kind int, net bigint, opening bigint, "
+    "applied bigint, peer_shard string, peer_account string"
 )
-NO_PEER = ["CAST(NULL AS STRING) AS peer_shard", "CAST(NULL AS STRING) AS peer_account", "0L AS peer_block"]
+NO_PEER = ["CAST(NULL AS STRING) AS peer_shard", "CAST(NULL AS STRING) AS peer_account"]
 
 
 def _names(schema: str) -> list[str]:
@@ -76,183 +78,138 @@ def _settle(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
     covered = True
     for batch in batches:
         out: list[tuple] = []
-        for *key, place, kind, cents, base, peer_shard, peer_account, peer_block in batch.itertuples(False, None):
+        for *key, place, kind, cents, peer_shard, peer_account in batch.itertuples(False, None):
             key = tuple(key)
             if kind == OPENING:
-                states[key] = [cents, cents, base, 0, 0]
+                states[key] = [cents, cents, 0]
                 continue
             if kind == CANCEL:
                 cancelled = place
                 continue
             state = states[key]
-            state[4] += 1
             if kind == DEBIT:
                 decided, covered = place, state[1] >= cents
                 if covered:
                     state[1] -= cents
-                    state[3] += 1
+                    state[2] += 1
                 else:
-                    out.append((*key, place, REJECTED, 0, 0, 0, 0, 0, peer_shard, peer_account, peer_block))
+                    out.append((*key, place, REJECTED, 0, 0, 0, peer_shard, peer_account))
             elif covered if place == decided else place != cancelled:
                 state[1] += cents
-                state[3] += 1
+                state[2] += 1
             else:
-                out.append((*key, place, FAILED, 0, 0, 0, 0, 0, None, None, 0))
+                out.append((*key, place, FAILED, 0, 0, 0, None, None))
         yield pd.DataFrame(out, columns=columns)
     closing = (
-        (*key, -1, STATE, balance - opening, opening, base, applied, entries, None, None, 0)
-        for key, (opening, balance, base, applied, entries) in states.items()
+        (*key, -1, STATE, balance - opening, opening, applied, None, None)
+        for key, (opening, balance, applied) in states.items()
     )
     while chunk := list(islice(closing, 10_000)):
         yield pd.DataFrame(chunk, columns=columns)
 
 
-def _touched(valid: DataFrame) -> DataFrame:
-    """Accounts the requests touch, with their opening balance and number of entries."""
-
-    def side(name: str, account: str) -> str:
-        return f"IF({name} IS NULL, NULL, struct({name}.shard AS shard, {account} AS account, {name}.cents AS base))"
-
-    source, target = side("source", "from_account_number"), side("target", "to_account_number")
-    return (
-        valid.selectExpr(f"inline(array_compact(array({source}, {target})))")
-        .groupBy("shard", "account")
-        .agg(F.max("base").alias("base"), F.count(F.lit(1)).alias("entries"))
-    )
-
-
-def _in_blocks(valid: DataFrame, busy: DataFrame | None, block_rows: int) -> DataFrame:
-    """Add the block of each side: 0, or a range of places for accounts with very many entries."""
-    if busy is None:
-        return valid.selectExpr("*", "0L AS source_block", "0L AS target_block")
-    source = busy.selectExpr("shard AS _from", "account AS from_account_number", "true AS _f")
-    target = busy.selectExpr("shard AS _to", "account AS to_account_number", "true AS _t")
-    block = f"place div {block_rows}"
-    sides = valid.selectExpr("*", "source.shard AS _from", "target.shard AS _to")
-    sides = left_lookup(sides, source, ["_from", "from_account_number"])
-    sides = left_lookup(sides, target, ["_to", "to_account_number"])
-    return sides.selectExpr("*", f"IF(_f, {block}, 0L) AS source_block", f"IF(_t, {block}, 0L) AS target_block")
-
-
-def _entries(blocked: DataFrame) -> DataFrame:
-    """One debit entry per source and one credit entry per target."""
+def _entries(valid: DataFrame, block_rows: int) -> DataFrame:
+    """One debit entry per source and one credit entry per target. Both sides of a transfer have the same place."""
 
     def entry(side: str, account: str, kind: int, peer: str, peer_account: str) -> str:
         return (
-            f"IF({side} IS NULL, NULL, struct({side}.shard AS shard, {account} AS account, {side}_block AS block, place, "
-            f"{kind} AS kind, CAST(amount * 100 AS BIGINT) AS cents, {side}.cents AS base, {peer}.shard AS peer_shard, "
-            f"IF({peer} IS NULL, NULL, {peer_account}) AS peer_account, {peer}_block AS peer_block))"
+            f"IF({side} IS NULL, NULL, struct({side}.shard AS shard, {account} AS account, place div {block_rows} AS block, "
+            f"place, {kind} AS kind, CAST(amount * 100 AS BIGINT) AS cents, {side}.cents AS base, "
+            f"{peer}.shard AS peer_shard, IF({peer} IS NULL, NULL, {peer_account}) AS peer_account))"
         )
 
     debit = entry("source", "from_account_number", DEBIT, "target", "to_account_number")
     credit = entry("target", "to_account_number", CREDIT, "source", "from_account_number")
-    return blocked.selectExpr(f"inline(array_compact(array({debit}, {credit})))")
-
+    return valid.selectExpr(f"inline(array_compact(array({debit}, {credit})))")
+
+
+def _if_all_succeed(entries: DataFrame) -> DataFrame:
+    """Blocks with their net, and the lowest balance after a debit relative to the opening, if everything succeeds."""
+    signed = F.when(F.col("kind") == CREDIT, F.col("cents")).otherwise(-F.col("cents"))
+    running = F.sum(signed).over(Window.partitionBy(*BLOCK).orderBy("place"))
+    followed = entries.select(*BLOCK, "kind", "base", signed.alias("signed"), running.alias("running"))
+    return followed.groupBy(*BLOCK).agg(
+        F.max("base").alias("base"),
+        F.sum("signed").alias("net"),
+        F.min(F.when(F.col("kind") == DEBIT, F.col("running"))).alias("low"),
+        F.count(F.lit(1)).alias("entries"),
+    )
 
-def _next_opening(blocks: DataFrame) -> DataFrame:
-    """Opening balance of each block: the account's balance plus the net of its earlier blocks.
 
-    An account has one row per block here, not per entry.
-    """
-    earlier = Window.partitionBy("shard", "account").orderBy("block").rowsBetween(Window.unboundedPreceding, -1)
-    return blocks.withColumn("next_opening", F.col("base") + F.coalesce(F.sum("net").over(earlier), F.lit(0)))
+def _opened(blocks: DataFrame, net: str) -> DataFrame:
+    """Add the balance each block opens with: the account's plus the net of its earlier blocks, one row per block."""
+    earlier = Window.partitionBy(*SIDE).orderBy("block").rowsBetween(Window.unboundedPreceding, -1)
+    return blocks.withColumn("opens", F.col("base") + F.coalesce(F.sum(net).over(earlier), F.lit(0)))
 
 
 class _Rounds:
-    """One settlement: its entries, the outcomes of each round on disk, and the latest state of every block."""
+    """One settlement: its blocks as they are if everything succeeds, and what the walked ones turned out to be."""
 
-    def __init__(self, valid: DataFrame, block_rows: int, task_entries: int):
+    def __init__(self, valid: DataFrame, block_rows: int, tasks: int | None):
         self.spark = valid.sparkSession
-        self.folder = scratch_path(self.spark, "settlement")
-        self.touched = stage(_touched(valid), "touched")
-        total, most = self.touched.agg(F.sum("entries"), F.max("entries")).first()
-        self.busy = None
-        if most and most > block_rows:
-            # At most total / block_rows accounts.
-            self.busy = stage(self.touched.where(F.col("entries") > block_rows), "busy")
-        self.entries = _entries(_in_blocks(valid, self.busy, block_rows))
-        self.task_entries = task_entries
-        self.doubtful = total or 0
-        self.blocks: DataFrame | None = None
+        self.tasks = tasks or int(self.spark.conf.get("spark.sql.shuffle.partitions"))
+        self.entries = _entries(valid, block_rows)
+        self.blocks = stage(_opened(_if_all_succeed(self.entries), "net"), "blocks")
+        self.walked = self.spark.createDataFrame([], OUTCOME)
+        self.doubtful = self.blocks.where("opens + low < 0").select(*BLOCK, "opens")
         self.number = 0
 
-    def _latest(self, kind: int, blocks: DataFrame) -> DataFrame:
-        """Outcome rows of one kind, each block as of the round it was last settled in."""
-        outcomes = self.spark.read.schema(f"{OUTCOME}, round int").parquet(self.folder)
-        last = blocks.select(*BLOCK, "round")
-        return outcomes.where(F.col("kind") == kind).join(last, [*BLOCK, "round"], "left_semi")
+    def run(self) -> None:
+        while not self.doubtful.isEmpty():
+            if not self.number:
+                ship_package(self.spark)
+                self.entries = stage(self.entries, "entries")
+            self._walk()
+            self.number += 1
 
     def rejections(self) -> DataFrame:
-        return self._latest(REJECTED, self.blocks)
+        return self.walked.where(F.col("kind") == REJECTED)
 
     def _inputs(self) -> DataFrame:
-        """Entries of the blocks to settle, their opening balances, and the failed transfers known so far."""
+        """Entries of the doubtful blocks, their opening balances, and the failed transfers known so far."""
         names = _names(INPUT)
-        if self.blocks is None and self.busy is None:
-            opening, entries = self.touched.selectExpr("*", "0L AS block", "base AS next_opening"), self.entries
-        elif self.blocks is None:
-            signed = F.when(F.col("kind") == CREDIT, F.col("cents")).otherwise(-F.col("cents"))
-            optimistic = self.entries.groupBy(*BLOCK).agg(F.max("base").alias("base"), F.sum(signed).alias("net"))
-            opening, entries = _next_opening(optimistic), self.entries
-        else:
-            opening = self.blocks.where("dirty")
-            failed = self.rejections().where("peer_account IS NOT NULL")
-            cancels = failed.selectExpr(
-                "peer_shard AS shard",
-                "peer_account AS account",
-                "peer_block AS block",
-                "place",
-                f"{CANCEL} AS kind",
-                "0L AS cents",
-                "0L AS base",
-                *NO_PEER,
-            )
-            entries = self.entries.select(*names).unionByName(cancels).join(opening.select(*BLOCK), BLOCK, "left_semi")
-        openings = opening.selectExpr(
-            *BLOCK,
-            "-1L AS place",
-            f"{OPENING} AS kind",
-            "next_opening AS cents",
-            "base",
-            *NO_PEER,
-        )
+        cancels = self._failed_credits().selectExpr(*BLOCK, "place", f"{CANCEL} AS kind", "0L AS cents", *NO_PEER)
+        entries = self.entries.select(*names).unionByName(cancels).join(self.doubtful.select(*BLOCK), BLOCK, "left_semi")
+        openings = self.doubtful.selectExpr(*BLOCK, "-1L AS place", f"{OPENING} AS kind", "opens AS cents", *NO_PEER)
         return openings.unionByName(entries.select(*names))
 
-    def settle(self) -> None:
-        """Settle the blocks in doubt and mark those whose assumptions no longer hold."""
-        if self.number == 1:
-            # Most batches need one round; from the second on the entries are read again and again.
-            self.entries = stage(self.entries, "entries")
-        tasks = min(max(self.doubtful // self.task_entries, 1), MAX_TASKS)
-        ordered = self._inputs().repartition(tasks, *BLOCK).sortWithinPartitions("place", "kind")
-        ordered.mapInPandas(_settle, OUTCOME).write.parquet(f"{self.folder}/round={self.number}")
-        outcomes = self.spark.read.schema(f"{OUTCOME}, round int").parquet(self.folder)
-        state = [*BLOCK, "base", "net", "opening", "applied", "entries", "round"]
-        blocks = outcomes.where((F.col("round") == self.number) & (F.col("kind") == STATE)).select(*state)
-        if self.blocks is not None:
-            kept = self.blocks.where("NOT dirty").select(*state)
-            blocks = kept.unionByName(blocks)
-        outdated = self._outdated(blocks).withColumn("_outdated", F.lit(True))
-        checked = _next_opening(blocks).join(outdated, BLOCK, "left")
-        dirty = (F.col("next_opening") != F.col("opening")) | F.col("_outdated").isNotNull()
-        self.blocks = stage(checked.select(*state, "next_opening", dirty.alias("dirty")), "blocks")
-        self.number += 1
-        self.doubtful = self.blocks.where("dirty").agg(F.sum("entries")).first()[0]
-
-    def _outdated(self, blocks: DataFrame) -> DataFrame:
-        """Blocks that took a transfer for failed that is covered now, or the other way round."""
-        failed = self._latest(REJECTED, blocks).where("peer_account IS NOT NULL")
-        taken = self._latest(FAILED, blocks)
-        both = failed.selectExpr(
-            "place", "peer_shard AS shard", "peer_account AS account", "peer_block AS block", "1 AS side"
+    def _walk(self) -> None:
+        """Walk the doubtful blocks, replace what was known of them, and find the blocks that this refutes."""
+        ordered = self._inputs().repartition(self.tasks, *BLOCK).sortWithinPartitions("place", "kind")
+        kept = self.walked.join(self.doubtful.select(*BLOCK), BLOCK, "left_anti").select(*_names(OUTCOME))
+        found = ordered.mapInPandas(_settle, OUTCOME)
+        self.walked = stage(found.unionByName(kept) if self.number else found, "walked")
+        self.doubtful = stage(self._refuted(), "doubtful")
+
+    def _failed_credits(self) -> DataFrame:
+        """The credit side of transfers whose debit is rejected, as far as is known."""
+        failed = self.rejections().where("peer_account IS NOT NULL")
+        return failed.selectExpr("peer_shard AS shard", "peer_account AS account", "block", "place")
+
+    def _states(self) -> DataFrame:
+        return self.walked.where(F.col("kind") == STATE)
+
+    def _refuted(self) -> DataFrame:
+        taken = self.walked.where(F.col("kind") == FAILED).select(*BLOCK, "place", F.lit(-1).alias("side"))
+        both = self._failed_credits().select(*BLOCK, "place", F.lit(1).alias("side")).unionByName(taken)
+        differing = both.groupBy(*BLOCK, "place").agg(F.sum("side").alias("side")).where("side <> 0")
+        differing = differing.select(*BLOCK, F.lit(True).alias("differs")).distinct()
+        # only accounts of which a block was walked, or is told of a failed transfer, can have changed
+        concerned = self._states().select(*SIDE).unionByName(differing.select(*SIDE)).distinct()
+        states = self._states().selectExpr(*BLOCK, "net AS own_net", "opening")
+        blocks = self.blocks.drop("opens").join(concerned, SIDE, "left_semi").join(states, BLOCK, "left").join(differing, BLOCK, "left")
+        opened = _opened(blocks.withColumn("now", F.coalesce("own_net", "net")), "now")
+        moved = F.when(F.col("opening").isNull(), F.coalesce(F.expr("opens + low < 0"), F.lit(False))).otherwise(F.expr("opens <> opening"))
+        return opened.where(moved | F.col("differs").isNotNull()).select(*BLOCK, "opens")
+
+    def changes(self) -> DataFrame:
+        """Net and number of applied entries per touched account."""
+        states = self._states().selectExpr(*BLOCK, "net AS own_net", "applied")
+        final = self.blocks.join(states, BLOCK, "left")
+        per_account = final.groupBy(F.col("shard").alias("shard_location"), F.col("account").alias("account_number")).agg(
+            F.sum(F.coalesce("own_net", "net")).alias("net_cents"), F.sum(F.coalesce("applied", "entries")).alias("applied")
         )
-        both = both.unionByName(taken.selectExpr("place", *BLOCK, "-1 AS side"))
-        differing = both.groupBy("place", *BLOCK).agg(F.sum("side").alias("side")).where("side <> 0")
-        return differing.select(*BLOCK).distinct()
-
-    @property
-    def settled(self) -> bool:
-        return self.number > 0 and not self.doubtful
+        return per_account.where("applied > 0")
 
 
 def post_ledger(
@@ -261,12 +218,13 @@ def post_ledger(
     as_of,
     routes: Iterable[Route] = ROUTES,
     block_rows: int = BLOCK_ROWS,
-    task_entries: int = TASK_ENTRIES,
+    tasks: int | None = None,
 ) -> Posting:
     """Post a batch of requests against accounts, as if executed one by one in seq order.
 
     Requests with equal seq are taken in the order of their other columns. Account status does not change within
-    a batch. Rejected requests change nothing.
+    a batch. Rejected requests change nothing. Blocks are walked in `tasks` tasks, as many as there are shuffle
+    partitions if it is left out.
     """
     placed = number_rows(
         requests,
@@ -274,9 +232,8 @@ def post_ledger(
         order=["seq", *[c for c in requests.columns if c != "seq"]],
     ).withColumnRenamed("position", "place")
     judged = stage(validate_requests(placed, accounts, routes), "judged")
-    rounds = _Rounds(judged.where("reason IS NULL"), block_rows, task_entries)
-    while not rounds.settled:
-        rounds.settle()
+    rounds = _Rounds(judged.where("reason IS NULL"), block_rows, tasks)
+    rounds.run()
 
     uncovered = rounds.rejections().selectExpr("place", "'insufficient_balance' AS _uncovered")
     decided = judged.join(uncovered, "place", "left").withColumn("reason", F.coalesce("reason", "_uncovered"))
@@ -287,11 +244,7 @@ def post_ledger(
         error_code(F.col("reason")).alias("error_code"),
         F.when(F.col("source").isNotNull(), F.col("source.shard")).otherwise(F.col("target.shard")).alias("shard_location"),
     )
-    changes = (
-        rounds.blocks.where(F.col("applied") > 0)
-        .groupBy(F.col("shard").alias("shard_location"), F.col("account").alias("account_number"))
-        .agg(F.sum("net").alias("net_cents"), F.sum("applied").alias("applied"))
-    )
+    changes = rounds.changes()
     return Posting(
         outcome, apply_changes(accounts, changes, as_of), records_of(outcome, as_of), changes, rounds.number
     )

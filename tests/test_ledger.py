@@ -115,9 +115,9 @@ def random_case(seed, n_accounts, n_requests, hot):
     "seed,hot,sizes",
     [
         (1, 0.0, {}),
-        (2, 0.0, {"task_entries": 60}),
-        (3, 0.5, {"block_rows": 25, "task_entries": 40}),
-        (4, 0.33, {"block_rows": 10, "task_entries": 100}),
+        (2, 0.0, {"tasks": 7}),
+        (3, 0.5, {"block_rows": 25, "tasks": 9}),
+        (4, 0.33, {"block_rows": 10, "tasks": 3}),
     ],
 )
 def test_random_batches_match_one_by_one_execution(spark, seed, hot, sizes):
@@ -136,7 +136,7 @@ def test_tight_account_in_many_blocks(spark):
         source = pair[0] if kind != "DEPOSIT" else None
         target = pair[1] if kind != "WITHDRAWAL" else None
         requests.append((seq, kind, source, target, str(rng.randint(1, 60))))
-    check(spark, accounts, requests, block_rows=20, task_entries=10)
+    check(spark, accounts, requests, block_rows=20, tasks=12)
 
 
 def test_funding_chains(spark):
@@ -150,7 +150,7 @@ def test_funding_chains(spark):
         (22, "WITHDRAWAL", "C7", None, "50"),
         (23, "WITHDRAWAL", "C7", None, "0.01"),
     ]
-    check(spark, accounts, requests, task_entries=2)
+    check(spark, accounts, requests, tasks=5)
 
 
 def test_reasons_codes_and_record_of_a_cross_shard_transfer(spark):

@@ -63,14 +63,17 @@ def _judgement(judged: DataFrame, *columns: str) -> DataFrame:
 
 def _formatted(spark: SparkSession, folder: str) -> DataFrame:
     spark.conf.set("spark.sql.session.timeZone", "UTC")
-    accounts = orderbook.accounts(spark, folder)
-    shown = accounts.select(
+    bank = orderbook.load_bank(spark, folder)
+    owned = bank.accounts.groupBy("user_id").agg(F.count(F.lit(1)).alias("owned"))
+    accounts = bank.accounts.select("user_id", "account_number", "balance")
+    rows = bank.users.join(owned, "user_id", "left").join(accounts, "user_id", "left")
+    shown = rows.select(
         F.col("user_id").alias("USER_ID"),
         F.col("account_number").alias("Account_Number"),
         "balance",
         "created_date",
         format_balance(F.col("balance")).alias("shown_balance"),
-        format_account_count(F.size(F.array("account_id"))).alias("shown_count"),
+        format_account_count(F.col("owned")).alias("shown_count"),
     )
     return format_result(shown)
 
@@ -194,6 +197,15 @@ def _posted_accounts(spark: SparkSession, folder: str) -> DataFrame:
     return _posting(spark, folder).accounts.select("account_number", "shard_location", "balance", "last_updated")
 
 
+def _posted_tight(spark: SparkSession, folder: str) -> DataFrame:
+    """Balances of a hundredth, so that failures follow from failures, in small blocks and several tasks."""
+    accounts = orderbook.accounts(spark, folder)
+    little = accounts.withColumn("balance", F.expr("CAST(floor(balance) / 100 AS DECIMAL(15,2))"))
+    requests = orderbook.ledger_requests(orderbook.order_batch(spark, folder))
+    found = post_ledger(little, requests, AS_OF, block_rows=4096, tasks=6)
+    return found.requests.select("seq", "status", "reason", "error_code")
+
+
 def _validated_requests(spark: SparkSession, folder: str) -> DataFrame:
     judged = validate_requests(orderbook.faulty_requests(spark, folder), orderbook.accounts(spark, folder))
     return judged.select("seq", "reason", "error_code")
@@ -209,35 +221,43 @@ def _generated_requests(spark: SparkSession, folder: str) -> DataFrame:
 # ---- streams ----
 
 
+def _events(spark: SparkSession, folder: str) -> DataFrame:
+    """The events as a stream of several micro-batches."""
+    path = orderbook.in_files(orderbook.events(spark, folder), "event_id", scratch_path(spark, "events"))
+    return orderbook.event_stream(spark, path)
+
+
 def _stream_by_day(spark: SparkSession, folder: str) -> DataFrame:
     out = scratch_path(spark, "tx-by-day")
-    stream = live.daily_volume(orderbook.event_stream(spark, folder))
+    stream = live.daily_volume(_events(spark, folder))
     live.run_append(stream, out, scratch_path(spark, "checkpoint"))
     return spark.read.schema(stream.schema).parquet(out)
 
 
 def _stream_regions(spark: SparkSession, folder: str) -> DataFrame:
     out = scratch_path(spark, "live-regions")
-    stream = orderbook.event_stream(spark, folder)
+    stream = orderbook.on_shards(_events(spark, folder), spark, folder)
     live.run_regional_totals(stream, orderbook.accounts(spark, folder), out, scratch_path(spark, "checkpoint"))
     return live.live_regional_totals(spark, out)
 
 
 def _stream_overall(spark: SparkSession, folder: str) -> DataFrame:
     out = scratch_path(spark, "live-totals")
-    stream = live.overall_totals(orderbook.event_stream(spark, folder))
-    live.run_complete(stream, out, scratch_path(spark, "checkpoint"))
+    live.run_complete(live.overall_totals(_events(spark, folder)), out, scratch_path(spark, "checkpoint"))
     return live.latest_totals(spark, out)
 
 
+def _batch_moment(batch: int) -> str:
+    return f"2024-01-{batch + 1:02d} 00:00:00"
+
+
 def _stream_posting(spark: SparkSession, folder: str) -> DataFrame:
     root = scratch_path(spark, "posted")
-    requests = orderbook.ledger_requests(orderbook.order_stream(spark, folder))
+    path = orderbook.in_files(orderbook.order_batch(spark, folder), "o_orderkey", scratch_path(spark, "orders"))
+    requests = orderbook.ledger_requests(orderbook.order_stream(spark, path))
     accounts = orderbook.accounts(spark, folder)
-    posting.run_posting(requests, accounts, root, scratch_path(spark, "checkpoint"), AS_OF)
-    return posting.current_accounts(accounts, root, AS_OF).select(
-        "account_number", "shard_location", "balance", "last_updated"
-    )
+    posting.run_posting(requests, accounts, root, scratch_path(spark, "checkpoint"), _batch_moment, snapshot_every=2)
+    return posting.current_accounts(accounts, root).select("account_number", "shard_location", "balance", "last_updated")
 
 
 def entry(spark: SparkSession) -> DataFrame:
@@ -291,7 +311,7 @@ def bank_queries() -> dict[str, Query]:
         "tx_by_date": _on_bank(dashboard.dashboard_transactions_by_date),
         "realtime_analytics": _on_bank(reports.realtime_analytics),
         "users_per_shard": _on_bank(reports.users_per_shard),
-        "users_per_shard_pages": _on_bank(reports.users_per_shard_pages),
+        "users_per_shard_pages": _on_bank(reports.users_per_shard, 100),
         "accounts_by_region_shard": _on_bank(reports.accounts_by_region_shard),
         "tx_by_shard_type": _on_bank(reports.transactions_by_shard_type),
         "balance_bands": _on_bank(reports.balance_bands),
@@ -332,6 +352,7 @@ def bank_queries() -> dict[str, Query]:
         "validate_requests": _on_tables(_validated_requests),
         "generate_requests": _on_tables(_generated_requests),
         "post_ledger": _on_tables(_posted),
+        "post_ledger_tight": _on_tables(_posted_tight),
         "post_ledger_records": _on_tables(lambda spark, folder: _posting(spark, folder).transactions),
         "post_ledger_accounts": _on_tables(_posted_accounts),
         # streams

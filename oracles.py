@@ -163,7 +163,8 @@ USER_JUDGED = USER_FEED + """,
 """
 ACCOUNT_FEED = """
   account_feed AS (
-    SELECT account_id AS line, CASE WHEN account_id % 10 <> 0 THEN account_id END AS account_id,
+    SELECT account_id AS line, CASE WHEN account_id % 109 = 12 THEN 7 WHEN account_id % 10 <> 0 THEN account_id END
+      AS account_id,
       CASE WHEN account_id % 67 = 8 THEN user_id + 5000000 ELSE user_id END AS user_id,
       CASE WHEN account_id % 103 = 11 THEN 'ACC-DUP' WHEN account_id % 10 <> 0 THEN account_number END
         AS account_number,
@@ -300,7 +301,9 @@ ACCOUNT_REASONS = """
       CASE WHEN status NOT IN ('ACTIVE', 'INACTIVE', 'CLOSED', 'FROZEN') THEN 'chk_status' END,
       CASE WHEN account_number IS NOT NULL
         AND line > min(line) OVER (PARTITION BY f.shard_location, account_number)
-        THEN 'duplicate_account_number' END
+        THEN 'duplicate_account_number' END,
+      CASE WHEN account_id IS NOT NULL AND line > min(line) OVER (PARTITION BY f.shard_location, account_id)
+        THEN 'duplicate_account_id' END
     ) AS reasons, u.region AS owner_region
     FROM account_feed f LEFT JOIN users_all u ON f.user_id = u.user_id AND f.shard_location = u.shard_location
   )
@@ -319,7 +322,10 @@ def oracle_sql() -> dict[str, str]:
     )
     q["format_result"] = _q(
         "SELECT CAST(user_id AS DOUBLE) AS user_id, account_number, CAST(balance AS DOUBLE) AS balance, "
-        f"{_text('created_date')}, {_dbl('balance', 'shown_balance')}, 1.0::DOUBLE AS shown_count FROM accounts_all"
+        f"{_text('created_date')}, {_dbl('balance', 'shown_balance')}, coalesce(CAST(n AS DOUBLE), 0) AS shown_count "
+        "FROM (SELECT u.user_id, a.account_number, a.balance, u.created_date, c.n FROM users_all u "
+        "LEFT JOIN (SELECT user_id, count(*) AS n FROM accounts_all GROUP BY 1) c ON u.user_id = c.user_id "
+        "LEFT JOIN accounts_all a ON u.user_id = a.user_id)"
     )
 
     # filters and lookups of one key
@@ -430,15 +436,12 @@ def oracle_sql() -> dict[str, str]:
         f"{_dbl('max(amount)', 'max_amount')} FROM transactions_all "
         f"WHERE transaction_date >= {LATEST} - INTERVAL 1 DAY GROUP BY transaction_type"
     )
-    q["users_per_shard"] = _q(
-        "SELECT shard_location, count(*) AS user_count, string_agg(username, ', ' ORDER BY user_id) AS users "
-        "FROM users_all GROUP BY shard_location"
-    )
-    q["users_per_shard_pages"] = _q(
-        "SELECT shard_location, (n - 1) // 1000 AS page, count(*) AS user_count, "
-        "string_agg(username, ', ' ORDER BY user_id) AS users FROM (SELECT *, "
-        "row_number() OVER (PARTITION BY shard_location ORDER BY user_id) AS n FROM users_all) GROUP BY ALL"
-    )
+    for name, rows in (("users_per_shard", 1000), ("users_per_shard_pages", 100)):
+        q[name] = _q(
+            f"SELECT shard_location, (n - 1) // {rows} AS page, count(*) AS user_count, "
+            "string_agg(username, ', ' ORDER BY user_id) AS users FROM (SELECT *, "
+            "row_number() OVER (PARTITION BY shard_location ORDER BY user_id) AS n FROM users_all) GROUP BY ALL"
+        )
     q["accounts_by_region_shard"] = _q(
         f"SELECT region, shard_location, count(*) AS account_count, {_dbl('sum(balance)', 'total_balance')}, "
         f"{_avg('balance')} AS avg_balance FROM accounts_all GROUP BY region, shard_location"
@@ -502,7 +505,7 @@ def oracle_sql() -> dict[str, str]:
         "(3, 'shard3', 'APAC', 20000001, 30000000, 'SHARD3')) m(shard_id, shard_name, region, lo, hi, tag) "
         "LEFT JOIN (SELECT shard_location, count(*) AS used_ids FROM users_all GROUP BY 1) ON tag = shard_location"
     )
-    wanted = "(SELECT DISTINCT other AS account_number FROM order_sides)"
+    wanted = "(SELECT other AS account_number FROM order_sides)"
     q["balances_for"] = _q(
         f"SELECT w.account_number, {_dbl('balance', 'balance')} FROM {wanted} w "
         "LEFT JOIN accounts_all a ON w.account_number = a.account_number"
@@ -663,7 +666,18 @@ def oracle_sql() -> dict[str, str]:
         POSTED,
     )
 
-    q["stream_post_ledger"] = q["post_ledger_accounts"]
+    q["post_ledger_tight"] = q["post_ledger"].replace("CAST(balance * 100 AS BIGINT) AS opening", "CAST(floor(balance) AS BIGINT) AS opening")
+    q["stream_post_ledger"] = _q(
+        f"""SELECT a.account_number, a.shard_location,
+          CAST(CAST(a.balance * 100 AS BIGINT) + coalesce(n.net, 0) AS DOUBLE) / 100 AS balance,
+          CASE WHEN n.net IS NULL THEN strftime(a.last_updated, '%Y-%m-%d %H:%M:%S')
+            ELSE strftime(TIMESTAMP '2024-01-01' + to_days(CAST(n.batch AS INTEGER)), '%Y-%m-%d %H:%M:%S') END AS last_updated
+        FROM accounts_all a LEFT JOIN (SELECT account, sum(delta) AS net,
+            max((seq - (SELECT min(seq) FROM requests)) // ((SELECT max(seq) - min(seq) FROM requests) // 3 + 1)) AS batch
+          FROM entries WHERE seq IN (SELECT seq FROM posted WHERE final_reason IS NULL) GROUP BY account) n
+          ON a.account_number = n.account""",
+        POSTED,
+    )
 
     # streams, and the batch form of the first
     closed = (

@@ -9,8 +9,6 @@ from pyspark.sql import functions as F
 
 from regiobank.model import ROUTES, ROUTING, Route
 
-MAX_ROUTES = 1000
-
 
 def routing_table(spark: SparkSession, routes: Iterable[Route] = ROUTES) -> DataFrame:
     """The routing metadata as a table; one row per shard."""
@@ -21,15 +19,26 @@ def routing_table(spark: SparkSession, routes: Iterable[Route] = ROUTES) -> Data
     return spark.createDataFrame(rows, ROUTING)
 
 
-def routes_of(table: DataFrame) -> tuple[Route, ...]:
-    """Routes read back from a metadata table (one row per shard, so its size is checked, then small)."""
-    rows = table.orderBy("shard_id").limit(MAX_ROUTES + 1).collect()
-    if len(rows) > MAX_ROUTES:
-        raise ValueError(f"routing metadata has more than {MAX_ROUTES} rows")
-    return tuple(
-        Route(r.shard_id, r.shard_name, r.region, r.user_id_range_start, r.user_id_range_end, r.hostname, r.port, r.status)
-        for r in rows
+def find_route(rows: DataFrame, table: DataFrame, user_id: str = "user_id") -> DataFrame:
+    """Add `shard_id`, that of the active route of a metadata table which holds the user id, else NULL.
+
+    Ids meet routes of the same stretch of ids; a stretch is as long as the longest route, so a route is in two at most.
+    """
+    width = table.agg(F.max(F.col("user_id_range_end") - F.col("user_id_range_start") + 1)).first()[0] or 1
+    stretches = table.where("status = 'ACTIVE'").selectExpr(
+        "shard_id",
+        "user_id_range_start AS _low",
+        "user_id_range_end AS _high",
+        f"explode(sequence(user_id_range_start div {width}, user_id_range_end div {width})) AS _stretch",
     )
+    held = (F.expr(f"{user_id} div {width}") == F.col("_stretch")) & F.col(user_id).between(F.col("_low"), F.col("_high"))
+    return rows.join(stretches, held, "left").select(*rows.columns, "shard_id")
+
+
+def find_region_route(rows: DataFrame, table: DataFrame, region: str = "region") -> DataFrame:
+    """Add `shard_id`, that of the active route of a region in any letter case, else NULL."""
+    active = table.where("status = 'ACTIVE'").selectExpr("shard_id", "region AS _region")
+    return rows.join(active, F.upper(region) == F.col("_region"), "left").select(*rows.columns, "shard_id")
 
 
 def routing_view(table: DataFrame) -> DataFrame:

@@ -109,6 +109,7 @@ def validate_accounts(rows: DataFrame, users: DataFrame, line: str) -> DataFrame
     owners = users.select("user_id", "shard_location", F.col("region").alias("_owner_region"))
     filled = left_lookup(enrich_accounts(blanks_to_null(rows)), owners, ["shard_location", "user_id"])
     marked = mark_repeats(filled, ["shard_location", "account_number"], line, "_repeat")
+    marked = mark_repeats(marked, ["shard_location", "account_id"], line, "_repeat_id")
     rules: Rules = [
         ("user_not_found", F.col("_owner_region").isNull()),
         ("region_mismatch", F.upper("region") != F.upper("_owner_region")),
@@ -119,8 +120,9 @@ def validate_accounts(rows: DataFrame, users: DataFrame, line: str) -> DataFrame
         ("chk_region", _outside("region", REGIONS)),
         *_too_long("accounts", rows),
         ("duplicate_account_number", F.col("_repeat")),
+        ("duplicate_account_id", F.col("_repeat_id")),
     ]
-    return with_reasons(marked, rules, ACCOUNT_ERRORS).drop("_owner_region", "_repeat")
+    return with_reasons(marked, rules, ACCOUNT_ERRORS).drop("_owner_region", "_repeat", "_repeat_id")
 
 
 def routing_account() -> Column:

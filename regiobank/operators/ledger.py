@@ -244,9 +244,9 @@ def post_ledger(
         error_code(F.col("reason")).alias("error_code"),
         F.when(F.col("source").isNotNull(), F.col("source.shard")).otherwise(F.col("target.shard")).alias("shard_location"),
     )
-    changes = rounds.changes()
+    changes = rounds.changes().withColumn("as_of", F.lit(as_of).cast("timestamp"))
     return Posting(
-        outcome, apply_changes(accounts, changes, as_of), records_of(outcome, as_of), changes, rounds.number
+        outcome, apply_changes(accounts, changes), records_of(outcome, as_of), changes, rounds.number
     )
 
 
@@ -269,14 +269,14 @@ def records_of(outcome: DataFrame, as_of) -> DataFrame:
     )
 
 
-def apply_changes(accounts: DataFrame, changes: DataFrame, as_of) -> DataFrame:
-    """Accounts with the net of a batch added; last_updated moves on touched accounts."""
+def apply_changes(accounts: DataFrame, changes: DataFrame) -> DataFrame:
+    """Accounts with the net of their changes added; last_updated of touched accounts is that of the change."""
     key = ["shard_location", "account_number"]
     touched = F.col("net_cents").isNotNull()
     balance = F.when(touched, money(cents(F.col("balance")) + F.col("net_cents"))).otherwise(F.col("balance"))
-    updated = F.when(touched, F.lit(as_of).cast("timestamp")).otherwise(F.col("last_updated"))
+    updated = F.when(touched, F.col("as_of")).otherwise(F.col("last_updated"))
     return (
-        accounts.join(changes.select(*key, "net_cents"), key, "left")
+        accounts.join(changes.select(*key, "net_cents", "as_of"), key, "left")
         .withColumns({"balance": balance, "last_updated": updated})
         .select(*accounts.columns)
     )

@@ -14,7 +14,6 @@ from regiobank.sources.bank import Bank, only_region
 
 LIST_SEPARATOR = ", "
 PAGE_ROWS = 1000
-MAX_LIST_CHARS = 256 * 1024 * 1024
 
 
 def account_summary(bank: Bank, exact: bool = False) -> DataFrame:
@@ -44,7 +43,7 @@ def account_summary(bank: Bank, exact: bool = False) -> DataFrame:
     )
 
 
-def users_per_shard_pages(bank: Bank, page_rows: int = PAGE_ROWS) -> DataFrame:
+def users_per_shard(bank: Bank, page_rows: int = PAGE_ROWS) -> DataFrame:
     """User names of each shard in user_id order, in pages of a fixed number of names."""
     names = bank.users_all.select("shard_location", "user_id", "username")
     numbered = number_rows(names, by=["shard_location"], order=["user_id", "username"])
@@ -63,29 +62,6 @@ def users_per_shard_pages(bank: Bank, page_rows: int = PAGE_ROWS) -> DataFrame:
     )
 
 
-def users_per_shard(bank: Bank, max_chars: int = MAX_LIST_CHARS) -> DataFrame:
-    """One list of user names per shard, in user_id order.
-
-    A list is a single value, so its length is checked first and a longer one is an error; users_per_shard_pages
-    has no such limit.
-    """
-    length = F.sum(F.length("username") + len(LIST_SEPARATOR)).alias("chars")
-    longest = bank.users_all.groupBy("shard_location").agg(length).agg(F.max("chars")).first()[0]
-    if longest is not None and longest > max_chars:
-        raise ValueError(f"a list of {longest} characters is longer than {max_chars}; use users_per_shard_pages")
-    # Few rows are left by now: one per page of names.
-    pages = users_per_shard_pages(bank)
-    joined = F.array_join(
-        F.transform(F.array_sort(F.collect_list(F.struct("page", "users"))), lambda pair: pair["users"]),
-        LIST_SEPARATOR,
-    )
-    return (
-        pages.groupBy("shard_location")
-        .agg(F.sum("user_count").alias("user_count"), joined.alias("users"))
-        .orderBy(*ascending("shard_location"))
-    )
-
-
 def accounts_by_region_shard(bank: Bank) -> DataFrame:
     return (
         bank.accounts_all.groupBy("region", "shard_location")

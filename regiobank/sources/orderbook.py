@@ -51,9 +51,14 @@ def _day(offset: str) -> str:
     return f"TIMESTAMP '{FIRST_DAY}' + make_dt_interval(CAST({offset} AS INT))"
 
 
-def _bases() -> str:
-    """Number added to a customer key to get an id in the range of its region."""
-    return "CASE region " + " ".join(f"WHEN '{r.region}' THEN {r.first_id}" for r in ROUTES) + " END"
+def _user_ids() -> str:
+    """The customer key's place in the id range of its region; keys that don't fit in are an error."""
+    full = "CAST(raise_error(concat('no user id for customer ', c_custkey, ' in region ', region)) AS BIGINT)"
+    arms = [
+        f"WHEN '{r.region}' THEN IF(c_custkey BETWEEN 0 AND {r.last_id - r.first_id}, {r.first_id} + c_custkey, {full})"
+        for r in ROUTES
+    ]
+    return "CASE region " + " ".join(arms) + " END"
 
 
 def _shards() -> str:
@@ -67,7 +72,7 @@ def customers(spark: SparkSession, folder: str) -> DataFrame:
         .join(_table(spark, folder, "nation"), F.expr("c_nationkey = n_nationkey"))
         .join(_table(spark, folder, "region"), F.expr("n_regionkey = r_regionkey"))
         .selectExpr("*", "CASE r_name WHEN 'AMERICA' THEN 'NA' WHEN 'ASIA' THEN 'APAC' ELSE 'EU' END AS region")
-        .selectExpr("*", f"{_shards()} AS shard_location", f"{_bases()} + c_custkey AS user_id")
+        .selectExpr("*", f"{_shards()} AS shard_location", f"{_user_ids()} AS user_id")
     )
 
 
@@ -194,13 +199,14 @@ def order_batch(spark: SparkSession, folder: str) -> DataFrame:
     return _table(spark, folder, "orders")
 
 
-def order_stream(spark: SparkSession, folder: str) -> DataFrame:
-    return spark.readStream.schema(SCHEMAS["orders"]).option("pathGlobFilter", "orders*.parquet").parquet(folder)
+def order_stream(spark: SparkSession, path: str) -> DataFrame:
+    """Orders as a stream of the files under a path, one file for each micro-batch."""
+    return _stream(spark, "orders", path)
 
 
 def transfer_targets(spark: SparkSession, folder: str) -> DataFrame:
-    """All account numbers that transfers could go to; some do not exist."""
-    return order_batch(spark, folder).selectExpr(f"{TRANSFER_TARGET} AS account_number").distinct()
+    """The account number that each order's transfer could go to; they repeat, and some do not exist."""
+    return order_batch(spark, folder).selectExpr(f"{TRANSFER_TARGET} AS account_number")
 
 
 def faulty_requests(spark: SparkSession, folder: str) -> DataFrame:
@@ -237,7 +243,7 @@ def account_feed(spark: SparkSession, folder: str) -> DataFrame:
     """Incoming account rows with faults at regular places."""
     return raw_accounts(spark, folder).selectExpr(
         "account_id AS line",
-        "CASE WHEN account_id % 10 <> 0 THEN account_id END AS account_id",
+        "CASE WHEN account_id % 109 = 12 THEN 7 WHEN account_id % 10 <> 0 THEN account_id END AS account_id",
         "CASE WHEN account_id % 67 = 8 THEN user_id + 5000000 ELSE user_id END AS user_id",
         "CASE WHEN account_id % 103 = 11 THEN 'ACC-DUP' WHEN account_id % 10 <> 0 THEN account_number END "
         "AS account_number",
@@ -282,9 +288,35 @@ def event_transactions(events: DataFrame) -> DataFrame:
     )
 
 
-def event_stream(spark: SparkSession, folder: str) -> DataFrame:
-    stream = spark.readStream.schema(SCHEMAS["events"]).option("pathGlobFilter", "events.parquet").parquet(folder)
-    return event_transactions(stream)
+def on_shards(transactions: DataFrame, spark: SparkSession, folder: str) -> DataFrame:
+    """Add the shard that each transaction is booked on, that of the customer; NULL where there is none."""
+    homes = customers(spark, folder).selectExpr(f"{FIRST_ACCOUNT.format(key='c_custkey')} AS account_number", "shard_location")
+    return transactions.join(homes, "account_number", "left")
+
+
+def in_files(table: DataFrame, key: str, path: str, files: int = 3) -> str:
+    """The rows of a table in some files by ranges of a key, so that a stream takes them one after the other."""
+    low, high = table.agg(F.min(key), F.max(key)).first()
+    width = ((high or 0) - (low or 0)) // files + 1
+    for part in range(files):
+        begin = (low or 0) + part * width
+        rows = table.where((F.col(key) >= begin) & (F.col(key) < begin + width))
+        rows.coalesce(1).write.mode("overwrite").parquet(f"{path}/part={part}")
+    return path
+
+
+def _stream(spark: SparkSession, name: str, path: str) -> DataFrame:
+    reader = spark.readStream.schema(SCHEMAS[name]).option("maxFilesPerTrigger", "1")
+    return reader.option("recursiveFileLookup", "true").option("pathGlobFilter", "*.parquet").parquet(path)
+
+
+def event_stream(spark: SparkSession, path: str) -> DataFrame:
+    """Events as a stream of the files under a path, one file for each micro-batch."""
+    return event_transactions(_stream(spark, "events", path))
+
+
+def events(spark: SparkSession, folder: str) -> DataFrame:
+    return _table(spark, folder, "events")
 
 
 def event_batch(spark: SparkSession, folder: str) -> DataFrame:

@@ -8,13 +8,36 @@ from pyspark.sql import functions as F
 from regiobank.operators.onboarding import append_accounts, append_transactions, append_users
 from regiobank.sources.bank import Bank, create_bank, read_bank
 
-# Users per region in insert order; accounts as (owner's place, type, balance), numbered from ACC001
+# Users per region in insert order, with phone and address; accounts as (owner's place, type, balance), numbered from ACC001
 # on; transactions as (type, source, target, amount).
 USERS = {
     "NA": ["john_doe", "maria_garcia", "robert_smith", "jennifer_wilson", "david_brown"],
     "EU": ["jane_smith", "pierre_dupont", "hans_mueller", "sophia_rossi", "carlos_rodriguez"],
     "APAC": ["lee_wong", "yuki_tanaka", "raj_kumar", "wei_zhang", "min_choi"],
 }
+CONTACTS = {
+    "NA": [
+        ("555-0101", "123 Main St, New York, NY"),
+        ("555-0102", "456 Oak Ave, Los Angeles, CA"),
+        ("555-0103", "789 Pine Rd, Chicago, IL"),
+        ("555-0104", "321 Elm St, Houston, TX"),
+        ("555-0105", "654 Maple Dr, Phoenix, AZ"),
+    ],
+    "EU": [
+        ("+44-20-7123-4567", "10 Downing Street, London, UK"),
+        ("+33-1-2345-6789", "15 Rue de la Paix, Paris, France"),
+        ("+49-30-1234-5678", "Unter den Linden 1, Berlin, Germany"),
+        ("+39-02-1234-5678", "Via Roma 5, Milan, Italy"),
+        ("+34-91-123-4567", "Gran Via 1, Madrid, Spain"),
+    ],
+    "APAC": [
+        ("+86-10-1234-5678", "1 Chang'an Avenue, Beijing, China"),
+        ("+81-3-1234-5678", "1-1-1 Marunouchi, Tokyo, Japan"),
+        ("+91-11-2345-6789", "Connaught Place, New Delhi, India"),
+        ("+65-6-123-4567", "1 Marina Bay, Singapore"),
+        ("+82-2-123-4567", "1 Jongno-gu, Seoul, South Korea"),
+    ],
+}
 OWNERS = [1, 1, 2, 2, 3, 4, 5]
 TYPES = ["CHECKING", "SAVINGS", "CHECKING", "SAVINGS", "CHECKING", "SAVINGS", "CHECKING"]
 BALANCES = {
@@ -39,10 +62,10 @@ TRANSACTIONS = [
 
 
 def user_requests(spark: SparkSession) -> DataFrame:
-    names = [(name, region) for region, users in USERS.items() for name in users]
+    people = [(name, *contact, region) for region, users in USERS.items() for name, contact in zip(users, CONTACTS[region])]
     rows = [
-        (i, None, name, f"{name.replace('_', '.')}@example.com", name.replace("_", " ").title(), None, None, region)
-        for i, (name, region) in enumerate(names, 1)
+        (i, None, name, f"{name.replace('_', '.')}@example.com", name.replace("_", " ").title(), phone, address, region)
+        for i, (name, phone, address, region) in enumerate(people, 1)
     ]
     return spark.createDataFrame(
         rows,

@@ -36,14 +36,18 @@ def closed_days(transactions: DataFrame, days_late: int = 1) -> DataFrame:
 
 
 def regional_totals(transactions: DataFrame, accounts: DataFrame) -> DataFrame:
-    """Totals per region of the account a batch of transactions is booked on, aggregated per account first."""
+    """Totals per region of the account a batch of transactions is booked on, aggregated per account first.
+
+    Transactions carry the shard they are booked on; a number alone may stand for accounts of several shards.
+    """
     measures = ["total_transactions", *TYPE_COUNTS, *TYPE_TOTALS]
-    per_account = transactions.groupBy("account_number").agg(
+    key = ["shard_location", "account_number"]
+    per_account = transactions.groupBy(*key).agg(
         F.count(F.lit(1)).alias("total_transactions"),
         *[count_of("transaction_type", kind).alias(name) for name, kind in TYPE_COUNTS.items()],
         *[sum_of_type(kind).alias(name) for name, kind in TYPE_TOTALS.items()],
     )
-    placed = per_account.join(accounts.select("account_number", "region"), "account_number")
+    placed = per_account.join(accounts.select(*key, "region"), key)
     return placed.groupBy("region").agg(*[F.sum(m).alias(m) for m in measures])
 
 

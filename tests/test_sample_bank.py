@@ -5,7 +5,7 @@ from decimal import Decimal
 import pytest
 from pyspark.sql import functions as F
 
-from regiobank.functions.routing import region_shard_id, routes_of, routing_table, routing_view, user_shard_id
+from regiobank.functions.routing import find_region_route, find_route, region_shard_id, routing_table, routing_view, user_shard_id
 from regiobank.operators import lookups
 from regiobank.operators.ledger import post_ledger
 from regiobank.plans import dashboard, reports
@@ -100,11 +100,9 @@ def test_overall_bands_share_and_summary(bank):
 
 
 def test_lists(bank):
-    lists = {r.shard_location: (r.user_count, r.users) for r in reports.users_per_shard(bank).collect()}
-    assert lists["SHARD1"] == (5, "john_doe, maria_garcia, robert_smith, jennifer_wilson, david_brown")
-    with pytest.raises(ValueError, match="users_per_shard_pages"):
-        reports.users_per_shard(bank, max_chars=20)
-    pages = reports.users_per_shard_pages(bank, page_rows=2).where("shard_location = 'SHARD3'").orderBy("page").collect()
+    lists = {r.shard_location: (r.page, r.user_count, r.users) for r in reports.users_per_shard(bank).collect()}
+    assert lists["SHARD1"] == (0, 5, "john_doe, maria_garcia, robert_smith, jennifer_wilson, david_brown")
+    pages = reports.users_per_shard(bank, page_rows=2).where("shard_location = 'SHARD3'").orderBy("page").collect()
     assert [p.users for p in pages] == ["lee_wong, yuki_tanaka", "raj_kumar, wei_zhang", "min_choi"]
     assert rows(reports.user_accounts(bank)) == [
         ("ACC001", "CHECKING", 5000.0, "NA", "john_doe", "John Doe"),
@@ -117,13 +115,15 @@ def test_routing(spark, bank):
     table = routing_table(spark)
     ids = [0, 1, 10_000_000, 10_000_001, 20_000_000, 20_000_001, 30_000_000, 30_000_001, None, 5_000_000]
     keys = spark.createDataFrame([(i,) for i in ids], "user_id bigint")
-    routes = routes_of(table)
-    got = [r[0] for r in keys.select(user_shard_id(F.col("user_id"), routes)).collect()]
+    got = [r[0] for r in keys.select(user_shard_id(F.col("user_id"))).collect()]
     assert got == [None, 1, 1, 2, 2, 3, 3, None, None, 1]
-    closed = routes_of(table.withColumn("status", F.when(F.col("shard_id") == 2, "MAINTENANCE").otherwise(F.col("status"))))
+    assert {r.user_id: r.shard_id for r in find_route(keys, table).collect()} == dict(zip(ids, got))
+    closed = table.withColumn("status", F.when(F.col("shard_id") == 2, "MAINTENANCE").otherwise(F.col("status")))
     regions = spark.createDataFrame([("NA",), ("eu",), ("apac",), ("XX",), (None,)], "region string")
-    assert [r[0] for r in regions.select(region_shard_id(F.col("region"), routes)).collect()] == [1, 2, 3, None, None]
-    assert [r[0] for r in regions.select(region_shard_id(F.col("region"), closed)).collect()] == [1, None, 3, None, None]
+    assert [r[0] for r in regions.select(region_shard_id(F.col("region"))).collect()] == [1, 2, 3, None, None]
+    found = {r.region: r.shard_id for r in find_region_route(regions, closed).collect()}
+    assert found == {"NA": 1, "eu": None, "apac": 3, "XX": None, None: None}
+    assert {r.user_id: r.shard_id for r in find_route(keys, closed).collect()}[20_000_000] is None
     assert [r.id_range_size for r in routing_view(table).collect()] == [10_000_000] * 3
     names = spark.createDataFrame([("john_doe",), ("min_choi",), ("nobody",)], "username string")
     found = {r.username: (r.user_id, r.region, r.shard_location) for r in lookups.find_users(names, bank).collect()}

@@ -1,7 +1,10 @@
 """Streams against their batch forms; replays change nothing."""
 
+from decimal import Decimal
+
 import pytest
 
+from regiobank.model import REQUESTS
 from regiobank.operators.ledger import post_ledger
 from regiobank.sources import orderbook
 from regiobank.streaming import live, posting
@@ -40,7 +43,7 @@ def test_posting_in_micro_batches_equals_one_batch(spark, split_orders, tmp_path
     assert requests.count() == n and requests.select("batch").distinct().count() == 3
     whole = post_ledger(accounts, orderbook.ledger_requests(orderbook.order_batch(spark, FOLDER)), AS_OF)
     key = ["account_number", "shard_location", "balance"]
-    streamed = posting.current_accounts(accounts, root, AS_OF).select(*key)
+    streamed = posting.current_accounts(accounts, root).select(*key)
     assert streamed.exceptAll(whole.accounts.select(*key)).count() == 0
     assert requests.where("status = 'COMPLETED'").count() == whole.transactions.count()
 
@@ -50,39 +53,61 @@ def test_posting_in_micro_batches_equals_one_batch(spark, split_orders, tmp_path
     )
     replay = spark.createDataFrame(batch.collect(), batch.schema)
     posting.post_batch(replay, 1, accounts, root, AS_OF)
-    assert sorted(map(tuple, posting.current_accounts(accounts, root, AS_OF).select(*key).collect())) == before
+    assert sorted(map(tuple, posting.current_accounts(accounts, root).select(*key).collect())) == before
+
+
+def test_accounts_keep_the_date_of_their_last_batch(spark, tmp_path):
+    accounts = orderbook.accounts(spark, FOLDER).where("status = 'ACTIVE'").orderBy("account_id").limit(2)
+    numbers = [r.account_number for r in accounts.collect()]
+    root = str(tmp_path / "posted")
+    posting.prepare(spark, root)
+    for batch in range(5):
+        request = [(batch, "DEPOSIT", None, numbers[batch % 2 if batch < 4 else 0], Decimal(1), "x")]
+        moment = f"2024-0{batch + 1}-01 00:00:00"
+        for _ in range(2):  # a replay changes nothing
+            posting.post_batch(spark.createDataFrame(request, REQUESTS), batch, accounts, root, moment, snapshot_every=2)
+    before = {r.account_number: r.balance for r in accounts.collect()}
+    after = {r.account_number: (r.balance, str(r.last_updated)[:10]) for r in posting.current_accounts(accounts, root).collect()}
+    assert after == {numbers[0]: (before[numbers[0]] + 3, "2024-05-01"), numbers[1]: (before[numbers[1]] + 2, "2024-04-01")}
+    assert spark.read.parquet(f"{root}/snapshots").select("batch").distinct().count() == 2
+
+
+def test_a_number_on_two_shards_counts_in_one_region(spark):
+    accounts = spark.createDataFrame([("A", "SHARD1", "NA"), ("A", "SHARD2", "EU")], "account_number string, shard_location string, region string")
+    rows = [("A", "SHARD1", "DEPOSIT", Decimal(5))]
+    events = spark.createDataFrame(rows, "account_number string, shard_location string, transaction_type string, amount decimal(15,2)")
+    got = live.regional_totals(events, accounts).collect()
+    assert [(r.region, r.total_transactions) for r in got] == [("NA", 1)]
+
+
+@pytest.fixture(scope="module")
+def event_files(spark, tmp_path_factory):
+    return orderbook.in_files(orderbook.events(spark, FOLDER), "event_id", str(tmp_path_factory.mktemp("events")))
 
 
-def test_closed_days_equal_batch(spark, tmp_path):
+def test_closed_days_equal_batch(spark, tmp_path, event_files):
     out = str(tmp_path / "days")
-    stream = live.daily_volume(orderbook.event_stream(spark, FOLDER))
+    stream = live.daily_volume(orderbook.event_stream(spark, event_files))
     live.run_append(stream, out, str(tmp_path / "checkpoint"))
     streamed = spark.read.schema(stream.schema).parquet(out)
     batch = live.closed_days(orderbook.event_batch(spark, FOLDER))
     assert sorted(map(tuple, streamed.collect())) == sorted(map(tuple, batch.collect()))
 
 
-def test_live_totals_equal_batch(spark, tmp_path):
+def test_live_totals_equal_batch(spark, tmp_path, event_files):
     out = str(tmp_path / "overall")
-    live.run_complete(live.overall_totals(orderbook.event_stream(spark, FOLDER)), out, str(tmp_path / "checkpoint"))
+    live.run_complete(live.overall_totals(orderbook.event_stream(spark, event_files)), out, str(tmp_path / "checkpoint"))
     wanted = live.overall_totals(orderbook.event_batch(spark, FOLDER)).collect()
     assert live.latest_totals(spark, out).collect() == wanted
 
 
-def test_regional_totals_over_micro_batches_equal_batch(spark, tmp_path):
+def test_regional_totals_over_micro_batches_equal_batch(spark, tmp_path, event_files):
     accounts = orderbook.accounts(spark, FOLDER)
-    events = spark.read.schema(orderbook.SCHEMAS["events"]).parquet(f"{FOLDER}/events.parquet")
-    for part in range(3):
-        events.where(f"event_id % 3 = {part}").coalesce(1).write.parquet(str(tmp_path / "events" / f"part={part}"))
-    stream = orderbook.event_transactions(
-        spark.readStream.schema(orderbook.SCHEMAS["events"])
-        .option("recursiveFileLookup", "true")
-        .option("maxFilesPerTrigger", "1")
-        .parquet(str(tmp_path / "events"))
-    )
+    stream = orderbook.on_shards(orderbook.event_stream(spark, event_files), spark, FOLDER)
     out = str(tmp_path / "regions")
     live.run_regional_totals(stream, accounts, out, str(tmp_path / "checkpoint"))
     assert spark.read.parquet(out).select("batch").distinct().count() == 3
-    wanted = live.regional_totals(orderbook.event_batch(spark, FOLDER), accounts).collect()
+    batch = orderbook.on_shards(orderbook.event_batch(spark, FOLDER), spark, FOLDER)
+    wanted = live.regional_totals(batch, accounts).collect()
     got = live.live_regional_totals(spark, out).collect()
     assert sorted(tuple(map(str, r)) for r in got) == sorted(tuple(map(str, r)) for r in wanted)

@@ -5,8 +5,8 @@ token of a prefix can be found from shorter prefixes: it is the one token that e
 of the prefix before it. One pass over a word therefore gives the token count of each of its prefixes, and these counts
 answer how long a text is, where a budget ends, and how long any truncation is, without encoding again.
 
-Texts are cut where a single blank stands between two non-blank characters. Tokens never cross such a cut, and the same
-pieces come up again and again, so each task keeps the counts of the pieces it has seen, up to a bound.
+The vocabulary's pattern splits texts into words first, and tokens never cross from one word to the next. The same words
+come up again and again, so each task keeps what it has counted, up to a bound.
 """
 
 from __future__ import annotations
@@ -23,20 +23,22 @@ from tokenizers import Tokenizer
 from regiobank.llm.common import map_arrow, slices
 
 LIMIT = 512
-KEPT_PIECES = 400_000
+KEPT_WORDS = 500_000
+KEPT_PAIRS = 1_000_000
 #: White space as the vocabulary's splitting pattern understands it; fixed values.
 _BLANK = [*range(9, 14), 32, 133, 160, 5760, *range(8192, 8203), 8232, 8233, 8239, 8287, 12288]
 _BLANKS = re.compile(f"[{''.join(map(chr, _BLANK))}]{{2,}}")
-_BLANK_BY_BLANK = re.compile(r"\s | \s")
-_CUT = re.compile(r"(?<!\s) (?!\s)")
+#: Characters whose classes all Unicode versions agree on, and how the vocabulary's pattern splits texts of them;
+#: fixed values.
+COMMON = re.compile(r"[\t\n\r\x20-\x7E\xA0-ɏ‐-‧‰-›]*")
+_LETTERS = r"A-Za-z\xAA\xB5\xBA\xC0-\xD6\xD8-\xF6\xF8-ɏ"
+_DIGITS = r"0-9\xB2\xB3\xB9\xBC-\xBE"
+_WORDS = re.compile(
+    rf"'s|'t|'re|'ve|'m|'ll|'d| ?[{_LETTERS}]+| ?[{_DIGITS}]+| ?[^\s{_LETTERS}{_DIGITS}]+|\s+(?!\S)|\s+"
+)
 _THREE = ("'re", "'ve", "'ll")
 
 
-def pieces(text: str) -> list[str]:
-    """Parts of a text that encode independently. All but the first have lost the blank that belongs before them."""
-    return _CUT.split(text) if _BLANK_BY_BLANK.search(text) else text.split(" ")
-
-
 class PrefixCounter:
     """Token counts of prefixes under one vocabulary."""
 
@@ -52,34 +54,58 @@ class PrefixCounter:
         self.words = {w: i for w, i in words.items() if self._own_tokens(w) == [w]}
         self.names = {i: w for w, i in self.words.items()}
         self.longest = max(map(len, self.words))
+        # the byte alphabet: printable bytes stand for themselves, the others follow from 256 on
+        shown = [b for b in range(256) if 33 <= b <= 126 or 161 <= b <= 172 or 174 <= b]
+        self.shown = {b: chr(256 + n) for n, b in enumerate(b for b in range(256) if b not in shown)}
+        self.blank = self.shown[ord(" ")]
         self._agrees: dict[int, bool] = {}
-        self._later: dict[str, bytes | tuple] = {}
-        self._first: dict[str, bytes | tuple] = {}
+        self._words: dict[str, list[int]] = {}
+        self._texts: dict[str, bytes | tuple] = {}
 
     def _own_tokens(self, word: str) -> list[str]:
         return [token.value for token in self.model.tokenize(word)]
 
     def _agree(self, one: int, two: int) -> bool:
-        key = one << 32 | two
-        known = self._agrees.get(key)
-        if known is None:
-            if len(self._agrees) >= KEPT_PIECES:
-                self._agrees.clear()
-            left, right = self.names[one], self.names[two]
-            known = self._agrees[key] = self._own_tokens(left + right) == [left, right]
+        if len(self._agrees) >= KEPT_PAIRS:
+            self._agrees.clear()
+        left, right = self.names[one], self.names[two]
+        known = self._agrees[one << 32 | two] = self._own_tokens(left + right) == [left, right]
         return known
 
-    def word_counts(self, word: str) -> list[int]:
-        """Tokens of every prefix of a word given in the vocabulary's byte alphabet, by bytes."""
-        ids, longest, agree = self.words, self.longest, self._agree
-        last, count = [-1] * (len(word) + 1), [0] * (len(word) + 1)
-        for end in range(1, len(word) + 1):
-            for start in range(max(0, end - longest), end):
-                token = ids.get(word[start:end])
-                if token is not None and (not start or agree(last[start], token)):
-                    last[end], count[end] = token, count[start] + 1
+    def learn(self, words: set[str]) -> None:
+        """Count the prefixes of new words (in the vocabulary's byte alphabet). In order, neighbours share prefixes."""
+        ids, longest, agrees, kept = self.words, self.longest, self._agrees, self._words
+        last, count, before = [-1], [0], ""
+        for word in sorted(words):
+            same = 0
+            for one, two in zip(word, before):
+                if one != two:
                     break
-        return count
+                same += 1
+            del last[same + 1 :], count[same + 1 :]
+            for end in range(same + 1, len(word) + 1):
+                for start in range(max(0, end - longest), end):
+                    token = ids.get(word[start:end])
+                    if token is None:
+                        continue
+                    if start:
+                        key = last[start] << 32 | token
+                        agree = agrees.get(key)
+                        if not (self._agree(last[start], token) if agree is None else agree):
+                            continue
+                    last.append(token)
+                    count.append(count[start] + 1)
+                    break
+            kept[word] = count.copy()
+            before = word
+
+    def word_counts(self, word: str) -> list[int]:
+        """Tokens of every prefix of a word, by bytes."""
+        if word not in self._words:
+            if len(self._words) > 1000:
+                self._words.clear()
+            self.learn({word})
+        return self._words[word]
 
     def _plain_counts(self, text: str) -> list[int]:
         """Counts by characters, of a text without special tokens."""
@@ -114,49 +140,57 @@ class PrefixCounter:
             at = found.end()
         return out + [base + n for n in self._plain_counts(text[at:])[1:]]
 
-    def _piece(self, piece: str, first: bool) -> bytes | tuple:
-        """Counts after each character of a piece, with its blank before it if it is not the first."""
-        kept = self._first if first else self._later
-        known = kept.get(piece)
-        if known is None:
-            if len(kept) >= KEPT_PIECES:
-                kept.clear()
-            counts = self.counts(piece if first else " " + piece)
-            known = kept[piece] = bytes(counts) if max(counts) < 256 else tuple(counts)
-        return known
-
-    def by_piece(self, text: str) -> list[bytes | tuple]:
-        first, *later = pieces(text)
-        get, found = self._later.get, [self._piece(first, True)]
-        for piece in later:
-            found.append(get(piece) or self._piece(piece, False))
-        return found
-
     def all_counts(self, text: str) -> np.ndarray:
         """Tokens of text[:n] for every n from 0."""
-        out, base = [np.zeros(1, np.int32)], 0
-        for part in self.by_piece(text):
-            out.append(np.array(list(part[1:]), np.int32) + base)
-            base += part[-1]
-        return np.concatenate(out)
+        return np.array(self.counts(text), np.int32)
+
+    def _shown(self, word: str) -> str:
+        """A word in the vocabulary's byte alphabet."""
+        return word.encode().decode("latin-1").translate(self.shown)
+
+    def summaries(self, texts: list[str], limit: int) -> list[tuple[int, int]]:
+        """Tokens of each text, and the length of its longest prefix of at most `limit` tokens.
+
+        Words that are new are counted together; what is known of a word serves every text.
+        """
+        split = [_WORDS.findall(text) if COMMON.fullmatch(text) and not self.find_special.search(text) else None for text in texts]
+        kept = self._texts
+        new = {word for words in split if words for word in words if word not in kept}
+        if len(kept) + len(new) > KEPT_WORDS:
+            kept.clear()
+            new = {word for words in split if words for word in words}
+        shown = {word: self._shown(word) for word in new}
+        self.learn(set(shown.values()))
+        for word, name in shown.items():
+            counts = self._words[name]
+            kept[word] = bytes(counts) if counts[-1] < 256 else tuple(counts)
+        self._words.clear()
+        out = []
+        for text, words in zip(texts, split):
+            if words is None:
+                counts = self.counts(text)
+                out.append((counts[-1], max(n for n, count in enumerate(counts) if count <= limit)))
+                continue
+            total = sum([kept[word][-1] for word in words])
+            out.append((total, len(text) if total <= limit else self._fitting(text, words, limit)))
+        return out
 
-    def total(self, parts: list[bytes | tuple]) -> int:
-        return sum([part[-1] for part in parts])
+    def _fitting(self, text: str, words: list[str], limit: int) -> int:
+        """Longest prefix within the limit: by whole words to the last cut before it, then by characters.
 
-    @staticmethod
-    def fitting(parts: list[bytes | tuple], limit: int) -> int:
-        """Length in characters of the longest prefix of at most `limit` tokens."""
-        base = place = best = 0
-        for part in parts:
-            if base >= limit:
-                break
-            if base + part[-1] <= limit:
-                best = place + len(part) - 1
-            else:
-                best = place + max(n for n, count in enumerate(part) if base + count <= limit)
-            base += part[-1]
-            place += len(part) - 1
-        return best
+        A cut is a blank between two non-blanks. Token counts of the text up to there are those of its words.
+        """
+        base = place = cut = cut_base = 0
+        blank = True
+        for word in words:
+            if not blank and word[0] == " " and len(word) > 1:
+                if base >= limit:
+                    break
+                cut, cut_base = place, base
+            base += self._texts[word][-1]
+            place += len(word)
+            blank = word[-1].isspace()
+        return cut + max(n for n, count in enumerate(self.counts(text[cut:place])) if cut_base + count <= limit)
 
 
 _counters: dict[str, PrefixCounter] = {}
@@ -181,11 +215,7 @@ def token_counts(docs: DataFrame, path: str, limit: int = LIMIT) -> DataFrame:
         count = counter(path)
         for batch in slices(batches):
             texts = [text or "" for text in batch.column("text").to_pylist()]
-            totals, fits = [], []
-            for text in texts:
-                parts = count.by_piece(text)
-                totals.append(count.total(parts))
-                fits.append(len(text) if totals[-1] <= limit else count.fitting(parts, limit))
+            totals, fits = zip(*count.summaries(texts, limit))
             sizes = pa.array([len(text.encode()) for text in texts], pa.int64())
             rows = [batch.column("doc_id"), sizes, pa.array(totals, pa.int64()), pa.array(fits, pa.int64())]
             yield pa.RecordBatch.from_arrays(rows, ["doc_id", "n_bytes", "n_tokens", "fits_chars"])

@@ -19,6 +19,17 @@ def library(text):
     return len(LIBRARY.encode(text, add_special_tokens=False).ids)
 
 
+COMMON = ["don't", "we'll", "'re", "'r", "  ", " ", "\n", "\t", "\xa0", "a", "The", "é", "!!", "'", "½", "12", "…", "ı", " x", "\r\n"]
+
+
+@settings(max_examples=300, deadline=None)
+@given(st.lists(st.sampled_from(COMMON), max_size=12))
+def test_common_texts(parts):
+    text = "".join(parts)
+    assert tokens.COMMON.fullmatch(text)
+    test_every_prefix.hypothesis.inner_test([text])
+
+
 @settings(max_examples=300, deadline=None)
 @given(st.lists(st.one_of(st.sampled_from(PARTS), st.text(max_size=4)), max_size=9))
 def test_every_prefix(parts):
@@ -26,9 +37,9 @@ def test_every_prefix(parts):
     wanted = [library(text[:n]) for n in range(len(text) + 1)]
     assert COUNTER.counts(text) == wanted
     assert COUNTER.all_counts(text).tolist() == wanted
-    found = COUNTER.by_piece(text)
     for limit in (0, 1, 3, 7):
-        assert COUNTER.fitting(found, limit) == max(n for n, count in enumerate(wanted) if count <= limit)
+        fits = max(n for n, count in enumerate(wanted) if count <= limit)
+        assert COUNTER.summaries([text], limit) == [(wanted[-1], fits)]
 
 
 def test_query_equals_library(spark, folder, documents):
@@ -58,7 +69,10 @@ def test_edges(spark, table):
 
 
 def test_bounded_memory(monkeypatch):
-    monkeypatch.setattr(tokens, "KEPT_PIECES", 3)
+    monkeypatch.setattr(tokens, "KEPT_WORDS", 3)
+    monkeypatch.setattr(tokens, "KEPT_PAIRS", 2)
     small = tokens.PrefixCounter(PATH)
     text = "one two three four five six one two three"
-    assert small.all_counts(text)[-1] == library(text) and len(small._later) <= 3
+    for part in (text, "seven " + text, "one two"):
+        assert small.summaries([part], 99) == [(library(part), len(part))]
+    assert len(small._texts) <= 3

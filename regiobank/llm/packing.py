@@ -12,18 +12,22 @@ No text is shuffled, and a block is packed from its own row alone.
 
 from __future__ import annotations
 
+import json
+import re
 import zlib
 from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import tiktoken
 from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from tokenizers import Tokenizer
+from tokenizers.pre_tokenizers import ByteLevel
 
 from regiobank.llm.common import map_arrow, slices
-from regiobank.llm.tokens import pieces
+from regiobank.llm.tokens import COMMON
 from regiobank.sources.scratch import stage
 
 WINDOW = 2048
@@ -32,31 +36,54 @@ BLOCK_TOKENS = 1 << 20
 BLOCK_ROWS = 4096
 QUERY_TERMS = 24
 K1, B = 1.2, 0.75
-KEPT_PIECES = 400_000
+NEAR = 128
+#: How byte-level vocabularies of this family split text; a fixed value.
+_PATTERN = r"""'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"""
 
 
 class Encoder:
-    """Token ids of texts under one vocabulary file; pieces seen before are not encoded again."""
+    """Token ids of texts under one vocabulary file of `tokenizers`.
+
+    Texts of common characters go through `tiktoken`, which applies the same merges several times faster, if the
+    vocabulary allows it: ids in the order of the merges, and every token the encoding of its own text. Then both apply
+    the same merges in the same order. Texts with other characters or special strings go through `tokenizers`.
+    """
 
     def __init__(self, path: str):
         self.tokenizer = Tokenizer.from_file(path)
         self.size = self.tokenizer.get_vocab_size()
-        self._later: dict[str, bytes] = {}
-
-    def _ids(self, texts: list[str]) -> list[bytes]:
-        return [np.array(e.ids, "<u4").tobytes() for e in self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)]
+        marks = [token.content for token in self.tokenizer.get_added_tokens_decoder().values()]
+        self.find_mark = re.compile("|".join(map(re.escape, marks)) or r"(?!)")
+        self.fast = self._ranked(path)
+
+    def _ranked(self, path: str) -> tiktoken.Encoding | None:
+        with open(path, encoding="utf-8") as file:
+            model = json.load(file)["model"]
+        words = self.tokenizer.get_vocab(with_added_tokens=False)
+        merged = [words.get("".join(pair.split(" ") if isinstance(pair, str) else pair)) for pair in model.get("merges", [])]
+        plain = isinstance(self.tokenizer.pre_tokenizer, ByteLevel) and self.tokenizer.normalizer is None
+        if not plain or None in merged or merged != sorted(merged) or len(merged) + 256 != len(words):
+            return None
+        if any([token.value for token in self.tokenizer.model.tokenize(word)] != [word] for word in words):
+            return None
+        # the byte alphabet: printable bytes stand for themselves, the others follow from 256 on
+        shown = [b for b in range(256) if 33 <= b <= 126 or 161 <= b <= 172 or 174 <= b]
+        byte_of = {chr(b): b for b in shown} | {chr(256 + n): b for n, b in enumerate(b for b in range(256) if b not in shown)}
+        ranks = {bytes(byte_of[char] for char in word): number for word, number in words.items()}
+        return tiktoken.Encoding("ranked", pat_str=_PATTERN, mergeable_ranks=ranks, special_tokens={})
 
     def encode(self, texts: list[str]) -> list[np.ndarray]:
-        parts = [pieces(text) for text in texts]
-        known = self._later
-        new = {piece for part in parts for piece in part[1:]}.difference(known)
-        if len(known) + len(new) > KEPT_PIECES:
-            known.clear()
-            new = {piece for part in parts for piece in part[1:]}
-        new = list(new)
-        known.update(zip(new, self._ids([" " + piece for piece in new])))
-        first = self._ids([part[0] for part in parts])
-        return [np.frombuffer(b"".join([head, *map(known.__getitem__, part[1:])]), "<u4") for head, part in zip(first, parts)]
+        out: list[np.ndarray | None] = [None] * len(texts)
+        slow = []
+        for number, text in enumerate(texts):
+            if self.fast and COMMON.fullmatch(text) and not self.find_mark.search(text):
+                out[number] = np.array(self.fast.encode_ordinary(text), "<u4")
+            else:
+                slow.append(number)
+        found = self.tokenizer.encode_batch_fast([texts[n] for n in slow], add_special_tokens=False)
+        for number, encoding in zip(slow, found):
+            out[number] = np.array(encoding.ids, "<u4")
+        return out
 
 
 _encoders: dict[str, Encoder] = {}
@@ -87,17 +114,18 @@ class _Open:
         self.number, self.kind = number, kind
         self.rows: list[tuple] = []
         self.ids: list[np.ndarray] = []
+        self.terms: list[np.ndarray] = []
         self.tokens = 0
 
     def add(self, doc_id, doc_tokens: int, start: int, ids: np.ndarray) -> None:
         self.rows.append((doc_id, doc_tokens, start, len(ids)))
         self.ids.append(ids.astype(self.kind))
+        self.terms.append(np.unique(self.ids[-1]))
         self.tokens += len(ids)
 
     def row(self) -> dict:
         doc_ids, doc_tokens, starts, lengths = zip(*self.rows)
-        held = np.unique(np.repeat(np.arange(len(lengths)), lengths) << 32 | np.concatenate(self.ids).astype(np.int64))
-        terms, documents = np.unique(held & 0xFFFFFFFF, return_counts=True)
+        terms, documents = np.unique(np.concatenate(self.terms), return_counts=True)
         return {
             "block": self.number, "doc_ids": doc_ids, "doc_tokens": doc_tokens, "starts": starts, "lengths": lengths,
             "ids": np.concatenate(self.ids).tobytes(), "terms": terms, "documents": documents,
@@ -150,8 +178,9 @@ class Shard:
 
     def __init__(self, ids: np.ndarray, lengths: np.ndarray, documents: np.ndarray, count: int, mean: float):
         size = len(documents)
-        held, times = np.unique(np.repeat(np.arange(len(lengths)), lengths) * size + ids, return_counts=True)
-        doc, term = held // size, held % size
+        found = [np.unique(part, return_counts=True) for part in np.split(ids, np.cumsum(lengths)[:-1])]
+        term, times = (np.concatenate(parts).astype(np.int64) for parts in zip(*found))
+        doc = np.repeat(np.arange(len(lengths)), [len(terms) for terms, _ in found])
         idf = np.log1p((count - documents[term] + 0.5) / (documents[term] + 0.5))
         self.by_doc = (term, idf * times, np.searchsorted(doc, np.arange(len(lengths) + 1)))
         weight = idf * times * (K1 + 1) / (times + K1 * (1 - B + B * lengths[doc] / mean))
@@ -183,6 +212,21 @@ def pack(index: Shard, lengths: np.ndarray, window: int) -> list[list[tuple[int,
         left[doc] -= n
         return n
 
+    def fill(sequence: list, near: np.ndarray, room: int) -> int:
+        """Take what fits as a whole, nearest first; then cut the nearest one that is left."""
+        at = 0
+        while room and at < len(near):
+            fits = np.flatnonzero(left[near[at:]] <= room)
+            if not len(fits):
+                break
+            at += int(fits[0])
+            room -= take(sequence, int(near[at]), room)
+            at += 1
+        rest = near[left[near] > 0]
+        if room and len(rest):
+            room -= take(sequence, int(rest[0]), room)
+        return room
+
     for seed in np.argsort(-lengths, kind="stable").tolist():
         if not left[seed]:
             continue
@@ -190,19 +234,14 @@ def pack(index: Shard, lengths: np.ndarray, window: int) -> list[list[tuple[int,
         room = window - take(sequence, seed, window)
         if room:
             scores = np.where(left > 0, index.scores(seed), -1.0)
-            near = np.argsort(-scores, kind="stable")
-            near = near[left[near] > 0]  # unused ones, by score; those without common terms come last, in order
-            at = 0
-            while room and at < len(near):
-                fits = np.flatnonzero(left[near[at:]] <= room)
-                if not len(fits):
+            best = np.argpartition(-scores, NEAR)[:NEAR] if len(scores) > NEAR else np.arange(len(scores))
+            for most in (best, None):
+                # the nearest ones first; only if all of them are used up, the other unused documents
+                if most is None and (not room or left[best].any()):
                     break
-                at += int(fits[0])
-                room -= take(sequence, int(near[at]), room)
-                at += 1
-            rest = near[left[near] > 0]
-            if room and len(rest):
-                room -= take(sequence, int(rest[0]), room)
+                near = np.flatnonzero(left) if most is None else most
+                near = near[np.argsort(-scores[near], kind="stable")]
+                room = fill(sequence, near[left[near] > 0], room)
         out.append(sequence)
     return out
 

@@ -61,3 +61,10 @@ def test_edges(spark, table):
     rows = packing.pack_documents(table([(7, "a b"), (7, "a b"), (None, "a b")]), PATH).collect()
     assert sum(r.length for r in rows) == 3 * len(ids_of("a b"))
     assert packing.pack_documents(table([]), PATH).collect() == []
+
+
+def test_encoder_equals_library():
+    code = packing.Encoder(PATH)
+    assert code.fast is not None
+    texts = ["", " a", "We'll  see\n\n the\tend ", "Été ñandú ÄÖÜß", "日本 😀", "x <|endoftext|> y", "’quote’ – 12½", "a\x1cb", "-" * 70 + "ing"]
+    assert [ids.tolist() for ids in code.encode(texts)] == [LIBRARY.encode(t, add_special_tokens=False).ids for t in texts]

@@ -19,7 +19,8 @@ from regiobank.operators.ledger import Posting, post_ledger  # noqa: E402
 from regiobank.operators.requests import generate_requests, validate_requests  # noqa: E402
 from regiobank.plans import dashboard, reports  # noqa: E402
 from regiobank.sources import orderbook  # noqa: E402
-from regiobank.sources.bank import Bank, only_shard  # noqa: E402
+from regiobank.plans.catalog import register_views  # noqa: E402
+from regiobank.sources.bank import Bank, only_shard, read_bank, write_bank  # noqa: E402
 from regiobank.sources.formatting import format_account_count, format_balance, format_result  # noqa: E402
 from regiobank.sources.scratch import scratch_path  # noqa: E402
 from regiobank.streaming import live, posting  # noqa: E402
@@ -119,10 +120,24 @@ def _assigned_users(spark: SparkSession, folder: str) -> DataFrame:
     return numbering.assign_user_ids(accepted, nobody, "line").select("line", "user_id", "region")
 
 
+def _store(spark: SparkSession, folder: str) -> str:
+    """The bank as a new store."""
+    root = scratch_path(spark, "store")
+    write_bank(orderbook.load_bank(spark, folder), root)
+    return root
+
+
+def _of_batch(table: DataFrame, column: str = "created_date") -> DataFrame:
+    return table.where(F.col(column) == F.lit(AS_OF).cast("timestamp"))
+
+
 def _appended_users(spark: SparkSession, folder: str) -> DataFrame:
-    feed = orderbook.user_feed(spark, folder).drop("shard_location")
-    users, _ = onboarding.new_users(feed, orderbook.load_bank(spark, folder), "line", AS_OF)
-    return users.select("line", "user_id", "username", "email", "region", "created_date", "shard_location")
+    """Appended to a store, twice, and read back."""
+    feed, root = orderbook.user_feed(spark, folder).drop("shard_location"), _store(spark, folder)
+    for _ in range(2):
+        onboarding.append_users(feed, root, "line", AS_OF, batch=1)
+    users = _of_batch(read_bank(spark, root).users)
+    return users.select("user_id", "username", "email", "region", "created_date", "shard_location")
 
 
 def _assigned_accounts(spark: SparkSession, folder: str) -> DataFrame:
@@ -141,8 +156,10 @@ def _appended_accounts(spark: SparkSession, folder: str) -> DataFrame:
         F.lit(None).cast("string").alias("account_number"),
         F.lit(None).cast("string").alias("status"),
     )
-    accounts, _ = onboarding.new_accounts(feed, orderbook.load_bank(spark, folder), "line", AS_OF)
-    return accounts.drop("last_updated")
+    root = _store(spark, folder)
+    for _ in range(2):
+        onboarding.append_accounts(feed, root, "line", AS_OF, batch=1)
+    return _of_batch(read_bank(spark, root).accounts).drop("last_updated")
 
 
 def _validated_users(spark: SparkSession, folder: str) -> DataFrame:
@@ -197,6 +214,43 @@ def _posted_accounts(spark: SparkSession, folder: str) -> DataFrame:
     return _posting(spark, folder).accounts.select("account_number", "shard_location", "balance", "last_updated")
 
 
+def _saved(spark: SparkSession, folder: str) -> Bank:
+    """The store after a posting that was saved, twice."""
+    root = _store(spark, folder)
+    requests = orderbook.ledger_requests(orderbook.order_batch(spark, folder))
+    for _ in range(2):
+        onboarding.save_posting(requests, root, AS_OF, batch=1)
+    return read_bank(spark, root)
+
+
+def _saved_accounts(spark: SparkSession, folder: str) -> DataFrame:
+    return _saved(spark, folder).accounts.select("account_number", "shard_location", "balance", "last_updated")
+
+
+def _saved_records(spark: SparkSession, folder: str) -> DataFrame:
+    return _of_batch(_saved(spark, folder).transactions, "transaction_date")
+
+
+def _sql_functions(spark: SparkSession, folder: str) -> DataFrame:
+    register_views(spark, orderbook.load_bank(spark, folder))
+    orderbook.user_feed(spark, folder).createOrReplaceTempView("asked_users")
+    return spark.sql(
+        "SELECT line, get_user_shard(user_id) AS shard, get_shard_for_user(user_id) AS shard_id, "
+        "get_shard_for_region(region) AS region_shard_id FROM asked_users"
+    )
+
+
+def _sql_balances(spark: SparkSession, folder: str) -> DataFrame:
+    register_views(spark, orderbook.load_bank(spark, folder))
+    orderbook.transfer_targets(spark, folder).createOrReplaceTempView("asked_accounts")
+    return spark.sql("SELECT account_number, get_account_balance(account_number) AS balance FROM asked_accounts")
+
+
+def _sql_region(spark: SparkSession, folder: str) -> DataFrame:
+    register_views(spark, read_bank(spark, _store(spark, folder)))
+    return spark.sql("SELECT * FROM accounts_all WHERE region = 'EU'")
+
+
 def _posted_tight(spark: SparkSession, folder: str) -> DataFrame:
     """Balances of a hundredth, so that failures follow from failures, in small blocks and several tasks."""
     accounts = orderbook.accounts(spark, folder)
@@ -355,6 +409,12 @@ def bank_queries() -> dict[str, Query]:
         "post_ledger_tight": _on_tables(_posted_tight),
         "post_ledger_records": _on_tables(lambda spark, folder: _posting(spark, folder).transactions),
         "post_ledger_accounts": _on_tables(_posted_accounts),
+        "save_posting": _on_tables(_saved_accounts),
+        "save_posting_records": _on_tables(_saved_records),
+        # SQL
+        "sql_functions": _on_tables(_sql_functions),
+        "sql_account_balance": _on_tables(_sql_balances),
+        "sql_region_filter": _on_tables(_sql_region),
         # streams
         "stream_tx_by_day": _on_tables(_stream_by_day),
         "tx_by_day_closed": _on_tables(lambda spark, folder: live.closed_days(orderbook.event_batch(spark, folder))),

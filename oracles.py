@@ -553,7 +553,7 @@ def oracle_sql() -> dict[str, str]:
         numbered,
     )
     q["append_users"] = _q(
-        f"""SELECT line, CAST(coalesce(user_id, greatest(last_used, coalesce(given_last, 0))
+        f"""SELECT CAST(coalesce(user_id, greatest(last_used, coalesce(given_last, 0))
           + row_number() OVER (PARTITION BY upper(j.region), user_id IS NULL ORDER BY line)) AS BIGINT) AS user_id,
           username, email, upper(j.region) AS region, '2024-01-01 00:00:00' AS created_date,
           CASE upper(j.region) WHEN 'NA' THEN 'SHARD1' WHEN 'EU' THEN 'SHARD2' ELSE 'SHARD3' END AS shard_location
@@ -595,7 +595,7 @@ def oracle_sql() -> dict[str, str]:
         ACCOUNT_FEED,
     )
     q["append_accounts"] = _q(
-        f"""SELECT line, CAST(u + row_number() OVER (PARTITION BY shard_location ORDER BY line) AS BIGINT) AS account_id,
+        f"""SELECT CAST(u + row_number() OVER (PARTITION BY shard_location ORDER BY line) AS BIGINT) AS account_id,
           user_id, 'ACC-' || CAST(u + row_number() OVER (PARTITION BY shard_location ORDER BY line) AS BIGINT)
           AS account_number, account_type, {_dbl('balance', 'balance')}, 'USD' AS currency, region, 'ACTIVE' AS status,
           '2024-01-01 00:00:00' AS created_date, shard_location
@@ -666,6 +666,27 @@ def oracle_sql() -> dict[str, str]:
         POSTED,
     )
 
+    q["save_posting"] = q["post_ledger_accounts"]
+    q["save_posting_records"] = _q(
+        "SELECT CAST(m + row_number() OVER (PARTITION BY shard ORDER BY seq) AS BIGINT) AS transaction_id, "
+        "coalesce(f, t) AS account_number, f AS from_account_number, t AS to_account_number, transaction_type, "
+        "CAST(cents AS DOUBLE) / 100 AS amount, 'USD' AS currency, 'COMPLETED' AS status, "
+        "'2024-01-01 00:00:00' AS transaction_date, description, CAST(NULL AS VARCHAR) AS reference_number, "
+        "shard AS shard_location FROM (SELECT *, coalesce(f_shard, t_shard) AS shard FROM posted WHERE final_reason IS NULL) "
+        "JOIN (SELECT shard_location, max(transaction_id) AS m FROM transactions_all GROUP BY 1) ON shard_location = shard",
+        POSTED,
+    )
+    shard_id = "CASE WHEN {0} BETWEEN 1 AND 10000000 THEN {1} WHEN {0} BETWEEN 10000001 AND 20000000 THEN {2} " \
+        "WHEN {0} BETWEEN 20000001 AND 30000000 THEN {3}"
+    q["sql_functions"] = _q(
+        f"SELECT line, {shard_id.format('user_id', *[repr(f'SHARD{n}') for n in (1, 2, 3)])} ELSE 'UNKNOWN' END AS shard, "
+        f"CAST({shard_id.format('user_id', 1, 2, 3)} END AS BIGINT) AS shard_id, "
+        "CAST(CASE upper(region) WHEN 'NA' THEN 1 WHEN 'EU' THEN 2 WHEN 'APAC' THEN 3 END AS BIGINT) AS region_shard_id "
+        "FROM user_feed",
+        USER_FEED,
+    )
+    q["sql_account_balance"] = q["balances_for"]
+    q["sql_region_filter"] = _q(f"SELECT {ACCOUNT_COLUMNS} FROM accounts_all WHERE region = 'EU'")
     q["post_ledger_tight"] = q["post_ledger"].replace("CAST(balance * 100 AS BIGINT) AS opening", "CAST(floor(balance) AS BIGINT) AS opening")
     q["stream_post_ledger"] = _q(
         f"""SELECT a.account_number, a.shard_location,

@@ -24,10 +24,10 @@ import pandas as pd
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from regiobank.functions.values import cents, money
 from regiobank.model import CURRENCY, ROUTES, Route
 from regiobank.operators.numbering import number_rows
 from regiobank.operators.requests import error_code, validate_requests
+from regiobank.sources.bank import apply_changes
 from regiobank.sources.scratch import stage
 from regiobank.sources.shipping import ship_package
 
@@ -250,11 +250,12 @@ def post_ledger(
     )
 
 
-def records_of(outcome: DataFrame, as_of) -> DataFrame:
+def records_of(outcome: DataFrame, as_of, *kept: str) -> DataFrame:
     """Transaction records of the completed requests, on the source's shard (the destination's for deposits)."""
     booked_from = "IF(transaction_type <> 'DEPOSIT', from_account_number, NULL)"
     booked_to = "IF(transaction_type <> 'WITHDRAWAL', to_account_number, NULL)"
     return outcome.where("status = 'COMPLETED'").select(
+        *kept,
         F.expr(f"coalesce({booked_from}, {booked_to}) AS account_number"),
         F.expr(f"{booked_from} AS from_account_number"),
         F.expr(f"{booked_to} AS to_account_number"),
@@ -267,16 +268,3 @@ def records_of(outcome: DataFrame, as_of) -> DataFrame:
         F.lit(None).cast("string").alias("reference_number"),
         "shard_location",
     )
-
-
-def apply_changes(accounts: DataFrame, changes: DataFrame) -> DataFrame:
-    """Accounts with the net of their changes added; last_updated of touched accounts is that of the change."""
-    key = ["shard_location", "account_number"]
-    touched = F.col("net_cents").isNotNull()
-    balance = F.when(touched, money(cents(F.col("balance")) + F.col("net_cents"))).otherwise(F.col("balance"))
-    updated = F.when(touched, F.col("as_of")).otherwise(F.col("last_updated"))
-    return (
-        accounts.join(changes.select(*key, "net_cents", "as_of"), key, "left")
-        .withColumns({"balance": balance, "last_updated": updated})
-        .select(*accounts.columns)
-    )

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -16,9 +18,10 @@ from regiobank.operators.integrity import (
     with_reasons,
 )
 from regiobank.operators.joins import left_lookup
+from regiobank.operators.ledger import Posting, post_ledger, records_of
 from regiobank.operators.lookups import lookup, user_region
 from regiobank.operators.numbering import assign_account_ids, assign_transaction_ids, assign_user_ids
-from regiobank.sources.bank import SCHEMAS, Bank, write_table
+from regiobank.sources.bank import SCHEMAS, Bank, read_bank, write_table
 from regiobank.sources.scratch import stage
 
 
@@ -31,36 +34,47 @@ def _dated(rows: DataFrame, as_of) -> DataFrame:
     return rows.withColumns({"created_date": moment, "last_updated": moment})
 
 
+def _asked(stored: DataFrame, rows: DataFrame, key: list[str]) -> DataFrame:
+    """The stored keys that a batch holds, too; a batch is small beside the store."""
+    wanted = rows.dropna(subset=key).select(*key).distinct()
+    return stored.select(*key).join(wanted, key, "left_semi").distinct().withColumn("_stored", F.lit(True))
+
+
 def new_users(requests: DataFrame, bank: Bank, line: str, as_of) -> tuple[DataFrame, DataFrame]:
     """(users ready to append, rejected requests); regions are taken in any letter case."""
     asked = requests.withColumn("region", F.upper("region"))
-    accepted, rejected = split(validate_users(asked, line))
-    stored = bank.users.select("user_id").withColumn("_stored", F.lit(True))
-    taken = left_lookup(accepted, stored, ["user_id"])
+    accepted, rejected = split(stage(validate_users(asked, line), "judged-users"))
+    taken = left_lookup(accepted, _asked(bank.users, accepted, ["user_id"]), ["user_id"])
     clash = with_reasons(taken, [("duplicate_user_id", F.col("_stored").isNotNull())]).drop("_stored")
-    accepted, clashing = split(clash)
+    accepted, clashing = split(stage(clash, "clashing-users"))
     numbered = assign_user_ids(accepted, bank.users, line)
     users = _dated(numbered.withColumn("shard_location", user_shard(F.col("user_id"))), as_of)
     return users.select(line, *table_columns("users")), rejected.unionByName(clashing)
 
 
 def new_accounts(requests: DataFrame, bank: Bank, line: str, as_of) -> tuple[DataFrame, DataFrame]:
-    """(accounts ready to append, rejected requests); region and shard are those of the owner."""
+    """(accounts ready to append, rejected requests); region and shard are those of the owner.
+
+    An account id or number may be used once per shard, in the batch and in the store together.
+    """
     asked = blanks_to_null(requests).drop("shard_location", "region")
     placed = user_region(asked, bank).withColumn("shard_location", user_shard(F.col("user_id")))
     opened = placed.withColumn("balance", F.coalesce("balance", F.lit(0).cast("decimal(15,2)")))
-    accepted, rejected = split(validate_accounts(opened, bank.users, line))
+    accepted, rejected = split(stage(validate_accounts(opened, bank.users, line), "judged-accounts"))
+    known = left_lookup(accepted, _asked(bank.accounts, accepted, ["shard_location", "account_id"]), ["shard_location", "account_id"])
+    known = with_reasons(known, [("duplicate_account_id", F.col("_stored").isNotNull())]).drop("_stored")
+    accepted, reused = split(stage(known, "known-accounts"))
     # Numbers are made from ids, so they are known only now; a number in use on the shard is rejected.
-    numbered = assign_account_ids(accepted, bank.accounts, line)
-    stored = bank.accounts.select("shard_location", "account_number").withColumn("_stored", F.lit(True))
-    own = numbered.groupBy("shard_location", "account_number").agg(F.min(line).alias("_first"))
+    numbered = stage(assign_account_ids(accepted, bank.accounts, line), "numbered-accounts")
     key = ["shard_location", "account_number"]
-    compared = numbered.join(stored, key, "left").join(own, key, "left")
+    own = numbered.groupBy(*key).agg(F.min(line).alias("_first"))
+    compared = numbered.join(_asked(bank.accounts, numbered, key), key, "left").join(own, key, "left")
     taken = F.col("_stored").isNotNull() | (F.col(line) > F.col("_first"))
     accepted, clashing = split(with_reasons(compared, [("duplicate_account_number", taken)]).drop("_stored", "_first"))
+    columns = rejected.columns
     return (
         _dated(accepted, as_of).select(line, *table_columns("accounts")),
-        rejected.unionByName(clashing.select(*rejected.columns)),
+        rejected.unionByName(reused.select(*columns)).unionByName(clashing.select(*columns)),
     )
 
 
@@ -75,26 +89,41 @@ def new_transactions(requests: DataFrame, bank: Bank, line: str, as_of) -> tuple
     return numbered.select(line, *table_columns("transactions")), rejected
 
 
-def append_users(requests: DataFrame, bank: Bank, root: str, line: str, as_of) -> DataFrame:
-    """Append accepted users to the store; returns the rejected requests."""
-    users, rejected = new_users(requests, bank, line, as_of)
-    rejected = stage(rejected, "rejected-users")
-    write_table(users.drop(line), root, "users")
-    return rejected
-
-
-def append_accounts(requests: DataFrame, bank: Bank, root: str, line: str, as_of) -> DataFrame:
-    """Append accepted accounts to the store; returns the rejected requests."""
-    accounts, rejected = new_accounts(requests, bank, line, as_of)
-    rejected = stage(rejected, "rejected-accounts")
-    write_table(accounts.drop(line), root, "accounts")
-    return rejected
-
-
-
-def append_transactions(requests: DataFrame, bank: Bank, root: str, line: str, as_of) -> DataFrame:
-    """Append accepted transactions to the store; returns the rejected requests."""
-    transactions, rejected = new_transactions(requests, bank, line, as_of)
-    rejected = stage(rejected, "rejected-transactions")
-    write_table(transactions.drop(line), root, "transactions")
-    return rejected
+def _append(made: Callable[..., tuple[DataFrame, DataFrame]], name: str) -> Callable[..., DataFrame]:
+    def append(requests: DataFrame, root: str, line: str, as_of, batch: int) -> DataFrame:
+        """Append what is accepted to the store as one batch; returns the rejected requests.
+
+        A batch is judged and numbered without what it has written itself, and replaces that: a repeat changes nothing.
+        """
+        if batch < 1:
+            raise ValueError("batches count from 1; 0 is the full load")
+        rows, rejected = made(requests, read_bank(requests.sparkSession, root, without=batch), line, as_of)
+        rows, rejected = stage(rows.drop(line), f"new-{name}"), stage(rejected, f"rejected-{name}")
+        write_table(rows, root, name, batch)
+        return rejected
+
+    return append
+
+
+append_users = _append(new_users, "users")
+append_accounts = _append(new_accounts, "accounts")
+append_transactions = _append(new_transactions, "transactions")
+
+
+def save_posting(requests: DataFrame, root: str, as_of, batch: int, **sizes) -> Posting:
+    """Post requests against the store and save the records, numbered, and the changes of the accounts.
+
+    As with the other batches a repeat replaces what the batch has written, from the accounts as they were before it.
+    """
+    if batch < 1:
+        raise ValueError("batches count from 1; 0 is the full load")
+    bank = read_bank(requests.sparkSession, root, without=batch)
+    posting = post_ledger(bank.accounts, requests, as_of, **sizes)
+    order = [c for c in ("seq", *requests.columns) if c != "seq"]
+    outcome = posting.requests.withColumn("_line", F.struct("seq", *order))
+    numbered = assign_transaction_ids(records_of(outcome, as_of, "_line"), bank.transactions, "_line")
+    rows = stage(numbered.select(*table_columns("transactions")), "new-records")
+    changes = stage(posting.changes, "new-changes")
+    write_table(rows, root, "transactions", batch)
+    changes.write.mode("overwrite").parquet(f"{root}/changes/batch={batch}")
+    return posting

@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from regiobank.functions.routing import shard_tag_of
+from regiobank.functions.values import cents, money
 from regiobank.model import (
     ACCOUNTS,
     ACCOUNTS_ALL,
@@ -94,32 +95,67 @@ LAYOUT = {
 }
 
 
-def write_table(df: DataFrame, root: str, name: str, mode: str = "append", cluster: bool = False) -> None:
-    """Write rows to a store table, one folder per shard and sorted files.
+#: What postings have added to accounts, one folder per batch.
+CHANGES = "shard_location string, account_number string, net_cents bigint, applied bigint, as_of timestamp"
 
-    With `cluster` rows are also range-partitioned first, for a full load: every file then holds its own key range.
+
+def write_table(df: DataFrame, root: str, name: str, batch: int = 0, cluster: bool = False) -> None:
+    """Write the rows of a batch to a store table: one folder per shard and batch, sorted files.
+
+    Writing a batch again replaces its folders, so a repeat after a failure changes nothing. With `cluster` rows are
+    also range-partitioned first, for a full load: every file then holds its own key range.
     """
     keys, looked_up = LAYOUT[name]
     order = ["shard_location", *keys]
     placed = df.repartitionByRange(*order) if cluster else df
-    writer = placed.sortWithinPartitions(*order).write.mode(mode).partitionBy("shard_location")
+    writer = placed.sortWithinPartitions(*order).withColumn("batch", F.lit(batch)).write.mode("overwrite")
+    writer = writer.option("partitionOverwriteMode", "dynamic").partitionBy("shard_location", "batch")
     for column in looked_up:
         writer = writer.option(f"parquet.bloom.filter.enabled#{column}", "true")
     writer.parquet(f"{root}/{name}")
 
 
 def write_bank(bank: Bank, root: str) -> None:
-    """Full load of a store."""
+    """Full load of a new store."""
+    create_bank(bank.users.sparkSession, root)
     for name in SCHEMAS:
-        write_table(getattr(bank, name), root, name, mode="overwrite", cluster=True)
+        write_table(getattr(bank, name), root, name, cluster=True)
 
 
 def create_bank(spark: SparkSession, root: str) -> Bank:
     """An empty store."""
-    for name, schema in SCHEMAS.items():
-        write_table(spark.createDataFrame([], schema), root, name, mode="overwrite")
+    for name, schema in {**SCHEMAS, "changes": CHANGES}.items():
+        spark.createDataFrame([], schema).write.mode("overwrite").parquet(f"{root}/{name}")
     return read_bank(spark, root)
 
 
-def read_bank(spark: SparkSession, root: str) -> Bank:
-    return Bank(**{name: spark.read.schema(schema).parquet(f"{root}/{name}") for name, schema in SCHEMAS.items()})
+def read_bank(spark: SparkSession, root: str, without: int | None = None) -> Bank:
+    """The bank of a store, on request without what one batch has written."""
+    tables = {}
+    for name, schema in {**SCHEMAS, "changes": CHANGES}.items():
+        rows = spark.read.schema(f"{schema}, batch bigint").parquet(f"{root}/{name}")
+        tables[name] = (rows if without is None else rows.where(~F.col("batch").eqNullSafe(F.lit(without)))).drop("batch")
+    changes, accounts = tables.pop("changes"), tables["accounts"]
+    if not changes.isEmpty():
+        tables["accounts"] = apply_changes(accounts, summed_changes(changes))
+    return Bank(**tables)
+
+
+def summed_changes(changes: DataFrame) -> DataFrame:
+    """Changes per account over several batches."""
+    return changes.groupBy("shard_location", "account_number").agg(
+        F.sum("net_cents").alias("net_cents"), F.sum("applied").alias("applied"), F.max("as_of").alias("as_of")
+    )
+
+
+def apply_changes(accounts: DataFrame, changes: DataFrame) -> DataFrame:
+    """Accounts with the net of their changes added; last_updated of touched accounts is that of the change."""
+    key = ["shard_location", "account_number"]
+    touched = F.col("net_cents").isNotNull()
+    balance = F.when(touched, money(cents(F.col("balance")) + F.col("net_cents"))).otherwise(F.col("balance"))
+    updated = F.when(touched, F.col("as_of")).otherwise(F.col("last_updated"))
+    return (
+        accounts.join(changes.select(*key, "net_cents", "as_of"), key, "left")
+        .withColumns({"balance": balance, "last_updated": updated})
+        .select(*accounts.columns)
+    )

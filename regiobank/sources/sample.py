@@ -115,10 +115,8 @@ def transaction_requests(spark: SparkSession) -> DataFrame:
 
 def load_sample(spark: SparkSession, root: str, as_of) -> Bank:
     """Create a store with the sample rows."""
-    bank = create_bank(spark, root)
-    append_users(user_requests(spark), bank, root, "line", as_of)
-    bank = read_bank(spark, root)
-    append_accounts(account_requests(spark, bank), bank, root, "line", as_of)
-    bank = read_bank(spark, root)
-    append_transactions(transaction_requests(spark), bank, root, "line", as_of)
+    create_bank(spark, root)
+    append_users(user_requests(spark), root, "line", as_of, batch=1)
+    append_accounts(account_requests(spark, read_bank(spark, root)), root, "line", as_of, batch=2)
+    append_transactions(transaction_requests(spark), root, "line", as_of, batch=3)
     return read_bank(spark, root)

@@ -13,20 +13,14 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from regiobank.operators.ledger import apply_changes, post_ledger, records_of
+from regiobank.operators.ledger import post_ledger, records_of
+from regiobank.sources.bank import CHANGES, apply_changes, summed_changes
 
-CHANGES = "shard_location string, account_number string, net_cents bigint, applied bigint, as_of timestamp"
 SNAPSHOT_EVERY = 8
 
 Moment = str | Callable[[int], str]
 
 
-def _summed(changes: DataFrame) -> DataFrame:
-    return changes.groupBy("shard_location", "account_number").agg(
-        F.sum("net_cents").alias("net_cents"), F.sum("applied").alias("applied"), F.max("as_of").alias("as_of")
-    )
-
-
 def _changes_before(spark: SparkSession, root: str, batch_id: int | None) -> DataFrame:
     """Changes per account of all batches, or of those before one: the last snapshot and what came after it."""
     schema = f"{CHANGES}, batch bigint"
@@ -37,7 +31,7 @@ def _changes_before(spark: SparkSession, root: str, batch_id: int | None) -> Dat
     last = snapshots.agg(F.max("batch")).first()[0]
     if last is not None:
         changes = changes.where(F.col("batch") > last).unionByName(snapshots.where(F.col("batch") == last))
-    return _summed(changes)
+    return summed_changes(changes)
 
 
 def current_accounts(accounts: DataFrame, root: str, batch_id: int | None = None) -> DataFrame:

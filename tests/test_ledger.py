@@ -7,6 +7,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from regiobank.model import ACCOUNTS, REQUESTS
+from regiobank.operators import ledger
 from regiobank.operators.ledger import post_ledger
 from regiobank.operators.requests import generate_requests, validate_requests
 
@@ -242,6 +243,31 @@ def test_overflow_is_an_error(spark):
         posting.accounts.collect()
 
 
+def test_covered_blocks_never_reach_python(spark, monkeypatch):
+    """Accounts that stay covered are settled by running sums; only the entries of the others are walked."""
+    rows = [("POOR", "SHARD1", "1", "ACTIVE")] + [(f"R{i}", "SHARD2", "100000", "ACTIVE") for i in range(50)]
+    requests = [(n, "TRANSFER", f"R{n % 50}", f"R{(n + 1) % 50}", "3") for n in range(500)]
+    walked = []
+    inputs = ledger._Rounds._inputs
+
+    def seen(self):
+        walked.append({r.account for r in inputs(self).select("account").distinct().collect()})
+        return inputs(self)
+
+    monkeypatch.setattr(ledger._Rounds, "_inputs", seen)
+    assert check(spark, rows, requests).rounds == 0 and walked == []
+    posting = check(spark, rows, [*requests, (900, "WITHDRAWAL", "POOR", None, "2")])
+    assert posting.rounds == 1 and walked == [{"POOR"}]
+
+
+def test_chains_take_rounds(spark):
+    """Each transfer fails because the one before does; tasks learn of it one after the other."""
+    rows = [(f"C{i}", "SHARD1", "0", "ACTIVE") for i in range(40)]
+    rows[0] = ("C0", "SHARD1", "1", "ACTIVE")
+    requests = [(i, "TRANSFER", f"C{i}", f"C{i + 1}", "2") for i in range(39)]
+    assert check(spark, rows, requests, tasks=8).rounds >= 3
+
+
 def test_generated_requests(spark):
     rows = generate_requests(spark.range(1, 101).withColumnRenamed("id", "i")).orderBy("seq").collect()
     assert len(rows) == 100

@@ -1,5 +1,6 @@
 """Golden results on the sample bank, loaded through the batch operators into a store."""
 
+import re
 from decimal import Decimal
 
 import pytest
@@ -11,6 +12,7 @@ from regiobank.operators.ledger import post_ledger
 from regiobank.plans import dashboard, reports
 from regiobank.plans.catalog import register_views
 from regiobank.model import REQUESTS
+from regiobank.operators.onboarding import append_accounts, append_users, save_posting
 from regiobank.sources.bank import only_region, only_shard, read_bank, union_shards
 from regiobank.sources.formatting import to_json_rows
 from regiobank.sources.sample import load_sample
@@ -150,6 +152,49 @@ def test_sql_entry(spark, bank):
     assert spark.sql("SELECT sum(total_accounts) FROM dashboard_regional_stats").collect()[0][0] == 21
     assert spark.sql("SELECT count(*) FROM dashboard_transactions_by_date").collect()[0][0] == 1
     assert spark.sql("SELECT count(*) FROM shard_routing_view").collect()[0][0] == 3
+    row = spark.sql("SELECT get_user_shard(5000000), get_shard_for_region('na'), get_account_balance('ACC008'), get_account_balance('X')")
+    assert [tuple(r) for r in row.collect()] == [("SHARD1", 1, Decimal("7500.00"), None)]
+
+
+def test_sql_region_filter_reads_one_shard(spark, bank, root):
+    register_views(spark, read_bank(spark, root))
+    found = spark.sql("SELECT account_number FROM accounts_all WHERE region = 'EU'")
+    assert found.count() == 7
+    plan = found._jdf.queryExecution().executedPlan().toString()
+    filters = re.search(r"PartitionFilters: \[[^\n]*", plan).group(0)
+    assert "SHARD2" in filters.split("PushedFilters")[0] and len(found.inputFiles()) >= 1
+    files = spark.sql("SELECT DISTINCT input_file_name() FROM accounts_all WHERE region = 'EU'").collect()
+    assert all("shard_location=SHARD2" in r[0] for r in files)
+
+
+def test_saved_batches_repeat_without_effect(spark, tmp_path):
+    root = str(tmp_path / "bank")
+    load_sample(spark, root, AS_OF)
+    request = spark.createDataFrame([(1, "TRANSFER", "ACC001", "ACC008", Decimal(250), "demo")], REQUESTS)
+    for _ in range(2):
+        save_posting(request, root, "2024-05-02 00:00:00", batch=4)
+        after = {r.account_number: r.balance for r in read_bank(spark, root).accounts.collect()}
+        assert after["ACC001"] == Decimal("4750.00") and after["ACC008"] == Decimal("7750.00")
+        stored = read_bank(spark, root).transactions
+        assert sorted(r.transaction_id for r in stored.where("shard_location = 'SHARD1'").collect()) == [1, 2, 3, 4, 5]
+    save_posting(request, root, "2024-05-03 00:00:00", batch=5)
+    assert {r.account_number: r.balance for r in read_bank(spark, root).accounts.collect()}["ACC001"] == Decimal("4500.00")
+    users = spark.createDataFrame([(1, 7, "x", "y@example.com", "z", None, None, "na"), (2, 1, "x", "y@example.com", "z", None, None, "NA")],
+        "line bigint, user_id bigint, username string, email string, full_name string, phone string, address string, region string")
+    for _ in range(2):
+        rejected = append_users(users, root, "line", AS_OF, batch=6)
+        assert [(r.line, r.reasons) for r in rejected.collect()] == [(2, ["duplicate_user_id"])]
+        assert read_bank(spark, root).users.count() == 16
+
+
+def test_account_ids_are_used_once(spark, tmp_path):
+    root = str(tmp_path / "bank")
+    load_sample(spark, root, AS_OF)
+    schema = "line bigint, account_id bigint, user_id bigint, account_number string, account_type string, balance decimal(15,2), status string"
+    rows = [(1, 70, 1, "N1", "SAVINGS", None, None), (2, 70, 1, "N2", "SAVINGS", None, None), (3, 1, 1, "N3", "SAVINGS", None, None)]
+    rejected = append_accounts(spark.createDataFrame(rows, schema), root, "line", AS_OF, batch=9)
+    assert sorted((r.line, r.reasons) for r in rejected.collect()) == [(2, ["duplicate_account_id"]), (3, ["duplicate_account_id"])]
+    assert read_bank(spark, root).accounts.count() == 22
 
 
 def test_store_prunes_shards_and_pushes_filters(spark, bank, root):

@@ -2,13 +2,18 @@
 
 from __future__ import annotations
 
+import atexit
 import re
+import shutil
 import tempfile
 import uuid
+from collections.abc import Iterator
+from contextlib import contextmanager
 
 from pyspark.sql import DataFrame, SparkSession
 
 CHECKPOINT_DIR = "spark.checkpoint.dir"
+_scopes: list[list[str]] = []
 
 
 def scratch_root(spark: SparkSession) -> str:
@@ -18,14 +23,34 @@ def scratch_root(spark: SparkSession) -> str:
     if not root:
         if not re.match(r"local(\[|$)", context.master):
             raise ValueError(f"set {CHECKPOINT_DIR} to a folder that every executor can reach")
-        context.setCheckpointDir(tempfile.mkdtemp(prefix="regiobank-"))
+        folder = tempfile.mkdtemp(prefix="regiobank-")
+        atexit.register(shutil.rmtree, folder, ignore_errors=True)
+        context.setCheckpointDir(folder)
         root = context.getCheckpointDir()
     return root.rstrip("/")
 
 
 def scratch_path(spark: SparkSession, name: str) -> str:
     """A path nobody used before."""
-    return f"{scratch_root(spark)}/{name}-{uuid.uuid4().hex}"
+    path = f"{scratch_root(spark)}/{name}-{uuid.uuid4().hex}"
+    for paths in _scopes:
+        paths.append(path)
+    return path
+
+
+@contextmanager
+def scratch_scope(spark: SparkSession) -> Iterator[None]:
+    """Remove everything that is staged within the block at its end; results must have been written by then."""
+    paths: list[str] = []
+    _scopes.append(paths)
+    try:
+        yield
+    finally:
+        _scopes.remove(paths)
+        files = spark._jvm.org.apache.hadoop.fs
+        for path in paths:
+            place = files.Path(path)
+            place.getFileSystem(spark._jsc.hadoopConfiguration()).delete(place, True)
 
 
 def stage(df: DataFrame, name: str) -> DataFrame:

@@ -1,8 +1,10 @@
 """Where intermediate tables go."""
 
+import os
+
 import pytest
 
-from regiobank.sources.scratch import scratch_path, scratch_root, stage
+from regiobank.sources.scratch import scratch_path, scratch_root, scratch_scope, stage
 
 
 class Context:
@@ -33,6 +35,18 @@ def test_a_cluster_without_a_folder_is_an_error():
         scratch_root(Session("spark://host:7077"))
 
 
+def test_a_local_cluster_is_a_cluster():
+    with pytest.raises(ValueError, match="spark.checkpoint.dir"):
+        scratch_root(Session("local-cluster[2,1,1024]"))
+
+
+def test_scope_removes_what_was_staged(spark):
+    with scratch_scope(spark):
+        staged = stage(spark.range(3).toDF("id"), "scoped")
+        [path] = {name.rsplit("/", 1)[0] for name in staged.inputFiles()}
+    assert not os.path.exists(path.removeprefix("file://").removeprefix("file:"))
+
+
 def test_local_fallback_is_kept():
     session = Session("local[2]")
     assert scratch_root(session) == scratch_root(session)

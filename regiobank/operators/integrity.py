@@ -203,8 +203,9 @@ def validate_routing(table: DataFrame) -> DataFrame:
 
 
 def orphan_accounts(accounts: DataFrame, users: DataFrame) -> DataFrame:
-    """Accounts whose owner does not exist on their shard."""
-    return accounts.join(users.select("user_id", "shard_location"), ["user_id", "shard_location"], "left_anti")
+    """Accounts whose owner does not exist on their shard. Accounts without an owner are among them, and spread."""
+    owners = users.select("shard_location", "user_id", F.lit(True).alias("_owner"))
+    return left_lookup(accounts, owners, ["shard_location", "user_id"]).where("_owner IS NULL").drop("_owner")
 
 
 def orphan_transactions(transactions: DataFrame, accounts: DataFrame) -> DataFrame:

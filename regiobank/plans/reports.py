@@ -225,7 +225,10 @@ def regional_share(bank: Bank) -> DataFrame:
 
 
 def first_accounts(bank: Bank) -> DataFrame:
-    """Lowest user id and lowest account number of each region."""
+    """Lowest user id among the owners of accounts, and lowest account number, of each region.
+
+    Users without an account are left out, unlike in a minimum over the table of users.
+    """
     return (
         bank.accounts_all.groupBy("region")
         .agg(F.min("user_id").alias("first_user_id"), F.min("account_number").alias("first_account_number"))

@@ -16,9 +16,9 @@ from regiobank.llm.common import keyed, lowered
 from regiobank.sources.scratch import stage
 
 SHARE = 0.8
-MOST_NOTICES = 10_000
-WORD = r"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+"
-_ANY_CASE_WORD = r"[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+"
+#: Runs of ASCII digits and letters and of all other characters beyond ASCII. In text in which A-Z became a-z these are
+#: the words `[^\x00-\x2F\x3A-\x60\x7B-\x7F]+`; there are as many in the text as it is.
+WORD = r"[\p{Alnum}[^\p{ASCII}]]+"
 
 #: Phrases whose places are reported, with their labels; fixed values.
 PHRASES = {"mit license": "mit", "apache license": "apache", "general public license": "gpl"}
@@ -86,10 +86,8 @@ def matching_blocks(docs: DataFrame, notices: DataFrame, share: float = SHARE) -
         raise ValueError("share: over 0, up to 1")
     texts = keyed(docs).select("ord", "rid", "text")
     table = stage(_ranked_notices(texts, notices, share), "notices")
-    if table.count() > MOST_NOTICES:
-        raise ValueError(f"more than {MOST_NOTICES} notices")
     prefixes = table.select("notice", "size", "need", F.posexplode(F.slice("tokens", F.lit(1), F.col("size") - F.col("need") + 1)).alias("place", "token"))
-    # the words that any match must have one of: a few per notice
+    # the words that any match must have one of: a few per notice, and the notices are the caller's; they travel in the plan
     heads = sorted({row.token for row in prefixes.select("token").distinct().toLocalIterator()})
     least = table.agg(F.min("need")).first()[0] or 1
     lines = texts.select("ord", "rid", F.posexplode(F.split("text", "\n")).alias("block", "line"))
@@ -133,7 +131,7 @@ def phrase_places(docs: DataFrame, phrases: dict[str, str]) -> DataFrame:
     holds = F.col("text").rlike(f"(?i:{last})")
     words = F.when(holds, F.regexp_extract_all(lowered("text"), F.lit(WORD), F.lit(0)))
     named = [F.expr(f"transform({_places('w', p)}, i -> named_struct('word', cast(i as bigint), 'label', '{label}'))") for p, label in phrases.items()]
-    base = rows.select("ord", "rid", "doc_id", F.regexp_count("text", F.lit(_ANY_CASE_WORD)).cast("long").alias("n_words"), words.alias("w"))
+    base = rows.select("ord", "rid", "doc_id", F.regexp_count("text", F.lit(WORD)).cast("long").alias("n_words"), words.alias("w"))
     empty = F.array().cast("array<struct<word:bigint,label:string>>")
     return base.withColumn("places", F.when(F.col("w").isNull(), empty).otherwise(F.array_sort(F.concat(*named)))).drop("w")
 

@@ -53,7 +53,7 @@ class PrefixCounter:
         words = self.tokenizer.get_vocab(with_added_tokens=False)
         self.words = {w: i for w, i in words.items() if self._own_tokens(w) == [w]}
         self.names = {i: w for w, i in self.words.items()}
-        self.longest = max(map(len, self.words))
+        self.endings = {word[n:] for word in self.words for n in range(len(word))}
         # the byte alphabet: printable bytes stand for themselves, the others follow from 256 on
         shown = [b for b in range(256) if 33 <= b <= 126 or 161 <= b <= 172 or 174 <= b]
         self.shown = {b: chr(256 + n) for n, b in enumerate(b for b in range(256) if b not in shown)}
@@ -68,13 +68,13 @@ class PrefixCounter:
     def _agree(self, one: int, two: int) -> bool:
         if len(self._agrees) >= KEPT_PAIRS:
             self._agrees.clear()
-        left, right = self.names[one], self.names[two]
+        left, right = self.tokenizer.id_to_token(one), self.names[two]
         known = self._agrees[one << 32 | two] = self._own_tokens(left + right) == [left, right]
         return known
 
     def learn(self, words: set[str]) -> None:
         """Count the prefixes of new words (in the vocabulary's byte alphabet). In order, neighbours share prefixes."""
-        ids, longest, agrees, kept = self.words, self.longest, self._agrees, self._words
+        ids, endings, agrees, kept = self.words, self.endings, self._agrees, self._words
         last, count, before = [-1], [0], ""
         for word in sorted(words):
             same = 0
@@ -84,18 +84,29 @@ class PrefixCounter:
                 same += 1
             del last[same + 1 :], count[same + 1 :]
             for end in range(same + 1, len(word) + 1):
-                for start in range(max(0, end - longest), end):
-                    token = ids.get(word[start:end])
-                    if token is None:
-                        continue
-                    if start:
+                # exactly one token ends here and agrees with what is before it; most often a short one
+                start = end - 1
+                while True:
+                    part = word[start:end]
+                    token = ids.get(part)
+                    if token is not None:
+                        if not start:
+                            break
                         key = last[start] << 32 | token
                         agree = agrees.get(key)
-                        if not (self._agree(last[start], token) if agree is None else agree):
-                            continue
+                        if agree if agree is not None else self._agree(last[start], token):
+                            break
+                    elif part not in endings:
+                        start = -1
+                        break
+                    start -= 1
+                if start >= 0:
                     last.append(token)
                     count.append(count[start] + 1)
-                    break
+                else:  # a vocabulary whose merges leave this to the library
+                    found = self.model.tokenize(word[:end])
+                    last.append(found[-1].id)
+                    count.append(len(found))
             kept[word] = count.copy()
             before = word
 

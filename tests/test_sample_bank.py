@@ -218,3 +218,17 @@ def test_union_of_shards_is_the_whole_table(bank):
 def test_json_rows(bank):
     line = to_json_rows(reports.account_lookup(bank, "ACC001")).collect()[0].value
     assert '"balance":5000.0' in line and '"shard_location":"SHARD1"' in line
+
+
+def test_rows_come_in_order(bank):
+    found = reports.account_summary_by_balance(bank).collect()
+    assert [r.balance for r in found] == sorted((r.balance for r in found), reverse=True)
+    ties = [(r.balance, r.shard_location, r.account_number) for r in found]
+    assert ties == sorted(ties, key=lambda r: (-r[0], r[1], r[2])) and len({b for b, _, _ in ties}) < len(ties)
+    names = [r.username for r in reports.users_dropdown(bank).collect()]
+    assert names == sorted(names)
+
+
+def test_sample_users_have_contacts(bank):
+    users = {r.username: (r.phone, r.address) for r in bank.users.collect()}
+    assert users["wei_zhang"] == ("+65-6-123-4567", "1 Marina Bay, Singapore") and all(p and a for p, a in users.values())

@@ -120,10 +120,10 @@ def _assigned_users(spark: SparkSession, folder: str) -> DataFrame:
     return numbering.assign_user_ids(accepted, nobody, "line").select("line", "user_id", "region")
 
 
-def _store(spark: SparkSession, folder: str) -> str:
-    """The bank as a new store."""
+def _store(spark: SparkSession, folder: str, *tables: str) -> str:
+    """Tables of the bank as a new store."""
     root = scratch_path(spark, "store")
-    write_bank(orderbook.load_bank(spark, folder), root)
+    write_bank(orderbook.load_bank(spark, folder), root, tables)
     return root
 
 
@@ -132,10 +132,9 @@ def _of_batch(table: DataFrame, column: str = "created_date") -> DataFrame:
 
 
 def _appended_users(spark: SparkSession, folder: str) -> DataFrame:
-    """Appended to a store, twice, and read back."""
-    feed, root = orderbook.user_feed(spark, folder).drop("shard_location"), _store(spark, folder)
-    for _ in range(2):
-        onboarding.append_users(feed, root, "line", AS_OF, batch=1)
+    """Appended to a store and read back."""
+    feed, root = orderbook.user_feed(spark, folder).drop("shard_location"), _store(spark, folder, "users")
+    onboarding.append_users(feed, root, "line", AS_OF, batch=1)
     users = _of_batch(read_bank(spark, root).users)
     return users.select("user_id", "username", "email", "region", "created_date", "shard_location")
 
@@ -156,9 +155,8 @@ def _appended_accounts(spark: SparkSession, folder: str) -> DataFrame:
         F.lit(None).cast("string").alias("account_number"),
         F.lit(None).cast("string").alias("status"),
     )
-    root = _store(spark, folder)
-    for _ in range(2):
-        onboarding.append_accounts(feed, root, "line", AS_OF, batch=1)
+    root = _store(spark, folder, "users", "accounts")
+    onboarding.append_accounts(feed, root, "line", AS_OF, batch=1)
     return _of_batch(read_bank(spark, root).accounts).drop("last_updated")
 
 
@@ -215,11 +213,10 @@ def _posted_accounts(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def _saved(spark: SparkSession, folder: str) -> Bank:
-    """The store after a posting that was saved, twice."""
-    root = _store(spark, folder)
+    """The store after a posting that was saved."""
+    root = _store(spark, folder, "accounts", "transactions")
     requests = orderbook.ledger_requests(orderbook.order_batch(spark, folder))
-    for _ in range(2):
-        onboarding.save_posting(requests, root, AS_OF, batch=1)
+    onboarding.save_posting(requests, root, AS_OF, batch=1)
     return read_bank(spark, root)
 
 
@@ -247,7 +244,7 @@ def _sql_balances(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def _sql_region(spark: SparkSession, folder: str) -> DataFrame:
-    register_views(spark, read_bank(spark, _store(spark, folder)))
+    register_views(spark, read_bank(spark, _store(spark, folder, "users", "accounts", "transactions")))
     return spark.sql("SELECT * FROM accounts_all WHERE region = 'EU'")
 
 

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Callable
+from collections.abc import Callable, Iterable
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -115,10 +115,10 @@ def write_table(df: DataFrame, root: str, name: str, batch: int = 0, cluster: bo
     writer.parquet(f"{root}/{name}")
 
 
-def write_bank(bank: Bank, root: str) -> None:
-    """Full load of a new store."""
+def write_bank(bank: Bank, root: str, tables: Iterable[str] = tuple(SCHEMAS)) -> None:
+    """Full load of a new store; tables that are not named stay empty."""
     create_bank(bank.users.sparkSession, root)
-    for name in SCHEMAS:
+    for name in tables:
         write_table(getattr(bank, name), root, name, cluster=True)
 
 

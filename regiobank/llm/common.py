@@ -119,7 +119,7 @@ def powers(count: int, base: int = _ODD) -> np.ndarray:
     """base ** 0 .. base ** (count - 1), modulo 2 ** 64."""
     have = _powers.get(base)
     if have is None or len(have) < count:
-        have = np.full(max(count, SLICE_BYTES + 4096), base, dtype=U64)
+        have = np.full(max(count, 1 << 16, 2 * len(have) if have is not None else 0), base, dtype=U64)
         have[0] = 1
         _powers[base] = have = np.cumprod(have, dtype=U64)
     return have[:count]

@@ -25,8 +25,8 @@ from regiobank.llm.common import BLANK_SEPARATED, find_words, map_arrow, mix, sl
 BITS = 18
 SIZES = (3, 4)
 WIDTH = 16
-SAMPLE_ROWS = 6000
-SAMPLE_CHARS = 60_000
+SAMPLE_ROWS = 3000
+SAMPLE_CHARS = 30_000
 EPOCHS = 8
 RATE = 0.4
 THRESHOLD = 0.3
@@ -93,14 +93,31 @@ def scores(weights: np.ndarray, texts: list[bytes], bits: int = BITS) -> np.ndar
     return 1 / (1 + np.exp(-np.clip(total / count, -50, 50)))
 
 
-def _row(found: Features, text: int) -> tuple[np.ndarray, np.ndarray]:
-    """Distinct buckets of one text and their shares."""
-    here = slice(found.begin[text], found.begin[text] + found.sizes[text])
-    words = slice(found.bounds[text], found.bounds[text + 1])
-    parts = [[_EVERY], *(b[here] for b in found.grams), found.words[words], found.pairs[words]]
-    bucket, times = np.unique(np.concatenate(parts), return_counts=True)
-    bucket, times = bucket[bucket >= 0], times[bucket >= 0]
-    return bucket, (times / times.sum()).astype(np.float32)
+class _Rows:
+    """Distinct buckets of each text and their shares, a few texts to an array."""
+
+    def __init__(self, texts: list[bytes], bits: int, together: int = 64):
+        self.together, self.parts = together, []
+        for at in range(0, len(texts), together):
+            found = features(texts[at : at + together], bits)
+            rows = [self._distinct(found, text) for text in range(len(found.sizes))]
+            bounds = np.cumsum([0, *(len(bucket) for bucket, _ in rows)])
+            bucket = np.concatenate([bucket for bucket, _ in rows]).astype(np.int32)
+            self.parts.append((bucket, np.concatenate([share for _, share in rows]), bounds))
+
+    @staticmethod
+    def _distinct(found: Features, text: int) -> tuple[np.ndarray, np.ndarray]:
+        here = slice(found.begin[text], found.begin[text] + found.sizes[text])
+        words = slice(found.bounds[text], found.bounds[text + 1])
+        parts = [[_EVERY], *(b[here] for b in found.grams), found.words[words], found.pairs[words]]
+        bucket, times = np.unique(np.concatenate(parts), return_counts=True)
+        bucket, times = bucket[bucket >= 0], times[bucket >= 0]
+        return bucket, (times / times.sum()).astype(np.float32)
+
+    def __getitem__(self, text: int) -> tuple[np.ndarray, np.ndarray]:
+        bucket, share, bounds = self.parts[text // self.together]
+        mine = slice(bounds[text % self.together], bounds[text % self.together + 1])
+        return bucket[mine], share[mine]
 
 
 def train(texts: list[bytes], labels: list[int], bits: int = BITS, epochs: int = EPOCHS, seed: int = 7) -> np.ndarray:
@@ -109,16 +126,13 @@ def train(texts: list[bytes], labels: list[int], bits: int = BITS, epochs: int =
     vectors = rng.uniform(-1 / WIDTH, 1 / WIDTH, (1 << bits, WIDTH)).astype(np.float32)
     output = np.zeros((2, WIDTH), dtype=np.float32)
     if len(set(labels)) == 2:
-        rows = []
-        for at in range(0, len(texts), 64):
-            found = features(texts[at : at + 64], bits)
-            rows += [_row(found, text) for text in range(len(texts[at : at + 64]))]
+        rows = _Rows(texts, bits)
         share = np.bincount(labels, minlength=2) / len(labels)
         balance = (0.5 / share) ** 0.5  # the rarer label counts somewhat more
         for epoch in range(epochs):
-            for number, row in enumerate(rng.permutation(len(rows)).tolist()):
+            for number, row in enumerate(rng.permutation(len(texts)).tolist()):
                 bucket, part = rows[row]
-                rate = RATE * (1 - (epoch + number / len(rows)) / epochs) * balance[labels[row]]
+                rate = RATE * (1 - (epoch + number / len(texts)) / epochs) * balance[labels[row]]
                 mean = part @ vectors[bucket]
                 logit = output @ mean
                 error = np.exp(logit - logit.max())
@@ -143,7 +157,7 @@ def sample(docs: DataFrame, labels: DataFrame, learn, rows: int = SAMPLE_ROWS, c
     chosen = chosen.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("label").cast("int").alias("label"))
     chosen = chosen.limit(2 * rows)  # bounded, so it may be sent to every task
     texts = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text").where(F.length("text") <= chars)
-    found = texts.join(F.broadcast(chosen), "doc_id").limit(4 * rows).collect()
+    found = texts.join(F.broadcast(chosen), "doc_id").limit(2 * rows).collect()
     found = sorted((row.doc_id, row.text.encode(), row.label) for row in found)
     return [text for _, text, _ in found], [label for _, _, label in found]
 

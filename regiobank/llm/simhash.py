@@ -25,7 +25,7 @@ from regiobank.sources.scratch import stage
 SHINGLE = 4
 SEED = 42
 RADIUS = 4
-TILE_ROWS = 4096
+TILE_ROWS = 8192
 _BLOCK = 1 << 20
 
 _BITS = ((np.arange(256)[:, None] >> np.arange(8)) & 1).astype(np.int64)
@@ -86,14 +86,42 @@ def local_groups(fps: np.ndarray, nodes: np.ndarray, radius: int) -> np.ndarray:
     return roots
 
 
-def meeting_groups(fps: np.ndarray, roots: np.ndarray, fps2: np.ndarray, roots2: np.ndarray, radius: int) -> np.ndarray:
-    """Distinct pairs of groups (one of each tile) between which there is a link."""
+def _cells(fps: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Order of rows by the bit counts of their quarters, the different counts, and where their rows begin and end."""
+    counts = np.stack([np.bitwise_count((fps >> np.uint64(at)) & np.uint64(0xFFFF)) for at in (48, 32, 16, 0)], axis=1).astype(np.int64)
+    order = np.lexsort(counts.T)
+    new = np.flatnonzero((np.diff(counts[order], axis=0) != 0).any(axis=1)) + 1
+    bounds = np.concatenate([[0], new, [len(fps)]])
+    return order, counts[order[bounds[:-1]]], bounds
+
+
+def _links(fps: np.ndarray, roots: np.ndarray, fps2: np.ndarray, roots2: np.ndarray, radius: int) -> list[np.ndarray]:
     met = []
     rows = max(1, _BLOCK // max(1, len(fps2)))
     for at in range(0, len(fps), rows):
         one, two = np.nonzero(_near(fps[at : at + rows, None], fps2[None, :], radius))
         if len(one):
             met.append(np.unique(np.stack([roots[at + one], roots2[two]], axis=1), axis=0))
+    return met
+
+
+def meeting_groups(fps: np.ndarray, roots: np.ndarray, fps2: np.ndarray, roots2: np.ndarray, radius: int) -> np.ndarray:
+    """Distinct pairs of groups (one of each tile) between which there is a link.
+
+    In large tiles rows are grouped by the bit counts of their quarters, and the same skipping is done among these.
+    """
+    if len(fps) * len(fps2) <= _BLOCK:
+        met = _links(fps, roots, fps2, roots2, radius)
+    else:
+        met = []
+        order, counts, bounds = _cells(fps)
+        order2, counts2, bounds2 = _cells(fps2)
+        for number, mine in enumerate(counts):
+            near = np.flatnonzero(np.abs(counts2 - mine).sum(axis=1) <= radius)
+            if len(near):
+                rows = order[bounds[number] : bounds[number + 1]]
+                others = np.concatenate([order2[bounds2[n] : bounds2[n + 1]] for n in near.tolist()])
+                met += _links(fps[rows], roots[rows], fps2[others], roots2[others], radius)
     return np.unique(np.concatenate(met), axis=0) if met else np.empty((0, 2), dtype=np.int64)
 
 

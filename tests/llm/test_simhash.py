@@ -1,5 +1,6 @@
 import random
 
+import numpy as np
 import xxhash
 
 from regiobank.llm import simhash
@@ -60,6 +61,19 @@ def test_chains_over_many_tiles(spark):
     assert {i: got[v] for i, v in prints.items()} == wanted
 
 
+def test_large_tiles_skip_without_loss(monkeypatch):
+    rng = np.random.default_rng(8)
+    fps = rng.integers(0, 1 << 64, 3000, dtype=np.uint64)
+    fps[1000:2000] = fps[:1000] ^ (np.uint64(1) << rng.integers(0, 64, 1000).astype(np.uint64))
+    fps[2000:] = fps[1000:2000] ^ np.uint64(0x80000007)
+    one, two = np.arange(1500), np.arange(1500, 3000)
+    far = (np.bitwise_count(fps[one][:, None] ^ fps[two][None, :]) <= 4).nonzero()
+    wanted = {(int(one[a]), int(two[b])) for a, b in zip(*far)}
+    monkeypatch.setattr(simhash, "_BLOCK", 1000)
+    got = simhash.meeting_groups(fps[one], one, fps[two], two, 4)
+    assert wanted and {tuple(row) for row in got.tolist()} == wanted
+
+
 def test_edges(spark, table):
     long = "aa bb cc dd ee " * 30000
     rows = [(5, None), (2, ""), (9, " \t\n"), (None, "a b"), (4, "A b"), (3, "a  B"), (3, "a b"), (8, long), (7, long), (1, "x")]

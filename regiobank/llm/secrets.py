@@ -31,7 +31,8 @@ KNOWN_TRIPLE = 3
 _RUN = r"[A-Za-z0-9+/_\-]{16,}={0,2}"
 _NAME = r"(?i:passw(?:or)?d|pwd|secret|token|api_?key|access_?key)"
 _GIVEN = rf"""{_NAME}["']?[=:]["']?([^\s"'!,;#&%$*]{{6,}})"""
-_CANDIDATE = rf"""{_NAME}["']?[=:]|[A-Za-z0-9+/_\-]{{16}}"""
+_KEY = r"[\p{Alnum}+/_\-]"
+_CANDIDATE = rf"""(?<!{_KEY}){_KEY}{{16}}|[=:](?<={_NAME}["']?[=:])"""
 _PLACEHOLDER = r"(?i)example|sample|placeholder|changeme|your|dummy|x{6}|\*{4}"
 
 FEATURES = [

@@ -18,7 +18,7 @@ from pyspark.sql.types import StructType
 
 from regiobank.sources.shipping import ship_package
 
-SLICE_BYTES = 4 << 20
+SLICE_BYTES = 2 << 20
 UPPER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ"
 
 U64 = np.uint64

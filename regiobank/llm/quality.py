@@ -167,7 +167,7 @@ def score_documents(docs: DataFrame, weights: np.ndarray, name: str = "score") -
     taken = f"_{name}_text"
 
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in slices(batches, taken):
+        for batch in slices(batches, taken, most=1 << 20):
             found = scores(weights, utf8(batch.column(taken)))
             kept = [n for n in batch.schema.names if n != taken]
             yield pa.RecordBatch.from_arrays([*batch.select(kept).columns, pa.array(found, pa.float64())], [*kept, name])

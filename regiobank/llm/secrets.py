@@ -26,11 +26,13 @@ SAMPLE_ROWS = 20_000
 THRESHOLD = 0.5
 MASK = "[SECRET]"
 KNOWN_TRIPLE = 3
+NEAR = 64
 
 #: Characters of keys, and names that secrets are assigned to; fixed values.
 _RUN = r"[A-Za-z0-9+/_\-]{16,}={0,2}"
 _NAME = r"(?i:passw(?:or)?d|pwd|secret|token|api_?key|access_?key)"
 _GIVEN = rf"""{_NAME}["']?[=:]["']?([^\s"'!,;#&%$*]{{6,}})"""
+_PART = r"[^,;&{}]*"
 _KEY = r"[\p{Alnum}+/_\-]"
 _CANDIDATE = rf"""(?<!{_KEY}){_KEY}{{16}}|[=:](?<={_NAME}["']?[=:])"""
 _PLACEHOLDER = r"(?i)example|sample|placeholder|changeme|your|dummy|x{6}|\*{4}"
@@ -42,10 +44,12 @@ FEATURES = [
 
 
 def candidates(docs: DataFrame, path: str | None = None) -> DataFrame:
-    """ord, rid, doc_id, word (its number among the blank-separated words), value, before2, before, whole, after, path.
+    """ord, rid, doc_id, path, word (its number among the blank-separated words), value, near, before2, before, after.
 
-    A word with several runs gives its longest assignment or, without one, its first run. Rows of `docs` (doc_id, text)
-    that repeat count once. `path` names the column with the place a text comes from.
+    A row per distinct value of a word: all that is assigned to a secret-like name, and all runs. near is the value with
+    what stands beside it: its assignment, or what the word has between it and the next separator or run on each side,
+    after the two words before if that reaches to the start of the word. Rows of `docs` (doc_id, text) that repeat count
+    once. `path` names the column with the place a text comes from.
     """
     rows = docs.select("doc_id", "text", (F.col(path).cast("string") if path else F.lit(None).cast("string")).alias("path"))
     told = keyed(rows, F.coalesce("path", F.lit("")).alias("path"))
@@ -66,9 +70,35 @@ def candidates(docs: DataFrame, path: str | None = None) -> DataFrame:
 
     picked = F.filter(F.transform(words, around), lambda x: x["whole"].rlike(_CANDIDATE))
     found = held.select("ord", "rid", "doc_id", "path", F.explode(picked).alias("x")).select("ord", "rid", "doc_id", "path", "x.*")
-    given, run = F.regexp_extract("whole", _GIVEN, 1), F.regexp_extract("whole", _RUN, 0)
-    found = found.withColumn("value", F.when(given != "", given).otherwise(run)).where("value <> ''")
-    return found.dropDuplicates(["ord", "rid", "word"])
+    around_values = ["doc_id", "path", "before2", "before", "after"]
+    found = found.select("ord", "rid", "word", *around_values, F.explode(F.concat(_given(), _runs())).alias("x"))
+    # an assignment before a run of the same value
+    best = F.min(F.struct("x.kind", "x.near"))["near"].alias("near")
+    return found.groupBy("ord", "rid", "word", F.col("x.value").alias("value")).agg(best, *(F.first(c).alias(c) for c in around_values))
+
+
+def _value(kind: int, value: Column, near: Column) -> Column:
+    return F.struct(F.lit(kind).alias("kind"), value.alias("value"), near.alias("near"))
+
+
+def _given() -> Column:
+    """The assignments within `whole`."""
+    pairs = F.arrays_zip(F.regexp_extract_all("whole", F.lit(_GIVEN), F.lit(1)).alias("value"), F.regexp_extract_all("whole", F.lit(_GIVEN), F.lit(0)).alias("near"))
+    return F.transform(pairs, lambda x: _value(0, x["value"], x["near"]))
+
+
+def _runs() -> Column:
+    """The runs of `whole`, each with the ends of the gaps beside it: together no longer than twice the word."""
+    gaps = F.split("whole", _RUN)
+    places = F.arrays_zip(F.regexp_extract_all("whole", F.lit(_RUN), F.lit(0)).alias("value"), gaps.alias("left"), F.slice(gaps, 2, F.length("whole")).alias("right"))
+
+    def run(x: Column, i: Column) -> Column:
+        left = F.regexp_extract(F.substring(x["left"], -NEAR, NEAR), rf"{_PART}$", 0)
+        right = F.regexp_extract(F.substring(x["right"], 1, NEAR), f"^{_PART}", 0)
+        near = F.concat(left, x["value"], right)
+        return _value(1, x["value"], F.when((i == 0) & (left == x["left"]), F.concat_ws(" ", "before2", "before", near)).otherwise(near))
+
+    return F.transform(F.filter(places, lambda x: x["value"].isNotNull()), run)
 
 
 def _share(column: Column, kind: str) -> Column:
@@ -85,19 +115,20 @@ def _triples(column: Column) -> Column:
 
 
 def _coverage(found: DataFrame) -> DataFrame:
-    """(ord, rid, word, coverage): the share of a value's letter triples that the words around candidates know."""
-    near = found.select(F.explode(F.array("before2", "before", "after")).alias("near")).where(r"near rlike '^[A-Za-z]{3,}[.,]?$'")
+    """(ord, rid, word, value, coverage): the share of a value's letter triples that the words around candidates know."""
+    around = found.select("ord", "rid", "word", "before2", "before", "after").dropDuplicates(["ord", "rid", "word"])
+    near = around.select(F.explode(F.array("before2", "before", "after")).alias("near")).where(r"near rlike '^[A-Za-z]{3,}[.,]?$'")
     known = near.select(F.explode(F.array_distinct(_triples(F.col("near")))).alias("triple")).groupBy("triple").agg(F.count(F.lit(1)).alias("n"))
     known = stage(known.where(F.col("n") >= KNOWN_TRIPLE).select("triple"), "triples")  # 26 ** 3 rows at most
-    own = found.select("ord", "rid", "word", F.explode(_triples(F.col("value"))).alias("triple"))
+    own = found.select("ord", "rid", "word", "value", F.explode(_triples(F.col("value"))).alias("triple"))
     hits = own.join(known.withColumn("hit", F.lit(1)), "triple", "left")
-    return hits.groupBy("ord", "rid", "word").agg(F.avg(F.coalesce("hit", F.lit(0))).alias("coverage"))
+    return hits.groupBy("ord", "rid", "word", "value").agg(F.avg(F.coalesce("hit", F.lit(0))).alias("coverage"))
 
 
 def with_features(found: DataFrame) -> DataFrame:
     """`candidates` with the columns named in FEATURES."""
     value, plain = F.col("value"), r"^[\p{L}]+[.,]?$"
-    shown = found.join(_coverage(found), ["ord", "rid", "word"], "left").withColumn("coverage", F.coalesce("coverage", F.lit(0.0)))
+    shown = found.join(_coverage(found), ["ord", "rid", "word", "value"], "left").withColumn("coverage", F.coalesce("coverage", F.lit(0.0)))
     return shown.select(
         "*",
         F.log2(F.length(value)).alias("length"),
@@ -112,8 +143,8 @@ def with_features(found: DataFrame) -> DataFrame:
         value.rlike("^([0-9a-f]+|[0-9A-F]+)$").cast("double").alias("hex"),
         (F.size(F.split("path", "/")) - 1).cast("double").alias("path_depth"),
         F.col("path").rlike("(?i)test|example|sample|mock|doc").cast("double").alias("path_test"),
-        F.concat_ws(" ", "before2", "before", "whole").rlike(_NAME).cast("double").alias("named"),
-        F.concat_ws(" ", "before2", "before", "whole").rlike(r"[=:]").cast("double").alias("assigned"),
+        F.col("near").rlike(_NAME).cast("double").alias("named"),
+        F.col("near").rlike(r"[=:]").cast("double").alias("assigned"),
         F.length("before").cast("double").alias("before_length"),
         F.col("before").rlike(plain).cast("double").alias("before_plain"),
         F.length("after").cast("double").alias("after_length"),
@@ -126,7 +157,7 @@ def label_by_rule() -> Column:
 
     A stand-in for findings that people have judged, which a caller gives instead where there are any.
     """
-    value, near = F.col("value"), F.concat_ws(" ", "before2", "before", "whole")
+    value, near = F.col("value"), F.col("near")
     mixed = value.rlike("[0-9]") & value.rlike("[A-Za-z]")
     return (
         F.when(value.rlike(_PLACEHOLDER), 0)
@@ -157,7 +188,7 @@ def train(findings: DataFrame, rows: int = SAMPLE_ROWS) -> RandomForestClassific
 def scan(docs: DataFrame, path: str | None = None, label: Column | None = None, threshold: float = THRESHOLD) -> DataFrame:
     """A row per candidate of `docs` (doc_id, text): ord, rid, doc_id, word, value, score, secret.
 
-    word counts the blank-separated words from 0; ord and rid tell rows of `docs` apart (see `keyed`). score is the
+    A word has a row per distinct value; word counts the blank-separated words from 0; ord and rid tell rows of `docs` apart (see `keyed`). score is the
     forest's probability, secret whether it reaches the threshold. `label` is a column over `candidates`: 1 secret, 0
     not, null unknown; without it, `label_by_rule`. Where the known labels are all the same, every
     candidate has that label as its score; without any it is 1, as nothing speaks against them. Null and empty texts have no candidates, rows that repeat count

@@ -1,7 +1,7 @@
 """Secret scan: candidates by pattern, and a random forest that removes false positives.
 
-Candidates are blank-separated words that hold a long run of key characters or an assignment to a secret-like name. The
-forest judges each one by its length, its classes of characters and the transitions between them, how much of it a
+Candidates are, within blank-separated words, long runs of key characters and what is assigned to a secret-like name, with
+or without blanks beside the sign. The forest judges each one by its length, its classes of characters and the transitions between them, how much of it a
 dictionary covers, the path it was found under and the words next to it. The dictionary is made of the letter triples
 of the words around all candidates, so it speaks the languages of the corpus.
 
@@ -27,14 +27,30 @@ THRESHOLD = 0.5
 MASK = "[SECRET]"
 KNOWN_TRIPLE = 3
 NEAR = 64
+LEAST = 6
 
 #: Characters of keys, and names that secrets are assigned to; fixed values.
 _RUN = r"[A-Za-z0-9+/_\-]{16,}={0,2}"
 _NAME = r"(?i:passw(?:or)?d|pwd|secret|token|api_?key|access_?key)"
-_GIVEN = rf"""{_NAME}["']?[=:]["']?([^\s"'!,;#&%$*]{{6,}})"""
+_NAMED = rf"""{_NAME}\\?["']?\]?"""
+_SIGN = r"(?::=|=>|==|[=:])"
+_NEXT = rf"""{_NAMED}\s*[=:]"""
+#: A value goes on to the closing quote or, without quotes, to a blank, less the signs that close it, or to the next of a
+#: row of assignments. In any of them the assignment to another secret-like name starts anew.
+_PLAIN = r"[^\s!-/:-@\[-`{-~]++"
+_OTHER = r"[!#$%()*+,\-./:;<=>?@\[\]^_`{|}~&]"
+_CLOSES = r"[,;&)\]}\\]"
+_DOUBLE, _SINGLE = (rf"""(?:{_PLAIN}|\\\S|(?:{_OTHER}|{other})(?!{_NEXT}))*+""" for other in "'\"")
+_ESCAPED = rf"""(?:{_PLAIN}|\\(?!["'])|{_OTHER}(?!{_NEXT}))*+"""
+_BARE = rf"""(?:{_PLAIN}|(?!{_CLOSES}){_OTHER}(?!{_NEXT})|{_CLOSES}++(?![\s"']|$|(?<=[,;&])[A-Za-z0-9_.\-]++[=:]|{_NEXT}))*+"""
+_VALUE = rf"""\\?["']?(?!{_NEXT})((?<=\\["']){_ESCAPED}|(?<=(?<!\\)"){_DOUBLE}|(?<=(?<!\\)'){_SINGLE}|(?<!["']){_BARE})"""
+_GIVEN = rf"{_NAMED}{_SIGN}{_VALUE}"
+#: The value at the start of a word (after a line feed) that the words before assign.
+_LED = rf"{_NAMED}(?: ?{_SIGN}\n|\n{_SIGN}){_VALUE}"
+_SPREAD = rf"(?=[pPsStTaA]){_NAMED}(?:\s+[=:]|{_SIGN}\s)"
 _PART = r"[^,;&{}]*"
 _KEY = r"[\p{Alnum}+/_\-]"
-_CANDIDATE = rf"""(?<!{_KEY}){_KEY}{{16}}|[=:](?<={_NAME}["']?[=:])"""
+_CANDIDATE = rf"""(?<!{_KEY}){_KEY}{{16}}|[=:](?<={_NAMED}[=:])"""
 _PLACEHOLDER = r"(?i)example|sample|placeholder|changeme|your|dummy|x{6}|\*{4}"
 
 FEATURES = [
@@ -46,14 +62,16 @@ FEATURES = [
 def candidates(docs: DataFrame, path: str | None = None) -> DataFrame:
     """ord, rid, doc_id, path, word (its number among the blank-separated words), value, near, before2, before, after.
 
-    A row per distinct value of a word: all that is assigned to a secret-like name, and all runs. near is the value with
+    A row per distinct value of a word: all that is assigned to a secret-like name, there or in the two words before, and
+    all runs. near is the value with
     what stands beside it: its assignment, or what the word has between it and the next separator or run on each side,
     after the two words before if that reaches to the start of the word. Rows of `docs` (doc_id, text) that repeat count
     once. `path` names the column with the place a text comes from.
     """
     rows = docs.select("doc_id", "text", (F.col(path).cast("string") if path else F.lit(None).cast("string")).alias("path"))
     told = keyed(rows, F.coalesce("path", F.lit("")).alias("path"))
-    held = told.where(F.col("text").rlike(_CANDIDATE)).withColumn("words", F.split("text", r"\s+"))
+    told = told.withColumn("spread", F.col("text").rlike(_SPREAD))
+    held = told.where(F.col("spread") | F.col("text").rlike(_CANDIDATE)).withColumn("words", F.split("text", r"\s+"))
     words = F.col("words")
 
     def beside(i: Column, step: int) -> Column:
@@ -68,10 +86,14 @@ def candidates(docs: DataFrame, path: str | None = None) -> DataFrame:
             beside(i, 1).alias("after"),
         )
 
-    picked = F.filter(F.transform(words, around), lambda x: x["whole"].rlike(_CANDIDATE))
+    def led(x: Column) -> Column:
+        return x["before"].rlike(_NAME) | (x["before2"].rlike(_NAME) & x["before"].rlike(f"^{_SIGN}$"))
+
+    picked = F.filter(F.transform(words, around), lambda x: x["whole"].rlike(_CANDIDATE) | (F.col("spread") & led(x)))
     found = held.select("ord", "rid", "doc_id", "path", F.explode(picked).alias("x")).select("ord", "rid", "doc_id", "path", "x.*")
+    led_word = F.concat(F.concat_ws(" ", "before2", "before"), F.lit("\n"), "whole")
     around_values = ["doc_id", "path", "before2", "before", "after"]
-    found = found.select("ord", "rid", "word", *around_values, F.explode(F.concat(_given(), _runs())).alias("x"))
+    found = found.select("ord", "rid", "word", *around_values, F.explode(F.concat(_given("whole", _GIVEN), _given(led_word, _LED), _runs())).alias("x"))
     # an assignment before a run of the same value
     best = F.min(F.struct("x.kind", "x.near"))["near"].alias("near")
     return found.groupBy("ord", "rid", "word", F.col("x.value").alias("value")).agg(best, *(F.first(c).alias(c) for c in around_values))
@@ -81,10 +103,10 @@ def _value(kind: int, value: Column, near: Column) -> Column:
     return F.struct(F.lit(kind).alias("kind"), value.alias("value"), near.alias("near"))
 
 
-def _given() -> Column:
-    """The assignments within `whole`."""
-    pairs = F.arrays_zip(F.regexp_extract_all("whole", F.lit(_GIVEN), F.lit(1)).alias("value"), F.regexp_extract_all("whole", F.lit(_GIVEN), F.lit(0)).alias("near"))
-    return F.transform(pairs, lambda x: _value(0, x["value"], x["near"]))
+def _given(words: Column | str, pattern: str) -> Column:
+    """The assignments within some words."""
+    pairs = F.arrays_zip(F.regexp_extract_all(words, F.lit(pattern), F.lit(1)).alias("value"), F.regexp_extract_all(words, F.lit(pattern), F.lit(0)).alias("near"))
+    return F.transform(F.filter(pairs, lambda x: F.length(x["value"]) >= LEAST), lambda x: _value(0, x["value"], x["near"]))
 
 
 def _runs() -> Column:
@@ -110,8 +132,7 @@ def _turns(column: Column, one: str, two: str) -> Column:
 
 
 def _triples(column: Column) -> Column:
-    letters = F.split(F.lower(column), "")
-    return F.filter(F.transform(letters, lambda c, i: F.concat(c, F.coalesce(F.get(letters, i + 1), F.lit("")), F.coalesce(F.get(letters, i + 2), F.lit("")))), lambda t: t.rlike("^[a-z]{3}$"))
+    return F.regexp_extract_all(F.lower(column), F.lit("(?=([a-z]{3}))"), F.lit(1))
 
 
 def _coverage(found: DataFrame) -> DataFrame:
@@ -162,7 +183,7 @@ def label_by_rule() -> Column:
     return (
         F.when(value.rlike(_PLACEHOLDER), 0)
         .when(value.rlike("^(AKIA|ASIA)[0-9A-Z]{16}$") | value.rlike("^(ghp|gho|ghs|glpat|xox[bp]|sk)[_-][A-Za-z0-9_-]{16,}$"), 1)
-        .when(mixed & near.rlike(rf"""{_NAME}\s*["']?\s*[=:]"""), 1)
+        .when(mixed & near.rlike(_NEXT), 1)
         .when(value.rlike("^[a-z]+$") | value.rlike("^[A-Z]?[a-z]+$") | value.rlike("^[0-9]+$"), 0)
         .when(value.rlike("^[0-9A-Fa-f]{8}-([0-9A-Fa-f]{4}-){3}[0-9A-Fa-f]{12}$"), 0)
         .when(value.rlike("^[A-Z]+$") & ~near.rlike(_NAME), 0)

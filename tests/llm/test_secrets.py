@@ -83,3 +83,34 @@ def test_all_values_of_a_word(spark, table):
     masked = {r.doc_id: r.text for r in secrets.redact(table(list(enumerate(texts)))).collect()}
     assert not any(s in text for s in (key, "Tr0ubador7", "ghp_") for text in masked.values())
     assert uuid in masked[0] and uuid in masked[3]
+
+
+def test_assignments_in_their_usual_forms(spark, table):
+    """Blanks beside the sign, signs within values, quotes."""
+    forms = {
+        "password: Hunter2xyz": "Hunter2xyz",
+        'pwd = "S3cr3tPw!"': "S3cr3tPw!",
+        "password=abcD3f9!tail77xyz": "abcD3f9!tail77xyz",
+        "x password   =\n  'a1b2;c3,d4' y": "a1b2;c3,d4",
+        "api_key :Zx9$kk%1*&q": "Zx9$kk%1*&q",
+        '{"user":"bob","password":"pa55,w0rd}","x":1}': "pa55,w0rd}",
+        '"{\\"token\\":\\"q1w2e3r4\\",\\"n\\":1}"': "q1w2e3r4",
+        '"password" : "say\\"it9now", "n": 1': 'say\\"it9now',
+        'os.environ["TOKEN"] = "Qq11!!zz"': "Qq11!!zz",
+        "see ?password=Ab1!cd2&user=somebody": "Ab1!cd2",
+        "f(password=Ab1!cd2, n)": "Ab1!cd2",
+        "secret:\n  password: Hunter2xyz": "Hunter2xyz",
+        "secret := Hun_2!xyz": "Hun_2!xyz",
+        "token=" + "a1!" * 30000: "a1!" * 30000,
+    }
+    docs = table(list(enumerate(forms)))
+    rows = secrets.candidates(docs).select("doc_id", "word", "value").collect()
+    given = {(r.doc_id, r.value) for r in rows}
+    assert given == set(enumerate(forms.values())) and len(rows) == len(forms)
+    assert all(forms[text] in text.split()[r.word] for r in rows for text in [list(forms)[r.doc_id]])
+    masked = {r.doc_id: r.text for r in secrets.redact(docs).collect()}
+    for number, (text, value) in enumerate(forms.items()):
+        assert masked[number] == text.replace(value, secrets.MASK)
+    two = table([(1, "password=Tr0ub!dor7,token=Zz9!zzz;secret=abc/pwd=Hun!er22 token: token=Xx1!xxx")])
+    assert {r.value for r in secrets.candidates(two).collect()} == {"Tr0ub!dor7", "Zz9!zzz", "Hun!er22", "Xx1!xxx"}
+    assert secrets.candidates(table([(1, "the password is here: no"), (2, "token: a"), (3, "= password ="), (4, "password")])).count() == 0

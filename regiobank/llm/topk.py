@@ -1,11 +1,11 @@
-"""Exact top-k search by inner product, with MaxScore.
+"""Exact top-k search by inner product, with the score bounds of MaxScore.
 
 A vector is a document whose terms are its components. A query's term (a component) has a bound: the most that it can add
-to any score in the shard, from the shard's largest and smallest value there. Terms in order of their bounds are split in
-two: the non-essential ones could, even all together, not lift a row over the query's threshold. Only the postings of the
-essential terms are traversed for all rows; rows that can still compete are then probed in the other terms, strongest
-first, until they have a full score or drop out. The threshold is the k-th best score so far, and starts from the
-k-th best of the rows nearest to the query's strongest terms.
+to any score in the shard, from the shard's largest and smallest value there. Vectors are dense, so the postings of every
+term hold all rows, and essential terms would skip none. Instead all rows are scored in a fixed number of first terms, those
+of the widest range; rows whose partial score and the bounds of the other terms reach the threshold are then probed in
+these, as many at a time, until they have a full score or drop out. The threshold is the k-th best score so far, and starts
+from the k-th best of the rows nearest to the query in the first terms.
 
 Rows are dealt to shards of a bounded size by a hash of the row, queries to groups of a bounded size. Every group meets
 every shard in a task of its own, and the shards' results are merged by rank.
@@ -71,7 +71,7 @@ class Shard:
         partial[~others] = -np.inf
         start = np.argpartition(-partial, k - 1)[:k]
         threshold = (self.postings[:, start].T @ q).min()
-        # essential terms: as many as it takes until the others alone can't reach the threshold from the best partial
+        # rows that can still reach the threshold from their score in the first STEP terms
         alive, done = np.flatnonzero(partial + rest[min(STEP, len(terms))] >= threshold), min(STEP, len(terms))
         score = partial[alive]
         while done < len(terms) and len(alive) > k:

@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from regiobank.llm import decontaminate, langid, licenses, packing, quality, secrets, simhash, sql, substrings, tokens, topk
+from regiobank.llm import collocations, decontaminate, langid, licenses, packing, quality, secrets, simhash, sql, substrings, tokens, topk
 
 VOCABULARY = "byte_bpe_50k.json"
 
@@ -87,6 +87,10 @@ def op10_substring_dedup(spark: SparkSession, folder: str) -> DataFrame:
     return substrings.remove_repeats(_table(spark, folder, "documents"))
 
 
+def op11_collocations(spark: SparkSession, folder: str) -> DataFrame:
+    return collocations.collocations(_table(spark, folder, "documents"))
+
+
 def queries() -> dict[str, Query]:
     return {
         "op1_token_counts": op1_token_counts,
@@ -99,6 +103,7 @@ def queries() -> dict[str, Query]:
         "op8_license_scan": op8_license_scan,
         "op9_simhash": op9_simhash,
         "op10_substring_dedup": op10_substring_dedup,
+        "op11_collocations": op11_collocations,
     }
 
 

@@ -90,5 +90,31 @@ LEFT JOIN most USING (doc_id)
 """
 
 
+COLLOCATIONS = r"""
+WITH pieces AS (SELECT doc_id, coalesce(lang, 'und') AS lang, unnest(regexp_split_to_array(
+    translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[.,;:!?\x0A-\x0D]')) AS piece FROM documents),
+words AS (SELECT lang, regexp_extract_all(piece, '[^\x20\x09]+') AS w FROM pieces),
+f AS (
+  SELECT lang, list_slice(w, p, p + k - 1) AS x, CAST(count(*) AS BIGINT) AS n
+  FROM words, (VALUES (1), (2), (3)) AS s(k), unnest(generate_series(1, len(w) - k + 1)) AS t(p) GROUP BY ALL),
+totals AS (SELECT lang, CAST(sum(len(w)) AS BIGINT) AS n FROM words GROUP BY lang),
+chosen AS (SELECT lang, x, n AS a FROM f WHERE len(x) > 1 AND n >= 10),
+cuts AS (
+  SELECT c.lang, c.x, c.a, k, l.n AS l, r.n AS r, (1000000 * c.a::HUGEINT * c.a::HUGEINT) // (l.n::HUGEINT * r.n::HUGEINT) AS score
+  FROM chosen AS c, unnest(generate_series(1, len(c.x) - 1)) AS t(k), f AS l, f AS r
+  WHERE l.lang = c.lang AND r.lang = c.lang AND l.x = list_slice(c.x, 1, k) AND r.x = list_slice(c.x, k + 1, len(c.x))),
+weakest AS (SELECT * FROM (SELECT *, row_number() OVER (PARTITION BY lang, x ORDER BY score, k) AS nth FROM cuts) WHERE nth = 1),
+held AS (
+  SELECT lang, x, max(longer) AS longer FROM (
+    SELECT lang, unnest([list_slice(x, 1, 2), list_slice(x, 2, 3)]) AS x, a AS longer FROM chosen WHERE len(x) = 3) GROUP BY ALL),
+kept AS (
+  SELECT w.*, array_to_string(w.x, ' ') AS phrase FROM weakest AS w LEFT JOIN held AS h ON h.lang = w.lang AND h.x = w.x
+  WHERE h.longer IS NULL OR 100 * h.longer < 50 * w.a)
+SELECT lang, rank, phrase, a, l, r, n, CAST(score AS BIGINT) AS score FROM (
+  SELECT *, row_number() OVER (PARTITION BY lang ORDER BY score DESC, a DESC, encode(phrase)) AS rank FROM kept)
+JOIN totals USING (lang) WHERE rank <= 2000
+"""
+
+
 def oracle_sql() -> dict[str, str]:
-    return {"op2_decontamination": DECONTAMINATION, "op4_top_k": TOP_K, "op8_license_scan": LICENSES, "op10_substring_dedup": SUBSTRINGS}
+    return {"op2_decontamination": DECONTAMINATION, "op4_top_k": TOP_K, "op8_license_scan": LICENSES, "op10_substring_dedup": SUBSTRINGS, "op11_collocations": COLLOCATIONS}

@@ -13,13 +13,14 @@ such a phrase are at least as frequent, so a table of the frequent ones holds ev
 from __future__ import annotations
 
 from collections.abc import Iterator
+from typing import NamedTuple
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from regiobank.llm.common import Words, find_words, map_arrow, slices, utf8, word_hashes
+from regiobank.llm.common import Words, find_words, map_arrow, mix, slices, utf8, word_hashes
 from regiobank.sources.scratch import stage
 
 LONGEST = 3
@@ -29,7 +30,10 @@ BEST = 2000
 SCALE = 1_000_000
 NO_LANGUAGE = "und"
 SEED = 11
-SLICE = 16 << 20
+#: Windows that a task counts at a time, about as many as meet in a block, and words that a task remembers having named.
+COUNTED_AT_ONCE = 1_500_000
+BLOCK_WINDOWS = 250_000
+KNOWN_AT_ONCE = 500_000
 
 #: Bytes that end a piece of text, and those between words; fixed values.
 PIECE_ENDS = b".,;:!?\n\x0b\x0c\r"
@@ -41,7 +45,7 @@ LOWER = np.frombuffer(bytes(range(256)).lower(), dtype=np.uint8)
 
 #: Prefixes that lead so large a share of the windows of a sample (one in SAMPLED rows) are hot; their windows spread by
 #: their last words.
-HOT = 1 / 512
+HOT = 1 / 4096
 HOT_LEAST = 100
 SAMPLED = 64
 SPREAD = 64
@@ -52,17 +56,16 @@ HEATS = 64
 WHOLE = "decimal(38,0)"
 
 
-def _words_of(texts: list[bytes]) -> tuple[Words, np.ndarray]:
-    """The words of some texts, and for each one whether the next one is in the same piece."""
-    words = find_words(texts, IN_WORD)
-    piece = np.cumsum(ENDS_PIECE[words.buffer], dtype=np.int64)[words.starts]
-    return words, piece[1:] == piece[:-1]
-
-
-def _ids(words: Words, seed: int) -> np.ndarray:
-    """A 64-bit id per word, never 0, which pads."""
-    found = word_hashes(words, seed, lower=True).view(np.int64)
-    return np.where(found == 0, 1, found)
+def _word_blocks(batches: Iterator[pa.RecordBatch], seed: int) -> Iterator[tuple[Words, np.ndarray, np.ndarray, pa.RecordBatch]]:
+    """Slices of texts with their words, the words' 64-bit ids (never 0, which pads), and whether the next word is in the
+    same piece."""
+    for batch in slices(batches):
+        words = find_words(utf8(batch.column("text")), IN_WORD)
+        if not len(words.starts):
+            continue
+        ids = word_hashes(words, seed, lower=True).view(np.int64)
+        piece = np.cumsum(ENDS_PIECE[words.buffer], dtype=np.int64)[words.starts]
+        yield words, np.where(ids == 0, 1, ids), np.append(piece[1:] == piece[:-1], False), batch
 
 
 def _counted(columns: list[np.ndarray]) -> tuple[list[np.ndarray], np.ndarray]:
@@ -85,99 +88,229 @@ def _counted(columns: list[np.ndarray]) -> tuple[list[np.ndarray], np.ndarray]:
     return [column[first] for column in columns], n
 
 
+def _language(seed: int) -> Column:
+    """The id of a row's language."""
+    return F.xxhash64(F.coalesce(F.col("lang").cast("string"), F.lit(NO_LANGUAGE)), F.lit(seed))
+
+
+def _names(longest: int) -> list[str]:
+    return [f"w{k + 1}" for k in range(longest)]
+
+
+def _batch(columns: list[np.ndarray], names: list[str]) -> pa.RecordBatch:
+    return pa.RecordBatch.from_arrays([pa.array(column, pa.int64()) for column in columns], names)
+
+
+def _window_counts(batches: Iterator[pa.RecordBatch], longest: int, seed: int) -> Iterator[list[np.ndarray]]:
+    """lang, w1 .. w<longest>, n of windows, from batches with lang (an id) and text."""
+    held: list[list[np.ndarray]] = []
+
+    def counted() -> list[np.ndarray]:
+        columns, n = _counted([np.concatenate(column) for column in zip(*held)])
+        held.clear()
+        return [*columns, n]
+
+    for words, ids, goes_on, batch in _word_blocks(batches, seed):
+        led, alive = [ids], np.ones(len(ids), dtype=bool)
+        for _ in range(1, longest):
+            # the next word of every word whose window has not ended
+            alive = np.append(alive[1:], False) & goes_on
+            led.append(np.where(alive, np.append(led[-1][1:], 0), 0))
+        held.append([batch.column("lang").to_numpy()[words.text_of], *led])
+        if sum(len(columns[0]) for columns in held) >= COUNTED_AT_ONCE:
+            yield counted()
+    if held:
+        yield counted()
+
+
+def _told(docs: DataFrame, seed: int) -> DataFrame:
+    return docs.select(_language(seed).alias("lang"), "text").where("text IS NOT NULL")
+
+
 def windows(docs: DataFrame, longest: int = LONGEST, seed: int = SEED) -> DataFrame:
-    """lang, w1 .. w<longest>, n: windows as ids of their words, 0 where padded, counted within slices of texts."""
-    names = [f"w{k + 1}" for k in range(longest)]
+    """lang, w1 .. w<longest>, n: windows as ids of their words, 0 where padded, counted within slices of texts. lang is
+    an id, too."""
+    names = ["lang", *_names(longest), "n"]
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in slices(batches, most=SLICE):
-            words, goes_on = _words_of(utf8(batch.column("text")))
-            if not len(words.starts):
-                continue
-            ids = _ids(words, seed)
-            langs = batch.column("lang").dictionary_encode()
-            led, alive = [ids], np.ones(len(ids), dtype=bool)
-            for k in range(1, longest):
-                # the next word of every word whose window has not ended
-                alive = np.append(alive[1:], False) & np.append(goes_on, False)
-                led.append(np.where(alive, np.append(led[-1][1:], 0), 0))
-            lang = langs.indices.to_numpy(zero_copy_only=False)[words.text_of]
-            (lang, *led), n = _counted([lang, *led])
-            yield pa.RecordBatch.from_arrays([langs.dictionary.take(pa.array(lang)), *map(pa.array, led), pa.array(n, pa.int64())], ["lang", *names, "n"])
-
-    lang = F.coalesce(F.col("lang").cast("string"), F.lit(NO_LANGUAGE)).alias("lang")
-    schema = ", ".join(["lang string", *[f"{name} bigint" for name in names], "n bigint"])
-    return map_arrow(docs.select(lang, "text").where("text IS NOT NULL"), count, schema)
-
-
-def hot_prefixes(docs: DataFrame, words: int, seed: int = SEED) -> list[int]:
-    """Hashes of the phrases of so many words that lead a share of HOT of the windows in a sample of rows: 1 / HOT of
-    them at most. They decide only how rows are spread over tasks, not what is counted."""
-    names = [f"w{k + 1}" for k in range(words)]
-    sample = docs.where(F.pmod(F.xxhash64("text"), F.lit(SAMPLED)) == 0)
-    led = windows(sample, words, seed).groupBy(*names).agg(F.sum("n").alias("n"))
+        for columns in _window_counts(batches, longest, seed):
+            yield _batch(columns, names)
+
+    return map_arrow(_told(docs, seed), count, ", ".join(f"{name} bigint" for name in names))
+
+
+def _hashed(columns: list[np.ndarray]) -> np.ndarray:
+    """One hash per row of some columns."""
+    found = np.zeros(len(columns[0]), dtype=np.uint64)
+    for column in columns:
+        found = mix(found * np.uint64(3) + column.view(np.uint64))
+    return found
+
+
+class Shape(NamedTuple):
+    """How windows are spread over blocks; it does not change what is counted."""
+
+    blocks: int
+    hot: np.ndarray  # sorted hashes of the prefixes whose windows are spread by their last word, too
+
+    def place(self, columns: list[np.ndarray]) -> tuple[np.ndarray, np.ndarray]:
+        """For windows (lang, w1 .. w<longest>) a hash that windows of a prefix have in common, and whether it is hot: then
+        only those whose last words do, too."""
+        at = _hashed(columns[:-1])
+        is_hot = np.isin(at, self.hot)
+        return np.where(is_hot, mix(at + np.uint64(1) + columns[-1].view(np.uint64) % np.uint64(SPREAD)), at), is_hot
+
+
+def shape_of(docs: DataFrame, longest: int = LONGEST, seed: int = SEED) -> Shape:
+    """From a sample of rows: 1 / HOT hot prefixes at most, and a number of blocks that grows with the windows."""
+    keys = ["lang", *_names(longest - 1)]
+    led = windows(docs.sample(1 / SAMPLED, seed), longest - 1, seed).groupBy(*keys).agg(F.sum("n").alias("n"))
     total = led.agg(F.sum("n")).first()[0] or 0
-    found = led.where(F.col("n") >= max(total * HOT, HOT_LEAST))
-    return [row[0] for row in found.select(F.xxhash64(*names)).collect()]
+    rows = led.where(F.col("n") >= max(total * HOT, HOT_LEAST)).select(*keys).collect()
+    hot = _hashed([np.array(column, dtype=np.int64) for column in zip(*rows)]) if rows else np.zeros(0, dtype=np.uint64)
+    tasks = int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    return Shape(max(tasks, total * SAMPLED // BLOCK_WINDOWS), np.sort(hot))
+
+
+def _grouped(columns: list[np.ndarray], keys: int, n: int) -> list[np.ndarray]:
+    """Rows sorted by the first `keys` columns, equal ones as one with the sum of column number `n`."""
+    order = np.lexsort(columns[:keys][::-1])
+    columns = [column[order] for column in columns]
+    at = np.flatnonzero(np.append(True, np.any([column[1:] != column[:-1] for column in columns[:keys]], axis=0)))
+    return [np.add.reduceat(column, at) if i == n else column[at] for i, column in enumerate(columns)]
+
+
+def _padded(columns: list[np.ndarray], shape: Shape, least: int) -> tuple[list[np.ndarray], list[np.ndarray], list[np.ndarray]]:
+    """Windows of whole prefixes (lang, w1 .. w<longest>, n) as other rows with the same sums: those that occur `least`
+    times; their prefixes with what is left, the last word padded; and prefixes that are rare as a whole, with their last
+    word padded too."""
+    *keys, last, n = columns
+    at, is_hot = shape.place([*keys, last])
+    order = np.lexsort([last, at])
+    at, last, n, is_hot, keys = at[order], last[order], n[order], is_hot[order], [column[order] for column in keys]
+    if any(np.any((at[1:] == at[:-1]) & (column[1:] != column[:-1])) for column in keys):
+        # several prefixes under one hash
+        at, is_hot, *keys, last, n = _grouped([at, is_hot, *keys, last, n], len(keys) + 3, len(keys) + 3)
+    new = np.flatnonzero(np.append(True, (at[1:] != at[:-1]) | (last[1:] != last[:-1]) | np.any([column[1:] != column[:-1] for column in keys], axis=0)))
+    n, at, last, is_hot, keys = np.add.reduceat(n, new), at[new], last[new], is_hot[new], [column[new] for column in keys]
+    often = (n >= least) & (last != 0)
+    first = np.flatnonzero(np.append(True, np.any([column[1:] != column[:-1] for column in (at, *keys)], axis=0)))
+    total, rest = np.add.reduceat(n, first), np.add.reduceat(np.where(often, 0, n), first)
+    prefix, rare = [column[first] for column in keys], ~is_hot[first] & (total < least)
+    none = np.zeros(len(first), dtype=np.int64)
+    found = [*(column[often] for column in keys), last[often], n[often]]
+    common = [column[~rare] for column in (*prefix, none, rest)]
+    return found, common, [column[rare] for column in (*prefix[:-1], none, none, rest)]
+
+
+def merged_windows(docs: DataFrame, longest: int = LONGEST, least: int = LEAST, seed: int = SEED) -> DataFrame:
+    """`windows` of all tasks, in which rare ones are padded from their last word on, and rare prefixes from theirs.
+
+    Windows meet in blocks by the hash of all their words but the last, so that a block has whole prefixes; those of a hot
+    prefix are spread by their last word too. A task sends one row per block that its windows go to.
+    """
+    names = ["lang", *_names(longest), "n"]
+    shape = shape_of(docs, longest, seed)
+
+    def deal(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for columns in _window_counts(batches, longest, seed):
+            block = (shape.place(columns[:-1])[0] % np.uint64(shape.blocks)).astype(np.int64)
+            order = np.argsort(block, kind="stable")
+            numbers, first = np.unique(block[order], return_index=True)
+            rows = np.stack(columns)[:, order]
+            parts = [rows[:, s:e].tobytes() for s, e in zip(first.tolist(), [*first[1:].tolist(), len(order)])]
+            yield pa.RecordBatch.from_arrays([pa.array(numbers), pa.array(parts, pa.binary())], ["block", "rows"])
+
+    dealt = map_arrow(_told(docs, seed), deal, "block bigint, rows binary").repartition("block").sortWithinPartitions("block")
+
+    def merge(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        open_block, held, rare = None, [], []
+        size = most = 0
+
+        def done() -> Iterator[list[np.ndarray]]:
+            if held:
+                found, common, scarce = _padded([np.concatenate(column) for column in zip(*held)], shape, least)
+                held.clear()
+                rare.append(scarce)
+                yield from (found, common)
+            yield from padded(COUNTED_AT_ONCE)
+
+        def padded(most: int) -> Iterator[list[np.ndarray]]:
+            if rare and sum(len(columns[0]) for columns in rare) >= most:
+                columns = [np.concatenate(column) for column in zip(*rare)]
+                rare.clear()
+                if len(columns[0]):
+                    yield _grouped(columns, len(names) - 1, len(names) - 1)
+
+        def all_rows() -> Iterator[list[np.ndarray]]:
+            nonlocal open_block, size, most
+            for batch in batches:
+                for block, rows in zip(batch.column("block").to_pylist(), batch.column("rows")):
+                    if block != open_block:
+                        yield from done()
+                        open_block, size, most = block, 0, COUNTED_AT_ONCE
+                    held.append(list(np.frombuffer(rows.as_buffer(), dtype=np.int64).reshape(len(names), -1)))
+                    size += len(held[-1][0])
+                    if size >= most:
+                        # a large block: equal windows become one
+                        held[:] = [_grouped([np.concatenate(column) for column in zip(*held)], len(names) - 1, len(names) - 1)]
+                        size = len(held[0][0])
+                        most = max(COUNTED_AT_ONCE, 2 * size)
+            yield from done()
+            yield from padded(0)
+
+        for columns in all_rows():
+            if len(columns[0]):
+                yield _batch(columns, names)
+
+    return map_arrow(dealt.select("block", "rows"), merge, ", ".join(f"{name} bigint" for name in names))
 
 
 def frequent_phrases(docs: DataFrame, longest: int = LONGEST, least: int = LEAST, seed: int = SEED) -> DataFrame:
-    """lang, ids (of the words), n: all phrases of up to `longest` words that occur `least` times in a language, and for
-    each language its number of words, under an empty array."""
-    names = [f"w{k + 1}" for k in range(longest)]
-    kept = names[:-1]
-    # Windows meet by all their words but the last, so a task has the sums of its longest prefixes; those of a
-    # hot prefix are spread by their last word too.
-    hot = F.xxhash64(*kept).isin(hot_prefixes(docs, longest - 1, seed))
-    spread = F.when(hot, F.pmod(names[-1], F.lit(SPREAD))).otherwise(F.lit(-1))
-    dealt = windows(docs, longest, seed).withColumn("spread", spread.cast("int")).repartition("lang", *kept, "spread")
-    counts = dealt.groupBy("lang", *kept, "spread", names[-1]).agg(F.sum("n").alias("n"))
-    # one condition over the count, so that it stays above the aggregate
-    full = counts.where(F.when(F.col(names[-1]) != 0, F.col("n")) >= least).select("lang", F.array(*names).alias("ids"), "n")
-    prefixes = counts.groupBy("lang", *kept, "spread").agg(F.sum("n").alias("n"))
-    # rare prefixes count only for what they have in common with others: their last words become one
-    rare = (F.col("spread") < 0) & (F.col("n") < least)
-    told = prefixes.withColumn(kept[-1], F.when(rare, 0).otherwise(F.col(kept[-1]))) if len(kept) > 1 else prefixes
-    shorter = told.rollup("lang", *kept).agg(F.sum("n").alias("n"), F.grouping_id().alias("summed"))
-    # `summed` has a bit for each column that is summed over, the last columns first
-    size = F.expr(" ".join(["CASE summed", *[f"WHEN {(1 << (len(kept) - size)) - 1} THEN {size}" for size in range(len(kept) + 1)], "END"]))
-    sums = shorter.select("lang", F.slice(F.array(*kept), F.lit(1), size).alias("ids"), "n").where("ids IS NOT NULL")
-    # a prefix with a padded place is a shorter phrase, which its own level counts
-    common = sums.where(~F.array_contains("ids", 0) & ((F.size("ids") == 0) | (F.col("n") >= least)))
-    return full.unionByName(common)
+    """lang (its id), ids (of the words), n: all phrases of up to `longest` words that occur `least` times in a language,
+    and for each language its number of words, under an empty array."""
+    names = _names(longest)
+    sums = merged_windows(docs, longest, least, seed).rollup("lang", *names).agg(F.sum("n").alias("n"), F.grouping_id().alias("summed"))
+    # `summed` has a bit for each column that is summed over, the last columns first; the language is there for all but one
+    size = F.expr(" ".join(["CASE summed", *[f"WHEN {(1 << (longest - size)) - 1} THEN {size}" for size in range(longest + 1)], "END"]))
+    phrases = sums.select("lang", F.slice(F.array(*names), F.lit(1), size).alias("ids"), "n").where("ids IS NOT NULL")
+    # a padded window is a shorter phrase, which its own level counts
+    return phrases.where(~F.array_contains("ids", 0) & ((F.size("ids") == 0) | (F.col("n") >= least)))
 
 
 def _dictionary(docs: DataFrame, seed: int) -> DataFrame:
-    """id, word, and whether another word has the same id."""
+    """The distinct (id, word) of all texts."""
 
     def look(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in slices(batches, most=SLICE):
-            words, _ = _words_of(utf8(batch.column("text")))
-            ids, length = _ids(words, seed), words.ends - words.starts
-            order = np.argsort(ids, kind="stable")
-            other = word_hashes(words, seed + 1, lower=True)[order] + length[order].astype(np.uint64)
-            # one word of each id, and every one that differs from its neighbour by a second hash
-            new = np.ones(len(order), dtype=bool)
-            new[1:] = (np.diff(ids[order]) != 0) | (other[1:] != other[:-1])
-            first = order[new]
-            small = LOWER[words.buffer]
+        known = np.zeros(0, dtype=np.uint64)
+        for words, ids, _, _ in _word_blocks(batches, seed):
+            # by a second hash besides, so that a word whose id another one has is not passed over
+            both = mix(ids.view(np.uint64) + word_hashes(words, seed + 1, lower=True) * np.uint64(3))
+            both, first = np.unique(both, return_index=True)
+            new = ~np.isin(both, known, assume_unique=True)
+            known = np.union1d(known, both) if len(known) < KNOWN_AT_ONCE else both
+            first, small = first[new], LOWER[words.buffer]
             texts = [small[s:e].tobytes() for s, e in zip(words.starts[first].tolist(), words.ends[first].tolist())]
             yield pa.RecordBatch.from_arrays([pa.array(ids[first]), pa.array(texts, pa.binary()).cast(pa.string())], ["id", "word"])
 
-    seen = map_arrow(docs.select("text").where("text IS NOT NULL"), look, "id bigint, word string")
-    return seen.groupBy("id").agg(F.min("word").alias("word"), (F.min("word") != F.max("word")).alias("shared"))
+    return map_arrow(docs.select("text").where("text IS NOT NULL"), look, "id bigint, word string").distinct()
 
 
 def named_phrases(docs: DataFrame, longest: int = LONGEST, least: int = LEAST) -> DataFrame:
     """lang, words, phrase, n: `frequent_phrases` with their words. If two words share an id, all starts anew."""
     for seed in range(SEED, SEED + 100, 2):
         found = stage(frequent_phrases(docs, longest, least, seed), "phrases")
-        words = stage(_dictionary(docs, seed).join(found.where(F.size("ids") == 1).select(F.col("ids")[0].alias("id")).distinct(), "id"), "words")
-        if words.where("shared").isEmpty():
+        single = found.where(F.size("ids") == 1).select(F.col("ids")[0].alias("id")).distinct()
+        words = stage(_dictionary(docs, seed).join(single, "id"), "words")
+        spoken = docs.where("text IS NOT NULL").select(_language(seed).alias("lang"), F.coalesce(F.col("lang").cast("string"), F.lit(NO_LANGUAGE)).alias("name"))
+        langs = stage(spoken.distinct(), "languages")
+        ids = words.select("id").unionByName(langs.select(F.col("lang").alias("id")))
+        if ids.groupBy("id").count().where("count > 1").isEmpty():
             break
-    parts = found.select("lang", "ids", "n", F.posexplode_outer("ids").alias("at", "id")).join(words.select("id", "word"), "id", "left")
+    parts = found.select("lang", "ids", "n", F.posexplode_outer("ids").alias("at", "id")).join(words, "id", "left")
     rows = parts.groupBy("lang", "ids", "n").agg(F.array_sort(F.collect_list(F.when(F.col("id").isNotNull(), F.struct("at", "word")))).alias("x"))
-    return stage(rows.select("lang", F.col("x.word").alias("words"), F.array_join("x.word", " ").alias("phrase"), "n"), "named-phrases")
+    named = rows.join(langs, "lang")
+    return stage(named.select(F.col("name").alias("lang"), F.col("x.word").alias("words"), F.array_join("x.word", " ").alias("phrase"), "n"), "named-phrases")
 
 
 def collocations(

@@ -77,7 +77,7 @@ def test_a_hot_pair_is_spread(spark, monkeypatch):
     rng = random.Random(5)
     rows = [("en", " ".join(f"hot pair w{rng.randint(0, 40)}" for _ in range(30))) for _ in range(150)]
     monkeypatch.setattr(collocations, "SAMPLED", 2)
-    assert collocations.hot_prefixes(docs(spark, rows), 2)
+    assert len(collocations.shape_of(docs(spark, rows)).hot)
     assert as_rows(collocations.collocations(docs(spark, rows))) == brute_force(rows)
 
 
@@ -87,7 +87,7 @@ def test_all_starts_anew_if_two_words_share_an_id(spark, monkeypatch):
     def crude(docs, seed):
         seeds.append(seed)
         found = right(docs, seed)
-        return found.withColumn("shared", F.lit(True)) if len(seeds) == 1 else found
+        return found.unionByName(found.withColumn("word", F.concat("word", F.lit("x")))) if len(seeds) == 1 else found
 
     monkeypatch.setattr(collocations, "_dictionary", crude)
     rows = [("en", "one two three four five six " * 20)]
@@ -95,10 +95,11 @@ def test_all_starts_anew_if_two_words_share_an_id(spark, monkeypatch):
     assert len(seeds) == 2
 
 
-def test_words_under_one_id_are_noticed(spark):
-    rows = [("en", "one two, ONE two three")]
+def test_the_dictionary_has_every_word_once(spark):
+    rows = [("en", "one two, ONE two three"), ("de", "three Ä ä"), ("de", None)]
     found = collocations._dictionary(docs(spark, rows), collocations.SEED).collect()
-    assert sorted((r.word, r.shared) for r in found) == [("one", False), ("three", False), ("two", False)]
+    assert sorted(r.word for r in found) == ["one", "three", "two", "Ä", "ä"]
+    assert len({r.id for r in found}) == 5
 
 
 def test_large_counts_stay_exact(spark):

@@ -31,7 +31,7 @@ SCALE = 1_000_000
 NO_LANGUAGE = "und"
 SEED = 11
 #: Windows that a task counts at a time, about as many as meet in a block, and words that a task remembers having named.
-COUNTED_AT_ONCE = 1_500_000
+COUNTED_AT_ONCE = 600_000
 BLOCK_WINDOWS = 250_000
 KNOWN_AT_ONCE = 500_000
 
@@ -68,24 +68,27 @@ def _word_blocks(batches: Iterator[pa.RecordBatch], seed: int) -> Iterator[tuple
         yield words, np.where(ids == 0, 1, ids), np.append(piece[1:] == piece[:-1], False), batch
 
 
-def _counted(columns: list[np.ndarray]) -> tuple[list[np.ndarray], np.ndarray]:
-    """The distinct rows of some columns in order, and how often each one is there."""
-    codes = [np.unique(column, return_inverse=True) for column in columns]
-    room = 1
-    for values, _ in codes:
-        room *= max(len(values), 1)
-    if room < 1 << 63:
-        key = np.zeros(len(columns[0]), dtype=np.int64)
-        for values, code in codes:
-            key = key * len(values) + code
-        _, first, n = np.unique(key, return_index=True, return_counts=True)
+def _counted(lang: np.ndarray, ids: np.ndarray, reach: np.ndarray, longest: int) -> list[np.ndarray]:
+    """The distinct windows of a row of words, and how often each one is there: lang, w1 .. w<longest>, n. `reach` says how
+    many words the window of each word has."""
+    langs, lang = np.unique(lang, return_inverse=True)
+    values, code = np.unique(ids, return_inverse=True)
+    values, code = np.append(0, values), code + 1
+    led = [np.where(reach > k, np.append(code[k:], np.zeros(k, dtype=np.int64)), 0) for k in range(longest)]
+    if len(langs) * len(values) ** longest < 1 << 63:
+        key = lang.astype(np.int64)
+        for column in led:
+            key = key * len(values) + column
+        key, n = np.unique(key, return_counts=True)
+        led = []
+        for _ in range(longest):
+            key, column = np.divmod(key, len(values))
+            led.insert(0, column)
+        lang = key
     else:
-        order = np.lexsort([code for _, code in codes[::-1]])
-        new = np.ones(len(order), dtype=bool)
-        new[1:] = np.any([code[order][1:] != code[order][:-1] for _, code in codes], axis=0)
-        at = np.flatnonzero(new)
-        first, n = order[at], np.diff([*at, len(order)])
-    return [column[first] for column in columns], n
+        *columns, n = _grouped([lang, *led, np.ones(len(lang), dtype=np.int64)], longest + 1, longest + 1)
+        lang, *led = columns
+    return [langs[lang], *(values[column] for column in led), n]
 
 
 def _language(seed: int) -> Column:
@@ -103,24 +106,21 @@ def _batch(columns: list[np.ndarray], names: list[str]) -> pa.RecordBatch:
 
 def _window_counts(batches: Iterator[pa.RecordBatch], longest: int, seed: int) -> Iterator[list[np.ndarray]]:
     """lang, w1 .. w<longest>, n of windows, from batches with lang (an id) and text."""
-    held: list[list[np.ndarray]] = []
-
-    def counted() -> list[np.ndarray]:
-        columns, n = _counted([np.concatenate(column) for column in zip(*held)])
-        held.clear()
-        return [*columns, n]
-
+    held: list[tuple[np.ndarray, ...]] = []
+    size = 0
     for words, ids, goes_on, batch in _word_blocks(batches, seed):
-        led, alive = [ids], np.ones(len(ids), dtype=bool)
+        alive, reach = goes_on, np.ones(len(ids), dtype=np.int8)
         for _ in range(1, longest):
-            # the next word of every word whose window has not ended
+            reach += alive
             alive = np.append(alive[1:], False) & goes_on
-            led.append(np.where(alive, np.append(led[-1][1:], 0), 0))
-        held.append([batch.column("lang").to_numpy()[words.text_of], *led])
-        if sum(len(columns[0]) for columns in held) >= COUNTED_AT_ONCE:
-            yield counted()
+        held.append((batch.column("lang").to_numpy()[words.text_of], ids, reach))
+        size += len(ids)
+        if size >= COUNTED_AT_ONCE:
+            yield _counted(*map(np.concatenate, zip(*held)), longest)
+            held.clear()
+            size = 0
     if held:
-        yield counted()
+        yield _counted(*map(np.concatenate, zip(*held)), longest)
 
 
 def _told(docs: DataFrame, seed: int) -> DataFrame:
@@ -165,6 +165,7 @@ def shape_of(docs: DataFrame, longest: int = LONGEST, seed: int = SEED) -> Shape
     """From a sample of rows: 1 / HOT hot prefixes at most, and a number of blocks that grows with the windows."""
     keys = ["lang", *_names(longest - 1)]
     led = windows(docs.sample(1 / SAMPLED, seed), longest - 1, seed).groupBy(*keys).agg(F.sum("n").alias("n"))
+    led = stage(led, "sampled-windows")
     total = led.agg(F.sum("n")).first()[0] or 0
     rows = led.where(F.col("n") >= max(total * HOT, HOT_LEAST)).select(*keys).collect()
     hot = _hashed([np.array(column, dtype=np.int64) for column in zip(*rows)]) if rows else np.zeros(0, dtype=np.uint64)

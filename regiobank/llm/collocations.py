@@ -41,6 +41,9 @@ BLANKS = b" \t"
 
 ENDS_PIECE = np.array([byte in PIECE_ENDS for byte in range(256)], dtype=np.int8)
 IN_WORD = np.array([byte not in PIECE_ENDS + BLANKS for byte in range(256)], dtype=np.int8)
+#: Windows travel in columns, packed.
+PACKED = "zstd"
+
 LOWER = np.frombuffer(bytes(range(256)).lower(), dtype=np.uint8)
 
 #: Prefixes that lead so large a share of the windows of a sample (one in SAMPLED rows) are hot; their windows spread by
@@ -219,10 +222,11 @@ def merged_windows(docs: DataFrame, longest: int = LONGEST, least: int = LEAST,
             order = np.argsort(block, kind="stable")
             numbers, first = np.unique(block[order], return_index=True)
             rows = np.stack(columns)[:, order]
-            parts = [rows[:, s:e].tobytes() for s, e in zip(first.tolist(), [*first[1:].tolist(), len(order)])]
-            yield pa.RecordBatch.from_arrays([pa.array(numbers), pa.array(parts, pa.binary())], ["block", "rows"])
+            size = np.diff([*first, len(order)])
+            parts = [pa.compress(rows[:, s : s + n].tobytes(), PACKED, asbytes=True) for s, n in zip(first.tolist(), size.tolist())]
+            yield pa.RecordBatch.from_arrays([pa.array(numbers), pa.array(size), pa.array(parts, pa.binary())], ["block", "size", "rows"])
 
-    dealt = map_arrow(_told(docs, seed), deal, "block bigint, rows binary").repartition("block").sortWithinPartitions("block")
+    dealt = map_arrow(_told(docs, seed), deal, "block bigint, size bigint, rows binary").repartition("block").sortWithinPartitions("block")
 
     def merge(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         open_block, held, rare = None, [], []
@@ -246,11 +250,12 @@ def merged_windows(docs: DataFrame, longest: int = LONGEST, least: int = LEAST,
         def all_rows() -> Iterator[list[np.ndarray]]:
             nonlocal open_block, size, most
             for batch in batches:
-                for block, rows in zip(batch.column("block").to_pylist(), batch.column("rows")):
+                for block, length, rows in zip(*(batch.column(name).to_pylist() for name in ("block", "size", "rows"))):
                     if block != open_block:
                         yield from done()
                         open_block, size, most = block, 0, COUNTED_AT_ONCE
-                    held.append(list(np.frombuffer(rows.as_buffer(), dtype=np.int64).reshape(len(names), -1)))
+                    plain = pa.decompress(rows, length * len(names) * 8, PACKED)
+                    held.append(list(np.frombuffer(plain, dtype=np.int64).reshape(len(names), -1)))
                     size += len(held[-1][0])
                     if size >= most:
                         # a large block: equal windows become one
@@ -264,7 +269,7 @@ def merged_windows(docs: DataFrame, longest: int = LONGEST, least: int = LEAST,
             if len(columns[0]):
                 yield _batch(columns, names)
 
-    return map_arrow(dealt.select("block", "rows"), merge, ", ".join(f"{name} bigint" for name in names))
+    return map_arrow(dealt, merge, ", ".join(f"{name} bigint" for name in names))
 
 
 def frequent_phrases(docs: DataFrame, longest: int = LONGEST, least: int = LEAST, seed: int = SEED) -> DataFrame:

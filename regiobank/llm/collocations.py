@@ -20,7 +20,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from regiobank.llm.common import Words, find_words, map_arrow, mix, slices, utf8, word_hashes
+from regiobank.llm.common import SLICE_BYTES, Words, find_words, map_arrow, mix, slices, utf8, word_hashes
 from regiobank.sources.scratch import stage
 
 LONGEST = 3
@@ -31,7 +31,7 @@ SCALE = 1_000_000
 NO_LANGUAGE = "und"
 SEED = 11
 #: Windows that a task counts at a time, about as many as meet in a block, and words that a task remembers having named.
-COUNTED_AT_ONCE = 600_000
+COUNTED_AT_ONCE = 300_000
 BLOCK_WINDOWS = 250_000
 KNOWN_AT_ONCE = 500_000
 
@@ -62,12 +62,12 @@ WHOLE = "decimal(38,0)"
 def _word_blocks(batches: Iterator[pa.RecordBatch], seed: int) -> Iterator[tuple[Words, np.ndarray, np.ndarray, pa.RecordBatch]]:
     """Slices of texts with their words, the words' 64-bit ids (never 0, which pads), and whether the next word is in the
     same piece."""
-    for batch in slices(batches):
+    for batch in slices(batches, most=SLICE_BYTES // 2):
         words = find_words(utf8(batch.column("text")), IN_WORD)
         if not len(words.starts):
             continue
         ids = word_hashes(words, seed, lower=True).view(np.int64)
-        piece = np.cumsum(ENDS_PIECE[words.buffer], dtype=np.int64)[words.starts]
+        piece = np.cumsum(ENDS_PIECE[words.buffer], dtype=np.int32)[words.starts]
         yield words, np.where(ids == 0, 1, ids), np.append(piece[1:] == piece[:-1], False), batch
 
 

@@ -32,8 +32,9 @@ NO_LANGUAGE = "und"
 SEED = 11
 #: Windows that a task counts at a time, about as many as meet in a block, and words that a task remembers having named.
 COUNTED_AT_ONCE = 300_000
-BLOCK_WINDOWS = 250_000
+BLOCK_WINDOWS = 1_000_000
 KNOWN_AT_ONCE = 500_000
+BATCH = 100_000
 
 #: Bytes that end a piece of text, and those between words; fixed values.
 PIECE_ENDS = b".,;:!?\n\x0b\x0c\r"
@@ -204,14 +205,16 @@ def _padded(columns: list[np.ndarray], shape: Shape, least: int) -> tuple[list[n
     none = np.zeros(len(first), dtype=np.int64)
     found = [*(column[often] for column in keys), last[often], n[often]]
     common = [column[~rare] for column in (*prefix, none, rest)]
-    return found, common, [column[rare] for column in (*prefix[:-1], none, none, rest)]
+    scarce = [column[rare] for column in (*prefix[:-1], none, none, rest)]
+    return found, common, _grouped(scarce, len(keys) + 1, len(keys) + 1) if rare.any() else scarce
 
 
 def merged_windows(docs: DataFrame, longest: int = LONGEST, least: int = LEAST, seed: int = SEED) -> DataFrame:
     """`windows` of all tasks, in which rare ones are padded from their last word on, and rare prefixes from theirs.
 
     Windows meet in blocks by the hash of all their words but the last, so that a block has whole prefixes; those of a hot
-    prefix are spread by their last word too. A task sends one row per block that its windows go to.
+    prefix are spread by their last word too. A task sends packed rows, one per block and slice, and one task merges a
+    block.
     """
     names = ["lang", *_names(longest), "n"]
     shape = shape_of(docs, longest, seed)
@@ -226,48 +229,25 @@ def merged_windows(docs: DataFrame, longest: int = LONGEST, least: int = LEAST,
             parts = [pa.compress(rows[:, s : s + n].tobytes(), PACKED, asbytes=True) for s, n in zip(first.tolist(), size.tolist())]
             yield pa.RecordBatch.from_arrays([pa.array(numbers), pa.array(size), pa.array(parts, pa.binary())], ["block", "size", "rows"])
 
-    dealt = map_arrow(_told(docs, seed), deal, "block bigint, size bigint, rows binary").repartition("block").sortWithinPartitions("block")
+    dealt = map_arrow(_told(docs, seed), deal, "block bigint, size bigint, rows binary").repartitionById(shape.blocks, F.col("block").cast("int"))
 
     def merge(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        open_block, held, rare = None, [], []
-        size = most = 0
-
-        def done() -> Iterator[list[np.ndarray]]:
-            if held:
-                found, common, scarce = _padded([np.concatenate(column) for column in zip(*held)], shape, least)
-                held.clear()
-                rare.append(scarce)
-                yield from (found, common)
-            yield from padded(COUNTED_AT_ONCE)
-
-        def padded(most: int) -> Iterator[list[np.ndarray]]:
-            if rare and sum(len(columns[0]) for columns in rare) >= most:
-                columns = [np.concatenate(column) for column in zip(*rare)]
-                rare.clear()
-                if len(columns[0]):
-                    yield _grouped(columns, len(names) - 1, len(names) - 1)
-
-        def all_rows() -> Iterator[list[np.ndarray]]:
-            nonlocal open_block, size, most
-            for batch in batches:
-                for block, length, rows in zip(*(batch.column(name).to_pylist() for name in ("block", "size", "rows"))):
-                    if block != open_block:
-                        yield from done()
-                        open_block, size, most = block, 0, COUNTED_AT_ONCE
-                    plain = pa.decompress(rows, length * len(names) * 8, PACKED)
-                    held.append(list(np.frombuffer(plain, dtype=np.int64).reshape(len(names), -1)))
-                    size += len(held[-1][0])
-                    if size >= most:
-                        # a large block: equal windows become one
-                        held[:] = [_grouped([np.concatenate(column) for column in zip(*held)], len(names) - 1, len(names) - 1)]
-                        size = len(held[0][0])
-                        most = max(COUNTED_AT_ONCE, 2 * size)
-            yield from done()
-            yield from padded(0)
-
-        for columns in all_rows():
-            if len(columns[0]):
-                yield _batch(columns, names)
+        held: list[list[np.ndarray]] = []
+        size, most = 0, COUNTED_AT_ONCE
+        for batch in batches:
+            for length, rows in zip(batch.column("size").to_pylist(), batch.column("rows").to_pylist()):
+                plain = pa.decompress(rows, length * len(names) * 8, PACKED)
+                held.append(list(np.frombuffer(plain, dtype=np.int64).reshape(len(names), -1)))
+                size += length
+                if size >= most:
+                    # equal windows become one
+                    held = [_grouped([np.concatenate(column) for column in zip(*held)], len(names) - 1, len(names) - 1)]
+                    size = len(held[0][0])
+                    most = size + max(COUNTED_AT_ONCE, size)
+        if held:
+            for columns in _padded([np.concatenate(column) for column in zip(*held)], shape, least):
+                for start in range(0, len(columns[0]), BATCH):
+                    yield _batch([column[start : start + BATCH] for column in columns], names)
 
     return map_arrow(dealt, merge, ", ".join(f"{name} bigint" for name in names))
 

@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from regiobank.llm import collocations, decontaminate, langid, licenses, packing, quality, secrets, simhash, sql, substrings, tokens, topk, whitening
+from regiobank.llm import collocations, decontaminate, langid, licenses, mainblocks, packing, quality, secrets, simhash, sql, substrings, tokens, topk, whitening
 
 VOCABULARY = "byte_bpe_50k.json"
 
@@ -91,6 +91,10 @@ def op11_collocations(spark: SparkSession, folder: str) -> DataFrame:
     return collocations.collocations(_table(spark, folder, "documents"))
 
 
+def op12_html_extraction(spark: SparkSession, folder: str) -> DataFrame:
+    return mainblocks.main_texts(_table(spark, folder, "pages"))
+
+
 def op13_whitening(spark: SparkSession, folder: str) -> DataFrame:
     return whitening.whiten(_table(spark, folder, "embeddings"))
 
@@ -108,6 +112,7 @@ def queries() -> dict[str, Query]:
         "op9_simhash": op9_simhash,
         "op10_substring_dedup": op10_substring_dedup,
         "op11_collocations": op11_collocations,
+        "op12_html_extraction": op12_html_extraction,
         "op13_whitening": op13_whitening,
     }
 

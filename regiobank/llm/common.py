@@ -53,6 +53,17 @@ def keyed(docs: DataFrame, *others: Column) -> DataFrame:
     )
 
 
+def unused(df: DataFrame, *names: str) -> list[str]:
+    """The names, or names like them, under which `df` has no column in any letter case."""
+    taken, found = {column.lower() for column in df.columns}, []
+    for name in names:
+        while name.lower() in taken:
+            name += "_"
+        taken.add(name.lower())
+        found.append(name)
+    return found
+
+
 def map_arrow(df: DataFrame, work: Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]], schema: str | StructType) -> DataFrame:
     """`mapInArrow`, with this package sent along to the workers."""
     ship_package(df.sparkSession)

@@ -20,7 +20,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import DoubleType, StructField, StructType
 
-from regiobank.llm.common import BLANK_SEPARATED, find_words, map_arrow, mix, slices, utf8, word_hashes
+from regiobank.llm.common import BLANK_SEPARATED, find_words, map_arrow, mix, slices, unused, utf8, word_hashes
 
 BITS = 18
 SIZES = (3, 4)
@@ -164,7 +164,7 @@ def sample(docs: DataFrame, labels: DataFrame, learn, rows: int = SAMPLE_ROWS, c
 
 def score_documents(docs: DataFrame, weights: np.ndarray, name: str = "score") -> DataFrame:
     """`docs` with all their columns and the score of every whole text; null counts as empty."""
-    taken = f"_{name}_text"
+    (taken,) = unused(docs, f"_{name}_text")
 
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in slices(batches, taken, most=1 << 20):
@@ -198,7 +198,5 @@ def classify(docs: DataFrame, labels: DataFrame, threshold: float = THRESHOLD) -
 def good_documents(docs: DataFrame, labels: DataFrame, threshold: float = THRESHOLD) -> DataFrame:
     """The rows of `docs`, with all their columns, that the classifier does not reject."""
     weights = train(*sample(docs, labels, ~held_out(F.col("doc_id"))))
-    name = "score"
-    while name in docs.columns:
-        name += "_"
+    (name,) = unused(docs, "score")
     return score_documents(docs, weights, name).where(F.col(name) >= threshold).drop(name)

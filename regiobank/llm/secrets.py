@@ -16,7 +16,7 @@ from pyspark.ml.functions import vector_to_array
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from regiobank.llm.common import keyed, row_order, text_hash
+from regiobank.llm.common import keyed, row_order, text_hash, unused
 from regiobank.sources.scratch import stage
 
 TREES = 20
@@ -25,7 +25,10 @@ SEED = 17
 SAMPLE_ROWS = 20_000
 THRESHOLD = 0.5
 MASK = "[SECRET]"
-KNOWN_TRIPLE = 3
+#: A letter triple is known from this share of all triples of the words around candidates, a third of an even share.
+KNOWN_TRIPLE = 2e-5
+#: Of the words beside a candidate the ends next to it go with it, so a row is no longer than its own word; a name that
+#: assigns a value fits in. Values from LEAST characters on are judged.
 NEAR = 64
 LEAST = 6
 
@@ -51,8 +54,12 @@ _SPREAD = rf"(?=[pPsStTaA]){_NAMED}(?:\s+[=:]|{_SIGN}\s)"
 _PART = r"[^,;&{}]*"
 _KEY = r"[\p{Alnum}+/_\-]"
 _CANDIDATE = rf"""(?<!{_KEY}){_KEY}{{16}}|[=:](?<={_NAMED}[=:])"""
+_ONLY_LETTERS = r"^[\p{L}]+[.,]?$"
 _PLACEHOLDER = r"(?i)example|sample|placeholder|changeme|your|dummy|x{6}|\*{4}"
 
+#: How a value is found: assigned within its word, assigned by the words before, or as a run.
+GIVEN, LED, RUN = range(3)
+
 FEATURES = [
     "length", "digits", "uppers", "lowers", "others", "letter_digit", "digit_letter", "case_turns", "distinct", "hex",
     "coverage", "path_depth", "path_test", "named", "assigned", "before_length", "before_plain", "after_length", "after_plain",
@@ -60,13 +67,14 @@ FEATURES = [
 
 
 def candidates(docs: DataFrame, path: str | None = None) -> DataFrame:
-    """ord, rid, doc_id, path, word (its number among the blank-separated words), value, near, before2, before, after.
+    """ord, rid, doc_id, path, word (its number among the blank-separated words), value, near, given, and of the words
+    beside it before2, before, after (their ends, see NEAR), before_length, before_plain, after_length, after_plain.
 
     A row per distinct value of a word: all that is assigned to a secret-like name, there or in the two words before, and
     all runs. near is the value with
     what stands beside it: its assignment, or what the word has between it and the next separator or run on each side,
-    after the two words before if that reaches to the start of the word. Rows of `docs` (doc_id, text) that repeat count
-    once. `path` names the column with the place a text comes from.
+    after the two words before if that reaches to the start of the word. given are the assignments of the value within the
+    word. Rows of `docs` (doc_id, text) that repeat count once. `path` names the column with the place a text comes from.
     """
     rows = docs.select("doc_id", "text", (F.col(path).cast("string") if path else F.lit(None).cast("string")).alias("path"))
     told = keyed(rows, F.coalesce("path", F.lit("")).alias("path"))
@@ -78,35 +86,44 @@ def candidates(docs: DataFrame, path: str | None = None) -> DataFrame:
         return F.coalesce(F.get(words, i + step), F.lit(""))
 
     def around(word: Column, i: Column) -> Column:
+        before, after = beside(i, -1), beside(i, 1)
         return F.struct(
             i.cast("long").alias("word"),
             word.alias("whole"),
-            beside(i, -2).alias("before2"),
-            beside(i, -1).alias("before"),
-            beside(i, 1).alias("after"),
+            F.right(beside(i, -2), F.lit(NEAR)).alias("before2"),
+            F.right(before, F.lit(NEAR)).alias("before"),
+            F.left(after, F.lit(NEAR)).alias("after"),
+            F.length(before).alias("before_length"),
+            before.rlike(_ONLY_LETTERS).alias("before_plain"),
+            F.length(after).alias("after_length"),
+            after.rlike(_ONLY_LETTERS).alias("after_plain"),
         )
 
-    def led(x: Column) -> Column:
-        return x["before"].rlike(_NAME) | (x["before2"].rlike(_NAME) & x["before"].rlike(f"^{_SIGN}$"))
+    def led(word: Column, i: Column) -> Column:
+        before = F.right(beside(i, -1), F.lit(NEAR))
+        return before.rlike(_NAME) | (F.right(beside(i, -2), F.lit(NEAR)).rlike(_NAME) & before.rlike(f"^{_SIGN}$"))
 
-    picked = F.filter(F.transform(words, around), lambda x: x["whole"].rlike(_CANDIDATE) | (F.col("spread") & led(x)))
+    # words that may hold a candidate, by number; only these get neighbours
+    some = F.transform(words, lambda word, i: F.when(word.rlike(_CANDIDATE) | (F.col("spread") & led(word, i)), i))
+    picked = F.transform(F.filter(some, lambda i: i.isNotNull()), lambda i: around(F.get(words, i), i))
     found = held.select("ord", "rid", "doc_id", "path", F.explode(picked).alias("x")).select("ord", "rid", "doc_id", "path", "x.*")
     led_word = F.concat(F.concat_ws(" ", "before2", "before"), F.lit("\n"), "whole")
-    around_values = ["doc_id", "path", "before2", "before", "after"]
-    found = found.select("ord", "rid", "word", *around_values, F.explode(F.concat(_given("whole", _GIVEN), _given(led_word, _LED), _runs())).alias("x"))
+    kept = ["doc_id", "path", "before2", "before", "after", "before_length", "before_plain", "after_length", "after_plain"]
+    found = found.select("ord", "rid", "word", *kept, F.explode(F.concat(_given("whole", _GIVEN, GIVEN), _given(led_word, _LED, LED), _runs())).alias("x"))
     # an assignment before a run of the same value
     best = F.min(F.struct("x.kind", "x.near"))["near"].alias("near")
-    return found.groupBy("ord", "rid", "word", F.col("x.value").alias("value")).agg(best, *(F.first(c).alias(c) for c in around_values))
+    given = F.collect_set(F.when(F.col("x.kind") == GIVEN, F.col("x.near"))).alias("given")
+    return found.groupBy("ord", "rid", "word", F.col("x.value").alias("value")).agg(best, given, *(F.first(c).alias(c) for c in kept))
 
 
 def _value(kind: int, value: Column, near: Column) -> Column:
     return F.struct(F.lit(kind).alias("kind"), value.alias("value"), near.alias("near"))
 
 
-def _given(words: Column | str, pattern: str) -> Column:
+def _given(words: Column | str, pattern: str, kind: int) -> Column:
     """The assignments within some words."""
     pairs = F.arrays_zip(F.regexp_extract_all(words, F.lit(pattern), F.lit(1)).alias("value"), F.regexp_extract_all(words, F.lit(pattern), F.lit(0)).alias("near"))
-    return F.transform(F.filter(pairs, lambda x: F.length(x["value"]) >= LEAST), lambda x: _value(0, x["value"], x["near"]))
+    return F.transform(F.filter(pairs, lambda x: F.length(x["value"]) >= LEAST), lambda x: _value(kind, x["value"], x["near"]))
 
 
 def _runs() -> Column:
@@ -118,7 +135,7 @@ def _runs() -> Column:
         left = F.regexp_extract(F.substring(x["left"], -NEAR, NEAR), rf"{_PART}$", 0)
         right = F.regexp_extract(F.substring(x["right"], 1, NEAR), f"^{_PART}", 0)
         near = F.concat(left, x["value"], right)
-        return _value(1, x["value"], F.when((i == 0) & (left == x["left"]), F.concat_ws(" ", "before2", "before", near)).otherwise(near))
+        return _value(RUN, x["value"], F.when((i == 0) & (left == x["left"]), F.concat_ws(" ", "before2", "before", near)).otherwise(near))
 
     return F.transform(F.filter(places, lambda x: x["value"].isNotNull()), run)
 
@@ -136,11 +153,14 @@ def _triples(column: Column) -> Column:
 
 
 def _coverage(found: DataFrame) -> DataFrame:
-    """(ord, rid, word, value, coverage): the share of a value's letter triples that the words around candidates know."""
-    around = found.select("ord", "rid", "word", "before2", "before", "after").dropDuplicates(["ord", "rid", "word"])
+    """(ord, rid, word, value, coverage): the share of a value's letter triples that the words around candidates know.
+    Equal texts speak for them once."""
+    around = found.select("rid", "word", "before2", "before", "after").dropDuplicates(["rid", "word"])
     near = around.select(F.explode(F.array("before2", "before", "after")).alias("near")).where(r"near rlike '^[A-Za-z]{3,}[.,]?$'")
-    known = near.select(F.explode(F.array_distinct(_triples(F.col("near")))).alias("triple")).groupBy("triple").agg(F.count(F.lit(1)).alias("n"))
-    known = stage(known.where(F.col("n") >= KNOWN_TRIPLE).select("triple"), "triples")  # 26 ** 3 rows at most
+    counts = near.select(F.explode(F.array_distinct(_triples(F.col("near")))).alias("triple")).groupBy("triple").agg(F.count(F.lit(1)).alias("n"))
+    counts = stage(counts, "triples")  # 26 ** 3 rows at most
+    total = counts.agg(F.sum("n")).first()[0] or 0
+    known = counts.where(F.col("n") >= KNOWN_TRIPLE * total).select("triple")
     own = found.select("ord", "rid", "word", "value", F.explode(_triples(F.col("value"))).alias("triple"))
     hits = own.join(known.withColumn("hit", F.lit(1)), "triple", "left")
     return hits.groupBy("ord", "rid", "word", "value").agg(F.avg(F.coalesce("hit", F.lit(0))).alias("coverage"))
@@ -148,7 +168,7 @@ def _coverage(found: DataFrame) -> DataFrame:
 
 def with_features(found: DataFrame) -> DataFrame:
     """`candidates` with the columns named in FEATURES."""
-    value, plain = F.col("value"), r"^[\p{L}]+[.,]?$"
+    value = F.col("value")
     shown = found.join(_coverage(found), ["ord", "rid", "word", "value"], "left").withColumn("coverage", F.coalesce("coverage", F.lit(0.0)))
     return shown.select(
         "*",
@@ -166,11 +186,7 @@ def with_features(found: DataFrame) -> DataFrame:
         F.col("path").rlike("(?i)test|example|sample|mock|doc").cast("double").alias("path_test"),
         F.col("near").rlike(_NAME).cast("double").alias("named"),
         F.col("near").rlike(r"[=:]").cast("double").alias("assigned"),
-        F.length("before").cast("double").alias("before_length"),
-        F.col("before").rlike(plain).cast("double").alias("before_plain"),
-        F.length("after").cast("double").alias("after_length"),
-        F.col("after").rlike(plain).cast("double").alias("after_plain"),
-    )
+    ).withColumns({name: F.col(name).cast("double") for name in ("before_length", "before_plain", "after_length", "after_plain")})
 
 
 def label_by_rule() -> Column:
@@ -191,16 +207,20 @@ def label_by_rule() -> Column:
 
 
 def train(findings: DataFrame, rows: int = SAMPLE_ROWS) -> RandomForestClassificationModel | int:
-    """A forest over findings: FEATURES and label (0, 1 or null). Learns from about `rows` of them, chosen by a hash.
+    """A forest over findings: FEATURES and label (0, 1 or null). Learns from about `rows` distinct values,
+    chosen by a hash.
 
     If all known labels are the same, that label; if there are none, 1.
     """
     known = findings.where(F.col("label").isin(0, 1))
-    kinds = {row["label"]: row["n"] for row in known.groupBy("label").agg(F.count(F.lit(1)).alias("n")).collect()}  # two rows
+    # one of the places of a value stands for all, so copies neither fill the sample nor hang on one draw
+    first = F.min(F.struct("ord", "rid", "word", *FEATURES)).alias("x")
+    distinct = stage(known.groupBy("value", "label").agg(first).select("value", "label", "x.*"), "distinct-findings")
+    kinds = {row["label"]: row["n"] for row in distinct.groupBy("label").agg(F.count(F.lit(1)).alias("n")).collect()}  # two rows
     if len(kinds) < 2:
         return next(iter(kinds), 1)
     share = F.when(F.col("label") == 1, rows / 2 / kinds[1]).otherwise(rows / 2 / kinds[0])
-    chosen = known.where(F.pmod(F.xxhash64("value", "word"), F.lit(1 << 20)) < share * (1 << 20))
+    chosen = distinct.where(F.pmod(F.xxhash64("value"), F.lit(1 << 20)) < share * (1 << 20))
     vectors = VectorAssembler(inputCols=FEATURES, outputCol="features").transform(chosen)
     forest = RandomForestClassifier(numTrees=TREES, maxDepth=DEPTH, seed=SEED, labelCol="label", featuresCol="features", cacheNodeIds=False)
     return forest.fit(vectors.select("features", F.col("label").cast("double").alias("label")))
@@ -223,18 +243,48 @@ def scan(docs: DataFrame, path: str | None = None, label: Column | None = None,
     else:
         vectors = VectorAssembler(inputCols=FEATURES, outputCol="features").transform(told)
         judged = model.transform(vectors).withColumn("score", vector_to_array("probability")[1])
-    return judged.select("ord", "rid", "doc_id", "word", "value", "score", (F.col("score") >= threshold).alias("secret"))
+    return judged.select("ord", "rid", "doc_id", "word", "value", "score", (F.col("score") >= threshold).alias("secret"), "given")
+
+
+def _masked(word: Column, mask: str) -> Column:
+    """A word in which the places of its secrets, (value, given) in `_secrets`, are masked; longer ones first."""
+
+    def one(text: Column, secret: Column) -> Column:
+        value = secret["value"]
+        assigned = F.aggregate(
+            F.array_sort(secret["given"], lambda a, b: F.length(b) - F.length(a)),
+            text,
+            lambda t, given: F.replace(t, given, F.concat(F.left(given, F.length(given) - F.length(value)), F.lit(mask))),
+        )
+        # assigned by the words before: after the sign and an opening quote at most
+        at = F.instr(assigned, value)
+        opening = F.left(assigned, at - 1)
+        led = F.when((at > 0) & opening.rlike(rf"""^(?:{_SIGN})?\\?["']?$"""), F.concat(opening, F.lit(mask), F.substr(assigned, at + F.length(value)))).otherwise(assigned)
+        run = F.concat(F.lit(rf"(?<!{_KEY})"), value, F.lit(rf"(?!{_KEY}|=)"))
+        return F.when(value.rlike(f"^{_RUN}$"), F.regexp_replace(led, F.regexp_replace(run, r"\+", r"\\\+"), F.lit(mask))).otherwise(led)
+
+    longest = F.array_sort("_secrets", lambda a, b: F.length(b["value"]) - F.length(a["value"]))
+    return F.aggregate(longest, word, one)
 
 
 def redact(docs: DataFrame, path: str | None = None, mask: str = MASK) -> DataFrame:
-    """All rows and columns of `docs`; secrets in `text` are replaced by a mask. A column n_chars follows the text."""
-    secrets = scan(docs, path).where("secret").groupBy("ord", "rid").agg(F.collect_set("value").alias("values"))
-    secrets = secrets.select(F.col("ord").alias("_ord"), F.col("rid").alias("_rid"), F.array_sort("values").alias("_values"))
-    joined = docs.join(secrets, (row_order(docs["doc_id"]) == F.col("_ord")) & (text_hash(docs["text"]) == F.col("_rid")), "left")
-    longest = F.expr("array_sort(_values, (a, b) -> length(b) - length(a))")
-    masked = F.aggregate(longest, F.col("text"), lambda text, value: F.replace(text, value, F.lit(mask)))
-    out = joined.withColumn("text", F.when(F.col("_values").isNull(), F.col("text")).otherwise(masked))
+    """All rows and columns of `docs`; secrets in `text` are replaced by a mask at the places where they were found: as
+    the value of an assignment, and as a run of its own within a word that holds it. A column n_chars follows the text."""
+    flagged = scan(docs, path).where("secret").groupBy("ord", "rid", "word").agg(F.collect_list(F.struct("value", "given")).alias("_secrets"))
+    flagged = stage(flagged, "secrets")
+    texts = keyed(docs).select("ord", "rid", "text").join(flagged.select("ord", "rid").distinct(), ["ord", "rid"]).dropDuplicates(["ord", "rid"])
+    # the words of a text, each with the blanks behind it
+    blanks = F.regexp_extract_all("text", F.lit(r"\s+"), F.lit(0))
+    words = texts.select("ord", "rid", F.posexplode(F.arrays_zip(F.split("text", r"\s+").alias("whole"), blanks.alias("blank"))).alias("word", "x"))
+    words = words.select("ord", "rid", F.col("word").cast("long").alias("word"), "x.whole", F.coalesce("x.blank", F.lit("")).alias("blank"))
+    judged = words.join(flagged, ["ord", "rid", "word"], "left")
+    shown = F.when(F.col("_secrets").isNull(), F.col("whole")).otherwise(_masked(F.col("whole"), mask))
+    parts = F.array_sort(F.collect_list(F.struct("word", F.concat(shown, "blank").alias("part"))))
+    own_ord, own_rid, own_text = unused(docs, "_ord", "_rid", "_masked")
+    masked = judged.groupBy(F.col("ord").alias(own_ord), F.col("rid").alias(own_rid)).agg(F.array_join(parts["part"], "").alias(own_text))
+    joined = docs.join(masked, (row_order(F.col("doc_id")) == F.col(own_ord)) & (text_hash(F.col("text")) == F.col(own_rid)), "left")
+    changed = F.col(own_text).isNotNull()
+    out = {"text": F.when(changed, F.col(own_text)).otherwise(F.col("text"))}
     if "n_chars" in docs.columns:
-        kind = docs.schema["n_chars"].dataType
-        out = out.withColumn("n_chars", F.when(F.col("_values").isNull(), F.col("n_chars")).otherwise(F.length("text").cast(kind)))
-    return out.select(*docs.columns)
+        out["n_chars"] = F.when(changed, F.length(own_text).cast(docs.schema["n_chars"].dataType)).otherwise(F.col("n_chars"))
+    return joined.select(*[out[name].alias(name) if name in out else F.col(f"`{name}`") for name in docs.columns])

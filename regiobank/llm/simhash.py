@@ -18,7 +18,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from regiobank.llm.common import map_arrow, slices, text_hash, utf8
+from regiobank.llm.common import map_arrow, slices, text_hash, unused, utf8
 from regiobank.llm.components import components
 from regiobank.sources.scratch import stage
 
@@ -213,7 +213,8 @@ def keep_one(docs: DataFrame, shingle: int = SHINGLE, radius: int = RADIUS) -> D
     found = stage(near_duplicates(docs, shingle, radius), "components")
     roots = found.where("doc_id = component_id").select("doc_id").distinct()
     texts = docs.select(F.col("doc_id").cast("long").alias("doc_id"), text_hash(F.col("text")).alias("rid"))
-    first = texts.join(roots, "doc_id").groupBy("doc_id").agg(F.min("rid").alias("_rid")).withColumnRenamed("doc_id", "_id")
-    mine = (docs["doc_id"].cast("long") == F.col("_id")) & (text_hash(docs["text"]) == F.col("_rid"))
-    kept = docs.join(first, mine).dropDuplicates(["_id"]).select(*docs.columns)
+    own_id, own_rid = unused(docs, "_id", "_rid")
+    first = texts.join(roots, "doc_id").groupBy("doc_id").agg(F.min("rid").alias(own_rid)).withColumnRenamed("doc_id", own_id)
+    mine = (F.col("doc_id").cast("long") == F.col(own_id)) & (text_hash(F.col("text")) == F.col(own_rid))
+    kept = docs.join(first, mine).dropDuplicates([own_id]).select(*[F.col(f"`{name}`") for name in docs.columns])
     return kept.unionByName(docs.where(F.col("doc_id").isNull()))

@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-import importlib.util
 import os
 import sys
 from collections.abc import Callable
@@ -20,15 +19,15 @@ from regiobank.operators.requests import generate_requests, validate_requests  #
 from regiobank.plans import dashboard, reports  # noqa: E402
 from regiobank.sources import orderbook  # noqa: E402
 from regiobank.plans.catalog import register_views  # noqa: E402
-from regiobank.sources.bank import Bank, only_shard, read_bank, write_bank  # noqa: E402
+from regiobank.sources.bank import Bank, compact, only_shard, read_bank, write_bank  # noqa: E402
 from regiobank.sources.formatting import format_account_count, format_balance, format_result  # noqa: E402
 from regiobank.sources.scratch import scratch_path  # noqa: E402
 from regiobank.streaming import live, posting  # noqa: E402
 
-if importlib.util.find_spec("regiobank.llm") and importlib.util.find_spec("regiobank.llm.queries"):
+try:  # the folder, or a library that only it needs, may be missing
     import corpus_pipeline
     from regiobank.llm import queries as corpus
-else:
+except ImportError:
     corpus = None
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -228,6 +227,20 @@ def _saved_records(spark: SparkSession, folder: str) -> DataFrame:
     return _of_batch(_saved(spark, folder).transactions, "transaction_date")
 
 
+def _saved_in_batches(spark: SparkSession, folder: str) -> DataFrame:
+    """Balances of a store after several saved postings, merged into its accounts."""
+    root = _store(spark, folder, "accounts", "transactions")
+    requests = orderbook.ledger_requests(orderbook.order_batch(spark, folder))
+    # orders come in the order of their keys, so a third of the range of keys comes before the next one
+    low, high = requests.agg(F.min("seq"), F.max("seq")).first()
+    third = ((high or 0) - (low or 0)) // 3 + 1
+    for part in range(3):
+        later = F.coalesce((F.col("seq") - F.lit(low)) / third, F.lit(0))
+        onboarding.save_posting(requests.where(F.floor(later) == part), root, AS_OF, batch=part + 1)
+    compact(spark, root, full=True)
+    return read_bank(spark, root).accounts.select("account_number", "shard_location", "balance", "last_updated")
+
+
 def _sql_functions(spark: SparkSession, folder: str) -> DataFrame:
     register_views(spark, orderbook.load_bank(spark, folder))
     orderbook.user_feed(spark, folder).createOrReplaceTempView("asked_users")
@@ -408,6 +421,7 @@ def bank_queries() -> dict[str, Query]:
         "post_ledger_accounts": _on_tables(_posted_accounts),
         "save_posting": _on_tables(_saved_accounts),
         "save_posting_records": _on_tables(_saved_records),
+        "save_posting_merged": _on_tables(_saved_in_batches),
         # SQL
         "sql_functions": _on_tables(_sql_functions),
         "sql_account_balance": _on_tables(_sql_balances),

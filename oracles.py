@@ -666,7 +666,7 @@ def oracle_sql() -> dict[str, str]:
         POSTED,
     )
 
-    q["save_posting"] = q["post_ledger_accounts"]
+    q["save_posting"] = q["save_posting_merged"] = q["post_ledger_accounts"]
     q["save_posting_records"] = _q(
         "SELECT CAST(m + row_number() OVER (PARTITION BY shard ORDER BY seq) AS BIGINT) AS transaction_id, "
         "coalesce(f, t) AS account_number, f AS from_account_number, t AS to_account_number, transaction_type, "

@@ -12,12 +12,17 @@ from regiobank.functions.values import cents, money
 from regiobank.model import (
     ACCOUNTS,
     ACCOUNTS_ALL,
+    ROUTES,
     TRANSACTIONS,
     TRANSACTIONS_ALL,
     USERS,
     USERS_ALL,
 )
 
+from regiobank.sources import manifest
+from regiobank.sources.manifest import Manifest, Run
+from regiobank.sources.sketches import candidate_files, write_sketches
+
 Table = DataFrame | Callable[[], DataFrame]
 SCHEMAS = {"users": USERS, "accounts": ACCOUNTS, "transactions": TRANSACTIONS}
 
@@ -49,6 +54,11 @@ class Bank:
     def transactions(self) -> DataFrame:
         return self._table("transactions")
 
+    def holding(self, name: str, keys: DataFrame, column: str) -> DataFrame:
+        """Rows of a table among which are all that have one of the values of `column` (on their shard, if `keys` has
+        shards). Here that is the whole table."""
+        return self._table(name)
+
     @property
     def users_all(self) -> DataFrame:
         return self.users.select(*USERS_ALL)
@@ -64,6 +74,19 @@ class Bank:
         return self.transactions.select(*TRANSACTIONS_ALL)
 
 
+class StoredBank(Bank):
+    """The bank of a store, which can tell the files that may hold a key."""
+
+    def __init__(self, spark: SparkSession, root: str, runs: dict[str, list[Run]], **tables: Table):
+        super().__init__(**tables)
+        self._spark, self._root, self._runs = spark, root, runs
+
+    def holding(self, name: str, keys: DataFrame, column: str) -> DataFrame:
+        """Only the files whose sketches answer to a key are read. Balances are those of the files, without changes."""
+        files = candidate_files(self._spark, self._root, self._runs[name], keys, column)
+        return _read_files(self._spark, self._root, name, files)
+
+
 def union_shards(shards: dict[str, DataFrame]) -> DataFrame:
     """Bag union of per-shard tables, tagged with the shard they come from."""
     tagged = [df.withColumn("shard_location", F.lit(tag)) for tag, df in shards.items()]
@@ -95,50 +118,116 @@ LAYOUT = {
 }
 
 
-#: What postings have added to accounts, one folder per batch.
+#: What postings have added to accounts.
 CHANGES = "shard_location string, account_number string, net_cents bigint, applied bigint, as_of timestamp"
 
 
-def write_table(df: DataFrame, root: str, name: str, batch: int = 0, cluster: bool = False) -> None:
-    """Write the rows of a batch to a store table: one folder per shard and batch, sorted files.
+def write_run(df: DataFrame, root: str, run: Run, cluster: bool = False) -> Run:
+    """Write the rows of a run: one folder per shard, sorted files. It takes a commit to make them part of the store.
 
-    Writing a batch again replaces its folders, so a repeat after a failure changes nothing. With `cluster` rows are
-    also range-partitioned first, for a full load: every file then holds its own key range.
+    With `cluster` rows are also range-partitioned first: every file then holds its own key range.
     """
-    keys, looked_up = LAYOUT[name]
+    if run.table == "changes":
+        df.write.parquet(f"{root}/{run.path}")
+        return run
+    keys, looked_up = LAYOUT[run.table]
     order = ["shard_location", *keys]
     placed = df.repartitionByRange(*order) if cluster else df
-    writer = placed.sortWithinPartitions(*order).withColumn("batch", F.lit(batch)).write.mode("overwrite")
-    writer = writer.option("partitionOverwriteMode", "dynamic").partitionBy("shard_location", "batch")
+    writer = placed.sortWithinPartitions(*order).write.partitionBy("shard_location")
     for column in looked_up:
         writer = writer.option(f"parquet.bloom.filter.enabled#{column}", "true")
-    writer.parquet(f"{root}/{name}")
+    writer.parquet(f"{root}/{run.path}")
+    write_sketches(df.sparkSession, root, run)
+    return run
+
+
+#: The column that counts rows of a table, and the places that it counts in.
+COUNTERS = {
+    "users": ("user_id", "region"),
+    "accounts": ("account_id", "shard_location"),
+    "transactions": ("transaction_id", "shard_location"),
+}
 
 
 def write_bank(bank: Bank, root: str, tables: Iterable[str] = tuple(SCHEMAS)) -> None:
-    """Full load of a new store; tables that are not named stay empty."""
-    create_bank(bank.users.sparkSession, root)
-    for name in tables:
-        write_table(getattr(bank, name), root, name, cluster=True)
+    """Full load of a new store; tables that are not named stay empty. It is there with one commit."""
+    spark = bank.users.sparkSession
+    runs = [write_run(getattr(bank, name), root, manifest.new_run(name, 0, ((0, 0),)), cluster=True) for name in tables]
+    used = _first_counters()
+    for run in runs:
+        column, place = COUNTERS[run.table]
+        rows = _read_runs(spark, root, run.table, [run])
+        # a row per region or shard
+        highest = rows.groupBy(F.upper(place).alias("place")).agg(F.max(column).alias("highest")).where("place IS NOT NULL").collect()
+        used[run.table] |= {row["place"]: max(row["highest"] or 0, used[run.table].get(row["place"], 0)) for row in highest}
+    manifest.update(spark, root, lambda last: last._replace(runs=tuple(runs), used=used, reserved={}))
+
+
+def _first_counters() -> dict[str, dict[str, int]]:
+    return {"users": {route.region: route.first_id - 1 for route in ROUTES}, "accounts": {}, "transactions": {}}
 
 
 def create_bank(spark: SparkSession, root: str) -> Bank:
     """An empty store."""
-    for name, schema in {**SCHEMAS, "changes": CHANGES}.items():
-        spark.createDataFrame([], schema).write.mode("overwrite").parquet(f"{root}/{name}")
+    manifest.update(spark, root, lambda last: last._replace(runs=(), used=_first_counters(), reserved={}))
     return read_bank(spark, root)
 
 
-def read_bank(spark: SparkSession, root: str, without: int | None = None) -> Bank:
-    """The bank of a store, on request without what one batch has written."""
-    tables = {}
-    for name, schema in {**SCHEMAS, "changes": CHANGES}.items():
-        rows = spark.read.schema(f"{schema}, batch bigint").parquet(f"{root}/{name}")
-        tables[name] = (rows if without is None else rows.where(~F.col("batch").eqNullSafe(F.lit(without)))).drop("batch")
-    changes, accounts = tables.pop("changes"), tables["accounts"]
-    if not changes.isEmpty():
-        tables["accounts"] = apply_changes(accounts, summed_changes(changes))
-    return Bank(**tables)
+def _read_files(spark: SparkSession, root: str, name: str, paths: list[str]) -> DataFrame:
+    schema = {**SCHEMAS, "changes": CHANGES}[name]
+    if not paths:
+        return spark.createDataFrame([], schema)
+    return spark.read.schema(f"{schema}, run string").option("basePath", f"{root}/{name}").parquet(*paths).drop("run")
+
+
+def _read_runs(spark: SparkSession, root: str, name: str, runs: list[Run]) -> DataFrame:
+    return _read_files(spark, root, name, [f"{root}/{run.path}" for run in runs])
+
+
+def read_bank(spark: SparkSession, root: str, without: int | None = None, at: Manifest | None = None) -> Bank:
+    """The bank of a store as last committed or in the state `at`, on request without what one batch has written.
+
+    A batch that has been merged into a larger run cannot be left out.
+    """
+    state = at or manifest.load(spark, root)
+    runs = {name: state.runs_of(name, without) for name in SCHEMAS}
+    tables = {name: _read_runs(spark, root, name, found) for name, found in runs.items()}
+    changed = state.runs_of("changes", without)
+    if changed:
+        tables["accounts"] = apply_changes(tables["accounts"], summed_changes(_read_runs(spark, root, "changes", changed)))
+    return StoredBank(spark, root, runs, **tables)
+
+
+def compact(spark: SparkSession, root: str, fan: int = 8, full: bool = False) -> Manifest:
+    """Merge small runs, so that a read opens few files.
+
+    Where a table has `fan` runs of a level, they become one of the next level, with rows in order again and changes
+    summed up per account. `full` merges all runs of each table, and the changes into the accounts. Readers go on with the
+    runs they have; a batch that comes meanwhile stays, and a batch that is repeated meanwhile wins.
+    """
+    state = manifest.load(spark, root)
+    if full:
+        rows = {name: getattr(read_bank(spark, root, at=state), name) for name in SCHEMAS}
+        groups = [(name, state.runs_of(name) + (state.runs_of("changes") if name == "accounts" else [])) for name in SCHEMAS]
+    else:
+        rows, groups = {}, []
+        for name in (*SCHEMAS, "changes"):
+            runs = state.runs_of(name)
+            for level in {run.level for run in runs}:
+                group = [run for run in runs if run.level == level]
+                if len(group) >= fan:
+                    groups.append((name, group))
+    for name, group in groups:
+        if len(group) < 2:
+            continue
+        run = manifest.new_run(name, max(old.level for old in group) + 1, manifest.joined(old.batches for old in group))
+        merged = rows.get(name) if full else _read_runs(spark, root, name, group)
+        write_run(summed_changes(merged) if name == "changes" else merged, root, run, cluster=True)
+        try:
+            state = manifest.replace(spark, root, group, [run])
+        except manifest.Conflict:
+            continue
+    return state
 
 
 def summed_changes(changes: DataFrame) -> DataFrame:

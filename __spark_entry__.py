@@ -22,7 +22,7 @@ from regiobank.plans.catalog import register_views  # noqa: E402
 from regiobank.sources.bank import Bank, compact, only_shard, read_bank, write_bank  # noqa: E402
 from regiobank.sources.formatting import format_account_count, format_balance, format_result  # noqa: E402
 from regiobank.sources.scratch import scratch_path  # noqa: E402
-from regiobank.streaming import live, posting  # noqa: E402
+from regiobank.streaming import corrections, live, posting  # noqa: E402
 
 try:  # the folder, or a library that only it needs, may be missing
     import corpus_pipeline
@@ -311,6 +311,14 @@ def _stream_overall(spark: SparkSession, folder: str) -> DataFrame:
     return live.latest_totals(spark, out)
 
 
+def _stream_corrected(spark: SparkSession, folder: str) -> DataFrame:
+    """Days of a feed that repeats rows and brings some after their day was closed."""
+    root = scratch_path(spark, "corrected-days")
+    path = orderbook.repeated_and_late(orderbook.events(spark, folder), "event_id", scratch_path(spark, "events"))
+    corrections.run_volumes(orderbook.event_stream(spark, path), root, scratch_path(spark, "checkpoint"))
+    return corrections.corrected_days(spark, root)
+
+
 def _batch_moment(batch: int) -> str:
     return f"2024-01-{batch + 1:02d} 00:00:00"
 
@@ -429,6 +437,7 @@ def bank_queries() -> dict[str, Query]:
         # streams
         "stream_tx_by_day": _on_tables(_stream_by_day),
         "tx_by_day_closed": _on_tables(lambda spark, folder: live.closed_days(orderbook.event_batch(spark, folder))),
+        "stream_tx_by_day_corrected": _on_tables(_stream_corrected),
         "stream_regional_totals": _on_tables(_stream_regions),
         "stream_overall": _on_tables(_stream_overall),
         "stream_post_ledger": _on_tables(_stream_posting),

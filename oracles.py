@@ -709,6 +709,24 @@ def oracle_sql() -> dict[str, str]:
     )
     q["stream_tx_by_day"] = _q(closed, EVENTS)
     q["tx_by_day_closed"] = _q(closed, EVENTS)
+    arrivals = """
+  arrivals AS (
+    SELECT *, CASE WHEN event_id % 50 = 7 THEN 2
+      ELSE (event_id - (SELECT min(event_id) FROM events)) // ((SELECT max(event_id) - min(event_id) FROM events) // 3 + 1) END AS part
+    FROM event_rows),
+  marks AS (
+    SELECT part, max(max(transaction_date)) OVER (ORDER BY part ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING) AS before
+    FROM arrivals GROUP BY part)"""
+    q["stream_tx_by_day_corrected"] = _q(
+        f"SELECT strftime(transaction_date, '%Y-%m-%d') AS transaction_date, count(*) AS transaction_count, "
+        f"{_dbl('sum(amount)', 'total_amount')}, {TYPE_COUNTS}, "
+        "count(*) FILTER (date_trunc('day', transaction_date) + INTERVAL 2 DAY <= before) AS late_count "
+        "FROM arrivals JOIN marks USING (part) "
+        "WHERE date_trunc('day', transaction_date) + INTERVAL 2 DAY <= (SELECT max(transaction_date) FROM event_rows) "
+        "GROUP BY 1",
+        EVENTS,
+        arrivals,
+    )
     q["stream_regional_totals"] = _q(
         f"SELECT region, total_transactions, deposits, withdrawals, transfers, {TOTALS_AS_DOUBLE} FROM "
         f"(SELECT a.region, count(*) AS total_transactions, {TYPE_COUNTS}, {TYPE_TOTALS} FROM event_rows e "

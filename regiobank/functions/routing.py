@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Iterable
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from regiobank.model import ROUTES, ROUTING, Route
@@ -22,17 +22,24 @@ def routing_table(spark: SparkSession, routes: Iterable[Route] = ROUTES) -> Data
 def find_route(rows: DataFrame, table: DataFrame, user_id: str = "user_id") -> DataFrame:
     """Add `shard_id`, that of the active route of a metadata table which holds the user id, else NULL.
 
-    Ids meet routes of the same stretch of ids; a stretch is as long as the longest route, so a route is in two at most.
+    Where routes overlap it is that of the smallest shard_id. Ids meet routes of the same stretch of ids; a stretch is as long as the longest route, so a route is in two at most.
     """
-    width = table.agg(F.max(F.col("user_id_range_end") - F.col("user_id_range_start") + 1)).first()[0] or 1
-    stretches = table.where("status = 'ACTIVE'").selectExpr(
+    active = table.where("status = 'ACTIVE' AND user_id_range_start <= user_id_range_end")
+    width = active.agg(F.max(F.col("user_id_range_end") - F.col("user_id_range_start") + 1)).first()[0] or 1
+    stretches = active.selectExpr(
         "shard_id",
         "user_id_range_start AS _low",
         "user_id_range_end AS _high",
         f"explode(sequence(user_id_range_start div {width}, user_id_range_end div {width})) AS _stretch",
     )
-    held = (F.expr(f"{user_id} div {width}") == F.col("_stretch")) & F.col(user_id).between(F.col("_low"), F.col("_high"))
-    return rows.join(stretches, held, "left").select(*rows.columns, "shard_id")
+    # within a stretch the ranges are cut where one begins or ends, and of overlapping ones the first shard has the cut;
+    # there are as many cuts as routes
+    cuts = stretches.selectExpr("_stretch", "explode(array(_low, _high + 1)) AS _from").distinct()
+    to = F.lead("_from").over(Window.partitionBy("_stretch").orderBy("_from")) - 1
+    cuts = cuts.withColumn("_to", to).join(stretches, "_stretch").where("_low <= _from AND _to <= _high")
+    first = cuts.groupBy("_stretch", "_from", "_to").agg(F.min("shard_id").alias("shard_id"))
+    held = (F.expr(f"{user_id} div {width}") == F.col("_stretch")) & F.col(user_id).between(F.col("_from"), F.col("_to"))
+    return rows.join(first, held, "left").select(*rows.columns, "shard_id")
 
 
 def find_region_route(rows: DataFrame, table: DataFrame, region: str = "region") -> DataFrame:

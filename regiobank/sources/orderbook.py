@@ -200,7 +200,7 @@ def order_batch(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def order_stream(spark: SparkSession, path: str) -> DataFrame:
-    """Orders as a stream of the files under a path, one file for each micro-batch."""
+    """Orders as a stream of the files under a path, one part for each micro-batch."""
     return _stream(spark, "orders", path)
 
 
@@ -294,24 +294,51 @@ def on_shards(transactions: DataFrame, spark: SparkSession, folder: str) -> Data
     return transactions.join(homes, "account_number", "left")
 
 
-def in_files(table: DataFrame, key: str, path: str, files: int = 3) -> str:
-    """The rows of a table in some files by ranges of a key, so that a stream takes them one after the other."""
+#: Files that are written for each micro-batch of a stream, by as many tasks.
+FILES = 4
+PARTS = 3
+
+
+def _part(table: DataFrame, key: str, parts: int) -> str:
+    """The part of a row: ranges of a key, as wide as each other. Rows without a key come first."""
     low, high = table.agg(F.min(key), F.max(key)).first()
-    width = ((high or 0) - (low or 0)) // files + 1
-    for part in range(files):
-        begin = (low or 0) + part * width
-        rows = table.where((F.col(key) >= begin) & (F.col(key) < begin + width))
-        rows.coalesce(1).write.mode("overwrite").parquet(f"{path}/part={part}")
+    width = ((high or 0) - (low or 0)) // parts + 1
+    return f"coalesce(({key} - {low or 0}) div {width}, 0)"
+
+
+def _in_order(parts: list[DataFrame], path: str) -> str:
+    """Write one part after the other, so that a stream takes them in this order."""
+    for number, rows in enumerate(parts):
+        rows.repartition(FILES).write.mode("overwrite").parquet(f"{path}/part={number}")
     return path
 
 
+def in_files(table: DataFrame, key: str, path: str, parts: int = PARTS) -> str:
+    """The rows of a table in files by ranges of a key, so that a stream takes the ranges one after the other."""
+    part = _part(table, key, parts)
+    return _in_order([table.where(f"{part} = {number}") for number in range(parts)], path)
+
+
+def repeated_and_late(table: DataFrame, key: str, path: str, parts: int = PARTS) -> str:
+    """As `in_files`, with faults at regular places: some rows come with the last part, some twice with their part, and
+    some again with the next part."""
+    part, last = _part(table, key, parts), parts - 1
+    arrival = f"IF({key} % 50 = 7, {last}, {part})"
+    copies = (
+        f"concat(array({arrival}), IF({key} % 60 = 5, array({arrival}), array()), "
+        f"IF({key} % 40 = 3, array(least({arrival} + 1, {last})), array()))"
+    )
+    rows = table.selectExpr("*", f"explode({copies}) AS _arrives")
+    return _in_order([rows.where(F.col("_arrives") == number).drop("_arrives") for number in range(parts)], path)
+
+
 def _stream(spark: SparkSession, name: str, path: str) -> DataFrame:
-    reader = spark.readStream.schema(SCHEMAS[name]).option("maxFilesPerTrigger", "1")
+    reader = spark.readStream.schema(SCHEMAS[name]).option("maxFilesPerTrigger", str(FILES))
     return reader.option("recursiveFileLookup", "true").option("pathGlobFilter", "*.parquet").parquet(path)
 
 
 def event_stream(spark: SparkSession, path: str) -> DataFrame:
-    """Events as a stream of the files under a path, one file for each micro-batch."""
+    """Events as a stream of the files under a path, one part for each micro-batch."""
     return event_transactions(_stream(spark, "events", path))
 
 

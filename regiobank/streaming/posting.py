@@ -15,6 +15,7 @@ from pyspark.sql import functions as F
 
 from regiobank.operators.ledger import post_ledger, records_of
 from regiobank.sources.bank import CHANGES, apply_changes, summed_changes
+from regiobank.sources.scratch import scratch_scope
 
 SNAPSHOT_EVERY = 8
 
@@ -48,6 +49,12 @@ def prepare(spark: SparkSession, root: str) -> None:
 def post_batch(
     requests: DataFrame, batch_id: int, accounts: DataFrame, root: str, as_of, snapshot_every: int = SNAPSHOT_EVERY
 ) -> None:
+    """Post one micro-batch. What is staged for it goes with its end."""
+    with scratch_scope(accounts.sparkSession):
+        _post_batch(requests, batch_id, accounts, root, as_of, snapshot_every)
+
+
+def _post_batch(requests: DataFrame, batch_id: int, accounts: DataFrame, root: str, as_of, snapshot_every: int) -> None:
     spark = accounts.sparkSession
     posting = post_ledger(current_accounts(accounts, root, batch_id), requests, as_of)
     posting.requests.write.mode("overwrite").parquet(f"{root}/requests/batch={batch_id}")

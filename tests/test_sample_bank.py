@@ -136,6 +136,17 @@ def test_routing(spark, bank):
     }
 
 
+def test_overlapping_routes_give_the_first_match(spark):
+    """The first active shard has an id that several routes hold, and every id one row."""
+    routes = [(1, 10, 50, "ACTIVE"), (2, 30, 80, "ACTIVE"), (3, 40, 45, "MAINTENANCE"), (4, 5, 12, "ACTIVE"), (5, 60, 61, "ACTIVE"), (6, 200, 100, "ACTIVE")]
+    table = spark.createDataFrame(routes, "shard_id long, user_id_range_start long, user_id_range_end long, status string")
+    got = find_route(spark.range(0, 300).withColumnRenamed("id", "user_id"), table).collect()
+    assert len(got) == 300
+    for r in got:
+        held = [s for s, low, high, status in routes if status == "ACTIVE" and low <= r.user_id <= high]
+        assert r.shard_id == (min(held) if held else None)
+
+
 def test_cross_shard_transfer(spark, bank):
     request = spark.createDataFrame([(1, "TRANSFER", "ACC001", "ACC008", Decimal(250), "demo")], REQUESTS)
     posting = post_ledger(bank.accounts, request, "2024-05-02 00:00:00")

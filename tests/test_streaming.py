@@ -1,13 +1,17 @@
 """Streams against their batch forms; replays change nothing."""
 
+import os
+from datetime import datetime
 from decimal import Decimal
 
 import pytest
+from pyspark.sql import functions as F
 
 from regiobank.model import REQUESTS
 from regiobank.operators.ledger import post_ledger
 from regiobank.sources import orderbook
-from regiobank.streaming import live, posting
+from regiobank.sources.scratch import scratch_root
+from regiobank.streaming import corrections, live, posting
 
 FOLDER = "/root/testdata/sf0.001"
 AS_OF = "2024-01-01 00:00:00"
@@ -111,3 +115,45 @@ def test_regional_totals_over_micro_batches_equal_batch(spark, tmp_path, event_f
     wanted = live.regional_totals(batch, accounts).collect()
     got = live.live_regional_totals(spark, out).collect()
     assert sorted(tuple(map(str, r)) for r in got) == sorted(tuple(map(str, r)) for r in wanted)
+
+
+def feed(spark, *rows):
+    schema = "event_id bigint, transaction_date timestamp, transaction_type string, amount decimal(15,2)"
+    return spark.createDataFrame([(i, moment and datetime.fromisoformat(moment), "DEPOSIT", Decimal(amount)) for i, moment, amount in rows], schema)
+
+
+def test_repeats_count_once_and_late_rows_correct_their_day(spark, tmp_path):
+    root = str(tmp_path / "days")
+    corrections.prepare(spark, root)
+    first = feed(spark, (1, "2024-01-01 10:00:00", 5), (1, "2024-01-01 10:00:00", 5), (2, "2024-01-02 09:00:00", 7), (None, "2024-01-01 11:00:00", 1), (9, None, 1))
+    second = feed(spark, (2, "2024-01-02 09:00:00", 7), (3, "2024-01-05 00:00:00", 9))
+    third = feed(spark, (4, "2024-01-01 12:00:00", 2), (1, "2024-01-01 10:00:00", 5), (3, "2024-01-05 00:00:00", 9), (4, "2024-01-01 12:00:00", 2))
+
+    def days():
+        return sorted((r.transaction_date, r.transaction_count, r.total_amount, r.late_count) for r in corrections.corrected_days(spark, root).collect())
+
+    corrections.volume_batch(first, 0, root)
+    assert days() == []
+    corrections.volume_batch(second, 1, root)
+    assert days() == [("2024-01-01", 2, Decimal(6), 0), ("2024-01-02", 1, Decimal(7), 0)]
+    for number, rows in ((2, third), (1, second), (2, third), (3, third.where("false"))):
+        corrections.volume_batch(rows, number, root)  # replays change nothing
+    assert days() == [("2024-01-01", 3, Decimal(8), 1), ("2024-01-02", 1, Decimal(7), 0)]
+
+
+def test_files_of_a_stream_keep_rows_without_a_key(spark, tmp_path):
+    rows = spark.createDataFrame([(k, "x") for k in [None, None, *range(40)]], "event_id bigint, event_type string")
+    path = orderbook.in_files(rows, "event_id", str(tmp_path / "files"))
+    got = spark.read.parquet(path)
+    assert sorted((r.event_id is None, r.event_id or 0, r.part) for r in got.collect()) == sorted((k is None, k or 0, (k or 0) // 14) for k in [None, None, *range(40)])
+    assert got.inputFiles() and all(got.where(f"part = {n}").select(F.input_file_name()).distinct().count() == orderbook.FILES for n in range(3))
+
+
+def test_a_posted_batch_leaves_no_staged_tables(spark, tmp_path):
+    accounts = orderbook.accounts(spark, FOLDER)
+    number = accounts.where("status = 'ACTIVE'").first().account_number
+    posting.prepare(spark, str(tmp_path / "posted"))
+    place = scratch_root(spark).removeprefix("file:")
+    before = set(os.listdir(place))
+    posting.post_batch(spark.createDataFrame([(1, "DEPOSIT", None, number, Decimal(1), "x")], REQUESTS), 0, accounts, str(tmp_path / "posted"), AS_OF)
+    assert set(os.listdir(place)) <= before

@@ -55,8 +55,8 @@ FROM docs LEFT JOIN kept USING (doc_id)
 """
 
 
-_NOTICES = ", ".join("('{}', '{}')".format(label, text.replace("'", "''")) for label, text in NOTICES)
-_LINE_WORDS = r"list_distinct(regexp_extract_all(lower({}), '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+'))"
+_NOTICES = ", ".join("('{}', '{}', '{}')".format(*(part.replace("'", "''") for part in notice)) for notice in NOTICES)
+_SET = r"list_distinct(regexp_extract_all(lower({}), '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+'))"
 
 LICENSES = f"""
 WITH docs AS (SELECT doc_id, coalesce(text, '') AS text, {_WORDS} AS w FROM documents),
@@ -66,16 +66,20 @@ places AS (
   SELECT doc_id, i, label FROM docs, phrases, unnest(generate_series(0, len(w) - len(p))) AS t(i)
   WHERE list_slice(w, i + 1, i + len(p)) = p),
 base AS (SELECT doc_id, count(*) AS n, min(i) AS a, max(i) AS b FROM places GROUP BY doc_id),
-notices AS (SELECT label, {_LINE_WORDS.format("text")} AS s FROM (VALUES {_NOTICES}) AS t(label, text)),
-lines AS (SELECT doc_id, block, {_LINE_WORDS.format("line")} AS s FROM (
-  SELECT doc_id, unnest(string_split(text, chr(10))) AS line, generate_subscripts(string_split(text, chr(10)), 1) AS block
-  FROM docs)),
+notices AS (
+  SELECT label, {_SET.format("text")} AS s, {_SET.format("naming")} AS naming,
+    CASE WHEN len({_SET.format("text").replace("list_distinct", "")}) <= 8 THEN 8
+      WHEN len({_SET.format("text").replace("list_distinct", "")}) <= 16 THEN 16 ELSE 32 END AS width
+  FROM (VALUES {_NOTICES}) AS t(label, text, naming)),
+blocks AS (
+  SELECT doc_id, width, block, list_distinct(list_slice(w, block * width + 1, block * width + 2 * width)) AS s
+  FROM docs, (VALUES (8), (16), (32)) AS v(width), unnest(generate_series(0, (len(w) - 1) // width)) AS t(block)),
 held AS (
-  SELECT doc_id, block, label, n.s, len(list_intersect(l.s, n.s)) / len(n.s) AS c FROM lines AS l, notices AS n
-  WHERE len(list_intersect(l.s, n.s)) >= ceil(round(len(n.s) * 0.8, 9))),
+  SELECT doc_id, width, block, label, n.s, len(list_intersect(l.s, n.s)) / len(n.s) AS c FROM blocks AS l JOIN notices AS n USING (width)
+  WHERE len(list_intersect(l.s, n.s)) >= ceil(round(len(n.s) * 0.8, 9)) AND list_has_all(l.s, n.naming)),
 best AS (
   SELECT * FROM held AS x WHERE NOT EXISTS (
-    SELECT 1 FROM held AS y WHERE y.doc_id = x.doc_id AND y.block = x.block AND (
+    SELECT 1 FROM held AS y WHERE y.doc_id = x.doc_id AND y.width = x.width AND y.block = x.block AND (
       (len(y.s) > len(x.s) AND len(list_intersect(x.s, y.s)) = len(x.s) AND y.c >= x.c)
       OR (len(y.s) < len(x.s) AND len(list_intersect(x.s, y.s)) = len(y.s) AND y.c > x.c)))),
 base_labels AS (SELECT doc_id, string_agg(label, ',' ORDER BY label) AS l FROM (SELECT DISTINCT doc_id, label FROM places) GROUP BY doc_id),

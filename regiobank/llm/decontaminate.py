@@ -15,7 +15,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from regiobank.llm.common import (
@@ -31,6 +31,7 @@ from regiobank.llm.common import (
     running_sums,
     slices,
     text_hash,
+    unused,
     utf8,
     word_hashes,
 )
@@ -104,8 +105,8 @@ def _document_prints(sizes: list[int], gram: int):
         for batch in slices(batches):
             words, hashes = _texts_of(batch)
             counts = np.diff(words.bounds)
-            none = pa.nulls(len(counts), pa.int64())
-            row = [batch.column("ord"), batch.column("rid"), pa.array(np.zeros(len(counts), np.int32)), pa.array(counts), none]
+            # a row per text: its words, and whether it has a doc_id
+            row = [batch.column("ord"), batch.column("rid"), pa.array(np.zeros(len(counts), np.int32)), pa.array(counts), batch.column("has_id")]
             yield pa.RecordBatch.from_arrays(row, _ROW)
             for size in sizes:
                 _, places, prints = winnow(words, hashes, size, gram)
@@ -181,7 +182,7 @@ def contamination(docs: DataFrame, benchmark: DataFrame, window: int = WINDOW, g
     sizes = sorted(row.size for row in items.select("size").distinct().toLocalIterator())  # at most `window` values
     texts = keyed(docs).withColumn("text", lowered("text"))
     prints = map_arrow(
-        texts.select("ord", "rid", "text"), _document_prints(sizes, gram), "ord long, rid long, size int, pos long, hash long"
+        texts.select("ord", "rid", "text", F.col("doc_id").isNotNull().cast("long").alias("has_id")), _document_prints(sizes, gram), "ord long, rid long, size int, pos long, hash long"
     )
     known = stage(items.select(F.col("size").alias("of_size"), F.col("hash").alias("of_hash")).distinct(), "item-prints")
     marked = prints.join(known, (F.col("hash") == F.col("of_hash")) & (F.col("size") == F.col("of_size")), "left")
@@ -189,22 +190,23 @@ def contamination(docs: DataFrame, benchmark: DataFrame, window: int = WINDOW, g
     rows = marked.where(counted | F.col("of_hash").isNotNull()).groupBy("ord", "rid").agg(
         F.max(F.when(counted, F.col("pos"))).alias("n_words"),
         F.count(F.when(counted, 1)).alias("copies"),
+        F.sum(F.when(counted, F.col("hash"))).alias("with_id"),
         F.collect_set(F.when(~counted, F.col("pos") * 64 + F.col("size"))).alias("marks"),
     )
     rows = stage(rows, "marked")
     found = _hits(texts, rows, items, gram)
     per_row = rows.drop("marks").join(found, ["ord", "rid"], "left").withColumn("n_hit", F.coalesce("n_hit", F.lit(0)))
-    last = F.lit((1 << 63) - 1)
-    return per_row.select(
-        F.when(F.col("ord") != last, F.col("ord")).alias("doc_id"),
+    # rows without an id come with those of the largest one
+    numbered = per_row.withColumn("copy", F.explode(F.sequence(F.lit(1).cast("long"), "copies")))
+    return numbered.select(
+        F.when(F.col("copy") <= F.col("with_id"), F.col("ord")).alias("doc_id"),
         "rid",
         "n_words",
         "n_hit",
         F.coalesce("items", F.array().cast("array<string>")).alias("items"),
         F.coalesce("spans", F.array().cast("array<struct<start:bigint,words:bigint>>")).alias("spans"),
         ((F.col("n_hit") > 0) & (F.col("n_hit") * share >= F.col("n_words"))).alias("contaminated"),
-        F.explode(F.sequence(F.lit(1).cast("long"), "copies")).alias("copy"),
-    ).drop("copy")
+    )
 
 
 def _hits(texts: DataFrame, rows: DataFrame, items: DataFrame, gram: int) -> DataFrame:
@@ -213,25 +215,27 @@ def _hits(texts: DataFrame, rows: DataFrame, items: DataFrame, gram: int) -> Dat
     near = texts.select("ord", "rid", "text").join(marked, ["ord", "rid"])
     windows = map_arrow(near, _windows_around(gram), "ord long, rid long, size int, start long, window string")
     found = windows.join(items.select("size", "window", "items"), ["size", "window"])
-    spans = found.groupBy("ord", "rid").agg(
+    # occurrences of a text in order; a span begins where one starts behind the ends of all before it
+    places = found.select("ord", "rid", "start", (F.col("start") + F.col("size")).alias("end"), "items").repartition("ord", "rid")
+    order = Window.partitionBy("ord", "rid").orderBy("start", "end")
+    ends = F.max("end").over(order.rowsBetween(Window.unboundedPreceding, -1))
+    begins = places.withColumn("begins", (F.coalesce(ends, F.lit(-1)) < F.col("start")).cast("int"))
+    spans = begins.withColumn("span", F.sum("begins").over(order.rowsBetween(Window.unboundedPreceding, 0)))
+    spans = spans.groupBy("ord", "rid", "span").agg(
+        F.min("start").alias("start"),
+        (F.max("end") - F.min("start")).alias("words"),
         F.array_distinct(F.flatten(F.collect_set("items"))).alias("items"),
-        F.sort_array(F.collect_set(F.struct("start", (F.col("start") + F.col("size")).alias("end")))).alias("places"),
     )
-    united = F.expr(
-        """aggregate(places, cast(array() as array<struct<start: bigint, end: bigint>>), (done, x) ->
-             if(size(done) > 0 and x.start <= element_at(done, -1).end,
-                concat(slice(done, 1, size(done) - 1),
-                       array(named_struct('start', element_at(done, -1).start, 'end', greatest(x.end, element_at(done, -1).end)))),
-                concat(done, array(named_struct('start', x.start, 'end', x.end)))))"""
+    return spans.groupBy("ord", "rid").agg(
+        F.array_sort(F.array_distinct(F.flatten(F.collect_set("items")))).alias("items"),
+        F.array_sort(F.collect_list(F.struct("start", "words"))).alias("spans"),
+        F.sum("words").alias("n_hit"),
     )
-    spans = spans.withColumn("united", united)
-    spans = spans.withColumn("spans", F.expr("transform(united, x -> named_struct('start', x.start, 'words', x.end - x.start))"))
-    n_hit = F.expr("aggregate(spans, 0L, (n, x) -> n + x.words)")
-    return spans.select("ord", "rid", F.sort_array("items").alias("items"), "spans", n_hit.alias("n_hit"))
 
 
 def clean_documents(docs: DataFrame, benchmark: DataFrame, window: int = WINDOW) -> DataFrame:
     """The rows of `docs`, with all their columns, that are not contaminated."""
     bad = contamination(docs, benchmark, window).where("contaminated").select("doc_id", "rid").distinct()
-    bad = bad.select(row_order(F.col("doc_id")).alias("_ord"), F.col("rid").alias("_rid"))
-    return docs.join(bad, (row_order(docs["doc_id"]) == bad["_ord"]) & (text_hash(docs["text"]) == bad["_rid"]), "left_anti")
+    own_ord, own_rid = unused(docs, "_ord", "_rid")
+    bad = bad.select(row_order(F.col("doc_id")).alias(own_ord), F.col("rid").alias(own_rid))
+    return docs.join(bad, (row_order(F.col("doc_id")) == F.col(own_ord)) & (text_hash(F.col("text")) == F.col(own_rid)), "left_anti")

@@ -9,7 +9,6 @@ Training is backpropagation through time on a bounded sample of windows; scoring
 
 from __future__ import annotations
 
-import re
 from collections.abc import Iterator
 from typing import NamedTuple
 
@@ -29,7 +28,8 @@ BATCH = 64
 RATE = 0.01
 _ROWS = 4096
 UNKNOWN = "und"
-_LETTER = re.compile(r"[^\W\d_]")
+#: Unicode category L, for what is learned and what is predicted.
+LETTER = r"\p{L}"
 
 
 class Direction(NamedTuple):
@@ -210,7 +210,7 @@ def sample(docs: DataFrame, learn, rows: int = SAMPLE_ROWS) -> tuple[list[bytes]
     count = max(known.count(), 1)
     share, each = min(1 << 20, -(-(rows << 20) // count)), min(-(-rows // count), MOST_OF_ONE)
     key = F.xxhash64(F.col("doc_id").cast("string"))
-    chosen = known.where(F.pmod(key, F.lit(1 << 20)) < share).where(F.col("text").rlike(r"\p{L}"))
+    chosen = known.where(F.pmod(key, F.lit(1 << 20)) < share).where(F.col("text").rlike(LETTER))
     chosen = chosen.select(F.col("doc_id").cast("long").alias("i"), "lang", "text", F.explode(F.sequence(F.lit(1), F.lit(each))).alias("n"))
     place = F.pmod(F.xxhash64("i", "n"), F.greatest(F.length("text") - WINDOW // 2, F.lit(1))) + 1
     windows = chosen.select("i", "n", "lang", F.substring("text", place.cast("int"), WINDOW).alias("w"))
@@ -233,7 +233,7 @@ def identify(docs: DataFrame) -> DataFrame:
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in slices(batches, most=1 << 20):
             texts = [text or "" for text in batch.column("text").to_pylist()]
-            some = np.array([model is not None and _LETTER.search(text) is not None for text in texts])
+            some = np.array([model is not None and ok for ok in batch.column("letter").to_pylist()], dtype=bool)
             best, score = np.zeros(len(texts), dtype=np.int64), np.zeros(len(texts))
             if some.any():
                 found = document_probabilities(model, [text.encode() for text, ok in zip(texts, some) if ok])
@@ -242,5 +242,5 @@ def identify(docs: DataFrame) -> DataFrame:
             yield pa.RecordBatch.from_arrays([batch.column("doc_id"), pa.array(lang), pa.array(score)], ["doc_id", "lang_pred", "score"])
 
     kind = docs.schema["doc_id"].dataType.simpleString()
-    found = map_arrow(docs.select("doc_id", "text"), work, f"doc_id {kind}, lang_pred string, score double")
+    found = map_arrow(docs.select("doc_id", "text", F.coalesce(F.col("text").rlike(LETTER), F.lit(False)).alias("letter")), work, f"doc_id {kind}, lang_pred string, score double")
     return found.select("doc_id", held_out(F.col("doc_id")).alias("held_out"), "lang_pred", "score")

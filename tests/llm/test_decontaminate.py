@@ -90,3 +90,31 @@ def test_edges(spark, table):
     assert decontaminate.contamination(table([]), bench).count() == 0
     none = spark.createDataFrame([], "item_id long, text string")
     assert [r[2] for r in found(decontaminate.contamination(table(rows), none))] == [0] * 7
+
+
+def test_largest_id_and_clashing_columns(spark):
+    passage = " ".join(f"w{n}" for n in range(15))
+    bench = spark.createDataFrame([(7, passage)], "item_id long, text string")
+    most = (1 << 63) - 1
+    rows = [(most, passage, 1, "r"), (None, passage, 2, "r"), (most, passage, 3, "r"), (most, "other", 4, "r"), (None, "free", 5, "r")]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, _ord long, _rid string")
+    got = decontaminate.contamination(docs, bench).collect()
+    assert sorted((str(r.doc_id), r.contaminated) for r in got) == sorted([(str(most), True)] * 2 + [("None", True), (str(most), False), ("None", False)])
+    assert sorted(r["_ord"] for r in decontaminate.clean_documents(docs, bench).collect()) == [4, 5]
+
+
+def test_many_spans_take_no_square_of_the_time(spark):
+    """A one-word item and texts of which every other word is hit."""
+    import time
+
+    bench = spark.createDataFrame([(1, "hit")], "item_id long, text string")
+
+    def seconds(words):
+        docs = spark.createDataFrame([(1, "hit x " * (words // 2))], "doc_id long, text string")
+        start = time.time()
+        (row,) = decontaminate.contamination(docs, bench).collect()
+        assert row.n_hit == words // 2 == len(row.spans) and row.spans[1].start == 2
+        return time.time() - start
+
+    seconds(2000)
+    assert seconds(80000) < 20

@@ -46,12 +46,12 @@ def test_pooling_is_the_mean_over_positions():
 
 def test_edges(spark):
     rows = [(n, f"der die das und {n}" if n % 2 else f"the and of {n}", "de" if n % 2 else "en") for n in range(300)]
-    rows += [(1000, None, "en"), (1001, "", None), (1002, "12 !?", "de"), (None, "the and", "en"), (1003, "the of and " * 9000, None), (7, "the", "x y")]
+    rows += [(1000, None, "en"), (1001, "", None), (1002, "12 !?", "de"), (1004, "\u00bd \u00b2 \u2167", None), (1005, "\u00aa", None), (None, "the and", "en"), (1003, "the of and " * 9000, None), (7, "the", "x y")]
     docs = spark.createDataFrame(rows, "doc_id long, text string, lang string")
-    got = langid.identify(docs.withColumnRenamed("nothing", "score")).collect()
+    got = langid.identify(docs.selectExpr("*", "'x' AS score", "1 AS lang_pred", "0 AS letter", "2 AS held_out")).collect()
     assert len(got) == len(rows)
     by_id = {r.doc_id: r for r in got}
-    assert [(by_id[i].lang_pred, by_id[i].score) for i in (1000, 1001, 1002)] == [("und", 0.0)] * 3
+    assert [(by_id[i].lang_pred, by_id[i].score) for i in (1000, 1001, 1002, 1004)] == [("und", 0.0)] * 4 and by_id[1005].lang_pred != "und"
     assert by_id[1003].lang_pred == "en" and by_id[None].held_out
     assert langid.identify(docs.where("false")).collect() == []
     blank = langid.identify(docs.where("doc_id < 5").selectExpr("doc_id", "text", "cast(null as string) lang"))

@@ -12,6 +12,7 @@ come up again and again, so each task keeps what it has counted, up to a bound.
 from __future__ import annotations
 
 import re
+from array import array
 from collections.abc import Iterator
 
 import numpy as np
@@ -25,6 +26,8 @@ from regiobank.llm.common import map_arrow, slices
 LIMIT = 512
 KEPT_WORDS = 500_000
 KEPT_PAIRS = 1_000_000
+#: Longer words are forgotten after their slice of texts: what a task remembers is bounded in bytes, too.
+KEPT_CHARS = 64
 #: White space as the vocabulary's splitting pattern understands it; fixed values.
 _BLANK = [*range(9, 14), 32, 133, 160, 5760, *range(8192, 8203), 8232, 8233, 8239, 8287, 12288]
 _BLANKS = re.compile(f"[{''.join(map(chr, _BLANK))}]{{2,}}")
@@ -60,7 +63,7 @@ class PrefixCounter:
         self.blank = self.shown[ord(" ")]
         self._agrees: dict[int, bool] = {}
         self._words: dict[str, list[int]] = {}
-        self._texts: dict[str, bytes | tuple] = {}
+        self._texts: dict[str, bytes | array] = {}
 
     def _own_tokens(self, word: str) -> list[str]:
         return [token.value for token in self.model.tokenize(word)]
@@ -174,7 +177,7 @@ class PrefixCounter:
         self.learn(set(shown.values()))
         for word, name in shown.items():
             counts = self._words[name]
-            kept[word] = bytes(counts) if counts[-1] < 256 else tuple(counts)
+            kept[word] = bytes(counts) if counts[-1] < 256 else array("I", counts)
         self._words.clear()
         out = []
         for text, words in zip(texts, split):
@@ -184,6 +187,8 @@ class PrefixCounter:
                 continue
             total = sum([kept[word][-1] for word in words])
             out.append((total, len(text) if total <= limit else self._fitting(text, words, limit)))
+        for word in [word for word in new if len(word) > KEPT_CHARS]:
+            del kept[word]
         return out
 
     def _fitting(self, text: str, words: list[str], limit: int) -> int:

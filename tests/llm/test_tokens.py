@@ -76,3 +76,25 @@ def test_bounded_memory(monkeypatch):
     for part in (text, "seven " + text, "one two"):
         assert small.summaries([part], 99) == [(library(part), len(part))]
     assert len(small._texts) <= 3
+
+
+def test_long_words_are_not_remembered():
+    """Texts of long words that never come again: counts are the library's, and what is kept stays small."""
+    import random
+    import resource
+
+    rng, count = random.Random(4), tokens.PrefixCounter(PATH)
+
+    def texts(number):
+        return [" ".join("".join(rng.choices("abcdefghijklmnopqrstuvwxyz", k=4000)) for _ in range(5)) for _ in range(number)]
+
+    some = texts(4)
+    assert [total for total, _ in count.summaries(some, 512)] == [library(text) for text in some]
+    for _ in range(5):
+        count.summaries(texts(20), 512)
+    before = resource.getrusage(resource.RUSAGE_SELF).ru_maxrss
+    for _ in range(10):
+        count.summaries(texts(20), 512)
+    assert resource.getrusage(resource.RUSAGE_SELF).ru_maxrss - before < 60_000
+    assert all(len(word) <= tokens.KEPT_CHARS for word in count._texts)
+    assert [total for total, _ in count.summaries(some, 512)] == [library(text) for text in some]

@@ -66,7 +66,7 @@ def new_accounts(requests: DataFrame, bank: Bank, line: str, as_of, reserve: Res
     asked = blanks_to_null(requests).drop("shard_location", "region")
     wanted = stage(asked.select("user_id").dropna().distinct(), "asked-owners")
     owners = stage(bank.holding("users", wanted, "user_id").join(wanted, "user_id", "left_semi").select(*bank.users.columns), "owners")
-    placed = user_region(asked, Bank(owners, bank.accounts, bank.transactions)).withColumn("shard_location", user_shard(F.col("user_id")))
+    placed = user_region(asked, Bank(owners, lambda: bank.accounts, lambda: bank.transactions)).withColumn("shard_location", user_shard(F.col("user_id")))
     opened = placed.withColumn("balance", F.coalesce("balance", F.lit(0).cast("decimal(15,2)")))
     accepted, rejected = split(stage(validate_accounts(opened, owners, line), "judged-accounts"))
     known = left_lookup(accepted, _asked(bank, "accounts", accepted, ["shard_location", "account_id"]), ["shard_location", "account_id"])

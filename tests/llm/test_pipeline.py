@@ -64,3 +64,13 @@ def test_edges(spark, folder, tmp_path):
     for name, work in corpus_pipeline.STAGES:
         none = work(spark, none, folder)
         assert none.collect() == []
+
+
+def test_columns_of_documents_may_have_any_names(spark, folder):
+    names = ["_id", "_rid", "_ord", "_score_text", "score", "_masked", "has_id", "letter"]
+    rows = [(n, f"some words of text number {n} and more of them", "en", "s", 9, *names) for n in range(4)]
+    columns = ", ".join(f"{name} string" for name in names)
+    out = spark.createDataFrame(rows, f"doc_id long, text string, lang string, source string, n_chars long, {columns}")
+    for name, work in corpus_pipeline.STAGES[:4]:
+        out = stage(work(spark, out, folder), "step")
+        assert out.columns[5:] == names and all(tuple(r)[5:] == tuple(names) for r in out.collect())

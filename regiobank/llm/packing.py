@@ -1,13 +1,13 @@
 """Retrieval packing: documents that are lexically close share a training sequence.
 
-1. Every document is encoded. Its full windows are sequences of their own; what is left of it, shorter than a window,
-   goes into a block with the rests of other documents of the same input split. Blocks are bounded in tokens and rows.
-2. Token statistics (document frequencies, at most one row per vocabulary entry) are summed over all blocks.
-3. Each block is a shard of a BM25 inverted index. The longest unused rest is a seed; the index returns its unused
-   neighbours, which fill its window, best first. If none fits as a whole any more, the best one is cut, and what is cut
-   off stays unused. So all windows are full but the last of a block, which is cut into powers of two.
-
-No text is shuffled, and a block is packed from its own row alone.
+1. Every document is encoded. Its full windows are sequences of their own; what is left of it, shorter than a window, is
+   its rest. Token statistics (document frequencies, at most one row per vocabulary entry) are summed over all rests.
+2. Rests are dealt to shards by lexical key, the strongest terms of a rest by idf and count, in order of strength. Shards
+   are ranges of keys with a hash as the last part of the key, so a key that many rests share spreads over several shards,
+   and which file a document came from plays no part.
+3. Each shard is a BM25 inverted index. The longest unused rest is a seed; all its terms are the query, and the index
+   returns its unused neighbours, which fill its window, best first. The last one is cut where it does not fit, and what
+   is cut off stays unused. So all windows are full but the last of a shard, which is cut into powers of two.
 """
 
 from __future__ import annotations
@@ -32,11 +32,11 @@ from regiobank.sources.scratch import stage
 
 WINDOW = 2048
 END = 1
-BLOCK_TOKENS = 1 << 20
-BLOCK_ROWS = 4096
-QUERY_TERMS = 24
+SHARD_TOKENS = 1 << 20
+SHARD_ROWS = 4096
 K1, B = 1.2, 0.75
-NEAR = 128
+#: Terms in a lexical key. It orders rests; what a shard compares is all terms.
+KEY = [f"term{n}" for n in range(4)]
 #: How byte-level vocabularies of this family split text; a fixed value.
 _PATTERN = r"""'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"""
 
@@ -97,151 +97,123 @@ def encoder(path: str) -> Encoder:
 
 _PIECE = "doc_id long, start long, length long, ids_crc32 long, doc_tokens long, sequence_id long, offset long"
 _NAMES = ["doc_id", "start", "length", "ids_crc32", "doc_tokens", "sequence_id", "offset"]
-_BLOCK = (
-    "block long, doc_ids array<long>, doc_tokens array<long>, starts array<long>, lengths array<long>, ids binary, "
-    "terms array<int>, documents array<long>"
-)
+_REST = ["doc_id", "start", "doc_tokens", "ids"]
 
 
 def _crc(ids: np.ndarray) -> int:
     return zlib.crc32(ids.astype("<u4").tobytes())
 
 
-class _Open:
-    """The block that a task is filling."""
+def term_counts(ids: np.ndarray, lengths: np.ndarray, size: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """(row, term, times) of the distinct terms of rests that follow each other in `ids`, by row and term."""
+    row = np.repeat(np.arange(len(lengths), dtype=np.int64), lengths)
+    found, times = np.unique(row * size + ids, return_counts=True)
+    return found // size, found % size, times
 
-    def __init__(self, number: int, kind: type):
-        self.number, self.kind = number, kind
-        self.rows: list[tuple] = []
-        self.ids: list[np.ndarray] = []
-        self.terms: list[np.ndarray] = []
-        self.tokens = 0
 
-    def add(self, doc_id, doc_tokens: int, start: int, ids: np.ndarray) -> None:
-        self.rows.append((doc_id, doc_tokens, start, len(ids)))
-        self.ids.append(ids.astype(self.kind))
-        self.terms.append(np.unique(self.ids[-1]))
-        self.tokens += len(ids)
+def inverse_frequency(documents: np.ndarray, count: int) -> np.ndarray:
+    return np.log1p((count - documents + 0.5) / (documents + 0.5))
 
-    def row(self) -> dict:
-        doc_ids, doc_tokens, starts, lengths = zip(*self.rows)
-        terms, documents = np.unique(np.concatenate(self.terms), return_counts=True)
-        return {
-            "block": self.number, "doc_ids": doc_ids, "doc_tokens": doc_tokens, "starts": starts, "lengths": lengths,
-            "ids": np.concatenate(self.ids).tobytes(), "terms": terms, "documents": documents,
-        }
 
-
-def _encode(path: str, window: int, end: int, block_tokens: int, block_rows: int):
+def _encode(path: str, window: int, end: int, size: int, kind: type):
     schema = pa.schema(
         [(name, pa.int64()) for name in _NAMES]
-        + [("block", pa.int64())]
-        + [(name, pa.list_(pa.int64())) for name in ("doc_ids", "doc_tokens_of", "starts", "lengths")]
         + [("ids", pa.binary()), ("terms", pa.list_(pa.int32())), ("documents", pa.list_(pa.int64()))]
     )
 
-    def full(block: _Open) -> pa.RecordBatch:
-        row = block.row()
-        row["doc_tokens_of"] = row.pop("doc_tokens")
-        return pa.RecordBatch.from_pylist([row], schema=schema)
-
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        """Full windows as pieces, rests with their ids, and at the end the document frequencies of the task's rests."""
         code = encoder(path)
-        kind = np.uint16 if max(code.size, end + 1) <= 1 << 16 else np.uint32
-        base = TaskContext.get().partitionId() << 40
-        sequence, block, blocks = base, _Open(base | 1 << 39, kind), 0
+        sequence, documents = TaskContext.get().partitionId() << 40, np.zeros(size, dtype=np.int64)
         for batch in slices(batches):
-            out = []
+            out, rests = [], []
             all_ids = code.encode([text or "" for text in batch.column("text").to_pylist()])
             for doc_id, ids in zip(batch.column("doc_id").to_pylist(), all_ids):
                 ids = np.append(ids, np.uint32(end))
                 whole = len(ids) // window * window
                 for start in range(0, whole, window):
-                    out.append((doc_id, start, window, _crc(ids[start : start + window]), len(ids), sequence, 0))
+                    piece = (doc_id, start, window, _crc(ids[start : start + window]), len(ids), sequence, 0)
+                    out.append(dict(zip(_NAMES, piece)))
                     sequence += 1
                 if whole < len(ids):
-                    block.add(doc_id, len(ids), whole, ids[whole:])
-                if block.tokens >= block_tokens or len(block.rows) >= block_rows:
-                    yield full(block)
-                    blocks += 1
-                    block = _Open(base | 1 << 39 | blocks << 20, kind)
-            if out:
-                yield pa.RecordBatch.from_pylist([dict(zip(_NAMES, row)) for row in out], schema=schema)
-        if block.rows:
-            yield full(block)
+                    rests.append(ids[whole:])
+                    row = {"doc_id": doc_id, "start": whole, "length": len(rests[-1]), "doc_tokens": len(ids)}
+                    out.append(row | {"ids": rests[-1].astype(kind).tobytes()})
+            if rests:
+                lengths = np.array([len(rest) for rest in rests])
+                documents += np.bincount(term_counts(np.concatenate(rests), lengths, size)[1], minlength=size)
+            yield pa.RecordBatch.from_pylist(out, schema=schema)
+        terms = np.flatnonzero(documents)
+        if len(terms):
+            yield pa.RecordBatch.from_pylist([{"terms": terms, "documents": documents[terms]}], schema=schema)
 
     return work
 
 
+def _add_keys(idf: np.ndarray, kind: type):
+    def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in slices(batches, "ids"):
+            parts = [np.frombuffer(value, kind) for value in batch.column("ids").to_pylist()]
+            keys = lexical_keys(np.concatenate(parts), np.array([len(part) for part in parts]), idf)
+            yield pa.RecordBatch.from_arrays([*batch.columns, *(pa.array(k, pa.int32()) for k in keys)], [*batch.schema.names, *KEY])
+
+    return work
+
+
+def lexical_keys(ids: np.ndarray, lengths: np.ndarray, idf: np.ndarray) -> np.ndarray:
+    """The strongest terms of each rest, one row per place in `KEY`; -1 where a rest has fewer terms."""
+    row, term, times = term_counts(ids, lengths, len(idf))
+    order = np.lexsort((-idf[term] * times, row))
+    first = np.searchsorted(row, np.arange(len(lengths) + 1))
+    at = first[:-1] + np.arange(len(KEY))[:, None]
+    return np.where(at < first[1:], term[order][np.minimum(at, len(term) - 1)], -1)
+
+
 class Shard:
-    """BM25 inverted index over the rests of one block."""
-
-    def __init__(self, ids: np.ndarray, lengths: np.ndarray, documents: np.ndarray, count: int, mean: float):
-        size = len(documents)
-        found = [np.unique(part, return_counts=True) for part in np.split(ids, np.cumsum(lengths)[:-1])]
-        term, times = (np.concatenate(parts).astype(np.int64) for parts in zip(*found))
-        doc = np.repeat(np.arange(len(lengths)), [len(terms) for terms, _ in found])
-        idf = np.log1p((count - documents[term] + 0.5) / (documents[term] + 0.5))
-        self.by_doc = (term, idf * times, np.searchsorted(doc, np.arange(len(lengths) + 1)))
-        weight = idf * times * (K1 + 1) / (times + K1 * (1 - B + B * lengths[doc] / mean))
+    """BM25 inverted index over the rests of one shard."""
+
+    def __init__(self, ids: np.ndarray, lengths: np.ndarray, idf: np.ndarray, mean: float):
+        doc, term, times = term_counts(ids, lengths, len(idf))
+        weight = idf[term] * times * (K1 + 1) / (times + K1 * (1 - B + B * lengths[doc] / mean))
+        self.terms, self.bounds = term, np.searchsorted(doc, np.arange(len(lengths) + 1))
         order = np.argsort(term, kind="stable")
         self.docs, self.weights = doc[order], weight[order]
-        self.first = np.searchsorted(term[order], np.arange(size + 1))
-        self.count = len(lengths)
-
-    def scores(self, doc: int, most: int = QUERY_TERMS) -> np.ndarray:
-        """Score of every document for the strongest terms of one."""
-        terms, weights, bounds = self.by_doc
-        mine, strong = terms[bounds[doc] : bounds[doc + 1]], weights[bounds[doc] : bounds[doc + 1]]
-        if len(mine) > most:
-            mine = mine[np.argsort(-strong, kind="stable")[:most]]
-        spans = [slice(self.first[t], self.first[t + 1]) for t in mine.tolist()]
+        self.first = np.searchsorted(term[order], np.arange(len(idf) + 1))
+
+    def scores(self, doc: int) -> np.ndarray:
+        """Score of every document of the shard for all terms of one."""
+        mine = self.terms[self.bounds[doc] : self.bounds[doc + 1]]
+        spans = [slice(start, end) for start, end in zip(self.first[mine].tolist(), self.first[mine + 1].tolist())]
         docs = np.concatenate([self.docs[s] for s in spans])
-        return np.bincount(docs, np.concatenate([self.weights[s] for s in spans]), minlength=self.count)
+        return np.bincount(docs, np.concatenate([self.weights[s] for s in spans]), minlength=len(self.bounds) - 1)
 
 
 def pack(index: Shard, lengths: np.ndarray, window: int) -> list[list[tuple[int, int, int]]]:
-    """Sequences of (document, first token, tokens); each is `window` tokens long, but for the last ones."""
+    """Sequences of (document, first token, tokens); each is `window` tokens long, but for the last one.
+
+    Seeds are the longest documents first, neighbours the unused ones by falling score; ties go to the earlier document.
+    """
     left, taken = lengths.copy(), np.zeros(len(lengths), dtype=np.int64)
     out: list[list[tuple[int, int, int]]] = []
 
-    def take(sequence: list, doc: int, most: int) -> int:
+    def take(doc: int, most: int) -> tuple[int, int, int]:
         n = int(min(left[doc], most))
-        sequence.append((doc, int(taken[doc]), n))
+        piece = (doc, int(taken[doc]), n)
         taken[doc] += n
         left[doc] -= n
-        return n
-
-    def fill(sequence: list, near: np.ndarray, room: int) -> int:
-        """Take what fits as a whole, nearest first; then cut the nearest one that is left."""
-        at = 0
-        while room and at < len(near):
-            fits = np.flatnonzero(left[near[at:]] <= room)
-            if not len(fits):
-                break
-            at += int(fits[0])
-            room -= take(sequence, int(near[at]), room)
-            at += 1
-        rest = near[left[near] > 0]
-        if room and len(rest):
-            room -= take(sequence, int(rest[0]), room)
-        return room
+        return piece
 
     for seed in np.argsort(-lengths, kind="stable").tolist():
         if not left[seed]:
             continue
-        sequence: list[tuple[int, int, int]] = []
-        room = window - take(sequence, seed, window)
+        sequence = [take(seed, window)]
+        room = window - sequence[0][2]
         if room:
-            scores = np.where(left > 0, index.scores(seed), -1.0)
-            best = np.argpartition(-scores, NEAR)[:NEAR] if len(scores) > NEAR else np.arange(len(scores))
-            for most in (best, None):
-                # the nearest ones first; only if all of them are used up, the other unused documents
-                if most is None and (not room or left[best].any()):
-                    break
-                near = np.flatnonzero(left) if most is None else most
-                near = near[np.argsort(-scores[near], kind="stable")]
-                room = fill(sequence, near[left[near] > 0], room)
+            unused = np.flatnonzero(left)
+            near = unused[np.argsort(-index.scores(seed)[unused], kind="stable")]
+            for doc in near[: int(np.searchsorted(np.cumsum(left[near]), room)) + 1].tolist():
+                sequence.append(take(doc, room))
+                room -= sequence[-1][2]
         out.append(sequence)
     return out
 
@@ -265,52 +237,77 @@ def powers_of_two(sequence: list[tuple[int, int, int]]) -> list[list[tuple[int,
     return out
 
 
-def _pack_blocks(documents: np.ndarray, count: int, mean: float, kind: type, window: int):
+def _pack_shards(idf: np.ndarray, mean: float, kind: type, window: int, most_tokens: int, most_rows: int):
+    def packed(rows: list[dict], first: int) -> pa.RecordBatch:
+        parts = [np.frombuffer(row["ids"], kind) for row in rows]
+        lengths, ids = np.array([len(part) for part in parts]), np.concatenate(parts)
+        sequences = pack(Shard(ids, lengths, idf, mean), lengths, window)
+        whole = [s for s in sequences if sum(n for _, _, n in s) == window]
+        short = [part for s in sequences if sum(n for _, _, n in s) < window for part in powers_of_two(s)]
+        out = []
+        for number, sequence in enumerate(whole + short, first):
+            offset = 0
+            for doc, start, n in sequence:
+                row, crc = rows[doc], _crc(parts[doc][start : start + n])
+                out.append((row["doc_id"], row["start"] + start, n, crc, row["doc_tokens"], number, offset))
+                offset += n
+        return pa.RecordBatch.from_arrays([pa.array(c, pa.int64()) for c in zip(*out)], _NAMES)
+
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        """A range of keys is a shard; should it be larger than it may be, it is several."""
+        first, rows, tokens = TaskContext.get().partitionId() << 40 | 1 << 39, [], 0
         for batch in batches:
-            for row in range(batch.num_rows):
-                value = {name: batch.column(name)[row] for name in batch.schema.names}
-                lengths = value["lengths"].values.to_numpy()
-                ids = np.frombuffer(value["ids"].as_buffer(), kind)
-                doc_ids, tokens = value["doc_ids"].as_py(), value["doc_tokens_of"].as_py()
-                starts, begin = value["starts"].as_py(), np.cumsum(lengths) - lengths
-                sequences = pack(Shard(ids, lengths, documents, count, mean), lengths, window)
-                whole = [s for s in sequences if sum(n for _, _, n in s) == window]
-                short = [part for s in sequences if sum(n for _, _, n in s) < window for part in powers_of_two(s)]
-                out = []
-                for number, sequence in enumerate(whole + short, value["block"].as_py()):
-                    offset = 0
-                    for doc, first, n in sequence:
-                        at = int(begin[doc]) + first
-                        out.append((doc_ids[doc], starts[doc] + first, n, _crc(ids[at : at + n]), tokens[doc], number, offset))
-                        offset += n
-                yield pa.RecordBatch.from_arrays([pa.array(c, pa.int64()) for c in zip(*out)], _NAMES)
+            for row in batch.to_pylist():
+                rows.append(row)
+                tokens += len(row["ids"]) // np.dtype(kind).itemsize
+                if tokens >= most_tokens or len(rows) >= most_rows:
+                    yield packed(rows, first)
+                    first, rows, tokens = first + (1 << 24), [], 0
+        if rows:
+            yield packed(rows, first)
 
     return work
 
 
+def keyed_rests(rests: DataFrame, idf: np.ndarray, kind: type) -> DataFrame:
+    """The rests (doc_id, start, doc_tokens, ids) with the columns of their lexical key."""
+    schema = "doc_id long, start long, doc_tokens long, ids binary, " + ", ".join(f"{name} int" for name in KEY)
+    return map_arrow(rests.select(*_REST), _add_keys(idf, kind), schema)
+
+
+def deal(keyed: DataFrame, shards: int) -> DataFrame:
+    """Partitions that are ranges of lexical keys, ordered by key; a key that is in many rows is split by hash."""
+    order = [*KEY, F.xxhash64("doc_id", "start", "ids"), "doc_id", "start", "ids"]
+    return keyed.repartitionByRange(shards, *order[: len(KEY) + 1]).sortWithinPartitions(*order)
+
+
 def pack_documents(
     docs: DataFrame, path: str, window: int = WINDOW, end: int = END,
-    block_tokens: int = BLOCK_TOKENS, block_rows: int = BLOCK_ROWS,
+    shard_tokens: int = SHARD_TOKENS, shard_rows: int = SHARD_ROWS,
 ) -> DataFrame:
     """Pieces of sequences: doc_id, start, length, ids_crc32, doc_tokens, sequence_id, offset.
 
     A document (doc_id, text) is the ids of its text and the id `end`; each id lies in exactly one piece. Sequences
     have `window` tokens or a power of two. Null texts are empty: they consist of `end`. Rows without doc_id, and rows
     that repeat, are documents of their own. Other columns are ignored. An empty table gives an empty result.
+    Shards aim at `shard_tokens` and at most `shard_rows` rests; none has more than twice as much.
     """
-    schema = f"{_PIECE}, {_BLOCK.replace('doc_tokens array', 'doc_tokens_of array')}"
-    rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text")
-    encoded = stage(map_arrow(rows, _encode(path, window, end, block_tokens, block_rows), schema), "encoded")
-    blocks = encoded.where("block IS NOT NULL")
-    held = blocks.select(F.explode(F.arrays_zip("terms", "documents")).alias("x"))
     size = max(Tokenizer.from_file(path).get_vocab_size(), end + 1)
+    kind = np.uint16 if size <= 1 << 16 else np.uint32
+    schema = f"{_PIECE}, ids binary, terms array<int>, documents array<long>"
+    rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text")
+    encoded = stage(map_arrow(rows, _encode(path, window, end, size, kind), schema), "encoded")
+    held = encoded.where("terms IS NOT NULL").select(F.explode(F.arrays_zip("terms", "documents")).alias("x"))
     documents = np.zeros(size, dtype=np.int64)  # one number per entry of the vocabulary
     for row in held.groupBy("x.terms").agg(F.sum("x.documents").alias("n")).toLocalIterator():
         documents[row["terms"]] = row["n"]
-    total = blocks.agg(F.sum(F.size("lengths")), F.sum(F.expr("aggregate(lengths, 0L, (a, x) -> a + x)"))).first()
-    count, tokens = total[0] or 0, total[1] or 0
-    kind = np.uint16 if size <= 1 << 16 else np.uint32
-    needed = blocks.select("block", "doc_ids", "doc_tokens_of", "starts", "lengths", "ids")
-    packed = map_arrow(needed, _pack_blocks(documents, count, max(tokens / max(count, 1), 1.0), kind, window), _PIECE)
-    return encoded.where("block IS NULL").select(*_NAMES).unionByName(packed)
+    rests = encoded.where("ids IS NOT NULL")
+    count, tokens = rests.agg(F.count(F.lit(1)), F.coalesce(F.sum("length"), F.lit(0))).first()
+    idf, mean = inverse_frequency(documents, count), max(tokens / max(count, 1), 1.0)
+    # staged: ranges are found from a sample, which reads its input once more
+    keyed = stage(keyed_rests(rests, idf, kind), "keyed")
+    shards = max(1, -(-tokens // shard_tokens), -(-count // shard_rows))
+    packing = _pack_shards(idf, mean, kind, window, 2 * shard_tokens, 2 * shard_rows)
+    # staged: another run might find other ranges
+    packed = stage(map_arrow(deal(keyed, shards).select(*_REST), packing, _PIECE), "packed")
+    return encoded.where("sequence_id IS NOT NULL").select(*_NAMES).unionByName(packed)

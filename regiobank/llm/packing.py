@@ -37,6 +37,8 @@ SHARD_ROWS = 4096
 K1, B = 1.2, 0.75
 #: Terms in a lexical key. It orders rests; what a shard compares is all terms.
 KEY = [f"term{n}" for n in range(4)]
+#: Terms that one in so many documents of a shard holds have a row of a matrix instead of a list of postings.
+COMMON_TERM = 4
 #: How byte-level vocabularies of this family split text; a fixed value.
 _PATTERN = r"""'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"""
 
@@ -170,22 +172,36 @@ def lexical_keys(ids: np.ndarray, lengths: np.ndarray, idf: np.ndarray) -> np.nd
 
 
 class Shard:
-    """BM25 inverted index over the rests of one shard."""
+    """BM25 inverted index over the rests of one shard.
+
+    Postings of common terms are rows of a matrix over all documents, so those of a query are added up as one product.
+    """
 
     def __init__(self, ids: np.ndarray, lengths: np.ndarray, idf: np.ndarray, mean: float):
         doc, term, times = term_counts(ids, lengths, len(idf))
         weight = idf[term] * times * (K1 + 1) / (times + K1 * (1 - B + B * lengths[doc] / mean))
-        self.terms, self.bounds = term, np.searchsorted(doc, np.arange(len(lengths) + 1))
-        order = np.argsort(term, kind="stable")
-        self.docs, self.weights = doc[order], weight[order]
-        self.first = np.searchsorted(term[order], np.arange(len(idf) + 1))
+        held = np.bincount(term, minlength=len(idf))
+        common = held * COMMON_TERM >= len(lengths)
+        slot, rare = np.cumsum(common) - 1, ~common[term]
+        self.matrix = np.zeros((np.count_nonzero(common), len(lengths)))
+        self.matrix[slot[term[~rare]], doc[~rare]] = weight[~rare]
+        self.common = slot[term[~rare]], np.searchsorted(doc[~rare], np.arange(len(lengths) + 1))
+        self.rare = term[rare], np.searchsorted(doc[rare], np.arange(len(lengths) + 1))
+        order = np.argsort(term[rare], kind="stable")
+        self.docs, self.weights = doc[rare][order], weight[rare][order]
+        self.first = np.searchsorted(term[rare][order], np.arange(len(idf) + 1))
 
     def scores(self, doc: int) -> np.ndarray:
         """Score of every document of the shard for all terms of one."""
-        mine = self.terms[self.bounds[doc] : self.bounds[doc + 1]]
-        spans = [slice(start, end) for start, end in zip(self.first[mine].tolist(), self.first[mine + 1].tolist())]
-        docs = np.concatenate([self.docs[s] for s in spans])
-        return np.bincount(docs, np.concatenate([self.weights[s] for s in spans]), minlength=len(self.bounds) - 1)
+        asked = np.zeros(len(self.matrix))
+        asked[self.common[0][self.common[1][doc] : self.common[1][doc + 1]]] = 1
+        score = asked @ self.matrix
+        mine = self.rare[0][self.rare[1][doc] : self.rare[1][doc + 1]]
+        if len(mine):
+            spans = [slice(start, end) for start, end in zip(self.first[mine].tolist(), self.first[mine + 1].tolist())]
+            docs = np.concatenate([self.docs[s] for s in spans])
+            score += np.bincount(docs, np.concatenate([self.weights[s] for s in spans]), minlength=len(score))
+        return score
 
 
 def pack(index: Shard, lengths: np.ndarray, window: int) -> list[list[tuple[int, int, int]]]:

@@ -1,11 +1,12 @@
 """Exact top-k search by inner product, with the score bounds of MaxScore.
 
 A vector is a document whose terms are its components. A query's term (a component) has a bound: the most that it can add
-to any score in the shard, from the shard's largest and smallest value there. Vectors are dense, so the postings of every
-term hold all rows, and essential terms would skip none. Instead all rows are scored in a fixed number of first terms, those
-of the widest range; rows whose partial score and the bounds of the other terms reach the threshold are then probed in
-these, as many at a time, until they have a full score or drop out. The threshold is the k-th best score so far, and starts
-from the k-th best of the rows nearest to the query in the first terms.
+to any score in the shard, from the shard's largest and smallest value there. The threshold is the k-th best score so far;
+it starts from the rows at the heads of the postings, those with the largest or smallest values of a term. Terms are ordered
+by bound, and the essential ones are the shortest prefix whose remaining bounds together stay below the threshold, so a row
+needs more than its non-essential terms to get among the best. The postings of the essential terms are traversed; rows whose
+score there and the remaining bounds reach the threshold are then probed in the other terms, one term after the other, while
+they can still compete. Essential terms differ from query to query and from shard to shard.
 
 Rows are dealt to shards of a bounded size by a hash of the row, queries to groups of a bounded size. Every group meets
 every shard in a task of its own, and the shards' results are merged by rank.
@@ -23,7 +24,6 @@ from regiobank.sources.shipping import ship_package
 
 SHARD_ROWS = 8192
 GROUP_ROWS = 2048
-STEP = 8
 _EXACT = float(1 << 53)
 
 
@@ -53,37 +53,50 @@ class Shard:
         self.most, self.least = self.rows.max(axis=0), self.rows.min(axis=0)
         self.peak = float(np.abs(self.rows).max()) if self.rows.size else 0.0
         self.postings = np.ascontiguousarray(self.rows.T.astype(np.float64))  # a term's weights, by row
+        self._heads: dict[int, tuple[np.ndarray, np.ndarray]] = {}
+
+    def heads(self, k: int) -> tuple[np.ndarray, np.ndarray]:
+        """For each term the rows with its k largest values, and those with its k smallest."""
+        if k not in self._heads:
+            order = np.argsort(self.postings, axis=1, kind="stable")
+            self._heads[k] = order[:, -k:], order[:, :k]
+        return self._heads[k]
+
+    def start(self, q: np.ndarray, others: np.ndarray, k: int) -> float:
+        """The k-th best score of the rows at the heads of the query's postings."""
+        large, small = self.heads(k)
+        rows = np.unique(np.where((q >= 0)[:, None], large, small))
+        rows = rows[others[rows]]
+        if len(rows) < k:
+            return -np.inf
+        scores = q @ self.postings[:, rows]
+        return float(np.partition(scores, len(rows) - k)[len(rows) - k])
+
+    def split(self, q: np.ndarray, threshold: float) -> tuple[np.ndarray, int, np.ndarray]:
+        """Terms by falling bound, how many of them are essential, and what the terms from each place on can add."""
+        bound = np.maximum(q * self.most, q * self.least)
+        terms = np.argsort(-bound, kind="stable")
+        rest = np.concatenate([[0.0], np.cumsum(bound[terms][::-1])])[::-1]
+        below = np.flatnonzero(rest < threshold)
+        return terms, int(below[0]) if len(below) else len(terms), rest
 
     def search(self, query: np.ndarray, own: int, k: int) -> tuple[np.ndarray, np.ndarray]:
         """The k best (row ids, scores), ties to smaller ids; rows with the query's own id are no candidates."""
         if self.peak * float(np.abs(query).max(initial=0)) * len(query) >= _EXACT:
             return self._search_large(query, own, k)
-        q = query.astype(np.float64)
-        bound = np.maximum(q * self.most, q * self.least)
-        terms = np.argsort(-(bound - np.minimum(q * self.most, q * self.least)), kind="stable")  # widest range first
-        rest = np.concatenate([[0.0], np.cumsum(bound[terms][::-1])])[::-1]  # rest[i]: most that terms[i:] can add
-        others = self.ids != own
-        if others.sum() <= k:
-            alive = np.flatnonzero(others)
-            return self._best(alive, self.postings[:, alive].T @ q, k)
-        # threshold: the k-th full score among the rows that are best in the strongest terms
-        partial = q[terms[:STEP]] @ self.postings[terms[:STEP]]
-        partial[~others] = -np.inf
-        start = np.argpartition(-partial, k - 1)[:k]
-        threshold = (self.postings[:, start].T @ q).min()
-        # rows that can still reach the threshold from their score in the first STEP terms
-        alive, done = np.flatnonzero(partial + rest[min(STEP, len(terms))] >= threshold), min(STEP, len(terms))
-        score = partial[alive]
-        while done < len(terms) and len(alive) > k:
-            step = terms[done : done + STEP]
-            score = score + q[step] @ self.postings[np.ix_(step, alive)]
-            done += len(step)
-            if done < len(terms):
-                threshold = max(threshold, np.partition(score, len(score) - k)[len(score) - k] + self._floor(q, terms[done:]))
-            keep = score + rest[done] >= threshold
-            alive, score = alive[keep], score[keep]
-        if done < len(terms):
-            score = score + q[terms[done:]] @ self.postings[np.ix_(terms[done:], alive)]
+        q, others = query.astype(np.float64), self.ids != own
+        threshold = self.start(q, others, k)
+        terms, essential, rest = self.split(q, threshold)
+        score = q[terms[:essential]] @ self.postings[terms[:essential]]
+        alive = np.flatnonzero(others & (score + rest[essential] >= threshold))
+        score = score[alive]
+        for done in range(essential, len(terms)):
+            if len(alive) > k:
+                sure = score + self._floor(q, terms[done:])
+                threshold = max(threshold, np.partition(sure, len(sure) - k)[len(sure) - k])
+                keep = score + rest[done] >= threshold
+                alive, score = alive[keep], score[keep]
+            score = score + q[terms[done]] * self.postings[terms[done], alive]
         return self._best(alive, score, k)
 
     def _floor(self, q: np.ndarray, terms: np.ndarray) -> float:

@@ -35,6 +35,30 @@ def test_pruning_is_exact(seed):
         assert [(-int(s), int(i)) for i, s in zip(got_ids, got)] == wanted
 
 
+def test_essential_terms_follow_from_the_threshold():
+    rng = np.random.default_rng(4)
+    rows = np.floor(rng.standard_normal((800, 16)) * 40).astype(np.int64)
+    shard = topk.Shard(np.arange(800), rows)
+    sizes = set()
+    for row in range(0, 800, 20):
+        asked = rng.random(16) < rng.choice([0.2, 0.5, 1.0])
+        asked[rng.integers(16)] = True
+        q = rows[row].astype(np.float64) * asked
+        others = np.arange(800) != row
+        threshold = shard.start(q, others, 5)
+        best = np.sort(rows[others] @ q)[-5]
+        assert threshold <= best
+        terms, essential, rest = shard.split(q, threshold)
+        bound = {t: max(int(q[t]) * int(x) for x in rows[:, t]) for t in range(16)}
+        assert [bound[t] for t in terms.tolist()] == sorted(bound.values(), reverse=True)
+        assert sum(bound[t] for t in terms[essential:].tolist()) < threshold
+        assert sum(bound[t] for t in terms[essential - 1 :].tolist()) >= threshold
+        sizes.add(essential)
+    assert len(sizes) > 3
+    # without a threshold above zero all terms are essential
+    assert shard.split(np.zeros(16), 0.0)[1] == shard.split(rows[0].astype(np.float64), -np.inf)[1] == 16
+
+
 def test_many_shards_and_groups(spark):
     rng = random.Random(3)
     rows = [(n, [rng.choice([-1.0, 0.0, 0.5, 1.0]) for _ in range(6)]) for n in range(400)]

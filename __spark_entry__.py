@@ -241,6 +241,10 @@ def _saved_in_batches(spark: SparkSession, folder: str) -> DataFrame:
     return read_bank(spark, root).accounts.select("account_number", "shard_location", "balance", "last_updated")
 
 
+def _on_store(plan: Callable[[Bank], DataFrame], *tables: str) -> Query:
+    return _on_tables(lambda spark, folder: plan(read_bank(spark, _store(spark, folder, *tables))))
+
+
 def _sql_functions(spark: SparkSession, folder: str) -> DataFrame:
     register_views(spark, orderbook.load_bank(spark, folder))
     orderbook.user_feed(spark, folder).createOrReplaceTempView("asked_users")
@@ -395,6 +399,8 @@ def bank_queries() -> dict[str, Query]:
         "regional_share": _on_bank(reports.regional_share),
         "first_accounts": _on_bank(reports.first_accounts),
         "balance_check": _on_bank(reports.balance_check),
+        "tx_by_date_stored": _on_store(dashboard.dashboard_transactions_by_date, "transactions"),
+        "realtime_analytics_stored": _on_store(reports.realtime_analytics, "transactions"),
         # routing and batch lookups
         "get_user_shard": _user_route(lambda: routing.user_shard(F.col("user_id")).alias("shard")),
         "route_users": _user_route(lambda: routing.user_shard_id(F.col("user_id")).alias("shard_id")),

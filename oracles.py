@@ -436,6 +436,8 @@ def oracle_sql() -> dict[str, str]:
         f"{_dbl('max(amount)', 'max_amount')} FROM transactions_all "
         f"WHERE transaction_date >= {LATEST} - INTERVAL 1 DAY GROUP BY transaction_type"
     )
+    # the same over a store
+    q["tx_by_date_stored"], q["realtime_analytics_stored"] = q["tx_by_date"], q["realtime_analytics"]
     for name, rows in (("users_per_shard", 1000), ("users_per_shard_pages", 100)):
         q[name] = _q(
             f"SELECT shard_location, (n - 1) // {rows} AS page, count(*) AS user_count, "

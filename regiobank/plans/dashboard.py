@@ -230,6 +230,11 @@ def dashboard_accounts_by_region(bank: Bank) -> DataFrame:
     )
 
 
+def recent(bank: Bank, days: int, as_of=None) -> DataFrame:
+    """`since` over a bank. A store knows its latest transaction, so it is read once, from the start of the window on."""
+    return since(bank.transactions_all, days, bank.latest_transaction() if as_of is None else as_of)
+
+
 def since(transactions: DataFrame, days: int, as_of=None) -> DataFrame:
     """Transactions of the last days before as_of, time of day included; as_of defaults to the latest one."""
     if as_of is None:
@@ -250,9 +255,9 @@ def volume_measures() -> list:
 
 def dashboard_transactions_by_date(bank: Bank, as_of=None, days: int = VOLUME_DAYS) -> DataFrame:
     """Daily volume of the last days, latest day first."""
-    recent = since(bank.transactions_all, days, as_of)
     return (
-        recent.groupBy(F.date_format("transaction_date", "yyyy-MM-dd").alias("transaction_date"))
+        recent(bank, days, as_of)
+        .groupBy(F.date_format("transaction_date", "yyyy-MM-dd").alias("transaction_date"))
         .agg(*volume_measures())
         .orderBy(*descending("transaction_date"))
     )

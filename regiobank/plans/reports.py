@@ -9,7 +9,7 @@ from regiobank.functions.values import ascending, descending, rounded_avg, round
 from regiobank.model import BAND_LIMITS, LIVE_DAYS, REGIONS, TOP_BAND
 from regiobank.operators.legs import ACCOUNT_KEY, leg_totals, row_weight
 from regiobank.operators.numbering import number_rows
-from regiobank.plans.dashboard import OWNER_KEY, account_summary_all, since
+from regiobank.plans.dashboard import OWNER_KEY, account_summary_all, recent
 from regiobank.sources.bank import Bank, only_region
 
 LIST_SEPARATOR = ", "
@@ -198,7 +198,7 @@ def transaction_distribution(bank: Bank) -> DataFrame:
 
 def realtime_analytics(bank: Bank, as_of=None, days: int = LIVE_DAYS) -> DataFrame:
     return (
-        since(bank.transactions_all, days, as_of)
+        recent(bank, days, as_of)
         .groupBy("transaction_type")
         .agg(
             F.count(F.lit(1)).alias("transaction_count"),

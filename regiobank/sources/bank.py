@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Callable, Iterable
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from regiobank.functions.routing import shard_tag_of
@@ -20,6 +20,7 @@ from regiobank.model import (
 )
 
 from regiobank.sources import manifest
+from regiobank.sources.extremes import latest_moment, write_extremes
 from regiobank.sources.manifest import Manifest, Run
 from regiobank.sources.sketches import candidate_files, write_sketches
 
@@ -59,6 +60,10 @@ class Bank:
         shards). Here that is the whole table."""
         return self._table(name)
 
+    def latest_transaction(self) -> Column | None:
+        """The latest transaction date as a literal, where it is known without reading the transactions."""
+        return None
+
     @property
     def users_all(self) -> DataFrame:
         return self.users.select(*USERS_ALL)
@@ -86,6 +91,9 @@ class StoredBank(Bank):
         files = candidate_files(self._spark, self._root, self._runs[name], keys, column)
         return _read_files(self._spark, self._root, name, files)
 
+    def latest_transaction(self) -> Column | None:
+        return latest_moment(self._spark, self._root, self._runs["transactions"])
+
 
 def union_shards(shards: dict[str, DataFrame]) -> DataFrame:
     """Bag union of per-shard tables, tagged with the shard they come from."""
@@ -138,6 +146,7 @@ def write_run(df: DataFrame, root: str, run: Run, cluster: bool = False) -> Run:
         writer = writer.option(f"parquet.bloom.filter.enabled#{column}", "true")
     writer.parquet(f"{root}/{run.path}")
     write_sketches(df.sparkSession, root, run)
+    write_extremes(df.sparkSession, root, run)
     return run
 
 

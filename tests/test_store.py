@@ -8,9 +8,10 @@ from pyspark.sql import functions as F
 from regiobank.model import REQUESTS
 from regiobank.operators import numbering, onboarding
 from regiobank.operators.onboarding import append_accounts, append_users, save_posting
+from regiobank.plans import dashboard, reports
 from regiobank.sources import bank as store
 from regiobank.sources import manifest
-from regiobank.sources.bank import SCHEMAS, compact, read_bank, write_bank
+from regiobank.sources.bank import SCHEMAS, compact, create_bank, read_bank, write_bank
 from regiobank.sources.sample import load_sample
 from regiobank.sources.sketches import candidate_files
 
@@ -244,3 +245,24 @@ def test_batches_read_few_files(spark, wide):
     rejected = append_accounts(spark.createDataFrame([(1, None, 5, None, "SAVINGS", None, None)], ACCOUNT), wide, "line", AS_OF, batch=1)
     assert rejected.count() == 0
     assert read_bank(spark, wide).accounts.where("account_number = 'ACC-4001'").count() == 1
+
+
+def test_latest_transaction_without_a_scan(spark, root):
+    save_posting(transfer(spark), root, "2031-05-01 10:00:00", batch=1)
+    save_posting(transfer(spark), root, "2031-04-20 10:00:00", batch=2)
+    for step in range(2):
+        bank = read_bank(spark, root)
+        plain = store.Bank(bank.users, bank.accounts, bank.transactions)
+        for plan in (dashboard.dashboard_transactions_by_date, reports.realtime_analytics):
+            got = plan(bank)
+            text = got._jdf.queryExecution().executedPlan().toString()
+            assert "Subquery" not in text and text.count("FileScan") == 1
+            assert "GreaterThanOrEqual(transaction_date," in text
+            assert got.collect() == plan(plain).collect() != []
+        compact(spark, root, full=True)
+
+
+def test_latest_transaction_of_an_empty_store(spark, tmp_path):
+    bank = create_bank(spark, str(tmp_path / "empty"))
+    assert dashboard.dashboard_transactions_by_date(bank).collect() == []
+    assert dashboard.dashboard_transactions_by_date(bank, as_of=AS_OF).collect() == []

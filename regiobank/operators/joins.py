@@ -26,8 +26,17 @@ def left_lookup(rows: DataFrame, table: DataFrame, on: list[str]) -> DataFrame:
 
 def references(rows: DataFrame, columns: list[str], key: str, *others: str) -> DataFrame:
     """Distinct values of the given columns, under one name; a busy value is one row per task before any shuffle."""
+    return _named(rows, columns, key, *others).distinct()
+
+
+def reference_counts(rows: DataFrame, columns: list[str], key: str, count: str) -> DataFrame:
+    """Distinct values of the given columns, and how many rows name each."""
+    return _named(rows, columns, key).groupBy(key).agg(F.count(F.lit(1)).alias(count))
+
+
+def _named(rows: DataFrame, columns: list[str], key: str, *others: str) -> DataFrame:
     values = F.array_distinct(F.array_compact(F.array(*columns)))
-    return rows.select(*others, F.explode(values).alias(key)).distinct()
+    return rows.select(*others, F.explode(values).alias(key))
 
 
 def unknown_references(rows: DataFrame, table: DataFrame, shard: str, columns: list[str], key: str) -> DataFrame:

@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 from regiobank.functions.values import cents
 from regiobank.model import POSTING_ERRORS, ROUTES, Route
 from regiobank.operators.integrity import blanks_to_null
-from regiobank.operators.joins import left_lookup, references
+from regiobank.operators.joins import left_lookup, reference_counts
 from regiobank.sources.scratch import stage
 
 # Steps and range of the generated account keys, and the amounts drawn.
@@ -21,18 +21,21 @@ LOWEST_AMOUNT, HIGHEST_AMOUNT = 10, 1000
 def account_directory(accounts: DataFrame, routes: Iterable[Route] = ROUTES) -> DataFrame:
     """One row per account number: `home` on the first shard that knows it, and `active`, its active places.
 
-    A place is shard, status and balance in cents; there is at most one per shard.
+    A place is shard, status, balance in cents and `named`, the number of requests that name the account, which comes
+    with the accounts; there is at most one place per shard.
     """
     shown = accounts.select(
         "account_number",
         "shard_location",
+        "named",
         F.struct(F.col("shard_location").alias("shard"), "status", cents(F.col("balance")).alias("cents")).alias("place"),
     )
     tags = [r.tag for r in routes]
     per_shard = shown.groupBy("account_number").agg(
-        *[F.max(F.when(F.col("shard_location") == tag, F.col("place"))).alias(tag) for tag in tags]
+        *[F.max(F.when(F.col("shard_location") == tag, F.col("place"))).alias(tag) for tag in tags],
+        F.max("named").alias("named"),
     )
-    places = F.array_compact(F.array(*tags))
+    places = F.transform(F.array_compact(F.array(*tags)), lambda place: place.withField("named", F.col("named")))
     return per_shard.select("account_number", places.alias("places")).selectExpr(
         "account_number", "places[0] AS home", "filter(places, p -> p.status = 'ACTIVE') AS active"
     )
@@ -65,12 +68,13 @@ CHECKS = {
 def validate_requests(requests: DataFrame, accounts: DataFrame, routes: Iterable[Route] = ROUTES) -> DataFrame:
     """Judge requests by everything that does not depend on running balances.
 
-    Adds `reason` (NULL if fine), `error_code`, and source and target: shard, status and opening cents of each side.
+    Adds `reason` (NULL if fine), `error_code`, and source and target: shard, status and opening cents of each side,
+    and how many requests name its account.
     """
     given = blanks_to_null(requests)
-    named = references(given, ["from_account_number", "to_account_number"], "account_number")
+    named = reference_counts(given, ["from_account_number", "to_account_number"], "account_number", "named")
     # Written, so that few accounts are joined without a shuffle and a busy one can be split.
-    directory = stage(account_directory(accounts.join(named, "account_number", "left_semi"), routes), "directory")
+    directory = stage(account_directory(accounts.join(named, "account_number"), routes), "directory")
     source = directory.selectExpr("account_number AS from_account_number", "home AS home_from")
     target = directory.selectExpr("account_number AS to_account_number", "home AS home_to", "active AS active_to")
     found = left_lookup(given, source, ["from_account_number"])

@@ -268,6 +268,45 @@ def test_chains_take_rounds(spark):
     assert check(spark, rows, requests, tasks=8).rounds >= 3
 
 
+def test_an_account_is_in_several_blocks_only_if_it_is_busy(spark, monkeypatch):
+    """Requests of an account that lie far apart make no more blocks; those of a busy one are cut by their places."""
+    rng = random.Random(3)
+    rows = [(f"A{i}", "SHARD1", "50", "ACTIVE") for i in range(20)] + [("BUSY", "SHARD2", "50", "ACTIVE")]
+    requests = [(n, "WITHDRAWAL", f"A{n % 20}", None, "9") for n in range(160)]
+    requests += [(200 + n, rng.choice(["DEPOSIT", "TRANSFER"]), None, "BUSY", "1") for n in range(40)]
+    requests = [(s, k, "A0" if k == "TRANSFER" else f, t, a) for s, k, f, t, a in requests]
+    blocks = []
+    run = ledger._Rounds.run
+
+    def seen(self):
+        blocks.extend((r.account, r.block) for r in self.blocks.collect())
+        run(self)
+
+    monkeypatch.setattr(ledger._Rounds, "run", seen)
+    check(spark, rows, requests, block_rows=32, tasks=3)
+    of_busy = {block for account, block in blocks if account == "BUSY"}
+    assert len(of_busy) == 2 and ledger.WHOLE not in of_busy
+    assert sorted(account for account, _ in blocks if account != "BUSY") == sorted(f"A{i}" for i in range(20))
+
+
+def test_a_round_writes_only_what_it_walks(spark, monkeypatch):
+    """A chain of ten blocks, one per round: each round adds its own block and does not write the earlier ones again."""
+    rows = [("C0", "SHARD1", "1", "ACTIVE"), *[(f"C{i}", "SHARD1", "0", "ACTIVE") for i in range(1, 10)]]
+    requests = [(i, "TRANSFER", f"C{i}", f"C{i + 1}", "2") for i in range(9)]
+    written = []
+    stage = ledger.stage
+
+    def seen(df, name):
+        staged = stage(df, name)
+        if name == "walked":
+            written.append(staged.count())
+        return staged
+
+    monkeypatch.setattr(ledger, "stage", seen)
+    posting = check(spark, rows, requests, tasks=4)
+    assert len(written) == posting.rounds >= 3 and max(written) <= 2
+
+
 def test_generated_requests(spark):
     rows = generate_requests(spark.range(1, 101).withColumnRenamed("id", "i")).orderBy("seq").collect()
     assert len(rows) == 100

@@ -1,7 +1,9 @@
 """Key sketches of the files of a store: which files may hold a key, without opening them.
 
 Every file has a Bloom filter per key column, in pieces of 32768 bits, kept beside its run. A batch probes them with its
-keys and then reads the files that answer, so its checks are exact and a file that answers wrongly only costs a read.
+keys and then reads the files that answer, so its checks are exact and a file that answers wrongly only costs a read. A
+file with no more keys than the batch is read without a probe, which would cost more than the read; so all probes of a
+batch together are no more than the keys of the store.
 """
 
 from __future__ import annotations
@@ -34,7 +36,7 @@ def write_sketches(spark: SparkSession, root: str, run: Run) -> None:
     kinds = ", ".join(f"{name} {'string' if name == 'account_number' else 'bigint'}" for name in KEYS[run.table])
     rows = spark.read.schema(f"{kinds}, shard_location string").parquet(f"{root}/{run.path}")
     # the file below its shard's folder
-    file = F.regexp_extract("_metadata.file_path", r"([^/]+)$", 1).alias("file")
+    file = F.col("_metadata.file_name").alias("file")
     pairs = F.explode(F.array(*[F.struct(F.lit(name).alias("column"), F.col(name).cast("string").alias("key")) for name in KEYS[run.table]])).alias("x")
     keys = rows.select("shard_location", file, pairs).select("shard_location", "file", "x.column", "x.key").where("key IS NOT NULL")
     place = ["shard_location", "file", "column"]
@@ -55,6 +57,12 @@ def candidate_files(spark: SparkSession, root: str, runs: list[Run], keys: DataF
     sketches = sketches.where(F.col("column") == column)
     shard = [name for name in ("shard_location",) if name in keys.columns]
     asked = keys.dropna(subset=[column]).select(*shard, F.col(column).cast("string").alias("key")).distinct()
+    names, count = ["run", "shard_location", "file"], asked.count()
+    probed = f"pieces * {PIECE} div {BITS_PER_KEY} > {count}"
+    read = sketches.where(f"NOT ({probed})").select(*names).distinct()
+    if shard:
+        read = read.join(asked.select(*shard).distinct(), shard, "left_semi")
+    sketches = sketches.where(probed)
     # sizes are powers of two, so there are few
     sizes = [row["pieces"] for row in sketches.select("pieces").distinct().collect()]
     probes = asked.select("*", F.explode(F.array(*map(F.lit, sizes)).cast("array<bigint>")).alias("pieces"))
@@ -62,5 +70,5 @@ def candidate_files(spark: SparkSession, root: str, runs: list[Run], keys: DataF
     found = probes.join(sketches, [*shard, "pieces", "piece"]).where(_IS_SET)
     held = found.groupBy("run", "shard_location", "file", "key").agg(F.count(F.lit(1)).alias("hits")).where(F.col("hits") == HASHES)
     # names of files, as many as Spark lists for a table at most
-    files = held.select("run", "shard_location", "file").distinct().collect()
+    files = held.select(*names).unionByName(read.select(*names)).distinct().collect()
     return sorted(f"{root}/{table}/run={row['run']}/shard_location={row['shard_location']}/{row['file']}" for row in files)

@@ -217,6 +217,16 @@ def test_only_files_that_may_hold_a_key_are_read(spark, wide):
     assert len(candidate_files(spark, wide, runs, every, "account_id")) == 40
 
 
+def test_a_batch_larger_than_a_file_reads_it_without_a_probe(spark, wide):
+    """The files of the shards that the keys name, no matter which keys they hold."""
+    runs = manifest.load(spark, wide).runs_of("accounts")
+    keys = spark.range(3000).selectExpr("'SHARD1' AS shard_location", "concat('none-', id) AS account_number")
+    files = candidate_files(spark, wide, runs, keys, "account_number")
+    shard = [f for f in read_bank(spark, wide).accounts.inputFiles() if "shard_location=SHARD1" in f]
+    assert names(files) == {f.rsplit("/", 1)[1] for f in shard}
+    assert len(candidate_files(spark, wide, runs, keys.limit(100), "account_number")) < len(shard)
+
+
 def test_answers_that_are_wrong_change_nothing(spark, wide, monkeypatch):
     """With every file a candidate, as if each sketch answered wrongly, and with the files that answer."""
     rows = [(1, None, 5, "ACC-17", "SAVINGS", None, None), (2, 18, 5, "new", "SAVINGS", None, None), (3, None, 999999, "x", "SAVINGS", None, None), (4, None, 7, None, "SAVINGS", None, None)]

@@ -108,9 +108,12 @@ def _crc(ids: np.ndarray) -> int:
 
 def term_counts(ids: np.ndarray, lengths: np.ndarray, size: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """(row, term, times) of the distinct terms of rests that follow each other in `ids`, by row and term."""
-    row = np.repeat(np.arange(len(lengths), dtype=np.int64), lengths)
-    found, times = np.unique(row * size + ids, return_counts=True)
-    return found // size, found % size, times
+    bits = int(size).bit_length()
+    # half as wide where that holds all numbers: sorting them takes most of the time
+    kind = np.uint32 if len(lengths) << bits <= 1 << 32 else np.uint64
+    row = np.repeat(np.arange(len(lengths), dtype=kind) << kind(bits), lengths)
+    found, times = np.unique(row | ids.astype(kind), return_counts=True)
+    return (found >> kind(bits)).astype(np.int64), (found & kind((1 << bits) - 1)).astype(np.int64), times
 
 
 def inverse_frequency(documents: np.ndarray, count: int) -> np.ndarray:

@@ -181,3 +181,14 @@ def test_encoder_equals_library():
     assert code.fast is not None
     texts = ["", " a", "We'll  see\n\n the\tend ", "Été ñandú ÄÖÜß", "日本 😀", "x <|endoftext|> y", "’quote’ – 12½", "a\x1cb", "-" * 70 + "ing"]
     assert [ids.tolist() for ids in code.encode(texts)] == [LIBRARY.encode(t, add_special_tokens=False).ids for t in texts]
+
+
+def test_terms_are_counted_in_either_width():
+    """Numbers of row and term together fit in 32 bits, or do not."""
+    for rows in (3, 70_000):
+        lengths = np.array([2] * rows)
+        ids = np.tile(np.array([50_000, 7, 7, 7], dtype=np.uint32), rows)[: 2 * rows]
+        row, term, times = packing.term_counts(ids, lengths, 50_001)
+        even = {0: [(7, 1), (50_000, 1)], 1: [(7, 2)]}
+        want = [(r, t, n) for r in range(rows) for t, n in even[r % 2]]
+        assert list(zip(row.tolist(), term.tolist(), times.tolist())) == want

@@ -66,9 +66,11 @@ def _names(schema: str) -> list[str]:
 
 @dataclass(frozen=True)
 class Posting:
-    """Result of one batch: judged requests, new account rows, transaction records, touched balances."""
+    """Result of one batch: judged requests, also with their `place` in seq order, new account rows, transaction records,
+    touched balances."""
 
     requests: DataFrame
+    placed: DataFrame
     accounts: DataFrame
     transactions: DataFrame
     changes: DataFrame
@@ -286,6 +288,7 @@ def post_ledger(
     uncovered = rounds.rejections().selectExpr("place", "'insufficient_balance' AS _uncovered")
     decided = judged.join(uncovered, "place", "left").withColumn("reason", F.coalesce("reason", "_uncovered"))
     outcome = decided.select(
+        "place",
         *requests.columns,
         F.when(F.col("reason").isNull(), "COMPLETED").otherwise("REJECTED").alias("status"),
         "reason",
@@ -294,7 +297,7 @@ def post_ledger(
     )
     changes = rounds.changes().withColumn("as_of", F.lit(as_of).cast("timestamp"))
     return Posting(
-        outcome, apply_changes(accounts, changes), records_of(outcome, as_of), changes, rounds.number
+        outcome.drop("place"), outcome, apply_changes(accounts, changes), records_of(outcome, as_of), changes, rounds.number
     )
 
 

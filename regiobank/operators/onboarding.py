@@ -152,11 +152,9 @@ def save_posting(requests: DataFrame, root: str, as_of, batch: int, **sizes) ->
     def judge(seen: Manifest) -> tuple[dict[str, DataFrame], Posting]:
         bank = read_bank(spark, root, batch, seen)
         posting = post_ledger(bank.accounts, requests, as_of, **sizes)
-        order = [c for c in ("seq", *requests.columns) if c != "seq"]
-        outcome = posting.requests.withColumn("_line", F.struct("seq", *order))
         reserve = _registry(requests, root, batch)
-        numbered = assign_transaction_ids(records_of(outcome, as_of, "_line"), bank.transactions, "_line", reserve)
-        rows = stage(numbered.select(*table_columns("transactions")), "new-records")
-        return {"transactions": rows, "changes": stage(posting.changes, "new-changes")}, posting
+        # numbered by place, so that the requests are not sorted a second time by all their columns
+        numbered = assign_transaction_ids(records_of(posting.placed, as_of, "place"), bank.transactions, "place", reserve)
+        return {"transactions": numbered.select(*table_columns("transactions")), "changes": posting.changes}, posting
 
     return _write_batch(spark, root, batch, ("changes",), judge)

@@ -276,3 +276,28 @@ def test_latest_transaction_of_an_empty_store(spark, tmp_path):
     bank = create_bank(spark, str(tmp_path / "empty"))
     assert dashboard.dashboard_transactions_by_date(bank).collect() == []
     assert dashboard.dashboard_transactions_by_date(bank, as_of=AS_OF).collect() == []
+
+
+def test_a_posting_is_numbered_by_place_and_written_once(spark, root, monkeypatch):
+    ordered, right = [], numbering.number_rows
+
+    def numbers(df, by, order):
+        ordered.extend(df.schema[name].dataType.simpleString() for name in order)
+        return right(df, by, order)
+
+    monkeypatch.setattr(numbering, "number_rows", numbers)
+    monkeypatch.setattr(onboarding, "stage", lambda df, name: pytest.fail(f"{name} is written before its run"))
+    # equal seq: taken in the order of the other columns; the rejected one gets no id
+    rows = [
+        (7, "DEPOSIT", None, "ACC001", Decimal(3), "c"),
+        (7, "DEPOSIT", None, "ACC001", Decimal(2), "b"),
+        (9, "WITHDRAWAL", "ACC001", None, Decimal(900000), "d"),
+        (None, "DEPOSIT", None, "ACC001", Decimal(4), "a"),
+        (11, "DEPOSIT", None, "ACC001", Decimal(5), "e"),
+    ]
+    save_posting(spark.createDataFrame(rows, REQUESTS).repartition(3), root, AS_OF, batch=4)
+    assert ordered == ["bigint"]
+    made = read_bank(spark, root).transactions.where(F.col("transaction_date") == AS_OF).where("length(description) = 1")
+    found = made.orderBy("transaction_id").collect()
+    assert [row.description for row in found] == ["a", "b", "c", "e"]
+    assert [row.transaction_id - found[0].transaction_id for row in found] == [0, 1, 2, 3]

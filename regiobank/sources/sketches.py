@@ -26,6 +26,11 @@ _PIECES = f"CAST(power(2, ceil(log2(greatest(keys * {BITS_PER_KEY} / {PIECE}, 1)
 _PLACE = f"pmod(xxhash64(key, seed), pieces * {PIECE})"
 _PIECE_AND_BIT = [f"{_PLACE} div {PIECE} AS piece", f"{_PLACE} % {PIECE} AS bit"]
 _IS_SET = "shiftright(CAST(conv(hex(substring(bits, CAST(bit div 8 + 1 AS INT), 1)), 16, 10) AS INT), CAST(bit % 8 AS INT)) & 1 = 1"
+# a bit within the hexadecimal digits of its word, so that bytes come in order and the lowest bit of a byte first
+_IN_WORD = "shiftleft(1L, CAST((bit ^ 56) & 63 AS INT))"
+_ZEROS = "repeat('0', CAST(16 * (x.word - coalesce(get(words, i - 1).word, -1) - 1) AS INT))"
+_DIGITS = f"array_join(transform(words, (x, i) -> concat({_ZEROS}, lpad(hex(x.bits), 16, '0'))), '')"
+_BYTES = f"unhex(rpad({_DIGITS}, {PIECE // 4}, '0'))"
 _SEEDS = f"explode(sequence(1, {HASHES})) AS seed"
 
 
@@ -40,10 +45,24 @@ def write_sketches(spark: SparkSession, root: str, run: Run) -> None:
     pairs = F.explode(F.array(*[F.struct(F.lit(name).alias("column"), F.col(name).cast("string").alias("key")) for name in KEYS[run.table]])).alias("x")
     keys = rows.select("shard_location", file, pairs).select("shard_location", "file", "x.column", "x.key").where("key IS NOT NULL")
     place = ["shard_location", "file", "column"]
+    _sketches(keys).write.parquet(f"{root}/{FOLDER}/{run.path}")
+
+
+def _sketches(keys: DataFrame) -> DataFrame:
+    """The pieces of the Bloom filters of some keys, by shard, file and column.
+
+    Bits meet in words of 64 in a hash table, in which a filter is named by a number. To make bitmaps of them at once would
+    sort a row per bit, with the names of its file, and spill.
+    """
+    place = ["shard_location", "file", "column"]
     # a row per file and column
-    sizes = stage(keys.groupBy(*place).agg(F.count(F.lit(1)).alias("keys")).selectExpr(*place, f"{_PIECES} AS pieces"), "sizes")
-    bits = keys.join(sizes, place).selectExpr(*place, "pieces", "key", _SEEDS).selectExpr(*place, "pieces", *_PIECE_AND_BIT)
-    bits.groupBy(*place, "pieces", "piece").agg(F.bitmap_construct_agg("bit").alias("bits")).write.parquet(f"{root}/{FOLDER}/{run.path}")
+    sizes = keys.groupBy(*place).agg(F.count(F.lit(1)).alias("keys")).selectExpr(*place, f"{_PIECES} AS pieces")
+    sizes = stage(sizes.withColumn("filter", F.monotonically_increasing_id()), "sizes")
+    bits = keys.join(sizes, place).selectExpr("filter", "pieces", "key", _SEEDS).selectExpr("filter", *_PIECE_AND_BIT)
+    words = bits.groupBy("filter", "piece", F.expr("bit div 64").alias("word")).agg(F.bit_or(F.expr(_IN_WORD)).alias("bits"))
+    ordered = F.array_sort(F.collect_list(F.struct("word", "bits"))).alias("words")
+    whole = words.groupBy("filter", "piece").agg(ordered).selectExpr("filter", "piece", f"{_BYTES} AS bits")
+    return whole.join(sizes, "filter").select(*place, "pieces", "piece", "bits")
 
 
 def candidate_files(spark: SparkSession, root: str, runs: list[Run], keys: DataFrame, column: str) -> list[str]:

@@ -3,6 +3,7 @@
 from decimal import Decimal
 
 import pytest
+from pyspark.sql import DataFrameWriter
 from pyspark.sql import functions as F
 
 from regiobank.model import REQUESTS
@@ -13,7 +14,7 @@ from regiobank.sources import bank as store
 from regiobank.sources import manifest
 from regiobank.sources.bank import SCHEMAS, compact, create_bank, read_bank, write_bank
 from regiobank.sources.sample import load_sample
-from regiobank.sources.sketches import candidate_files
+from regiobank.sources.sketches import HASHES, KEYS, PIECE, candidate_files, write_sketches
 
 AS_OF = "2024-05-01 00:00:00"
 USER = "line bigint, user_id bigint, username string, email string, full_name string, phone string, address string, region string"
@@ -301,3 +302,33 @@ def test_a_posting_is_numbered_by_place_and_written_once(spark, root, monkeypatc
     found = made.orderBy("transaction_id").collect()
     assert [row.description for row in found] == ["a", "b", "c", "e"]
     assert [row.transaction_id - found[0].transaction_id for row in found] == [0, 1, 2, 3]
+
+
+def test_sketches_are_bitmaps_of_the_keys_without_a_sort_of_their_bits(spark, root, tmp_path, monkeypatch):
+    """Files of several pieces, of few keys and of one key; missing and repeated keys."""
+    keys = "CAST(account_id AS BIGINT) AS account_id", "concat('ACC-', account_id) AS account_number", "account_id % 5000 AS user_id"
+    rows = spark.range(1, 9001).selectExpr("IF(id % 100 = 3, NULL, id) AS account_id").selectExpr(*keys, "IF(account_id = 7, 'SHARD3', IF(account_id < 60, 'SHARD2', 'SHARD1')) AS shard_location")
+    run, folder = manifest.new_run("accounts", 0, ((1, 1),)), str(tmp_path / "run")
+    rows.coalesce(1).write.partitionBy("shard_location").parquet(f"{folder}/{run.path}")
+    plans, right = [], DataFrameWriter.parquet
+
+    def planned(writer, path, *args, **kwargs):
+        plans.append(writer._df._jdf.queryExecution().executedPlan().toString())
+        return right(writer, path, *args, **kwargs)
+
+    monkeypatch.setattr(DataFrameWriter, "parquet", planned)
+    write_sketches(spark, folder, run)
+    assert plans and not any("SortAggregate" in plan for plan in plans)
+
+    found = spark.read.parquet(f"{folder}/_sketches/{run.path}").drop("file")
+    parts = []
+    for column in KEYS["accounts"]:
+        held = spark.read.parquet(f"{folder}/{run.path}").selectExpr("shard_location", f"'{column}' AS column", f"CAST({column} AS STRING) AS key")
+        parts.append(held.where("key IS NOT NULL"))
+    every = parts[0].unionByName(parts[1]).unionByName(parts[2])
+    pieces = found.select("shard_location", "column", "pieces").distinct()
+    bits = every.join(pieces, ["shard_location", "column"]).selectExpr("*", f"explode(sequence(1, {HASHES})) AS seed")
+    bits = bits.selectExpr("*", f"pmod(xxhash64(key, seed), pieces * {PIECE}) AS place")
+    plain = bits.groupBy("shard_location", "column", "pieces", F.expr(f"place div {PIECE} AS piece")).agg(F.expr(f"bitmap_construct_agg(place % {PIECE}) AS bits"))
+    assert {r.pieces for r in pieces.collect()} == {1, 8}
+    assert sorted(found.select(plain.columns).collect()) == sorted(plain.collect())
